@@ -168,7 +168,10 @@ def format_bytes(col) -> Column:
 def percent_done(done, total) -> Column:
     """round(done/total*100, 1), 0 when total is 0 or null."""
     d, t = _c(done), _c(total)
-    pct = F.round(d.cast("double") / t.cast("double") * F.lit(100.0), 1)
+    raw = d.cast("double") / t.cast("double") * F.lit(100.0)
+    # Python's round() works on the exact binary value (half-even on true ties);
+    # format_number does the same, F.round would round the shortest decimal half-up.
+    pct = F.regexp_replace(F.format_number(raw, 1), ",", "").cast("double")
     return F.when(t > F.lit(0), pct).otherwise(F.lit(0.0))
 
 

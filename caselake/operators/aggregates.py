@@ -81,31 +81,37 @@ def ingest_progress(chunks: DataFrame) -> DataFrame:
     )
 
 
-def file_progress(records: DataFrame, done: DataFrame, key: str = "doc_id",
-                  order_cols=("title_num", "chunk_index")) -> DataFrame:
+def file_progress(records: DataFrame, done: DataFrame, files: DataFrame | None = None,
+                  key: str = "doc_id", order_cols=("title_num", "chunk_index")) -> DataFrame:
     """A7 (+A9): per input file, kept rows, rows done, last done id, status, percent.
 
     ``records``: kept input rows with a ``file`` column; ``done``: rows already
-    in the output (matched on ``key``). The total counts kept rows only, so a
+    in the output (matched on ``key``); ``files``: every input file (files with
+    no kept rows show as pending). The total counts kept rows only, so a
     finished file reaches 100 (D19).
     """
     done_keys = done.select(key).distinct().withColumn("_done", F.lit(1))
     r = records.join(done_keys, key, "left")
-    order = F.struct(*[F.col(c).try_cast("bigint") for c in order_cols], F.col(key))
+    is_done = F.col("_done").isNotNull()
+    order = F.struct(*[F.col(c).try_cast("bigint").alias(f"o{i}") for i, c in enumerate(order_cols)],
+                     F.col(key).alias("okey"))
     per_file = r.groupBy("file").agg(
         F.count(F.lit(1)).alias("chunks_total"),
         F.count("_done").alias("chunks_done"),
-        F.max_by(F.when(F.col("_done").isNotNull(), F.col(key)),
-                 F.when(F.col("_done").isNotNull(), order)).alias("last_doc_id"),
+        F.max_by(F.when(is_done, F.col(key)), F.when(is_done, order)).alias("last_doc_id"),
     )
+    if files is not None:
+        per_file = files.select("file").distinct().join(per_file, "file", "left")
+    total = F.coalesce(F.col("chunks_total"), F.lit(0)).cast("bigint")
+    n_done = F.coalesce(F.col("chunks_done"), F.lit(0)).cast("bigint")
     status = (
-        F.when(F.col("chunks_done") == F.lit(0), F.lit("pending"))
-        .when(F.col("chunks_done") >= F.col("chunks_total"), F.lit("complete"))
+        F.when(n_done == F.lit(0), F.lit("pending"))
+        .when(n_done >= total, F.lit("complete"))
         .otherwise(F.lit("in_progress"))
     )
     return per_file.select(
-        "file", status.alias("status"), "chunks_done", "chunks_total", "last_doc_id",
-        percent_done(F.col("chunks_done"), F.col("chunks_total")).alias("pct"),
+        "file", status.alias("status"), n_done.alias("chunks_done"), total.alias("chunks_total"),
+        "last_doc_id", percent_done(n_done, total).alias("pct"),
     )
 
 

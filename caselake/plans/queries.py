@@ -254,3 +254,162 @@ def q_insert_or_ignore(spark, d):
     target = S.table(spark, d, "orders").where(F.col("o_orderstatus") == "F").select(
         F.col("o_orderkey").alias("l_orderkey"))
     return insert_or_ignore(li, target, "l_orderkey", order="l_linenumber")
+
+
+# ── Statutes ────────────────────────────────────────────────────────────────
+
+def _statute_records(spark, d):
+    """Statute JSONL lines (from conversations) parsed back with the explicit schema."""
+    from caselake.sources.statutes import parse_statute_lines
+
+    return parse_statute_lines(S.statute_lines(spark, d))
+
+
+SQL_STATUTE_KEPT = f"""
+    kept AS (SELECT *, {Q.strip("coalesce(nullif(body_text, ''), nullif(text, ''), '')")} AS body
+             FROM statute_records WHERE coalesce(status, 'active') = 'active'),
+    kept2 AS (SELECT * FROM kept WHERE length(body) >= 50)"""
+
+
+def _present_sql(x):
+    return f"({x} IS NOT NULL AND {x} <> '')"
+
+
+SQL_STATUTE_CHUNKS = S.standin_ctes("statute_records") + "," + SQL_STATUTE_KEPT + f"""
+    SELECT left(coalesce(section_id, ''), 64) AS section_id,
+           CAST({Q.int_or_zero('title_num')} AS INTEGER) AS title_num,
+           left(coalesce(title_name, ''), 256) AS title_name,
+           CAST({Q.int_or_zero('chapter_num')} AS INTEGER) AS chapter_num,
+           left(coalesce(short_title, ''), 512) AS short_title,
+           CAST({Q.int_or_zero('chunk_index')} AS INTEGER) AS chunk_index,
+           CAST({Q.int_or_zero('chunk_total', 1)} AS INTEGER) AS chunk_total,
+           left(coalesce(url, ''), 512) AS url,
+           left('[' || concat_ws(' | ',
+                  'SC Code § ' || coalesce(section_id, ''),
+                  CASE WHEN {_present_sql('title_num')} AND coalesce({Q.strip('title_name')}, '') <> ''
+                       THEN 'Title ' || title_num || ': ' || {Q.strip('title_name')}
+                       WHEN coalesce({Q.strip('title_name')}, '') <> '' THEN {Q.strip('title_name')} END,
+                  CASE WHEN {_present_sql('chapter_num')} THEN 'Chapter ' || chapter_num END,
+                  CASE WHEN coalesce({Q.strip('short_title')}, '') <> '' THEN {Q.strip('short_title')} END)
+                || ']' || {Q.NL2} || body, 65535) AS text
+    FROM kept2"""
+
+
+@register("statute_chunks", SQL_STATUTE_CHUNKS)
+def q_statute_chunks(spark, d):
+    """Statute JSONL -> active sections with a body -> headed chunk rows."""
+    from caselake.plans.statutes import statute_chunk_rows
+
+    return statute_chunk_rows(_statute_records(spark, d))
+
+
+# A previous run finished the 'user' title file and 'assistant' turns 0-3.
+SQL_PROGRESS = S.standin_ctes("statute_records") + "," + SQL_STATUTE_KEPT + f""",
+    files AS (SELECT DISTINCT file FROM statute_records),
+    done AS (SELECT doc_id FROM kept2
+             WHERE file = 'sc_title_user.jsonl'
+                OR (file = 'sc_title_assistant.jsonl' AND CAST(chunk_index AS INTEGER) < 4)),
+    per AS (SELECT k.file, count(*) AS chunks_total, count(dn.doc_id) AS chunks_done,
+                   arg_max(CASE WHEN dn.doc_id IS NOT NULL THEN k.doc_id END,
+                           CASE WHEN dn.doc_id IS NOT NULL THEN
+                                {{'a': TRY_CAST(k.title_num AS BIGINT), 'b': TRY_CAST(k.chunk_index AS BIGINT), 'c': k.doc_id}} END)
+                       AS last_doc_id
+            FROM kept2 k LEFT JOIN done dn ON k.doc_id = dn.doc_id GROUP BY k.file),
+    progress AS (
+        SELECT f.file,
+               CASE WHEN coalesce(p.chunks_done, 0) = 0 THEN 'pending'
+                    WHEN p.chunks_done >= p.chunks_total THEN 'complete' ELSE 'in_progress' END AS status,
+               coalesce(p.chunks_done, 0) AS chunks_done, coalesce(p.chunks_total, 0) AS chunks_total,
+               p.last_doc_id,
+               CASE WHEN coalesce(p.chunks_total, 0) > 0
+                    THEN round(p.chunks_done / p.chunks_total * 100, 1) ELSE 0.0 END AS pct
+        FROM files f LEFT JOIN per p ON f.file = p.file)"""
+
+
+def _progress(spark, d):
+    from caselake.operators.aggregates import file_progress
+    from caselake.plans.statutes import active_statutes
+
+    recs = _statute_records(spark, d)
+    kept = active_statutes(recs)
+    done = kept.where((F.col("file") == "sc_title_user.jsonl")
+                      | ((F.col("file") == "sc_title_assistant.jsonl") & (F.col("chunk_index").cast("int") < 4)))
+    files = S.statute_lines(spark, d).select("file").distinct()
+    return file_progress(kept, done, files=files)
+
+
+@register("file_progress", SQL_PROGRESS + " SELECT * FROM progress")
+def q_file_progress(spark, d):
+    """A7 A9 (+S10 over kept rows): per title file — status, done/total, last id, percent."""
+    return _progress(spark, d)
+
+
+@register("status_counts", SQL_PROGRESS + " SELECT status, count(*) AS files FROM progress GROUP BY status")
+def q_status_counts(spark, d):
+    """Title files per status."""
+    from caselake.operators.aggregates import status_counts
+
+    return status_counts(_progress(spark, d))
+
+
+@register("statute_line_total", S.standin_ctes("statute_records") + """
+    SELECT count(*) AS rows FROM statute_records""")
+def q_statute_line_total(spark, d):
+    """Non-blank lines over all title files."""
+    from caselake.sources.snapshots import count_nonblank
+
+    return count_nonblank(S.statute_lines(spark, d))
+
+
+# ── Lake layout, snapshots, resume ─────────────────────────────────────────
+
+@register("partition_pruned_read", LAKE_PREFIX + """
+    SELECT * FROM lake WHERE court IN ('BUILDING', 'MACHINERY')""")
+def q_partition_pruned_read(spark, d):
+    """Write the lake by court, read back two court directories only."""
+    from caselake.operators.sinks import write_by_court
+    from caselake.session import scratch_path
+    from caselake.sources.lake import scan_courts
+
+    path = scratch_path(spark, "opinions-lake")
+    write_by_court(lake_opinions(spark, d), path)
+    return scan_courts(spark, path, ["BUILDING", "MACHINERY"])
+
+
+@register("latest_snapshot")
+def q_latest_snapshot(spark, d):
+    """Newest file of a prefix in the table folder, with its snapshot date."""
+    from caselake.sources.snapshots import latest_snapshot
+
+    return latest_snapshot(spark, d, prefix="p", suffix=".parquet").select("file_name", "snapshot_date")
+
+
+@register("resume_anti", LAKE_PREFIX + f""",
+    tb AS (SELECT opinion_id, court, year,
+                  {Q.effective_text('plain_text', 'html_with_citations', 'chunk')} AS body FROM lake)
+    SELECT opinion_id, court, year FROM tb WHERE length(body) >= 150 AND year > 1997""")
+def q_resume_anti(spark, d):
+    """A previous run chunked opinions up to 1997; resume keeps only unchunked opinions."""
+    from caselake.operators.joins import skip_done
+    from caselake.plans.chunks import text_bearing
+    from caselake.sources.lake import query_opinions
+
+    lake = lake_opinions(spark, d)
+    previous = opinion_chunks(query_opinions(lake, end_year=1997, order=False))
+    done = previous.select(F.col("opinion_id").cast("string").alias("opinion_id"))
+    return skip_done(text_bearing(lake), done, "opinion_id").select("opinion_id", "court", "year")
+
+
+@register("incremental_chunks")
+def q_incremental_chunks(spark, d):
+    """Lake written by court, then chunked by an availableNow streaming run with a checkpoint."""
+    from caselake.operators.sinks import write_by_court
+    from caselake.session import scratch_path
+    from caselake.streaming.incremental import run_incremental_chunks
+
+    lake = lake_opinions(spark, d)
+    path = scratch_path(spark, "stream-lake")
+    write_by_court(lake, path)
+    schema = spark.read.parquet(path).schema
+    return run_incremental_chunks(spark, path, schema, scratch_path(spark, "stream-sink"),
+                                  scratch_path(spark, "stream-ckpt"))

@@ -94,7 +94,11 @@ def stage_snapshot(spark: SparkSession, csv_path: str, columns, out_path: str, p
     return spark.read.parquet(out_path)
 
 
+def count_nonblank(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """S10 over a DataFrame of lines: one row with the number of non-blank lines."""
+    return lines.agg(F.count_if(F.trim(value_col) != F.lit("")).alias("rows"))
+
+
 def row_total(spark: SparkSession, path: str) -> DataFrame:
     """Number of non-blank lines over all files at ``path`` (one-row DataFrame)."""
-    lines = spark.read.text(path)
-    return lines.agg(F.count_if(F.trim("value") != F.lit("")).alias("rows"))
+    return count_nonblank(spark.read.text(path))
