@@ -413,3 +413,5 @@ def q_incremental_chunks(spark, d):
     schema = spark.read.parquet(path).schema
     return run_incremental_chunks(spark, path, schema, scratch_path(spark, "stream-sink"),
                                   scratch_path(spark, "stream-ckpt"))
+
+from caselake.plans import retrieval_queries  # noqa: E402,F401  (registers retrieval queries)

@@ -93,3 +93,42 @@ def chunks_cte(source: str, id_cols: str, text: str, size: int = 3000, overlap:
             SELECT {id_cols}, unnest(generate_series(0, len(ch) - 1)) AS chunk_index, unnest(ch) AS chunk
             FROM (SELECT {id_cols}, {chunk_finish('st')} AS ch
                   FROM (SELECT {id_cols}, {chunk_state(units(text, size), size, overlap)} AS st FROM {source})))"""
+
+
+def hash_vectors(name: str, source: str, id_col: str, text_col: str, dim: int) -> str:
+    """CTEs ending in `<name>(id, b, v)`: nonzero hashing-encoder components as FLOAT."""
+    return f"""
+    {name}_tok AS (SELECT {id_col} AS id, unnest(regexp_extract_all(lower(coalesce({text_col}, '')), '[a-z0-9]+')) AS tok
+                   FROM {source}),
+    {name}_b AS (SELECT id, ('0x' || substr(md5(tok), 1, 8))::BIGINT % {dim} AS b,
+                        CASE WHEN ('0x' || substr(md5(tok), 9, 2))::INTEGER % 2 = 0 THEN 1 ELSE -1 END AS s
+                 FROM {name}_tok),
+    {name}_c AS (SELECT id, b, sum(s) AS c FROM {name}_b GROUP BY id, b),
+    {name}_n AS (SELECT id, sqrt(sum(c * c)) AS n FROM {name}_c GROUP BY id),
+    {name} AS (SELECT x.id, x.b, CAST(CAST(x.c AS DOUBLE) / nn.n AS FLOAT) AS v
+               FROM {name}_c x JOIN {name}_n nn ON x.id = nn.id WHERE nn.n > 0)"""
+
+
+def bm25_scores(name: str, queries: str, q_id: str, q_text: str, docs: str, d_id: str, d_text: str) -> str:
+    """CTEs ending in `<name>(query_id, item_id, score)`: BM25 (k1 1.2, b 0.75), rounded to 6."""
+    toks = "regexp_extract_all(lower(coalesce({t}, '')), '[a-z0-9]+')"
+    return f"""
+    {name}_qt AS (SELECT DISTINCT {q_id} AS query_id, unnest({toks.format(t=q_text)}) AS term FROM {queries}),
+    {name}_dl AS (SELECT {d_id} AS item_id, {toks.format(t=d_text)} AS toks FROM {docs}),
+    {name}_st AS (SELECT count(*) AS n, avg(len(toks)) AS avgdl FROM {name}_dl),
+    {name}_tf AS (SELECT item_id, term, count(*) AS tf FROM (SELECT item_id, unnest(toks) AS term FROM {name}_dl)
+                  WHERE term IN (SELECT term FROM {name}_qt) GROUP BY ALL),
+    {name}_df AS (SELECT term, count(*) AS df FROM {name}_tf GROUP BY term),
+    {name} AS (SELECT q.query_id, tf.item_id,
+                      round(sum(ln(1 + (st.n - df.df + 0.5) / (df.df + 0.5)) * tf.tf * 2.2
+                                / (tf.tf + 1.2 * (1 - 0.75 + 0.75 * len(dl.toks) / st.avgdl))), 6) AS score
+               FROM {name}_qt q JOIN {name}_tf tf ON q.term = tf.term JOIN {name}_df df ON q.term = df.term
+                    JOIN {name}_dl dl ON tf.item_id = dl.item_id CROSS JOIN {name}_st st
+               GROUP BY q.query_id, tf.item_id)"""
+
+
+def topk(source: str, k: int, ascending: bool = False, extra: str = "") -> str:
+    order = "score ASC" if ascending else "score DESC"
+    return f"""SELECT query_id, item_id, score, rank{extra} FROM (
+        SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY {order}, item_id) AS INTEGER) AS rank
+        FROM {source}) WHERE rank <= {k}"""
