@@ -201,3 +201,12 @@ def remove_boilerplate(col, phrases) -> Column:
     # re.escape output is a valid Java pattern for plain phrases.
     out = F.regexp_replace(_c(col), pattern, " ")
     return strip(F.regexp_replace(out, r"[ \t]{2,}", " "))
+
+
+# Citation shape used by the boundary audit: '123 S.C. 456', '123 S.E.2d 456', '18 U.S.C. § 1030'.
+CITATION_RE = r"[0-9]+ [A-Z][A-Za-z.0-9]*(?: §)? [0-9]+"
+
+
+def citations_in(col, pattern: str = CITATION_RE) -> Column:
+    """All citation-shaped substrings of a text -> array<string>."""
+    return F.regexp_extract_all(F.coalesce(_c(col), F.lit("")), F.lit(pattern), 0)

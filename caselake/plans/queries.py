@@ -415,3 +415,4 @@ def q_incremental_chunks(spark, d):
                                   scratch_path(spark, "stream-ckpt"))
 
 from caselake.plans import retrieval_queries  # noqa: E402,F401  (registers retrieval queries)
+from caselake.plans import design_queries  # noqa: E402,F401  (registers design-note queries)
