@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 # Python-compatible whitespace class (inside a (?U) pattern).
 WS = r"[\s\x{1C}-\x{1F}]"
-# Leading run, or a trailing run that starts right after a non-space; the
-# look-behind keeps long interior runs from being rescanned at every offset.
-_STRIP_RE = rf"(?U)^{WS}+|(?<!{WS}){WS}+$"
+# The same set as literal characters (every code point for which Python's
+# str.isspace() holds; all lie below U+3001), for btrim's end scan.
+WS_CHARS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 _TAG_RE = r"<[^>]+>"
 _DIGITS_RE = r"^[0-9]+$"
 _DATE_RE = r"(\d{4}-\d{2}-\d{2})"
@@ -25,8 +25,11 @@ def _c(col) -> Column:
 
 
 def strip(col) -> Column:
-    """Python ``str.strip()``: remove leading/trailing Unicode whitespace. Null stays null."""
-    return F.regexp_replace(_c(col), _STRIP_RE, "")
+    """Python ``str.strip()``: remove leading/trailing Unicode whitespace. Null stays null.
+
+    ``btrim`` with the explicit character set scans only the two ends (no regex).
+    """
+    return F.btrim(_c(col), F.lit(WS_CHARS))
 
 
 def collapse_ws(col) -> Column:

@@ -26,6 +26,19 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
+def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
+    """Hash-spread a *bare scan* that has fewer splits than the cluster can run.
+
+    Per-row work downstream (regex cleanup, the chunker UDF) then uses every
+    core. A scan that already has enough splits — the normal case for a
+    large lake — is returned untouched, so no shuffle is added at scale.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key)
+
+
 def clusters_with_court(clusters: DataFrame, dockets: DataFrame,
                         max_broadcast_rows: int = DOCKETS_BROADCAST_ROWS) -> DataFrame:
     """Inner equi-join on docket_id; clusters outside the court set drop out."""

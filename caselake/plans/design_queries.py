@@ -21,7 +21,7 @@ BOILERPLATE = ("IT IS SO ORDERED",)
 
 
 def _docs(spark, d):
-    return S.table(spark, d, "documents")
+    return S.text_table(spark, d, "documents", "doc_id")
 
 
 def _para_docs(spark, d):

@@ -128,7 +128,7 @@ def q_html_strip(spark, d):
           + Q.chunks_cte("documents", "doc_id", "text") + ")")
 def q_doc_chunks(spark, d):
     """Every document chunked (3000/500)."""
-    return document_chunks(S.table(spark, d, "documents"))
+    return document_chunks(S.text_table(spark, d, "documents", "doc_id"))
 
 
 @register("doc_chunks_paras", "SELECT *, length(chunk) AS chunk_len FROM ("
@@ -136,7 +136,7 @@ def q_doc_chunks(spark, d):
           + ")")
 def q_doc_chunks_paras(spark, d):
     """F11 on the paragraph path: every line break doubled, so lines become paragraphs."""
-    docs = S.table(spark, d, "documents").select("doc_id", F.replace("text", F.lit("\n"), F.lit("\n\n")).alias("text"))
+    docs = S.text_table(spark, d, "documents", "doc_id").select("doc_id", F.replace("text", F.lit("\n"), F.lit("\n\n")).alias("text"))
     return document_chunks(docs)
 
 

@@ -47,7 +47,7 @@ SQL_QV = "WITH " + Q.hash_vectors("qv", "benchmark", "item_id", "text", EMB_DIM)
     FROM grid LEFT JOIN hv ON grid.doc_id = hv.id AND grid.b = hv.b GROUP BY grid.doc_id""")
 def q_hash_embed(spark, d):
     """Every document through the batched (hashing) encoder, 64 dims."""
-    return S.table(spark, d, "documents").select("doc_id", hash_embed("text", EMB_DIM).alias("vector"))
+    return S.text_table(spark, d, "documents", "doc_id").select("doc_id", hash_embed("text", EMB_DIM).alias("vector"))
 
 
 @register("cosine_topk", SQL_QV + Q.topk("cos", 5))
@@ -83,7 +83,7 @@ def _bench_queries(spark, d):
           + " " + Q.topk("bm", 10))
 def q_bm25_topk(spark, d):
     """V3: BM25 top-10 documents per benchmark passage."""
-    return bm25_topk(_bench_queries(spark, d), S.table(spark, d, "documents"), k=10)
+    return bm25_topk(_bench_queries(spark, d), S.text_table(spark, d, "documents", "doc_id"), k=10)
 
 
 SQL_HYBRID = "WITH " + Q.bm25_scores("bm", "benchmark", "item_id", "text", "documents", "doc_id", "text") + "," \
@@ -109,7 +109,7 @@ SQL_HYBRID = "WITH " + Q.bm25_scores("bm", "benchmark", "item_id", "text", "docu
 @register("hybrid_topk", SQL_HYBRID)
 def q_hybrid_topk(spark, d):
     """V4: BM25 top-20 and cosine top-20 (256-dim hash vectors) fused by reciprocal rank, top-10."""
-    return hybrid_topk(_bench_queries(spark, d), S.table(spark, d, "documents"), k=10, depth=20, dim=256)
+    return hybrid_topk(_bench_queries(spark, d), S.text_table(spark, d, "documents", "doc_id"), k=10, depth=20, dim=256)
 
 
 @register("rerank", "WITH " + Q.bm25_scores("bm", "benchmark", "item_id", "text", "documents", "doc_id", "text")
@@ -127,7 +127,7 @@ def q_hybrid_topk(spark, d):
         FROM rs) WHERE rank <= 5""")
 def q_rerank(spark, d):
     """V5: BM25 top-50 rescored by a batched scorer (token-set F1), top-5 per passage."""
-    docs = S.table(spark, d, "documents")
+    docs = S.text_table(spark, d, "documents", "doc_id")
     top = bm25_topk(_bench_queries(spark, d), docs, k=50).drop("rank")
     cands = (top.join(_bench_queries(spark, d).withColumnRenamed("text", "query_text"), "query_id")
              .join(docs.select(F.col("doc_id").alias("item_id"), "text"), "item_id"))

@@ -46,7 +46,11 @@ def scan_snapshot_csv(spark: SparkSession, path: str, columns) -> DataFrame:
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
     )
-    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    # A scan that references only the corrupt-record column is rejected by
+    # Spark (e.g. a bare count()), so the key column is referenced alongside.
+    key = F.col(columns[0])
+    well_formed = F.col(CORRUPT).isNull() & (key.isNull() | key.isNotNull())
+    return df.where(well_formed).drop(CORRUPT)
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:

@@ -26,6 +26,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def text_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A text-bearing table, spread over the cluster when its scan has too few splits."""
+    from caselake.operators.joins import spread
+
+    return spread(table(spark, sf_dir, name), key)
+
+
 def dockets_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """dockets(id, court_id) <- customer(c_custkey, c_mktsegment)."""
     c = table(spark, sf_dir, "customer")
@@ -61,7 +68,7 @@ def citations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def opinions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """opinions <- documents ⟕ pages (page_id = doc_id): plain text blank on every third doc."""
-    d = table(spark, sf_dir, "documents")
+    d = text_table(spark, sf_dir, "documents", "doc_id")
     p = table(spark, sf_dir, "pages").select(F.col("page_id"), F.col("html"))
     j = d.join(p, d["doc_id"] == p["page_id"], "left")
     return j.select(
