@@ -23,7 +23,7 @@ def aggregate_citations(citations: DataFrame, sep: str = ", ") -> DataFrame:
         "cluster_id", cite_string("volume", "reporter", "page").alias("cite")
     )
     return cites.groupBy("cluster_id").agg(
-        F.array_join(F.array_sort(F.collect_list("cite")), sep).alias("citation")
+        F.array_join(F.sort_array(F.collect_list("cite")), sep).alias("citation")
     )
 
 

@@ -22,7 +22,7 @@ from caselake.plans.lake_etl import clusters_stage, dockets_stage, opinions_stag
 from caselake.plans.stats import court_stats, court_totals
 from caselake.sources import standins as S
 from caselake.sources.courts import court_dimension, search_courts
-from caselake.sources.lake import query_opinions
+from caselake.sources.lake import materialize_stage, query_opinions
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -46,12 +46,22 @@ def lake_dockets(spark, d):
     return dockets_stage(S.dockets_raw(spark, d), S.STANDIN_COURTS)
 
 
+def staged_dockets(spark, d):
+    """Job 1 output, written once per input folder (stage cache)."""
+    return materialize_stage(spark, "dockets", d, lambda: lake_dockets(spark, d))
+
+
 def lake_clusters(spark, d):
-    return clusters_stage(S.clusters_raw(spark, d), lake_dockets(spark, d), S.citations_raw(spark, d))
+    return clusters_stage(S.clusters_raw(spark, d), staged_dockets(spark, d), S.citations_raw(spark, d))
+
+
+def staged_clusters(spark, d):
+    """Job 2 output, written once per input folder (stage cache)."""
+    return materialize_stage(spark, "clusters", d, lambda: lake_clusters(spark, d))
 
 
 def lake_opinions(spark, d):
-    return opinions_stage(S.opinions_raw(spark, d), lake_clusters(spark, d))
+    return opinions_stage(S.opinions_raw(spark, d), staged_clusters(spark, d))
 
 
 SQL_DOCKETS = f"""
@@ -392,7 +402,7 @@ def q_resume_anti(spark, d):
     """A previous run chunked opinions up to 1997; resume keeps only unchunked opinions."""
     from caselake.operators.joins import skip_done
     from caselake.plans.chunks import text_bearing
-    from caselake.sources.lake import query_opinions
+    from caselake.sources.lake import materialize_stage, query_opinions
 
     lake = lake_opinions(spark, d)
     previous = opinion_chunks(query_opinions(lake, end_year=1997, order=False))

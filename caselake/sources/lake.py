@@ -27,6 +27,28 @@ def stage_path(root: str, name: str, snapshot: str, tag: str | None = None) -> s
     return os.path.join(root, leaf)
 
 
+def materialize_stage(spark: SparkSession, name: str, key: str, build) -> DataFrame:
+    """Write stage ``name`` for input ``key`` once (Parquet in the shared
+    checkpoint folder) and read it back; a finished stage (``_SUCCESS``) is reused.
+
+    Later stages then read a table with known size instead of recomputing
+    this one's lineage, and a lost executor only recomputes from here. The
+    cache is scoped to the running application, so a stage is never reused
+    across code or input changes; reuse across runs goes through
+    ``stage_path`` keyed by snapshot date.
+    """
+    import hashlib
+
+    from caselake.session import checkpoint_dir
+
+    app = spark.sparkContext.applicationId
+    tag = hashlib.md5(f"{app}|{key}".encode("utf-8")).hexdigest()[:12]
+    path = os.path.join(checkpoint_dir(spark), "stages", tag, name)
+    if not stage_done(spark, path):
+        build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def scan_courts(spark: SparkSession, root: str, courts=None) -> DataFrame:
     """Opinions of the given courts from ``root/court=<id>/``.
 
