@@ -79,7 +79,14 @@ def latest_snapshot(spark: SparkSession, root: str, prefix: str, suffix: str = "
 
 def latest_snapshot_path(spark: SparkSession, root: str, prefix: str, suffix: str = ".csv.bz2") -> str:
     """Driver-side path of the newest snapshot (one value); error when none."""
-    rows = latest_snapshot(spark, root, prefix, suffix).select("path").take(1)
+    from pyspark.errors import AnalysisException
+
+    try:
+        rows = latest_snapshot(spark, root, prefix, suffix).select("path").take(1)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        rows = []
     if not rows:
         raise FileNotFoundError(f"no snapshot matching {prefix}*{suffix} under {root}")
     return rows[0]["path"]

@@ -57,7 +57,14 @@ def discover_title_files(spark: SparkSession, root: str) -> DataFrame:
 
 def title_file_paths(spark: SparkSession, root: str) -> list[str]:
     """Driver-side list of title file paths (a bounded listing); error when none."""
-    paths = [r["path"] for r in discover_title_files(spark, root).select("path").collect()]
+    from pyspark.errors import AnalysisException
+
+    try:
+        paths = [r["path"] for r in discover_title_files(spark, root).select("path").collect()]
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        paths = []
     if not paths:
         raise FileNotFoundError(f"no {TITLE_GLOB} files under {root}")
     return paths
