@@ -124,13 +124,30 @@ def query_blocks(queries: DataFrame, q_id: str, max_rows: int) -> list[list]:
 
 
 def _topk_merge(best_s, best_i, s, i, k, ascending):
-    """Merge candidate (score, id) matrices row-wise, keep k best per row."""
+    """Merge candidate (score, id) matrices row-wise, keep k best per row.
+
+    Exact: each row's k-th best value is found in linear time, only cells at
+    least that good (ties included) are sorted by (score, id).
+    """
     if best_s is not None:
         s = np.concatenate([best_s, s], axis=1)
         i = np.concatenate([best_i, i], axis=1)
+    nq, m = s.shape
+    kk = min(k, m)
     primary = s if ascending else -s
-    order = np.lexsort((i, primary), axis=1)[:, :k]
-    return np.take_along_axis(s, order, axis=1), np.take_along_axis(i, order, axis=1)
+    if m > kk:
+        kth = np.partition(primary, kk - 1, axis=1)[:, kk - 1:kk]
+        rows, cols = np.nonzero(primary <= kth)
+    else:
+        rows, cols = np.nonzero(np.ones_like(primary, dtype=bool))
+    order = np.lexsort((i[rows, cols], primary[rows, cols], rows))
+    rows, cols = rows[order], cols[order]
+    rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
+    keep = rank < kk
+    rows, cols = rows[keep], cols[keep]
+    out_s = s[rows, cols].reshape(nq, kk)
+    out_i = i[rows, cols].reshape(nq, kk)
+    return out_s, out_i
 
 
 def _scores(metric: str, Q: np.ndarray, qn: np.ndarray, C: np.ndarray) -> np.ndarray:
@@ -167,9 +184,9 @@ def _make_kernel(qids, Q, k, metric, c_id, c_vec, planes=None):
             if pdf.empty:
                 continue
             ids_all = pdf[c_id].to_numpy(dtype=np.int64)
-            vecs = pdf[c_vec].tolist()
+            vecs = pdf[c_vec].to_numpy()  # one numpy array per row (from Arrow)
             for lo in range(0, len(pdf), step):
-                C = np.asarray(vecs[lo:lo + step], dtype=np.float64)
+                C = np.stack(vecs[lo:lo + step]).astype(np.float64, copy=False)
                 ids = ids_all[lo:lo + step]
                 S = np.round(_scores(metric, Q, qn, C), 6)
                 if q_codes is not None:
