@@ -9,21 +9,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 # Default row bounds for broadcast build sides (narrow rows: ids + a few strings).
 DOCKETS_BROADCAST_ROWS = 2_000_000
 CLUSTERS_BROADCAST_ROWS = 1_000_000
 DIMENSION_BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it has at most ``max_rows`` rows.
-
-    The check counts at most ``max_rows + 1`` rows, so it stays cheap on a
-    materialized stage; when the side is larger it is returned unhinted.
+# Byte bound for any broadcast build side (well under Spark's 8 GB hard limit).
+BROADCAST_MAX_BYTES = 512 * 1024 * 1024
+ROW_OVERHEAD_BYTES = 16
+_FIXED_WIDTHS = {
+    "BooleanType": 1, "ByteType": 1, "ShortType": 2, "IntegerType": 4, "DateType": 4, "FloatType": 4,
+    "LongType": 8, "DoubleType": 8, "TimestampType": 8, "TimestampNTZType": 8, "DecimalType": 16,
+}
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast ``df`` only when it has at most ``max_rows`` rows and its data
+    (string bytes plus fixed-width columns) stays under ``max_bytes``.
+
+    Both are measured over at most ``max_rows + 1`` rows, so the check is
+    bounded work; it is meant for materialized stages. Above either bound the
+    side is returned unhinted and the planner (sort-merge, AQE) decides.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    var, fixed = [], 0
+    for f in df.schema.fields:
+        width = _FIXED_WIDTHS.get(type(f.dataType).__name__)
+        if width is not None:
+            fixed += width
+        elif isinstance(f.dataType, (StringType, BinaryType)):
+            var.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
+        else:  # nested: its JSON text over-estimates the in-memory size
+            var.append(F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f.name)))), F.lit(0)))
+    var_bytes = F.sum(sum(var[1:], var[0])) if var else F.lit(0)
+    n, nbytes = df.limit(max_rows + 1).agg(F.count(F.lit(1)), var_bytes).first()
+    total = (nbytes or 0) + n * (fixed + ROW_OVERHEAD_BYTES)
+    return F.broadcast(df) if n <= max_rows and total <= max_bytes else df
 
 
 def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:

@@ -173,6 +173,13 @@ def q_enriched_opinion_chunks(spark, d):
     return opinion_chunks(lake_opinions(spark, d))
 
 
+@register("doc_chunks_native", "SELECT *, length(chunk) AS chunk_len FROM ("
+          + Q.chunks_cte("documents", "doc_id", "text") + ")")
+def q_doc_chunks_native(spark, d):
+    """F11 as the JVM aggregate fold (cross-check of the Arrow chunker)."""
+    return document_chunks(S.text_table(spark, d, "documents", "doc_id"), native=True)
+
+
 SQL_COURT_STATS = f"""
     counts AS (SELECT {Q.strip('court_id')} AS court_id, count(*) AS dockets FROM dockets_raw
                WHERE {Q.strip('court_id')} <> '' GROUP BY 1),
@@ -410,7 +417,7 @@ def q_resume_anti(spark, d):
     return skip_done(text_bearing(lake), done, "opinion_id").select("opinion_id", "court", "year")
 
 
-@register("incremental_chunks")
+@register("incremental_chunks", SQL_FLAGSHIP)
 def q_incremental_chunks(spark, d):
     """Lake written by court, then chunked by an availableNow streaming run with a checkpoint."""
     from caselake.operators.sinks import write_by_court
