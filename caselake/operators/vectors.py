@@ -41,18 +41,33 @@ class HashingEncoder:
     """Deterministic signed feature hashing, L2-normalized (a stand-in model).
 
     Token t goes to bucket int(md5(t)[:8], 16) % dim with sign + when
-    int(md5(t)[8:10], 16) is even, else -.
+    int(md5(t)[8:10], 16) is even, else -. Token hashes are cached per worker
+    (bounded), since a corpus repeats a small vocabulary.
     """
 
+    CACHE_LIMIT = 1_000_000
+
     def __init__(self, dim: int = 64):
         self.dim = dim
+        self._slots: dict[str, tuple[int, float]] = {}
+
+    def _slot(self, tok: str) -> tuple[int, float]:
+        hit = self._slots.get(tok)
+        if hit is None:
+            h = hashlib.md5(tok.encode("utf-8")).hexdigest()
+            hit = (int(h[:8], 16) % self.dim, 1.0 if int(h[8:10], 16) % 2 == 0 else -1.0)
+            if len(self._slots) >= self.CACHE_LIMIT:
+                self._slots.clear()
+            self._slots[tok] = hit
+        return hit
 
     def __call__(self, texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), self.dim), dtype=np.float64)
         for i, text in enumerate(texts):
+            row = out[i]
             for tok in tokens(text):
-                h = hashlib.md5(tok.encode("utf-8")).hexdigest()
-                out[i, int(h[:8], 16) % self.dim] += 1.0 if int(h[8:10], 16) % 2 == 0 else -1.0
+                b, sign = self._slot(tok)
+                row[b] += sign
         norms = np.sqrt((out * out).sum(axis=1, keepdims=True))
         return np.divide(out, norms, out=np.zeros_like(out), where=norms > 0)
 

@@ -58,23 +58,30 @@ def get_session(
     return spark
 
 
+_LOCAL_CKPT: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and materialized stages.
 
     Reads ``spark.checkpoint.dir`` from the session (on a cluster this names
     storage every executor can reach). Only when it is unset, as in tests on a
-    single machine, a fresh temporary folder is created and registered.
+    single machine, a temporary folder is created once per application and
+    registered as the context's checkpoint directory.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="caselake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-        spark.sparkContext.setCheckpointDir(configured)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured.rstrip("/")
+    if configured:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(configured)
+        return configured.rstrip("/")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_CKPT:
+        chosen = spark.sparkContext.getCheckpointDir()  # set by the caller's code
+        if not chosen:
+            chosen = tempfile.mkdtemp(prefix="caselake-ckpt-")
+            spark.sparkContext.setCheckpointDir(chosen)
+        _LOCAL_CKPT[app] = chosen.rstrip("/")
+    return _LOCAL_CKPT[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
