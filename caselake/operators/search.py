@@ -4,11 +4,13 @@ BM25 (our parameters; the design notes give none): k1 = 1.2, b = 0.75,
 idf = ln(1 + (N - df + 0.5) / (df + 0.5)), distinct query terms, tokens are
 lower-cased ASCII alphanumeric runs.
 
-Corpus statistics are Spark aggregates: N and average length in one pass,
-document frequency only for the query vocabulary (semi-join on the broadcast
-vocabulary). Scoring then runs per corpus task against the broadcast query
-batch and keeps k candidates per query per task — documents containing a
-very common term never fan out into (query, document) pairs.
+The corpus text is tokenized once: a ``mapInPandas`` pass emits, per document,
+its length and the term frequencies of the (bounded, broadcast) query
+vocabulary only; that postings table is checkpointed to the shared folder.
+N, average length and document frequencies are Spark aggregates over it, and
+scoring runs per task against the broadcast query batch, keeping k candidates
+per query per task — documents containing a very common term never fan out
+into (query, document) pairs.
 """
 
 from __future__ import annotations
@@ -42,20 +44,50 @@ def spark_tokens(col):
     return F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit("[a-z0-9]+"), 0)
 
 
-def corpus_stats(docs: DataFrame, text_col: str, vocab: DataFrame) -> tuple[int, float, dict]:
-    """(N, avgdl, {term: df}) — two aggregations; the df map is bounded by the vocabulary."""
-    toks = docs.select(spark_tokens(text_col).alias("t"))
-    n, avgdl = toks.agg(F.count(F.lit(1)), F.avg(F.size("t"))).first()
-    df_rows = (
-        toks.select(F.explode(F.array_distinct("t")).alias("term"))
-        .join(F.broadcast(vocab), "term", "left_semi")
-        .groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-        .collect()
-    )
+def _postings_kernel(vocab: frozenset, d_id: str, d_text: str):
+    """Per document: id, length in tokens, and tf of the query-vocabulary terms it holds."""
+
+    def kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            ids, lens, terms, tfs = [], [], [], []
+            for doc_id, text in zip(pdf[d_id].tolist(), pdf[d_text].tolist()):
+                toks = tokens(text)
+                hits = Counter(t for t in toks if t in vocab)
+                ids.append(doc_id)
+                lens.append(len(toks))
+                terms.append(list(hits.keys()))
+                tfs.append(list(hits.values()))
+            yield pd.DataFrame({"doc_id": ids, "dl": lens, "terms": terms, "tfs": tfs})
+
+    return kernel
+
+
+def vocabulary_postings(docs: DataFrame, vocab: set, d_id: str = "doc_id", d_text: str = "text") -> DataFrame:
+    """One pass over the text: (doc_id, dl, terms, tfs) for the query vocabulary,
+    checkpointed to the shared folder so statistics and scoring both read it
+    instead of tokenizing the corpus twice."""
+    bv = docs.sparkSession.sparkContext.broadcast(frozenset(vocab))
+
+    def kernel(batches, bv=bv):
+        return _postings_kernel(bv.value, d_id, d_text)(batches)
+
+    corpus = docs.select(F.col(d_id).cast("bigint").alias(d_id), F.col(d_text).alias(d_text))
+    postings = corpus.mapInPandas(kernel, "doc_id long, dl long, terms array<string>, tfs array<long>")
+    from caselake.session import checkpoint_dir
+
+    checkpoint_dir(docs.sparkSession)  # make sure the shared folder is registered
+    return postings.checkpoint(eager=True)
+
+
+def corpus_stats(postings: DataFrame) -> tuple[int, float, dict]:
+    """(N, avgdl, {term: df}) from the postings; the df map is bounded by the vocabulary."""
+    n, avgdl = postings.agg(F.count(F.lit(1)), F.avg("dl")).first()
+    df_rows = (postings.select(F.explode("terms").alias("term"))
+               .groupBy("term").agg(F.count(F.lit(1)).alias("df")).collect())
     return int(n or 0), float(avgdl or 0.0), {r["term"]: int(r["df"]) for r in df_rows}
 
 
-def _bm25_kernel(qids, qterms, idf, avgdl, k, d_id, d_text, k1=BM25_K1, b=BM25_B):
+def _bm25_kernel(qids, qterms, idf, avgdl, k, k1=BM25_K1, b=BM25_B):
     postings: dict[str, list[int]] = {}
     for qi, terms in enumerate(qterms):
         for t in terms:
@@ -67,17 +99,20 @@ def _bm25_kernel(qids, qterms, idf, avgdl, k, d_id, d_text, k1=BM25_K1, b=BM25_B
         for pdf in batches:
             if pdf.empty:
                 continue
-            ids = pdf[d_id].to_numpy(dtype=np.int64)
+            ids = pdf["doc_id"].to_numpy(dtype=np.int64)
             S = np.zeros((nq, len(pdf)), dtype=np.float64)
             hit = np.zeros((nq, len(pdf)), dtype=bool)
-            for j, text in enumerate(pdf[d_text].tolist()):
-                toks = tokens(text)
-                if not toks:
+            for j, (dl, terms, tfs) in enumerate(zip(pdf["dl"].tolist(), pdf["terms"].tolist(),
+                                                      pdf["tfs"].tolist())):
+                if len(terms) == 0:
                     continue
-                norm = k1 * (1.0 - b + b * len(toks) / avgdl) if avgdl > 0 else k1
-                for term, tf in Counter(t for t in toks if t in postings).items():
+                norm = k1 * (1.0 - b + b * dl / avgdl) if avgdl > 0 else k1
+                for term, tf in zip(terms, tfs):
+                    qs = postings.get(term)
+                    if not qs:
+                        continue
                     w = idf[term] * tf * (k1 + 1.0) / (tf + norm)
-                    for qi in postings[term]:
+                    for qi in qs:
                         S[qi, j] += w
                         hit[qi, j] = True
             S = np.where(hit, np.round(S, 6), -np.inf)
@@ -100,22 +135,23 @@ def bm25_topk(queries: DataFrame, docs: DataFrame, k: int = 10, q_id: str = "que
     Only documents sharing at least one term with the query are ranked.
     """
     spark = docs.sparkSession
-    vocab = queries.select(F.explode(F.array_distinct(spark_tokens(q_text))).alias("term")).distinct()
-    n, avgdl, dfs = corpus_stats(docs, d_text, vocab)
+    blocks = query_blocks(queries.select(q_id, q_text), q_id, max_queries)
+    vocab = {t for block in blocks for r in block for t in tokens(r[1])}
+    postings = vocabulary_postings(docs, vocab, d_id, d_text)
+    n, avgdl, dfs = corpus_stats(postings)
     idf = {t: float(np.log(1.0 + (n - d + 0.5) / (d + 0.5))) for t, d in dfs.items()}
-    corpus = docs.select(F.col(d_id).cast("bigint").alias(d_id), F.col(d_text).alias(d_text))
     schema = "query_id long, item_id long, score double"
     parts = []
-    for block in query_blocks(queries.select(q_id, q_text), q_id, max_queries):
+    for block in blocks:
         qids = np.array([int(r[0]) for r in block], dtype=np.int64)
         qterms = [sorted({t for t in tokens(r[1]) if t in idf}) for r in block]
         bq = spark.sparkContext.broadcast((qids, qterms, idf, avgdl))
 
         def kernel(batches, bq=bq):
             qi, qt, idf_, avg = bq.value
-            return _bm25_kernel(qi, qt, idf_, avg, k, d_id, d_text)(batches)
+            return _bm25_kernel(qi, qt, idf_, avg, k)(batches)
 
-        parts.append(corpus.mapInPandas(kernel, schema))
+        parts.append(postings.mapInPandas(kernel, schema))
     cands = parts[0]
     for p in parts[1:]:
         cands = cands.unionByName(p)
