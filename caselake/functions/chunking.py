@@ -27,16 +27,16 @@ from caselake.functions.text import (
     strip,
 )
 
-# Fixed contract values (must equal the reference for identical chunks).
+# ── Fixed values (the chunk contract: sizes, separators, patterns) ──────────
 CHUNK_SIZE = 3000
 CHUNK_OVERLAP = 500
 PARAGRAPH_SEP = "\n\n"
 SENTENCE_SEP = " "
-
 _CRLF = re.compile(r"\r\n")
 _MANY_LF = re.compile(r"\n{3,}")
 _PARA_BREAK = re.compile(r"\n\n+")
 _SENTENCE_BREAK = re.compile(r"(?<=[.!?])\s+(?=[A-Z])")
+# ── End of fixed values ─────────────────────────────────────────────────────
 
 
 def _units(text: str, size: int) -> list[tuple[str, str]]:

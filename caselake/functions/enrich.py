@@ -11,6 +11,12 @@ from pyspark.sql import functions as F
 
 from caselake.functions.text import strip
 
+# ── Fixed values (header formats) ───────────────────────────────────────────
+HEADER_OPEN, HEADER_SEP, HEADER_CLOSE = "[", " | ", "]\n\n"
+CHUNK_LABELS = ("Source: ", "Court: ", "Year: ", "Opinion Type: ", "Citation: ")
+STATUTE_LABELS = ("SC Code § ", "Title ", ": ", "Chapter ")
+# ── End of fixed values ─────────────────────────────────────────────────────
+
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -26,15 +32,16 @@ def enrich_chunk(chunk, case_name, court_label, year, opinion_type, citation) ->
     The Citation part appears only when the citation is non-empty.
     """
     cit = _s(citation)
+    src, court, yr, typ, cite = CHUNK_LABELS
     header = F.concat_ws(
-        " | ",
-        F.concat(F.lit("Source: "), _s(case_name)),
-        F.concat(F.lit("Court: "), _s(court_label)),
-        F.concat(F.lit("Year: "), _s(year)),
-        F.concat(F.lit("Opinion Type: "), _s(opinion_type)),
-        F.when(cit != F.lit(""), F.concat(F.lit("Citation: "), cit)),
+        HEADER_SEP,
+        F.concat(F.lit(src), _s(case_name)),
+        F.concat(F.lit(court), _s(court_label)),
+        F.concat(F.lit(yr), _s(year)),
+        F.concat(F.lit(typ), _s(opinion_type)),
+        F.when(cit != F.lit(""), F.concat(F.lit(cite), cit)),
     )
-    return F.concat(F.lit("["), header, F.lit("]\n\n"), _s(chunk))
+    return F.concat(F.lit(HEADER_OPEN), header, F.lit(HEADER_CLOSE), _s(chunk))
 
 
 def _present(col) -> Column:
@@ -55,18 +62,19 @@ def enrich_statute(section_id, title_num, title_name, chapter_num, short_title,
     name = F.coalesce(strip(_c(title_name)), F.lit(""))
     short = F.coalesce(strip(_c(short_title)), F.lit(""))
     has_name = name != F.lit("")
+    code, title, colon, chapter = STATUTE_LABELS
     title_part = F.when(
         _present(title_num) & has_name,
-        F.concat(F.lit("Title "), _c(title_num).cast("string"), F.lit(": "), name),
+        F.concat(F.lit(title), _c(title_num).cast("string"), F.lit(colon), name),
     ).when(has_name, name)
     header = F.concat_ws(
-        " | ",
-        F.concat(F.lit("SC Code § "), _s(section_id)),
+        HEADER_SEP,
+        F.concat(F.lit(code), _s(section_id)),
         title_part,
-        F.when(_present(chapter_num), F.concat(F.lit("Chapter "), _c(chapter_num).cast("string"))),
+        F.when(_present(chapter_num), F.concat(F.lit(chapter), _c(chapter_num).cast("string"))),
         F.when(short != F.lit(""), short),
     )
-    return F.concat(F.lit("["), header, F.lit("]\n\n"), _s(body))
+    return F.concat(F.lit(HEADER_OPEN), header, F.lit(HEADER_CLOSE), _s(body))
 
 
 def enrich_variant(style: str, chunk, case_name, court_label, year, citation) -> Column:

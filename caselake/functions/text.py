@@ -10,14 +10,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# ── Fixed values (patterns, defaults and formats the results depend on) ─────
+TAG_RE = r"<[^>]+>"
+DATE_RE = r"(\d{4}-\d{2}-\d{2})"
+PARAGRAPH_BREAK_RE = "\n\n+"
+MANY_NEWLINES_RE = "\n{3,}"
+UNKNOWN_CASE_NAME = "Unknown"
+DEFAULT_OPINION_TYPE = "Lead"
+UNKNOWN_SNAPSHOT = "unknown"
+SIZE_UNITS = (" KB", " MB", " GB")
+# ── End of fixed values ─────────────────────────────────────────────────────
+
 # Python-compatible whitespace class (inside a (?U) pattern).
 WS = r"[\s\x{1C}-\x{1F}]"
 # The same set as literal characters (every code point for which Python's
 # str.isspace() holds; all lie below U+3001), for btrim's end scan.
 WS_CHARS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
-_TAG_RE = r"<[^>]+>"
 _DIGITS_RE = r"^[0-9]+$"
-_DATE_RE = r"(\d{4}-\d{2}-\d{2})"
 
 
 def _c(col) -> Column:
@@ -58,7 +67,7 @@ def strip_html(col) -> Column:
 
     Entities and script/style bodies stay, exactly as the tag regex implies.
     """
-    no_tags = F.regexp_replace(_c(col), _TAG_RE, " ")
+    no_tags = F.regexp_replace(_c(col), TAG_RE, " ")
     return F.coalesce(strip(collapse_ws(no_tags)), F.lit(""))
 
 
@@ -88,7 +97,7 @@ def year_of(col) -> Column:
 
 def best_case_name(name, short, full) -> Column:
     """first non-blank of the three names (stripped), else 'Unknown' (D6)."""
-    return F.coalesce(nullif_blank(name), nullif_blank(short), nullif_blank(full), F.lit("Unknown"))
+    return F.coalesce(nullif_blank(name), nullif_blank(short), nullif_blank(full), F.lit(UNKNOWN_CASE_NAME))
 
 
 def citation_parts_present(volume, reporter, page) -> Column:
@@ -106,23 +115,24 @@ def opinion_type(col, blank_is_lead: bool = False) -> Column:
     s = strip(col)
     if blank_is_lead:
         s = F.when(s != F.lit(""), s)
-    return F.coalesce(s, F.lit("Lead"))
+    return F.coalesce(s, F.lit(DEFAULT_OPINION_TYPE))
 
 
 def normalize_newlines(col) -> Column:
     """F8: CRLF -> LF, three or more LF -> two, strip."""
     t = F.regexp_replace(_c(col), "\r\n", "\n")
-    t = F.regexp_replace(t, "\n{3,}", "\n\n")
+    t = F.regexp_replace(t, MANY_NEWLINES_RE, "\n\n")
     return strip(t)
 
 
 def split_paragraphs(col) -> Column:
     """paragraphs split on blank lines, stripped, empties dropped -> array<string>."""
-    parts = F.split(_c(col), "\n\n+")
+    parts = F.split(_c(col), PARAGRAPH_BREAK_RE)
     return F.filter(F.transform(parts, lambda p: strip(p)), lambda p: p != F.lit(""))
 
 
-# Sentence boundary: whitespace after . ! ? and before an ASCII capital.
+# Sentence boundary (fixed): whitespace after . ! ? and before an ASCII capital,
+# with Python's whitespace class.
 SENTENCE_SPLIT_RE = r"(?U)(?<=[.!?])" + WS + r"+(?=[A-Z])"
 
 
@@ -150,8 +160,8 @@ def path_tail_id(col) -> Column:
 
 def snapshot_date(col) -> Column:
     """S3: first YYYY-MM-DD in a path, else 'unknown'."""
-    d = F.regexp_extract(_c(col), _DATE_RE, 1)
-    return F.when(d != F.lit(""), d).otherwise(F.lit("unknown"))
+    d = F.regexp_extract(_c(col), DATE_RE, 1)
+    return F.when(d != F.lit(""), d).otherwise(F.lit(UNKNOWN_SNAPSHOT))
 
 
 def format_bytes(col) -> Column:
@@ -162,9 +172,10 @@ def format_bytes(col) -> Column:
     half-up and disagree on values like 1.05.
     """
     n = _c(col).cast("bigint")
-    kb = F.concat((n / F.lit(1000)).cast("bigint").cast("string"), F.lit(" KB"))
-    mb = F.concat(F.regexp_replace(F.format_number(n / F.lit(1e6), 1), ",", ""), F.lit(" MB"))
-    gb = F.concat(F.regexp_replace(F.format_number(n / F.lit(1e9), 2), ",", ""), F.lit(" GB"))
+    kb_u, mb_u, gb_u = SIZE_UNITS
+    kb = F.concat((n / F.lit(1000)).cast("bigint").cast("string"), F.lit(kb_u))
+    mb = F.concat(F.regexp_replace(F.format_number(n / F.lit(1e6), 1), ",", ""), F.lit(mb_u))
+    gb = F.concat(F.regexp_replace(F.format_number(n / F.lit(1e9), 2), ",", ""), F.lit(gb_u))
     return F.when(n < F.lit(1_000_000), kb).when(n < F.lit(1_000_000_000), mb).otherwise(gb)
 
 

@@ -17,7 +17,7 @@ STATUTE_FIELDS = (
 )
 STATUTE_SCHEMA = StructType([StructField(f, StringType()) for f in STATUTE_FIELDS])
 
-# Title files look like sc_title_<n>_<name>.jsonl; split-set files are excluded.
+# ── Fixed values: title file names, and the split-set files that are excluded ──
 TITLE_GLOB = "sc_title_*.jsonl"
 SPLIT_SUFFIX_RE = r"_(train|val|test)\.jsonl$"
 
