@@ -45,7 +45,9 @@ def write_by_court(df: DataFrame, path: str, salt_buckets: int | None = None, mo
     """
     if salt_buckets:
         salt = F.pmod(F.xxhash64("opinion_id"), F.lit(salt_buckets))
-        out = df.repartition("court", salt)
+        # an explicit count keeps adaptive coalescing from re-merging the salts
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        out = df.repartition(max(n, salt_buckets), "court", salt)
     else:
         out = df.hint("rebalance", "court")
     out.sortWithinPartitions("court", "year").write.mode(mode).partitionBy("court").parquet(path)

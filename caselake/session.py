@@ -58,6 +58,26 @@ def get_session(
     return spark
 
 
+def recommended_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> dict:
+    """Sizing for a run over ``input_bytes`` of input (e.g. 100 TB on a large cluster).
+
+    Shuffle partitions are sized so each holds about ``partition_bytes`` of
+    input before adaptive coalescing; AQE then merges small partitions and
+    splits skewed ones at run time, so partitions fit executor memory.
+    """
+    parts = max(200, min(1_000_000, -(-input_bytes // partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    }
+
+
 _LOCAL_CKPT: dict[str, str] = {}
 
 
