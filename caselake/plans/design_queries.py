@@ -33,7 +33,7 @@ PARA_DOCS_SQL = f"(SELECT doc_id, replace(text, {Q.NL}, {Q.NL2}) AS text FROM do
 
 def _explode_sql(source: str, list_expr: str) -> str:
     return f"""
-    SELECT doc_id, chunk_index, chunk, length(chunk) AS chunk_len FROM (
+    SELECT doc_id, chunk_index, chunk, CAST(length(chunk) AS INTEGER) AS chunk_len FROM (
         SELECT doc_id, CAST(unnest(generate_series(0, len(ch) - 1)) AS INTEGER) AS chunk_index, unnest(ch) AS chunk
         FROM (SELECT doc_id, {list_expr} AS ch FROM {source}))"""
 
@@ -102,8 +102,8 @@ def q_boilerplate(spark, d):
     chc AS (SELECT doc_id, list_distinct(flatten(list(regexp_extract_all(chunk, '{CITATION_RE}')))) AS found
             FROM ch GROUP BY doc_id),
     tc AS (SELECT doc_id, regexp_extract_all({Q.normalize_newlines('text')}, '{CITATION_RE}') AS cites FROM documents)
-    SELECT tc.doc_id, len(tc.cites) AS citations,
-           len(list_filter(tc.cites, lambda c: NOT list_contains(coalesce(chc.found, []::VARCHAR[]), c))) AS cut_citations
+    SELECT tc.doc_id, CAST(len(tc.cites) AS INTEGER) AS citations,
+           CAST(len(list_filter(tc.cites, lambda c: NOT list_contains(coalesce(chc.found, []::VARCHAR[]), c))) AS INTEGER) AS cut_citations
     FROM tc LEFT JOIN chc ON tc.doc_id = chc.doc_id""")
 def q_citation_audit(spark, d):
     """per document, citations in the text and how many no chunk holds whole."""
@@ -172,7 +172,7 @@ def q_export_jsonl(spark, d):
 
 
 @register("scan_vectors", """
-    SELECT d.doc_id, d.lang, e.label, len(e.embedding) AS dims, e.embedding AS vector
+    SELECT d.doc_id, d.lang, e.label, CAST(len(e.embedding) AS INTEGER) AS dims, e.embedding AS vector
     FROM documents d JOIN embeddings e ON d.doc_id = e.vec_id""")
 def q_scan_vectors(spark, d):
     """Ready-made vectors attached to their documents by id instead of computing them."""

@@ -127,21 +127,21 @@ def q_opinions_by_year(spark, d):
 
 
 @register("html_strip", f"""
-    SELECT page_id, {Q.strip_html('html')} AS text, length({Q.strip_html('html')}) AS text_len FROM pages""")
+    SELECT page_id, {Q.strip_html('html')} AS text, CAST(length({Q.strip_html('html')}) AS INTEGER) AS text_len FROM pages""")
 def q_html_strip(spark, d):
     """visible text of every page."""
     t = strip_html("html")
     return S.table(spark, d, "pages").select("page_id", t.alias("text"), F.length(t).alias("text_len"))
 
 
-@register("doc_chunks", "SELECT *, length(chunk) AS chunk_len FROM ("
+@register("doc_chunks", "SELECT *, CAST(length(chunk) AS INTEGER) AS chunk_len FROM ("
           + Q.chunks_cte("documents", "doc_id", "text") + ")")
 def q_doc_chunks(spark, d):
     """Every document chunked (3000/500)."""
     return document_chunks(S.text_table(spark, d, "documents", "doc_id"))
 
 
-@register("doc_chunks_paras", "SELECT *, length(chunk) AS chunk_len FROM ("
+@register("doc_chunks_paras", "SELECT *, CAST(length(chunk) AS INTEGER) AS chunk_len FROM ("
           + Q.chunks_cte(f"(SELECT doc_id, replace(text, {Q.NL}, {Q.NL2}) AS text FROM documents)", "doc_id", "text")
           + ")")
 def q_doc_chunks_paras(spark, d):
@@ -173,7 +173,7 @@ def q_enriched_opinion_chunks(spark, d):
     return opinion_chunks(lake_opinions(spark, d))
 
 
-@register("doc_chunks_native", "SELECT *, length(chunk) AS chunk_len FROM ("
+@register("doc_chunks_native", "SELECT *, CAST(length(chunk) AS INTEGER) AS chunk_len FROM ("
           + Q.chunks_cte("documents", "doc_id", "text") + ")")
 def q_doc_chunks_native(spark, d):
     """F11 as the JVM aggregate fold (cross-check of the Arrow chunker)."""

@@ -90,7 +90,7 @@ def chunks_cte(source: str, id_cols: str, text: str, size: int = 3000, overlap:
     """SELECT id_cols, chunk_index, chunk FROM <source>, one row per chunk."""
     return f"""
         SELECT {id_cols}, chunk_index, chunk FROM (
-            SELECT {id_cols}, unnest(generate_series(0, len(ch) - 1)) AS chunk_index, unnest(ch) AS chunk
+            SELECT {id_cols}, CAST(unnest(generate_series(0, len(ch) - 1)) AS INTEGER) AS chunk_index, unnest(ch) AS chunk
             FROM (SELECT {id_cols}, {chunk_finish('st')} AS ch
                   FROM (SELECT {id_cols}, {chunk_state(units(text, size), size, overlap)} AS st FROM {source})))"""
 

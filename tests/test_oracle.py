@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
-from tools.oracle_check import TABLES, rows_of
+from tools.oracle_check import DUCK_TO_SPARK, TABLES, rows_of
 
 SQL = E.oracle_sql()
 NAMES = sorted(E.queries())
@@ -29,6 +29,8 @@ def test_query_matches_oracle(spark, con, name):
         return
     rel = con.sql(SQL[name])
     assert sorted(cols) == sorted(rel.columns)
+    stypes = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    assert stypes == {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
     drows = rel.fetchall()
     assert len(rows) == len(drows)
     assert rows_of(cols, rows) == rows_of(rel.columns, drows)
