@@ -378,6 +378,44 @@ def q_statute_line_total(spark, d):
     return count_nonblank(S.statute_lines(spark, d))
 
 
+# ── Lookups, progress and stats sinks ───────────────────────────────────────
+
+@register("rest_lookup", S.standin_ctes("dockets_raw", "clusters_raw", "citations_raw") + "," + SQL_CLUSTERS + f""",
+    p AS (SELECT page_id, {Q.int_or_zero("regexp_extract(url, '([^/]+)/*$', 1)")} AS cluster_id FROM pages)
+    SELECT p.page_id, p.cluster_id, coalesce(c.case_name, 'Unknown') AS case_name
+    FROM p LEFT JOIN clusters c ON CAST(p.cluster_id AS VARCHAR) = c.cluster_id""")
+def q_rest_lookup(spark, d):
+    """Each page's URL tail as a cluster id, looked up with defaults ('Unknown', id 0)."""
+    from caselake.functions.text import path_tail_id
+    from caselake.operators.joins import lookup_or_default
+
+    pages = S.table(spark, d, "pages").select("page_id", path_tail_id("url").alias("cluster_id"))
+    names = lake_clusters(spark, d).select(F.col("cluster_id").cast("bigint").alias("cluster_id"), "case_name")
+    return lookup_or_default(pages, names, "cluster_id", {"case_name": "Unknown"}).select(
+        "page_id", "cluster_id", "case_name")
+
+
+@register("ingest_progress", "WITH x AS (" + SQL_FLAGSHIP + """)
+    SELECT count(DISTINCT opinion_id) AS opinions_processed, count(*) AS chunks_written FROM x""")
+def q_ingest_progress(spark, d):
+    """Opinions processed and chunk rows written, from the chunk output itself."""
+    from caselake.operators.aggregates import ingest_progress
+
+    return ingest_progress(opinion_chunks(lake_opinions(spark, d)))
+
+
+@register("stats_json_roundtrip", S.standin_ctes("dockets_raw") + "," + SQL_COURT_STATS + " SELECT * FROM stats")
+def q_stats_json_roundtrip(spark, d):
+    """K7: court stats and totals written as JSON, per-court rows read back with their schema."""
+    from caselake.operators.sinks import write_stats_json
+    from caselake.session import scratch_path
+
+    stats = court_stats(S.dockets_raw(spark, d))
+    path = scratch_path(spark, "court-stats")
+    write_stats_json(stats, court_totals(S.dockets_raw(spark, d)), path)
+    return spark.read.schema(stats.schema).json(f"{path}/courts")
+
+
 # ── Lake layout, snapshots, resume ─────────────────────────────────────────
 
 @register("partition_pruned_read", LAKE_PREFIX + """

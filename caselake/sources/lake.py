@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,9 @@ def stage_path(root: str, name: str, snapshot: str, tag: str | None = None) -> s
     return os.path.join(root, leaf)
 
 
+_STAGE_LOCKS: dict[str, threading.Lock] = {}
+
+
 def materialize_stage(spark: SparkSession, name: str, key: str, build) -> DataFrame:
     """Write stage ``name`` for input ``key`` once (Parquet in the shared
     checkpoint folder) and read it back; a finished stage (``_SUCCESS``) is reused.
@@ -44,8 +48,9 @@ def materialize_stage(spark: SparkSession, name: str, key: str, build) -> DataFr
     app = spark.sparkContext.applicationId
     tag = hashlib.md5(f"{app}|{key}".encode("utf-8")).hexdigest()[:12]
     path = os.path.join(checkpoint_dir(spark), "stages", tag, name)
-    if not stage_done(spark, path):
-        build().write.mode("overwrite").parquet(path)
+    with _STAGE_LOCKS.setdefault(path, threading.Lock()):
+        if not stage_done(spark, path):
+            build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
