@@ -27,8 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def text_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A test table, spread over the cluster when its scan has too few splits
-    (the driver's tables are single files with one row group)."""
+    """A text-heavy test table, spread over the cluster when its scan has too few
+    splits (the driver's tables are single files with one row group), so the
+    per-row text work that follows without a shuffle uses every core. Other
+    tables are read as they are: their first shuffle spreads them anyway, and
+    measured, an extra spread costs more than it gains."""
     from caselake.operators.joins import spread
 
     return spread(table(spark, sf_dir, name), key)
@@ -36,13 +39,13 @@ def text_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFra
 
 def dockets_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """dockets(id, court_id) <- customer(c_custkey, c_mktsegment)."""
-    c = text_table(spark, sf_dir, "customer", "c_custkey")
+    c = table(spark, sf_dir, "customer")
     return c.select(F.col("c_custkey").cast("string").alias("id"), F.col("c_mktsegment").alias("court_id"))
 
 
 def clusters_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """opinion-clusters <- orders: id, docket_id, date_filed, three name fields."""
-    o = text_table(spark, sf_dir, "orders", "o_orderkey")
+    o = table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
     return o.select(
         key.cast("string").alias("id"),
@@ -56,7 +59,7 @@ def clusters_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def citations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """citations(cluster_id, volume, reporter, page) <- lineitem; flag 'N' gives a blank reporter."""
-    li = text_table(spark, sf_dir, "lineitem", "l_orderkey")
+    li = table(spark, sf_dir, "lineitem")
     return li.select(
         F.col("l_orderkey").cast("string").alias("cluster_id"),
         F.col("l_quantity").cast("int").cast("string").alias("volume"),
@@ -83,7 +86,7 @@ def opinions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def statute_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """statute records <- conversations: one title file per role; system turns are repealed."""
-    cv = text_table(spark, sf_dir, "conversations", "conv_id")
+    cv = table(spark, sf_dir, "conversations")
     doc = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
     return cv.select(
         F.concat(F.lit("sc_title_"), F.col("role"), F.lit(".jsonl")).alias("file"),
