@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from caselake.operators.search import bm25_topk, filtered_topk, hybrid_topk, rerank
 from caselake.operators.vectors import hash_embed, vector_topk
 from caselake.plans import sqlparts as Q
-from caselake.plans.queries import register
+from caselake.plans.queries import SQL_FLAGSHIP, lake_opinions, register
 from caselake.sources import standins as S
 
 EMB_DIM = 64
@@ -132,3 +132,47 @@ def q_rerank(spark, d):
     cands = (top.join(_bench_queries(spark, d).withColumnRenamed("text", "query_text"), "query_id")
              .join(docs.select(F.col("doc_id").alias("item_id"), "text"), "item_id"))
     return rerank(cands, k=5).select("query_id", "item_id", "score", "rerank_score", "rank")
+
+
+# V6 as designed: metadata-filtered semantic search over the opinion chunks,
+# returning the chunk text with its opinion id.
+CHUNK_DIM = 128
+CHUNK_COURTS = ("BUILDING", "MACHINERY")
+CHUNK_MIN_YEAR = 1998
+
+
+def _chunk_key(opinion_id, chunk_index):
+    # one integral id per chunk (chunk indexes stay far below 2**20)
+    return opinion_id * F.lit(1 << 20) + chunk_index
+
+
+@register("chunk_search", "WITH fl AS (" + SQL_FLAGSHIP + f"""),
+    ch AS (SELECT opinion_id * {1 << 20} + chunk_index AS key, opinion_id, chunk_index, text FROM fl
+           WHERE court IN {tuple(CHUNK_COURTS)} AND year >= {CHUNK_MIN_YEAR}),
+    """ + Q.hash_vectors("qh", "benchmark", "item_id", "text", CHUNK_DIM) + "," \
+    + Q.hash_vectors("chh", "ch", "key", "text", CHUNK_DIM) + """,
+    qn AS (SELECT id, sum(CAST(v AS DOUBLE) * CAST(v AS DOUBLE)) AS sq FROM qh GROUP BY id),
+    cn AS (SELECT id, sum(CAST(v AS DOUBLE) * CAST(v AS DOUBLE)) AS sq FROM chh GROUP BY id),
+    dots AS (SELECT qh.id AS query_id, chh.id AS item_id, sum(CAST(qh.v AS DOUBLE) * CAST(chh.v AS DOUBLE)) AS dot
+             FROM qh JOIN chh ON qh.b = chh.b GROUP BY qh.id, chh.id),
+    pairs AS (SELECT q.id AS query_id, c.key AS item_id FROM (SELECT DISTINCT id FROM qh) q CROSS JOIN ch c),
+    sc AS (SELECT p.query_id, p.item_id,
+                  round(CASE WHEN qn.sq > 0 AND cn.sq > 0 THEN coalesce(d.dot, 0) / (sqrt(qn.sq) * sqrt(cn.sq)) ELSE 0 END, 6) AS score
+           FROM pairs p JOIN qn ON p.query_id = qn.id LEFT JOIN cn ON p.item_id = cn.id
+                LEFT JOIN dots d ON p.query_id = d.query_id AND p.item_id = d.item_id),
+    top AS (""" + Q.topk("sc", 5) + """)
+    SELECT top.query_id, ch.opinion_id, ch.chunk_index, top.score, top.rank, ch.text
+    FROM top JOIN ch ON top.item_id = ch.key""")
+def q_chunk_search(spark, d):
+    """Top-5 opinion chunks per benchmark passage among two courts from 1998 on,
+    with the chunk text and opinion id (chunks hash-embedded, 128 dims)."""
+    from caselake.plans.chunks import opinion_chunks
+
+    chunks = opinion_chunks(lake_opinions(spark, d)).select(
+        _chunk_key(F.col("opinion_id"), F.col("chunk_index")).alias("item_id"),
+        "opinion_id", "chunk_index", "text", "court", "year")
+    corpus = chunks.select("item_id", hash_embed("text", CHUNK_DIM).alias("vector"), "court", "year")
+    cond = F.col("court").isin(list(CHUNK_COURTS)) & (F.col("year") >= CHUNK_MIN_YEAR)
+    top = filtered_topk(_bench_vectors(spark, d, CHUNK_DIM), corpus, cond, k=5)
+    return top.join(chunks.select("item_id", "opinion_id", "chunk_index", "text"), "item_id").select(
+        "query_id", "opinion_id", "chunk_index", "score", "rank", "text")
