@@ -38,12 +38,6 @@ BM25_B = 0.75
 RRF_K = 60
 
 
-def spark_tokens(col):
-    """Same tokenization as ``tokens`` as a JVM expression (array<string>)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit("[a-z0-9]+"), 0)
-
-
 def _postings_kernel(vocab: frozenset, d_id: str, d_text: str):
     """Per document: id, length in tokens, and tf of the query-vocabulary terms it holds."""
 

@@ -1,4 +1,5 @@
-"""Reads of the Parquet lake."""
+"""Reads of the Parquet lake (S4-S6, S9, S11). Earlier stages (S4) are plain
+``spark.read.parquet`` reads, or ``materialize_stage`` when written on demand."""
 
 from __future__ import annotations
 
@@ -9,11 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def scan_stage(spark: SparkSession, path: str) -> DataFrame:
-    """An earlier stage's Parquet output."""
-    return spark.read.parquet(path)
-
-
 def stage_done(spark: SparkSession, path: str) -> bool:
     """A stage at ``path`` finished when its committer wrote ``_SUCCESS``."""
     jvm = spark.sparkContext._jvm

@@ -76,6 +76,9 @@ def test_statute_files(spark, tmp_path):
     assert names == sorted(names) and not any(n.endswith("_train.jsonl") for n in names)
     got = scan_statutes_jsonl(spark, title_file_paths(spark, str(tmp_path)))
     assert got.count() == len(recs)
+    from caselake.sources.snapshots import row_total
+
+    assert row_total(spark, title_file_paths(spark, str(tmp_path))).first()["rows"] == len(recs) + 1
     assert set(r["file"] for r in got.select("file").distinct().collect()) == set(names)
     with pytest.raises(FileNotFoundError):
         title_file_paths(spark, str(tmp_path / "none"))
@@ -83,7 +86,10 @@ def test_statute_files(spark, tmp_path):
 
 def test_sinks_and_helpers(spark, tmp_path):
     chunks = QQ.QUERIES["enriched_opinion_chunks"](spark, SF_SMALL)
-    check_sink_schema(chunks, ["opinion_id", "text", "citation"])
+    from caselake.operators.sinks import OPINION_CHUNK_COLUMNS, STATUTE_CHUNK_COLUMNS
+
+    check_sink_schema(chunks, OPINION_CHUNK_COLUMNS)
+    check_sink_schema(QQ.QUERIES["statute_chunks"](spark, SF_SMALL), STATUTE_CHUNK_COLUMNS)
     with pytest.raises(ValueError):
         check_sink_schema(chunks, ["vector"])
     assert check_sink_schema(chunks, ["vector"], recreate=True) is False

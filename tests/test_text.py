@@ -169,6 +169,15 @@ def test_court_dimension_and_search(spark):
     assert search_courts(dim, "  ").count() == 106
 
 
+def test_label_courts_join(spark):
+    from caselake.operators.joins import label_courts
+
+    dim = court_dimension(spark)
+    rows = spark.createDataFrame([("sc",), ("zz",), ("ca4",)], "court string")
+    got = {r["court"]: r["court_label"] for r in label_courts(rows, dim).collect()}
+    assert got == {"sc": "SC Supreme Court", "zz": "zz", "ca4": "4th Circuit Court of Appeals"}
+
+
 def test_latest_snapshot(spark, tmp_path):
     from caselake.sources.snapshots import latest_snapshot, latest_snapshot_path
 
