@@ -193,7 +193,12 @@ def overlap_scorer(queries: pd.Series, texts: pd.Series) -> pd.Series:
 def rerank(candidates: DataFrame, k: int = 5, scorer: Callable[[pd.Series, pd.Series], pd.Series] | None = None,
            q_text: str = "query_text", c_text: str = "text") -> DataFrame:
     """V5: rescore (query_id, item_id, query_text, text) candidates with a batched
-    scorer (Arrow pandas UDF) and keep the top-k per query."""
+    scorer (Arrow pandas UDF) and keep the top-k per query.
+
+    Candidates come from a first-stage top-n, so they are bounded by the
+    (checked) query batch times n; join them to the text table with the
+    candidate side broadcast so the text is streamed, not shuffled.
+    """
     from pyspark.sql.functions import pandas_udf
 
     fn = scorer or overlap_scorer

@@ -129,8 +129,9 @@ def q_rerank(spark, d):
     """V5: BM25 top-50 rescored by a batched scorer (token-set F1), top-5 per passage."""
     docs = S.text_table(spark, d, "documents", "doc_id")
     top = bm25_topk(_bench_queries(spark, d), docs, k=50).drop("rank")
-    cands = (top.join(_bench_queries(spark, d).withColumnRenamed("text", "query_text"), "query_id")
-             .join(docs.select(F.col("doc_id").alias("item_id"), "text"), "item_id"))
+    # At most (checked query batch) x 50 rows: broadcast it, stream the documents.
+    top = top.join(F.broadcast(_bench_queries(spark, d).withColumnRenamed("text", "query_text")), "query_id")
+    cands = docs.select(F.col("doc_id").alias("item_id"), "text").join(F.broadcast(top), "item_id")
     return rerank(cands, k=5).select("query_id", "item_id", "score", "rerank_score", "rank")
 
 
@@ -174,5 +175,6 @@ def q_chunk_search(spark, d):
     corpus = chunks.select("item_id", hash_embed("text", CHUNK_DIM).alias("vector"), "court", "year")
     cond = F.col("court").isin(list(CHUNK_COURTS)) & (F.col("year") >= CHUNK_MIN_YEAR)
     top = filtered_topk(_bench_vectors(spark, d, CHUNK_DIM), corpus, cond, k=5)
-    return top.join(chunks.select("item_id", "opinion_id", "chunk_index", "text"), "item_id").select(
+    # top holds at most (checked query batch) x 5 rows: broadcast it, stream the chunks.
+    return chunks.select("item_id", "opinion_id", "chunk_index", "text").join(F.broadcast(top), "item_id").select(
         "query_id", "opinion_id", "chunk_index", "score", "rank", "text")
