@@ -54,8 +54,12 @@ def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFr
     core. A scan that already has enough splits — the normal case for a
     large lake — is returned untouched, so no shuffle is added at scale.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. a remote session): leave it
+        return df
+    if splits >= target:
         return df
     return df.repartition(target, key)
 

@@ -25,6 +25,20 @@ def stage_path(root: str, name: str, snapshot: str, tag: str | None = None) -> s
 
 
 _STAGE_LOCKS: dict[str, threading.Lock] = {}
+_SCHEMAS: dict[str, object] = {}
+
+
+def read_immutable_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """Read Parquet that cannot change while the application runs (read-only
+    inputs, per-application stages), inferring its schema only once: every
+    inference otherwise launches a small footer-reading job."""
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
+
 
 
 def materialize_stage(spark: SparkSession, name: str, key: str, build) -> DataFrame:
@@ -47,7 +61,7 @@ def materialize_stage(spark: SparkSession, name: str, key: str, build) -> DataFr
     with _STAGE_LOCKS.setdefault(path, threading.Lock()):
         if not stage_done(spark, path):
             build().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return read_immutable_parquet(spark, path)
 
 
 def scan_courts(spark: SparkSession, root: str, courts=None) -> DataFrame:

@@ -23,7 +23,10 @@ STANDIN_COURTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """A driver test table (read-only, so its schema is inferred once)."""
+    from caselake.sources.lake import read_immutable_parquet
+
+    return read_immutable_parquet(spark, os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def text_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
