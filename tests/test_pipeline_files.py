@@ -123,3 +123,36 @@ def test_sinks_and_helpers(spark, tmp_path):
         ["2000–2010", "from 2000", "up to 2010", "all years"]
     assert year_tag(2000, None) == "2000_all"
     assert stage_path("/r", "clusters", "2024-02-29", year_tag(2000, None)) == "/r/clusters_2024-02-29_2000_all"
+
+
+def test_ingest_jobs_are_idempotent(spark, tmp_path):
+    from caselake.operators.sinks import write_by_court
+    from caselake.plans.chunks import opinion_chunks
+    from caselake.plans.ingest import run_opinion_ingest, run_statute_ingest, sink_progress
+
+    lake_root = str(tmp_path / "lake")
+    opinions = QQ.lake_opinions(spark, SF_SMALL)
+    write_by_court(opinions.where(F.col("year") <= 1998), lake_root)
+    sink = str(tmp_path / "vectors")
+    courts = list(S.STANDIN_COURTS)
+    n1 = run_opinion_ingest(spark, lake_root, sink, courts=courts, dim=16)
+    assert n1 == opinion_chunks(opinions.where(F.col("year") <= 1998)).count()
+    assert run_opinion_ingest(spark, lake_root, sink, courts=courts, dim=16) == 0  # rerun adds nothing
+    write_by_court(opinions.where(F.col("year") > 1998), lake_root, mode="append")
+    n3 = run_opinion_ingest(spark, lake_root, sink, courts=courts, dim=16)
+    total = opinion_chunks(opinions).count()
+    assert n1 + n3 == total
+    back = spark.read.parquet(sink)
+    assert back.select("opinion_id", "chunk_index").distinct().count() == total
+    assert back.where(F.size("vector") != 16).count() == 0
+    assert sink_progress(spark, sink).first()["chunks_written"] == total
+
+    titles = tmp_path / "titles"
+    titles.mkdir()
+    for r in S.statute_lines(spark, SF_SMALL).collect():
+        with open(titles / r["file"], "a") as f:
+            f.write(r["value"] + "\n")
+    ssink = str(tmp_path / "statute_vectors")
+    m1 = run_statute_ingest(spark, str(titles), ssink, dim=8)
+    assert m1 == QQ.QUERIES["statute_chunks"](spark, SF_SMALL).count()
+    assert run_statute_ingest(spark, str(titles), ssink, dim=8) == 0
