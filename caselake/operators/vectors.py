@@ -179,6 +179,21 @@ def _scores(metric: str, Q: np.ndarray, qn: np.ndarray, C: np.ndarray) -> np.nda
     raise ValueError(f"unknown metric {metric!r}")
 
 
+def lsh_planes(tables: int, bits: int, dim: int, seed: int = 17) -> np.ndarray:
+    """(tables, bits, dim) sign-random projections with entries +1/-1.
+
+    Entry (t, j, i) is +1 when int(md5(f"lsh:{seed}:{t}:{j}:{i}")[:2], 16) is
+    even: reproducible anywhere (including SQL) without sharing a random state.
+    """
+    out = np.empty((tables, bits, dim), dtype=np.float64)
+    for t in range(tables):
+        for j in range(bits):
+            for i in range(dim):
+                h = hashlib.md5(f"lsh:{seed}:{t}:{j}:{i}".encode("ascii")).hexdigest()
+                out[t, j, i] = 1.0 if int(h[:2], 16) % 2 == 0 else -1.0
+    return out
+
+
 def _lsh_codes(V: np.ndarray, planes: np.ndarray) -> np.ndarray:
     """(n, tables) int codes: sign bits of projections on each table's hyperplanes."""
     bits = (np.einsum("nd,tbd->ntb", V, planes) >= 0).astype(np.int64)
@@ -233,8 +248,10 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str
 
     metric: "cosine" / "ip" (higher first) or "l2" (smaller first).
     Returns (query_id, item_id, score, rank). Ids must be integral.
-    With ``lsh_tables`` > 0 only corpus rows sharing a random-hyperplane bucket
-    with the query in at least one table are candidates (approximate search).
+    With ``lsh_tables`` > 0 only corpus rows sharing a sign-random-projection
+    bucket (``lsh_bits`` bits) with the query in at least one table are
+    candidates (approximate search); inputs that are float32 make every
+    projection an exact double sum, so bucket codes never depend on order.
     """
     spark = corpus.sparkSession
     ascending = metric == "l2"
@@ -246,10 +263,7 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str
             continue
         qids = np.array([int(r[0]) for r in block], dtype=np.int64)
         Q = np.array([list(r[1]) for r in block], dtype=np.float64)
-        planes = None
-        if lsh_tables:
-            rng = np.random.default_rng(seed)
-            planes = rng.standard_normal((lsh_tables, lsh_bits, Q.shape[1]))
+        planes = lsh_planes(lsh_tables, lsh_bits, Q.shape[1], seed) if lsh_tables else None
         bq = spark.sparkContext.broadcast((qids, Q, planes))
 
         def kernel(batches, bq=bq):
