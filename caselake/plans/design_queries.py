@@ -12,7 +12,7 @@ from caselake.functions.enrich import enrich_variant
 from caselake.functions.text import CITATION_RE, citations_in, normalize_newlines, remove_boilerplate
 from caselake.plans import sqlparts as Q
 from caselake.plans.chunks import explode_chunks, text_bearing
-from caselake.plans.queries import LAKE_PREFIX, lake_clusters, lake_opinions, register
+from caselake.plans.queries import LAKE_PREFIX, lake_opinions, register, staged_clusters
 from caselake.functions.chunking import legal_chunks
 from caselake.sources import standins as S
 from caselake.sources.courts import court_label
@@ -165,7 +165,7 @@ def q_export_jsonl(spark, d):
     from caselake.operators.sinks import export_jsonl
     from caselake.session import scratch_path
 
-    clusters = lake_clusters(spark, d)
+    clusters = staged_clusters(spark, d)
     path = scratch_path(spark, "clusters-jsonl")
     export_jsonl(clusters, path)
     return spark.read.schema(clusters.schema).json(path)

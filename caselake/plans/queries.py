@@ -390,7 +390,7 @@ def q_rest_lookup(spark, d):
     from caselake.operators.joins import lookup_or_default
 
     pages = S.table(spark, d, "pages").select("page_id", path_tail_id("url").alias("cluster_id"))
-    names = lake_clusters(spark, d).select(F.col("cluster_id").cast("bigint").alias("cluster_id"), "case_name")
+    names = staged_clusters(spark, d).select(F.col("cluster_id").cast("bigint").alias("cluster_id"), "case_name")
     return lookup_or_default(pages, names, "cluster_id", {"case_name": "Unknown"}).select(
         "page_id", "cluster_id", "case_name")
 
@@ -450,8 +450,9 @@ def q_resume_anti(spark, d):
     from caselake.sources.lake import materialize_stage, query_opinions
 
     lake = lake_opinions(spark, d)
-    previous = opinion_chunks(query_opinions(lake, end_year=1997, order=False))
-    done = previous.select(F.col("opinion_id").cast("string").alias("opinion_id"))
+    # Every text-bearing opinion yields at least one chunk, so the opinions a
+    # previous chunk run wrote are exactly its text-bearing inputs (no re-chunking).
+    done = text_bearing(query_opinions(lake, end_year=1997, order=False)).select("opinion_id")
     return skip_done(text_bearing(lake), done, "opinion_id").select("opinion_id", "court", "year")
 
 
