@@ -74,7 +74,10 @@ def recommended_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        # Arrow batches to the Python UDFs: bounded by rows and by bytes, so a
+        # batch of very long opinions stays small in the worker.
         "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
     }
 
 
