@@ -27,6 +27,7 @@ from pyspark.sql.window import Window
 from caselake.operators.vectors import (
     MAX_BROADCAST_QUERIES,
     _global_topk,
+    _partitions,
     _topk_merge,
     query_blocks,
     tokens,
@@ -149,7 +150,7 @@ def bm25_topk(queries: DataFrame, docs: DataFrame, k: int = 10, q_id: str = "que
     cands = parts[0]
     for p in parts[1:]:
         cands = cands.unionByName(p)
-    return _global_topk(cands, k, ascending=False)
+    return _global_topk(cands, k, ascending=False, partitions=_partitions(postings) * len(parts))
 
 
 def reciprocal_rank_fusion(*ranked: DataFrame, k: int = 10, rrf_k: int = RRF_K) -> DataFrame:
@@ -164,7 +165,8 @@ def reciprocal_rank_fusion(*ranked: DataFrame, k: int = 10, rrf_k: int = RRF_K)
     for p in parts[1:]:
         u = u.unionByName(p)
     fused = u.groupBy("query_id", "item_id").agg(F.round(F.sum("w"), 6).alias("score"))
-    return _global_topk(fused, k, ascending=False)
+    # at most n x lists rows per query: one level of top-k suffices
+    return _global_topk(fused, k, ascending=False, partitions=1)
 
 
 def hybrid_topk(queries: DataFrame, docs: DataFrame, k: int = 10, depth: int = 20, dim: int = 256,

@@ -234,8 +234,30 @@ def _make_kernel(qids, Q, k, metric, c_id, c_vec, planes=None):
     return kernel
 
 
-def _global_topk(cands: DataFrame, k: int, ascending: bool) -> DataFrame:
+# Candidates merged per query in one task are capped at k x TOPK_FAN_IN.
+TOPK_FAN_IN = 256
+
+
+def _partitions(df: DataFrame) -> int:
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (remote session): assume many
+        return TOPK_FAN_IN + 1
+
+
+def _global_topk(cands: DataFrame, k: int, ascending: bool, partitions: int | None = None) -> DataFrame:
+    """Top-k per query from per-task candidates (k per query per task).
+
+    With more corpus tasks than ``TOPK_FAN_IN``, candidates are first reduced
+    per (query, group of tasks) and then per query, so no query's final window
+    holds more than k x TOPK_FAN_IN rows however large the corpus grows.
+    """
     order = F.col("score").asc() if ascending else F.col("score").desc()
+    if partitions is None or partitions > TOPK_FAN_IN:
+        group = F.pmod(F.spark_partition_id(), F.lit(TOPK_FAN_IN))
+        w1 = Window.partitionBy("query_id", "_grp").orderBy(order, F.col("item_id").asc())
+        cands = (cands.withColumn("_grp", group).withColumn("_r", F.row_number().over(w1))
+                 .where(F.col("_r") <= k).drop("_r", "_grp"))
     w = Window.partitionBy("query_id").orderBy(order, F.col("item_id").asc())
     return cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
@@ -276,4 +298,4 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str
     cands = parts[0]
     for p in parts[1:]:
         cands = cands.unionByName(p)
-    return _global_topk(cands, k, ascending)
+    return _global_topk(cands, k, ascending, _partitions(corpus_cols) * len(parts))

@@ -96,3 +96,14 @@ def test_rrf(spark):
     b = spark.createDataFrame([(1, 11, 1), (1, 12, 2)], "query_id long, item_id long, rank int")
     got = [(r["item_id"], r["score"]) for r in reciprocal_rank_fusion(a, b, k=3).orderBy("rank").collect()]
     assert got == [(11, round(1 / 62 + 1 / 61, 6)), (10, round(1 / 61, 6)), (12, round(1 / 62, 6))]
+
+
+def test_two_level_topk_equals_single_level(spark, monkeypatch):
+    import caselake.operators.vectors as V
+
+    Q, C, qdf, cdf = _frames(spark, nq=6, nc=500)
+    one = _got(vector_topk(qdf, cdf, 7, "cosine"))
+    monkeypatch.setattr(V, "TOPK_FAN_IN", 2)  # 5 corpus partitions > fan-in: two levels
+    two_df = vector_topk(qdf, cdf, 7, "cosine")
+    assert "_grp" in two_df._jdf.queryExecution().analyzed().toString()
+    assert _got(two_df) == one == _brute(Q, C, 7, "cosine")
