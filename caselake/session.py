@@ -36,6 +36,37 @@ ADAPTIVE_CONF = {
 }
 
 
+_SHIPPED: set[str] = set()
+_PACKAGE_ZIP: list[str] = []
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``caselake`` importable in the Python workers (the ``--py-files`` way).
+
+    The package is zipped once per driver process and added to each
+    SparkContext once; executors fetch it like any ``addPyFile`` dependency,
+    so UDFs and ``mapInPandas`` kernels defined here unpickle anywhere.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    if not _PACKAGE_ZIP:
+        pkg = os.path.dirname(os.path.abspath(__file__))
+        root = os.path.dirname(pkg)
+        out = os.path.join(tempfile.mkdtemp(prefix="caselake-pyfiles-"), "caselake.zip")
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+            for folder, _, files in os.walk(pkg):
+                for name in files:
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        zf.write(full, os.path.relpath(full, root))
+        _PACKAGE_ZIP.append(out)
+    sc.addPyFile(_PACKAGE_ZIP[0])
+    _SHIPPED.add(sc.applicationId)
+
+
 def get_session(
     master: str | None = None,
     app_name: str = "caselake",
@@ -55,6 +86,7 @@ def get_session(
     spark = builder.getOrCreate()
     for key, value in SEMANTIC_CONF.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
