@@ -156,3 +156,32 @@ def test_ingest_jobs_are_idempotent(spark, tmp_path):
     m1 = run_statute_ingest(spark, str(titles), ssink, dim=8)
     assert m1 == QQ.QUERIES["statute_chunks"](spark, SF_SMALL).count()
     assert run_statute_ingest(spark, str(titles), ssink, dim=8) == 0
+
+
+def test_command_line_jobs(spark, tmp_path):
+    from caselake.jobs import main
+
+    snaps = tmp_path / "snaps"
+    raw = {
+        "dockets": S.dockets_raw(spark, SF_SMALL),
+        "opinion-clusters": S.clusters_raw(spark, SF_SMALL),
+        "citations": S.citations_raw(spark, SF_SMALL),
+        "opinions": S.opinions_raw(spark, SF_SMALL),
+    }
+    for prefix, df in raw.items():
+        out = str(snaps / f"tmp-{prefix}")
+        df.coalesce(1).write.option("header", True).option("escape", '"').option("compression", "bzip2").csv(out)
+        part = [f for f in os.listdir(out) if f.endswith(".csv.bz2")][0]
+        os.rename(os.path.join(out, part), str(snaps / f"{prefix}-2024-02-29.csv.bz2"))
+    lake = str(tmp_path / "lake")
+    res = main(["lake-etl", "--snapshots", str(snaps), "--out", lake, "--courts", ",".join(S.STANDIN_COURTS)])
+    assert res["snapshot_date"] == "2024-02-29"
+    assert res["opinions"] == QQ.lake_opinions(spark, SF_SMALL).count()
+    stats = main(["court-stats", "--snapshots", str(snaps), "--out", str(tmp_path / "stats")])
+    assert stats["source"].endswith("dockets-2024-02-29.csv.bz2")
+    ing = main(["ingest-opinions", "--lake", os.path.join(lake, "opinions"), "--sink", str(tmp_path / "vec"),
+                "--courts", "BUILDING", "--start-year", "1996", "--dim", "8"])
+    from caselake.plans.chunks import opinion_chunks
+
+    want = opinion_chunks(QQ.lake_opinions(spark, SF_SMALL).where("court = 'BUILDING' AND year >= 1996")).count()
+    assert ing["inserted"] == want
