@@ -14,8 +14,12 @@ from __future__ import annotations
 import argparse
 import json
 import os
+import sys
 
-from caselake.session import get_session
+if __package__ in (None, ""):  # run as a script (spark-submit caselake/jobs.py ...)
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from caselake.session import get_session  # noqa: E402
 
 
 def _lake_etl(spark, args) -> dict:
