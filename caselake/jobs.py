@@ -27,14 +27,14 @@ def _lake_etl(spark, args) -> dict:
     from caselake.plans.lake_etl import run_lake_etl
     from caselake.sources.courts import LAKE_COURTS
     from caselake.sources.snapshots import SNAPSHOT_COLUMNS, latest_snapshot_path, stage_snapshot
-    from caselake.functions.text import UNKNOWN_SNAPSHOT
+    from caselake.functions.text import DATE_RE, UNKNOWN_SNAPSHOT
 
     import re
 
     staged, date = {}, UNKNOWN_SNAPSHOT
     for prefix, columns in SNAPSHOT_COLUMNS.items():
         path = latest_snapshot_path(spark, args.snapshots, f"{prefix}-")
-        m = re.search(r"(\d{4}-\d{2}-\d{2})", path)
+        m = re.search(DATE_RE, path)
         if prefix == "dockets" and m:
             date = m.group(1)
         staged[prefix] = stage_snapshot(spark, path, columns, os.path.join(args.out, "_staged", prefix),
