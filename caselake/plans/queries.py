@@ -21,14 +21,20 @@ from caselake.plans.chunks import document_chunks, opinion_chunks
 from caselake.plans.lake_etl import clusters_stage, dockets_stage, opinions_stage
 from caselake.plans.stats import court_stats, court_totals
 from caselake.sources import standins as S
-from caselake.sources.courts import court_dimension, search_courts
+from caselake.sources.courts import INGEST_COURTS, LAKE_COURTS, court_dimension, search_courts
 from caselake.sources.lake import materialize_stage, query_opinions
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE_SQL: dict[str, str] = {}
 
-COURTS_SQL = "(" + ", ".join(f"'{c}'" for c in S.STANDIN_COURTS) + ")"
+def _sql_set(values) -> str:
+    return "(" + ", ".join(f"'{c}'" for c in values) + ")"
+
+
+COURTS_SQL = _sql_set(S.STANDIN_COURTS)
+LAKE_SQL = _sql_set(LAKE_COURTS)
+INGEST_SQL = _sql_set(INGEST_COURTS)
 
 
 def register(name: str, sql: str | None = None):
@@ -216,7 +222,7 @@ SQL_DIM = f"""
                         WHEN regexp_matches(id, '(app|ct|appdiv)$') THEN 'State — Courts of Appeals'
                         ELSE 'State — Supreme Courts' END AS "group",
                    {Q.court_label('id')} AS label,
-                   false AS in_lake, false AS in_ingest
+                   id IN {LAKE_SQL} AS in_lake, id IN {INGEST_SQL} AS in_ingest
             FROM (SELECT DISTINCT court_id AS id FROM dockets_raw WHERE court_id IS NOT NULL))"""
 
 
