@@ -36,7 +36,8 @@ SQL_QV = "WITH " + Q.hash_vectors("qv", "benchmark", "item_id", "text", EMB_DIM)
             FROM dots d JOIN qn ON d.query_id = qn.id JOIN cn ON d.item_id = cn.vec_id),
     l2 AS (SELECT d.query_id, d.item_id,
                   round(sqrt(greatest(qn.qsq + cn.csq - 2 * d.dot, 0)), 6) AS score
-           FROM dots d JOIN qn ON d.query_id = qn.id JOIN cn ON d.item_id = cn.vec_id)
+           FROM dots d JOIN qn ON d.query_id = qn.id JOIN cn ON d.item_id = cn.vec_id),
+    ip AS (SELECT query_id, item_id, round(dot, 6) AS score FROM dots)
 """
 
 
@@ -62,6 +63,12 @@ def q_l2_topk(spark, d):
     return vector_topk(_bench_vectors(spark, d), _emb_corpus(spark, d), k=5, metric="l2")
 
 
+@register("ip_topk", SQL_QV + Q.topk("ip", 5))
+def q_ip_topk(spark, d):
+    """V2: top-5 embeddings per benchmark passage by inner product."""
+    return vector_topk(_bench_vectors(spark, d), _emb_corpus(spark, d), k=5, metric="ip")
+
+
 @register("filtered_topk", SQL_QV + Q.topk("(SELECT * FROM cos WHERE label = 1)", 5))
 def q_filtered_topk(spark, d):
     """Cosine top-5 restricted to corpus rows with label 1."""
