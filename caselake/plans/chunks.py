@@ -25,6 +25,17 @@ def text_bearing(opinions: DataFrame, min_len: int = MIN_TEXT_LEN) -> DataFrame:
     return opinions.select(*META, body.alias("body")).where(F.length("body") >= F.lit(min_len))
 
 
+def text_rule_anomalies(opinions: DataFrame, min_len: int = MIN_TEXT_LEN) -> DataFrame:
+    """Per court, lake rows (kept by the lake text rule) that the chunk text
+    rule drops — short non-blank plain text beside long HTML — with the total."""
+    body = effective_text("plain_text", "html_with_citations", rule="chunk")
+    dropped = F.length(body) < F.lit(min_len)
+    return opinions.groupBy("court").agg(
+        F.count(F.lit(1)).alias("lake_rows"),
+        F.count_if(dropped).alias("dropped_at_chunking"),
+    )
+
+
 def explode_chunks(df: DataFrame, chunks_col, keep) -> DataFrame:
     """W2 + P12: one row per chunk with a 0-based ``chunk_index``; no chunks, no rows."""
     return df.select(*keep, F.posexplode(chunks_col).alias("chunk_index", "chunk"))

@@ -173,6 +173,18 @@ SQL_FLAGSHIP = LAKE_PREFIX + f""",
     FROM ch"""
 
 
+@register("text_rule_anomalies", LAKE_PREFIX + f"""
+    SELECT court, count(*) AS lake_rows,
+           count(*) FILTER (WHERE length({Q.effective_text('plain_text', 'html_with_citations', 'chunk')}) < 150)
+               AS dropped_at_chunking
+    FROM lake GROUP BY court""")
+def q_text_rule_anomalies(spark, d):
+    """Lake rows per court that the chunk-stage text rule will drop."""
+    from caselake.plans.chunks import text_rule_anomalies
+
+    return text_rule_anomalies(lake_opinions(spark, d))
+
+
 @register("enriched_opinion_chunks", SQL_FLAGSHIP)
 def q_enriched_opinion_chunks(spark, d):
     """Flagship: dockets ⋈ clusters ⟕ citations ⋈ opinions -> text -> chunks -> headers."""
