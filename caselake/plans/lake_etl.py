@@ -62,6 +62,8 @@ def clusters_stage(clusters_raw: DataFrame, dockets: DataFrame, citations_raw: D
         year_of("date_filed").alias("year"),
         best_case_name("case_name", "case_name_short", "case_name_full").alias("case_name"),
     )
+    # One row per cluster id before any join (first by docket, year, name)
+    c = dedup_first(c, "cluster_id")
     joined = clusters_with_court(c, dockets, max_broadcast_rows).select("cluster_id", "case_name", "court", "year")
     # Semi-join first: only citations of selected clusters are aggregated.
     cites = aggregate_citations(restrict_to_known(citations_raw, joined, "cluster_id"))

@@ -79,7 +79,9 @@ SQL_CLUSTERS = f"""
     c AS (SELECT id AS cluster_id, docket_id, {Q.year_of('date_filed')} AS year,
                  coalesce({Q.nullif_blank('case_name')}, {Q.nullif_blank('case_name_short')},
                           {Q.nullif_blank('case_name_full')}, 'Unknown') AS case_name
-          FROM clusters_raw),
+          FROM clusters_raw
+          QUALIFY row_number() OVER (PARTITION BY id ORDER BY docket_id NULLS FIRST, year NULLS FIRST,
+                                     case_name NULLS FIRST) = 1),
     d AS ({SQL_DOCKETS}),
     j AS (SELECT c.cluster_id, c.case_name, d.court_id AS court, c.year FROM c JOIN d ON c.docket_id = d.docket_id),
     cites AS (SELECT cluster_id, string_agg(cite, ', ' ORDER BY cite) AS citation FROM (
