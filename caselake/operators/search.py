@@ -74,12 +74,23 @@ def vocabulary_postings(docs: DataFrame, vocab: set, d_id: str = "doc_id", d_tex
     return postings.checkpoint(eager=True)
 
 
+_ALL_DOCS = "\u0000"  # not a token (tokens are [a-z0-9]+): every document carries it
+
+
 def corpus_stats(postings: DataFrame) -> tuple[int, float, dict]:
-    """(N, avgdl, {term: df}) from the postings; the df map is bounded by the vocabulary."""
-    n, avgdl = postings.agg(F.count(F.lit(1)), F.avg("dl")).first()
-    df_rows = (postings.select(F.explode("terms").alias("term"))
-               .groupBy("term").agg(F.count(F.lit(1)).alias("df")).collect())
-    return int(n or 0), float(avgdl or 0.0), {r["term"]: int(r["df"]) for r in df_rows}
+    """(N, avgdl, {term: df}) in one aggregation; the df map is bounded by the vocabulary.
+
+    Each document also contributes one entry for a sentinel term, whose count
+    is N and whose summed length gives the average document length.
+    """
+    entries = postings.select(
+        F.explode(F.array_union(F.col("terms"), F.array(F.lit(_ALL_DOCS)))).alias("term"), "dl")
+    rows = entries.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("dl").alias("len")).collect()
+    dfs = {r["term"]: int(r["df"]) for r in rows if r["term"] != _ALL_DOCS}
+    total = next((r for r in rows if r["term"] == _ALL_DOCS), None)
+    n = int(total["df"]) if total else 0
+    avgdl = float(total["len"]) / n if n else 0.0
+    return n, avgdl, dfs
 
 
 def _bm25_kernel(qids, qterms, idf, avgdl, k, k1=BM25_K1, b=BM25_B):
