@@ -398,6 +398,22 @@ def q_statute_line_total(spark, d):
     return count_nonblank(S.statute_lines(spark, d))
 
 
+@register("incremental_statutes", SQL_STATUTE_CHUNKS)
+def q_incremental_statutes(spark, d):
+    """T1 for statutes: title files (one per role) streamed with a checkpoint into headed rows."""
+    from caselake.session import scratch_path
+    from caselake.streaming.incremental import incremental_statutes
+
+    titles = scratch_path(spark, "statute-titles")
+    S.statute_lines(spark, d).write.partitionBy("file").text(titles)
+    sink = scratch_path(spark, "statute-sink")
+    q = incremental_statutes(spark, titles, sink, scratch_path(spark, "statute-ckpt"))
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(sink)
+
+
 # ── Lookups, progress and stats sinks ───────────────────────────────────────
 
 @register("rest_lookup", S.standin_ctes("dockets_raw", "clusters_raw", "citations_raw") + "," + SQL_CLUSTERS + f""",

@@ -66,3 +66,28 @@ def reset(spark: SparkSession, *paths: str) -> None:
     for p in paths:
         hp = jvm.org.apache.hadoop.fs.Path(p)
         hp.getFileSystem(conf).delete(hp, True)
+
+
+def incremental_statutes(spark: SparkSession, title_root: str, sink_path: str, checkpoint_path: str,
+                         max_files_per_trigger: int | None = None, glob: str | None = None) -> StreamingQuery:
+    """T1 for statutes: title files not processed yet -> headed statute rows (Parquet).
+
+    ``maxFilesPerTrigger`` gives per-file batches (T2); the checkpoint records
+    finished files, so a rerun or a restart after a crash resumes per file.
+    """
+    from caselake.plans.statutes import statute_chunk_rows
+    from caselake.sources.statutes import parse_statute_lines
+
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    rows = statute_chunk_rows(parse_statute_lines(reader.load(title_root)))
+    return (
+        rows.writeStream.format("parquet")
+        .option("path", sink_path)
+        .option("checkpointLocation", checkpoint_path)
+        .trigger(availableNow=True)
+        .start()
+    )

@@ -49,3 +49,25 @@ def test_batch_granularity_and_progress(spark, tmp_path):
     from caselake.plans.chunks import opinion_chunks
 
     assert spark.read.parquet(str(tmp_path / "sink")).count() == opinion_chunks(opinions).count()
+
+
+def test_statute_stream_resumes_per_file(spark, tmp_path):
+    from caselake.sources import standins as S
+    from caselake.streaming.incremental import incremental_statutes
+
+    titles, sink, ckpt = str(tmp_path / "titles"), str(tmp_path / "sink"), str(tmp_path / "ckpt")
+    lines = S.statute_lines(spark, SF_SMALL)
+    first = lines.where(F.col("file") != "sc_title_assistant.jsonl")
+    first.write.partitionBy("file").text(titles)
+
+    def run():
+        q = incremental_statutes(spark, titles, sink, ckpt, max_files_per_trigger=1)
+        q.awaitTermination()
+        return spark.read.parquet(sink)
+
+    n1 = run().count()
+    assert run().count() == n1  # nothing new
+    lines.where(F.col("file") == "sc_title_assistant.jsonl").write.mode("append").partitionBy("file").text(titles)
+    out = run()
+    assert out.count() == QQ.QUERIES["statute_chunks"](spark, SF_SMALL).count()
+    assert out.select("section_id").distinct().count() == out.count()
