@@ -28,6 +28,7 @@ def _lake_etl(spark, args) -> dict:
     from caselake.sources.courts import LAKE_COURTS
     from caselake.sources.snapshots import SNAPSHOT_COLUMNS, latest_snapshot_path, stage_snapshot
     from caselake.functions.text import DATE_RE, UNKNOWN_SNAPSHOT
+    from caselake.sources.lake import stage_done, stage_path
 
     import re
 
@@ -35,10 +36,15 @@ def _lake_etl(spark, args) -> dict:
     for prefix, columns in SNAPSHOT_COLUMNS.items():
         path = latest_snapshot_path(spark, args.snapshots, f"{prefix}-")
         m = re.search(DATE_RE, path)
-        if prefix == "dockets" and m:
-            date = m.group(1)
-        staged[prefix] = stage_snapshot(spark, path, columns, os.path.join(args.out, "_staged", prefix),
-                                        args.partitions)
+        snap = m.group(1) if m else UNKNOWN_SNAPSHOT
+        if prefix == "dockets":
+            date = snap
+        # A snapshot already staged for the same date is reused, not re-read
+        target = stage_path(os.path.join(args.out, "_staged"), prefix, snap)
+        if snap != UNKNOWN_SNAPSHOT and stage_done(spark, target):
+            staged[prefix] = spark.read.parquet(target)
+        else:
+            staged[prefix] = stage_snapshot(spark, path, columns, target, args.partitions)
     courts = args.courts.split(",") if args.courts else LAKE_COURTS
     counts = run_lake_etl(spark, staged["dockets"], staged["opinion-clusters"], staged["citations"],
                           staged["opinions"], args.out, courts=courts, salt_buckets=args.salt_buckets)

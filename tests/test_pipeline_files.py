@@ -177,6 +177,11 @@ def test_command_line_jobs(spark, tmp_path):
     res = main(["lake-etl", "--snapshots", str(snaps), "--out", lake, "--courts", ",".join(S.STANDIN_COURTS)])
     assert res["snapshot_date"] == "2024-02-29"
     assert res["opinions"] == QQ.lake_opinions(spark, SF_SMALL).count()
+    staged = os.path.join(lake, "_staged", "opinions_2024-02-29")
+    stamp = os.path.getmtime(os.path.join(staged, "_SUCCESS"))
+    again = main(["lake-etl", "--snapshots", str(snaps), "--out", lake, "--courts", ",".join(S.STANDIN_COURTS)])
+    assert again["opinions"] == res["opinions"]
+    assert os.path.getmtime(os.path.join(staged, "_SUCCESS")) == stamp  # same-date stage reused (S9)
     stats = main(["court-stats", "--snapshots", str(snaps), "--out", str(tmp_path / "stats")])
     assert stats["source"].endswith("dockets-2024-02-29.csv.bz2")
     ing = main(["ingest-opinions", "--lake", os.path.join(lake, "opinions"), "--sink", str(tmp_path / "vec"),
