@@ -219,6 +219,8 @@ def _make_kernel(qids, Q, k, metric, c_id, c_vec, planes=None):
                 C = np.stack(vecs[lo:lo + step]).astype(np.float64, copy=False)
                 ids = ids_all[lo:lo + step]
                 S = np.round(_scores(metric, Q, qn, C), 6)
+                # an all-zero query vector (no tokens) carries no signal: no results
+                S[qn == 0.0, :] = worst
                 if q_codes is not None:
                     match = (q_codes[:, None, :] == _lsh_codes(C, planes)[None, :, :]).any(axis=2)
                     S = np.where(match, S, worst)
@@ -269,7 +271,9 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str
     """V1/V2 (and V7 with ``lsh_tables``): top-k corpus rows per query.
 
     metric: "cosine" / "ip" (higher first) or "l2" (smaller first).
-    Returns (query_id, item_id, score, rank). Ids must be integral.
+    Returns (query_id, item_id, score, rank). Ids must be integral; a query
+    whose vector is all zeros gets no rows, corpus rows without a vector are
+    not candidates.
     With ``lsh_tables`` > 0 only corpus rows sharing a sign-random-projection
     bucket (``lsh_bits`` bits) with the query in at least one table are
     candidates (approximate search); inputs that are float32 make every
@@ -277,7 +281,9 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str
     """
     spark = corpus.sparkSession
     ascending = metric == "l2"
-    corpus_cols = corpus.select(F.col(c_id).cast("bigint").alias(c_id), F.col(c_vec).alias(c_vec))
+    # rows without a vector cannot be scored
+    corpus_cols = corpus.select(F.col(c_id).cast("bigint").alias(c_id), F.col(c_vec).alias(c_vec)).where(
+        F.col(c_vec).isNotNull())
     schema = "query_id long, item_id long, score double"
     parts = []
     for block in query_blocks(queries.select(q_id, q_vec), q_id, max_queries):

@@ -107,3 +107,11 @@ def test_two_level_topk_equals_single_level(spark, monkeypatch):
     two_df = vector_topk(qdf, cdf, 7, "cosine")
     assert "_grp" in two_df._jdf.queryExecution().analyzed().toString()
     assert _got(two_df) == one == _brute(Q, C, 7, "cosine")
+
+
+def test_zero_query_and_null_vectors(spark):
+    qdf = spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 0.0])], "query_id long, vector array<float>")
+    cdf = spark.createDataFrame([(10, [1.0, 0.0]), (11, None), (12, [0.0, 1.0])], "item_id long, vector array<float>")
+    for metric in ("cosine", "l2", "ip"):
+        got = _got(vector_topk(qdf, cdf, 2, metric))
+        assert 1 not in got and sorted(got[2]) == [10, 12]
