@@ -141,12 +141,14 @@ def bm25_topk(queries: DataFrame, docs: DataFrame, k: int = 10, q_id: str = "que
     Only documents sharing at least one term with the query are ranked.
     """
     spark = docs.sparkSession
-    blocks = query_blocks(queries.select(q_id, q_text), q_id, max_queries)
+    schema = "query_id long, item_id long, score double"
+    blocks = [b for b in query_blocks(queries.select(q_id, q_text), q_id, max_queries) if b]
+    if not blocks:  # no queries: nothing to rank, no pass over the corpus
+        return spark.createDataFrame([], schema + ", rank int")
     vocab = {t for block in blocks for r in block for t in tokens(r[1])}
     postings = vocabulary_postings(docs, vocab, d_id, d_text)
     n, avgdl, dfs = corpus_stats(postings)
     idf = {t: float(np.log(1.0 + (n - d + 0.5) / (d + 0.5))) for t, d in dfs.items()}
-    schema = "query_id long, item_id long, score double"
     parts = []
     for block in blocks:
         qids = np.array([int(r[0]) for r in block], dtype=np.int64)

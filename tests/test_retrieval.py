@@ -115,3 +115,9 @@ def test_zero_query_and_null_vectors(spark):
     for metric in ("cosine", "l2", "ip"):
         got = _got(vector_topk(qdf, cdf, 2, metric))
         assert 1 not in got and sorted(got[2]) == [10, 12]
+
+
+def test_bm25_without_queries(spark):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    none = spark.createDataFrame([], "query_id long, text string")
+    assert bm25_topk(none, docs, 3).count() == 0
