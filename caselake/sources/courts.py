@@ -74,10 +74,10 @@ def court_dimension(spark: SparkSession, court_ids: DataFrame | None = None,
         court_ids = spark.createDataFrame([(c,) for c in LAKE_COURTS], "court_id string")
     dim = court_ids.select(F.col("court_id").alias("id")).distinct()
     if names is not None:
-        dim = dim.join(
-            F.broadcast(names.select("id", F.col("name").alias("_name"), F.col("group").alias("_group"))),
-            "id", "left",
-        )
+        from caselake.operators.joins import DIMENSION_BROADCAST_ROWS, broadcast_if_bounded
+
+        named = names.select("id", F.col("name").alias("_name"), F.col("group").alias("_group"))
+        dim = dim.join(broadcast_if_bounded(named, DIMENSION_BROADCAST_ROWS), "id", "left")
     else:
         dim = dim.withColumn("_name", F.lit(None).cast("string")).withColumn("_group", F.lit(None).cast("string"))
     label = court_label(F.col("id"))

@@ -199,3 +199,10 @@ def test_snapshot_csv_malformed_rows(spark, tmp_path):
     assert sorted(tuple(r) for r in got.collect()) == [("1", "sc"), ("2", "multi\nline"), ("4", 'a "q" b')]
     # same rows whatever the projection (no pruning-dependent DROPMALFORMED)
     assert got.select("id").count() == 3
+
+
+def test_court_dimension_with_names(spark):
+    names = spark.createDataFrame([("sc", "South Carolina Supreme Court", "State")], "id string, name string, group string")
+    dim = {r["id"]: r for r in court_dimension(spark, names=names).collect()}
+    assert dim["sc"]["name"] == "South Carolina Supreme Court" and dim["sc"]["group"] == "State"
+    assert dim["sc"]["label"] == "SC Supreme Court" and dim["ala"]["name"] == "ala"
