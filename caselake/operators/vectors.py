@@ -213,8 +213,14 @@ def _make_kernel(qids, Q, k, metric, c_id, c_vec, planes=None):
         for pdf in batches:
             if pdf.empty:
                 continue
-            ids_all = pdf[c_id].to_numpy(dtype=np.int64)
             vecs = pdf[c_vec].to_numpy()  # one numpy array per row (from Arrow)
+            present = np.fromiter((v is not None for v in vecs), dtype=bool, count=len(vecs))
+            if not present.all():
+                vecs = vecs[present]
+                pdf = pdf[present]
+                if pdf.empty:
+                    continue
+            ids_all = pdf[c_id].to_numpy(dtype=np.int64)
             for lo in range(0, len(pdf), step):
                 C = np.stack(vecs[lo:lo + step]).astype(np.float64, copy=False)
                 ids = ids_all[lo:lo + step]
@@ -240,19 +246,15 @@ def _make_kernel(qids, Q, k, metric, c_id, c_vec, planes=None):
 TOPK_FAN_IN = 256
 
 
-def _partitions(df: DataFrame) -> int:
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (remote session): assume many
-        return TOPK_FAN_IN + 1
-
-
 def _global_topk(cands: DataFrame, k: int, ascending: bool, partitions: int | None = None) -> DataFrame:
     """Top-k per query from per-task candidates (k per query per task).
 
-    With more corpus tasks than ``TOPK_FAN_IN``, candidates are first reduced
-    per (query, group of tasks) and then per query, so no query's final window
-    holds more than k x TOPK_FAN_IN rows however large the corpus grows.
+    Candidates are first reduced per (query, group of tasks) and then per
+    query, so no query's final window holds more than k x TOPK_FAN_IN rows
+    however many tasks the corpus has. Callers whose inputs are already
+    bounded per query pass ``partitions`` at most TOPK_FAN_IN to use one level.
+    (The task count of an arbitrary plan is not probed: under adaptive
+    execution that would run its shuffles.)
     """
     order = F.col("score").asc() if ascending else F.col("score").desc()
     if partitions is None or partitions > TOPK_FAN_IN:
@@ -281,9 +283,9 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str
     """
     spark = corpus.sparkSession
     ascending = metric == "l2"
-    # rows without a vector cannot be scored
-    corpus_cols = corpus.select(F.col(c_id).cast("bigint").alias(c_id), F.col(c_vec).alias(c_vec)).where(
-        F.col(c_vec).isNotNull())
+    # Rows without a vector are skipped inside the kernel: a filter on the vector
+    # column would be pushed under a vector-producing UDF and run it twice.
+    corpus_cols = corpus.select(F.col(c_id).cast("bigint").alias(c_id), F.col(c_vec).alias(c_vec))
     schema = "query_id long, item_id long, score double"
     parts = []
     for block in query_blocks(queries.select(q_id, q_vec), q_id, max_queries):
@@ -304,4 +306,4 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str
     cands = parts[0]
     for p in parts[1:]:
         cands = cands.unionByName(p)
-    return _global_topk(cands, k, ascending, _partitions(corpus_cols) * len(parts))
+    return _global_topk(cands, k, ascending)

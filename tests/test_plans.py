@@ -56,3 +56,15 @@ def test_topk_uses_window_group_limit(spark):
 def test_dedup_is_an_aggregate(spark):
     p = plan(QQ.QUERIES["dedup_first"](spark, SF_SMALL))
     assert "Aggregate" in p and "Window" not in p
+
+
+def test_encoder_runs_once_in_vector_search(spark):
+    from pyspark.sql import functions as F
+
+    from caselake.operators.vectors import embed, vector_topk
+
+    docs = spark.createDataFrame([(i, f"word{i} shared text") for i in range(20)], "doc_id long, text string")
+    corpus = docs.select(F.col("doc_id").alias("item_id"), embed("text", None, 16).alias("vector"))
+    queries = spark.createDataFrame([(1, [1.0] * 16)], "query_id long, vector array<float>")
+    p = plan(vector_topk(queries, corpus, 3))
+    assert p.count("ArrowEvalPython") == 1  # no filter pushed under the encoder

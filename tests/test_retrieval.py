@@ -103,7 +103,7 @@ def test_two_level_topk_equals_single_level(spark, monkeypatch):
 
     Q, C, qdf, cdf = _frames(spark, nq=6, nc=500)
     one = _got(vector_topk(qdf, cdf, 7, "cosine"))
-    monkeypatch.setattr(V, "TOPK_FAN_IN", 2)  # 5 corpus partitions > fan-in: two levels
+    monkeypatch.setattr(V, "TOPK_FAN_IN", 2)  # 5 corpus tasks over 2 groups
     two_df = vector_topk(qdf, cdf, 7, "cosine")
     assert "_grp" in two_df._jdf.queryExecution().analyzed().toString()
     assert _got(two_df) == one == _brute(Q, C, 7, "cosine")
