@@ -206,3 +206,10 @@ def test_court_dimension_with_names(spark):
     dim = {r["id"]: r for r in court_dimension(spark, names=names).collect()}
     assert dim["sc"]["name"] == "South Carolina Supreme Court" and dim["sc"]["group"] == "State"
     assert dim["sc"]["label"] == "SC Supreme Court" and dim["ala"]["name"] == "ala"
+
+
+def test_truncate_counts_code_points(spark):
+    vals = ["\U0001F600abc", "é" * 70, None]
+    got = col_values(spark, vals, lambda c: T.truncate(c, 2))
+    assert got == ["\U0001F600a", "éé", None]
+    assert got[:2] == [v[:2] for v in vals[:2]]  # same as Python slicing (D13)
