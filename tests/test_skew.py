@@ -46,3 +46,6 @@ def test_recommended_conf():
     conf = recommended_conf(100 * 1024 ** 4)
     assert int(conf["spark.sql.shuffle.partitions"]) >= 100_000
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(conf["spark.sql.execution.arrow.maxBytesPerBatch"]) <= 64 * 1024 * 1024
+    small = recommended_conf(10 * 1024 ** 3)
+    assert int(small["spark.sql.shuffle.partitions"]) == 200  # floor for small inputs
