@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselake.llm.common import prepare, stage, table
+from caselake.llm.common import prepare, table
 from caselake.llm.decontaminate import benchmark_matches
 from caselake.llm.langid import html_language, html_words, identify_languages, train_text_model
 from caselake.llm.packing import pack_documents
 from caselake.llm.secret_scan import scan_report
 from caselake.llm.simhash_dedup import near_duplicates
 from caselake.llm.token_files import read_token_files, token_digests, write_token_files
+from caselake.llm.winnowing import fingerprint_neighbours, fingerprint_text, likeness
 from caselake.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,6 +70,17 @@ def op4_token_files(spark, d):
     return token_digests(read_token_files(spark, path))
 
 
+@register("op6_winnowing")
+def op6_winnowing(spark, d):
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    rows = fingerprint_neighbours(table(spark, d, "documents"))
+    return rows.select(
+        "doc_id", F.length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprint_text(F.col("prints")).alias("fingerprint"), fingerprint_text(F.col("edited_prints")).alias("edited_fingerprint"),
+        likeness(F.col("prints"), F.col("edited_prints")).alias("near_edited"),
+        likeness(F.col("prints"), F.col("next_prints")).alias("near_next"))
+
+
 @register("op7_simhash_near_dedup")
 def op7_simhash_near_dedup(spark, d):
     """Fingerprint and near-duplicate class of every document."""
