@@ -8,11 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselake.llm.common import prepare, table
+from caselake.llm.chat import conversation_nodes, format_conversations, masked_text, read_turns
+from caselake.llm.common import prepare, stage, table
 from caselake.llm.decontaminate import benchmark_matches
 from caselake.llm.langid import html_language, html_words, identify_languages, train_text_model
+from caselake.llm.licenses import scan_licences, train_licence_model
 from caselake.llm.packing import pack_documents
 from caselake.llm.secret_scan import scan_report
+from caselake.llm.sharding import assign_shards
 from caselake.llm.simhash_dedup import near_duplicates
 from caselake.llm.token_files import read_token_files, token_digests, write_token_files
 from caselake.llm.winnowing import fingerprint_neighbours, fingerprint_text, likeness
@@ -70,6 +73,13 @@ def op4_token_files(spark, d):
     return token_digests(read_token_files(spark, path))
 
 
+@register("op5_license_scan")
+def op5_license_scan(spark, d):
+    """Licence family of every paragraph of ``documents`` that speaks of licences."""
+    docs = table(spark, d, "documents")
+    return scan_licences(docs, train_licence_model(docs))
+
+
 @register("op6_winnowing")
 def op6_winnowing(spark, d):
     """Fingerprints of every document and of its edited text, and their likeness."""
@@ -88,12 +98,36 @@ def op7_simhash_near_dedup(spark, d):
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@register("op8_sharding")
+def op8_sharding(spark, d):
+    """Every document in one of 24 shards of near-equal bytes."""
+    return assign_shards(table(spark, d, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 @register("op9_best_fit_packing")
 def op9_best_fit_packing(spark, d):
     """All documents packed into sequences of 4096 tokens."""
     return pack_documents(table(spark, d, "documents"), public_tokenizers.path(WORD_TOKENIZER), end_id=1)
 
 
+@register("op10_chat_formatting")
+def op10_chat_formatting(spark, d):
+    """Every conversation formatted, written and read back."""
+    hard = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(r"\### Assistant: </turn> ok").alias("text"))
+    turns = table(spark, d, "conversations").select("conv_id", "turn", "role", "text").unionByName(hard)
+    nodes = stage(conversation_nodes(turns), "chat-nodes")
+    back = stage(format_conversations(nodes), "chat-formatted")
+    read = back.withColumn("turns", read_turns(F.col("formatted"))).withColumn("loss", masked_text(F.col("formatted"), F.col("mask")))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        F.col("tree").alias("conv_id"), F.size("turns").cast("bigint").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+        F.length("loss").cast("bigint").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"))
+
+
 @register("pipeline")
 def pipeline(spark, d):
     """All stages of the corpus pipeline over ``documents``."""
