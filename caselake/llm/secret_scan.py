@@ -111,6 +111,7 @@ def span_text(spans: Column) -> Column:
 def scan_report(docs: DataFrame, **options) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans: the digests of ``scan_secrets``."""
     base = F.filter("spans", lambda s: s["rank"] < len(BASE))
-    count = [F.size(F.filter("spans", lambda s, n=n: s["rank"] == n)).cast("bigint").alias(f"n_{BASE[n][0]}") for n in range(len(BASE))]
+    ranks = F.transform("spans", lambda s: s["rank"])
+    count = [(F.size(ranks) - F.size(F.array_remove(ranks, n))).cast("bigint").alias(f"n_{BASE[n][0]}") for n in range(len(BASE))]
     return scan_secrets(docs, **options).select(
         "doc_id", *count, F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))

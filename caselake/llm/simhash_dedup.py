@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caselake.llm.common import stage
@@ -95,11 +95,14 @@ def _cells(reps: DataFrame, radius: int) -> DataFrame:
         # A field of 2 adds an even number, so the fields of 1 give the parity of the sum.
         odd_sum = F.bit_count(cell.bitwiseAND(low)) % 2 == 1
         each = F.when(odd_sum, F.concat(own, visited)).otherwise(own)
-        rows.append(F.transform(each, lambda x, g=g: F.struct(
-            F.lit(g).alias("grp"), x["cell"].alias("cell"), x["exact"].alias("exact"))))
+        rows.append(_in_group(each, g))
     return reps.select("fp", F.explode(F.concat(*rows)).alias("x")).select("x.grp", "x.cell", "x.exact", "fp")
 
 
+def _in_group(cells: Column, g: int) -> Column:
+    return F.transform(cells, lambda x: F.struct(F.lit(g).alias("grp"), x["cell"].alias("cell"), x["exact"].alias("exact")))
+
+
 def _signed(x: int) -> int:
     x &= (1 << 64) - 1
     return x - (1 << 64) if x >= 1 << 63 else x
