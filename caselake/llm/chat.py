@@ -35,23 +35,29 @@ def unescape(text: Column, escapes=ESCAPES) -> Column:
     return text
 
 
-def _ancestors(nodes: DataFrame) -> list[DataFrame]:
-    """Level k: (tree, node, up, score, depth): the 2^k-th ancestor or null, the score and number
-    of nodes from the node to below it. The last level has no ancestors but for nodes on, or
-    hanging from, a cycle of parent links; the largest tree bounds the number of levels."""
+def _ancestors(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Links by level, and every node's whole path.
+
+    Level k: (tree, node, up, score, depth) for the nodes that have a 2^k-th ancestor ``up``, with the
+    score and number of nodes from the node to below it. The path table has the same columns, up
+    null, once the root is reached; such nodes take no part in further joins. Nodes on, or hanging
+    from, a cycle of parent links never get there; the largest tree bounds the levels.
+    """
     keys = nodes.select("tree", F.col("node").alias("parent"), F.lit(True).alias("known"))
-    first = nodes.join(keys, ["tree", "parent"], "left").select(
-        "tree", "node", F.when(F.col("known"), F.col("parent")).alias("up"), "score", F.lit(1).cast("bigint").alias("depth"))
-    levels = [stage(first, "chat-links")]
-    largest = levels[0].groupBy("tree").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    while levels[-1].where("up IS NOT NULL").limit(1).count() and 1 << len(levels) - 1 <= largest:
-        low = levels[-1]
-        above = low.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("score").alias("score2"), F.col("depth").alias("depth2"))
-        joined = low.join(above, ["tree", "up"], "left").select(
-            "tree", "node", F.col("up2").alias("up"), (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score"),
-            (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"))
-        levels.append(stage(joined, "chat-links"))
-    return levels
+    state = stage(nodes.join(keys, ["tree", "parent"], "left").select(
+        "tree", "node", F.when(F.col("known"), F.col("parent")).alias("up"), "score", F.lit(1).cast("bigint").alias("depth")), "chat-links")
+    largest = state.groupBy("tree").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    levels, whole = [], state.where("up IS NULL")
+    while True:
+        levels.append(state.where("up IS NOT NULL"))
+        if 1 << len(levels) - 1 >= largest or levels[-1].isEmpty():
+            return levels, whole
+        above = levels[-1].union(whole).select(
+            "tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("score").alias("score2"), F.col("depth").alias("depth2"))
+        state = stage(levels[-1].join(above, ["tree", "up"]).select(
+            "tree", "node", F.col("up2").alias("up"), (F.col("score") + F.col("score2")).alias("score"),
+            (F.col("depth") + F.col("depth2")).alias("depth")), "chat-links")
+        whole = whole.union(state.where("up IS NULL"))
 
 
 def chosen_paths(nodes: DataFrame, best: int = 1) -> DataFrame:
@@ -61,15 +67,14 @@ def chosen_paths(nodes: DataFrame, best: int = 1) -> DataFrame:
     makes a root. A branch is named by its leaf. Branches rank by the sum of their scores, then
     by length, then by the smaller leaf. Nodes on a cycle or below one are on no path.
     """
-    levels = _ancestors(nodes)
-    whole = levels[-1].where("up IS NULL")
-    parents = levels[0].where("up IS NOT NULL").select("tree", F.col("up").alias("node")).distinct()
+    levels, whole = _ancestors(nodes)
+    parents = levels[0].select("tree", F.col("up").alias("node")).distinct()
     leaves = whole.join(parents, ["tree", "node"], "left_anti")
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("score"), F.desc("depth"), "node"))
     marked = leaves.withColumn("rank", rank).where(F.col("rank") <= best).select("tree", F.col("node").alias("branch"), "node")
-    for level in reversed(levels[:-1]):
+    for level in reversed(levels):
         marked = stage(marked, "chat-paths")
-        up = marked.join(level.where("up IS NOT NULL"), ["tree", "node"]).select("tree", "branch", F.col("up").alias("node"))
+        up = marked.join(level, ["tree", "node"]).select("tree", "branch", F.col("up").alias("node"))
         marked = marked.union(up)  # distances 0, 2^k and sums of such: no node comes twice
     return marked.join(whole.select("tree", "node", "depth"), ["tree", "node"]).select("tree", "branch", "node", "depth")
 
