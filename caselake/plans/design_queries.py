@@ -159,6 +159,29 @@ def q_snapshot_csv_roundtrip(spark, d):
     return scan_snapshot_csv(spark, path, SNAPSHOT_COLUMNS["opinions"])
 
 
+@register("snapshot_by_header", S.standin_ctes("opinions_raw") + """
+    SELECT nullif(id, '') AS id, nullif(cluster_id, '') AS cluster_id, nullif(type, '') AS type,
+           nullif(plain_text, '') AS plain_text, nullif(html_with_citations, '') AS html_with_citations
+    FROM opinions_raw""")
+def q_snapshot_by_header(spark, d):
+    """A snapshot whose files list more columns, in another order, and hold malformed rows."""
+    from caselake.session import scratch_path
+    from caselake.sources.snapshots import SNAPSHOT_COLUMNS, scan_snapshot_csv
+
+    path = scratch_path(spark, "wide-snapshot")
+    rows = S.opinions_raw(spark, d)
+    wide = rows.select(
+        F.lit("2020-01-01").alias("date_created"), "html_with_citations", "type", "id",
+        F.concat(F.lit("line one\nof \""), "id", F.lit('"')).alias("notes"), "plain_text", "cluster_id")
+    wide.write.option("header", True).option("escape", '"').option("compression", "bzip2").csv(path)
+    # A row of two fields next to each record: the header asks for seven.
+    broken = rows.select(F.concat(F.lit("broken"), "id", F.lit(",row")).alias("value"))
+    header = spark.range(1).select(F.lit(",".join(wide.columns)).alias("value"))
+    lines = header.union(broken).repartition(1).sortWithinPartitions(F.col("value").startswith("broken"))
+    lines.write.mode("append").option("compression", "bzip2").text(path)
+    return scan_snapshot_csv(spark, path, SNAPSHOT_COLUMNS["opinions"])
+
+
 @register("export_jsonl", LAKE_PREFIX.split(",\n    o AS")[0] + " SELECT * FROM clusters")
 def q_export_jsonl(spark, d):
     """K9: enriched clusters exported as JSON lines and read back with their schema."""

@@ -9,6 +9,7 @@ size) are left to the caller's cluster config unless explicitly passed.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -120,9 +121,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and materialized stages.
 
     Reads ``spark.checkpoint.dir`` from the session (on a cluster this names
-    storage every executor can reach). Only when it is unset, as in tests on a
-    single machine, a temporary folder is created once per application and
-    registered as the context's checkpoint directory.
+    storage every executor can reach). Only when it is unset and the master is
+    local, as in tests on a single machine, a temporary folder is created once
+    per application and registered as the context's checkpoint directory; on a
+    cluster an unset folder is an error, as executors would write to their own
+    disks.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -132,6 +135,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_CKPT:
         chosen = spark.sparkContext.getCheckpointDir()  # set by the caller's code
+        if not chosen and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         if not chosen:
             chosen = tempfile.mkdtemp(prefix="caselake-ckpt-")
             spark.sparkContext.setCheckpointDir(chosen)

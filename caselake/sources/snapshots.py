@@ -29,17 +29,29 @@ def snapshot_schema(columns) -> StructType:
     return StructType([StructField(c, StringType()) for c in columns] + [StructField(CORRUPT, StringType())])
 
 
+def snapshot_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of a snapshot in file order; reads the header, not the rows."""
+    return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path).columns
+
+
 def scan_snapshot_csv(spark: SparkSession, path: str, columns) -> DataFrame:
-    """Read a snapshot with an explicit all-string schema.
+    """Read the named columns of a snapshot, whatever else its header lists and in which order.
 
-    Malformed rows are detected through ``_corrupt_record`` and removed, which,
-    unlike DROPMALFORMED, does not depend on which columns a query prunes to.
+    All columns are strings. Malformed rows are detected through
+    ``_corrupt_record`` and removed, which, unlike DROPMALFORMED, does not
+    depend on which columns a query prunes to. A missing column is an error;
+    so is a file of the folder whose header differs from the first one's.
     No per-field length cap: an over-long field would fail the job, so long
     texts are filtered by length downstream instead.
     """
+    header = snapshot_header(spark, path)
+    missing = [c for c in columns if c not in header]
+    if missing:
+        raise ValueError(f"snapshot {path} has no column {', '.join(missing)}; its header is {', '.join(header)}")
     df = (
-        spark.read.schema(snapshot_schema(columns))
+        spark.read.schema(snapshot_schema(header))
         .option("header", True)
+        .option("enforceSchema", False)
         .option("multiLine", True)
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
@@ -50,7 +62,7 @@ def scan_snapshot_csv(spark: SparkSession, path: str, columns) -> DataFrame:
     # Spark (e.g. a bare count()), so the key column is referenced alongside.
     key = F.col(columns[0])
     well_formed = F.col(CORRUPT).isNull() & (key.isNull() | key.isNotNull())
-    return df.where(well_formed).drop(CORRUPT)
+    return df.where(well_formed).select(*columns)
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
@@ -95,12 +107,12 @@ def latest_snapshot_path(spark: SparkSession, root: str, prefix: str, suffix: st
 def stage_snapshot(spark: SparkSession, csv_path: str, columns, out_path: str, partitions: int | None = None) -> DataFrame:
     """Convert one CSV snapshot to Parquet once; later stages read the Parquet.
 
-    The multi-line CSV scan is a single task per file; ``repartition`` after it
-    spreads the Parquet write (and every later read) over the cluster.
+    The multi-line CSV scan is a single task per file, so its rows are spread
+    before the Parquet write (and every later read): over ``partitions`` if
+    given, else by size as the cluster's adaptive settings ask.
     """
     df = scan_snapshot_csv(spark, csv_path, columns)
-    if partitions:
-        df = df.repartition(partitions)
+    df = df.repartition(partitions) if partitions else df.hint("rebalance")
     df.write.mode("overwrite").parquet(out_path)
     return spark.read.parquet(out_path)
 

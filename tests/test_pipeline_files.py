@@ -190,3 +190,29 @@ def test_command_line_jobs(spark, tmp_path):
 
     want = opinion_chunks(QQ.lake_opinions(spark, SF_SMALL).where("court = 'BUILDING' AND year >= 1996")).count()
     assert ing["inserted"] == want
+
+
+def test_snapshot_columns_come_by_header_name(spark, tmp_path):
+    import pytest
+
+    from caselake.sources.snapshots import scan_snapshot_csv, stage_snapshot
+
+    p = tmp_path / "dockets.csv"
+    p.write_text('court_id,date_created,id,notes\nscotus,2020,1,"a ""b""\nc"\nbroken,row\nca9,2021,2,\n')
+    got = [tuple(r) for r in scan_snapshot_csv(spark, str(p), ("id", "court_id")).orderBy("id").collect()]
+    assert got == [("1", "scotus"), ("2", "ca9")]
+    assert stage_snapshot(spark, str(p), ("court_id",), str(tmp_path / "staged")).count() == 2
+    with pytest.raises(ValueError, match="no column docket_number"):
+        scan_snapshot_csv(spark, str(p), ("id", "docket_number"))
+
+
+def test_cluster_without_shared_folder_is_an_error():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from caselake.session import checkpoint_dir
+
+    context = SimpleNamespace(applicationId="none", getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(SimpleNamespace(conf={}, sparkContext=context))
