@@ -153,6 +153,11 @@ def truncate(col, n: int) -> Column:
     return F.substring(_c(col), 1, n)
 
 
+def fit(col, widths: dict, name: str) -> Column:
+    """F16 where the caller asks for it: cut to ``widths[name]``, or the value whole."""
+    return truncate(col, widths[name]) if name in widths else _c(col)
+
+
 def path_tail_id(col) -> Column:
     """last non-empty path segment of a URL as an int id, else 0."""
     return int_or_zero(F.regexp_extract(_c(col), r"([^/]+)/*$", 1))

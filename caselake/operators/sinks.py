@@ -10,11 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselake.functions.text import int_or_zero, truncate
+from caselake.functions.text import fit, int_or_zero
 
-# Fixed sink widths (characters) of the chunk tables.
-OPINION_CHUNK_WIDTHS = {"case_name": 512, "court": 20, "opinion_type": 50, "text": 65535, "citation": 512}
-STATUTE_CHUNK_WIDTHS = {"section_id": 64, "title_name": 256, "short_title": 512, "url": 512, "text": 65535}
+# Fixed widths (characters) of a sink with sized columns. Nothing is cut unless a caller passes
+# them, and a key (court, section_id) never is: cut keys would merge different rows.
+OPINION_CHUNK_WIDTHS = {"case_name": 512, "opinion_type": 50, "text": 65535, "citation": 512}
+STATUTE_CHUNK_WIDTHS = {"title_name": 256, "short_title": 512, "url": 512, "text": 65535}
 
 OPINION_CHUNK_COLUMNS = (
     "opinion_id", "cluster_id", "case_name", "court", "year", "opinion_type",
@@ -58,19 +59,19 @@ def write_marker(spark: SparkSession, snapshot: str, path: str) -> None:
     spark.createDataFrame([(snapshot,)], "snapshot_date string").coalesce(1).write.mode("overwrite").text(path)
 
 
-def opinion_chunk_rows(chunks: DataFrame) -> DataFrame:
-    """K5 projection: sink types and widths for opinion chunks."""
-    w = OPINION_CHUNK_WIDTHS
+def opinion_chunk_rows(chunks: DataFrame, widths: dict | None = None) -> DataFrame:
+    """K5 projection: sink types for opinion chunks, and ``widths`` where given."""
+    w = widths or {}
     return chunks.select(
         int_or_zero("opinion_id").alias("opinion_id"),
         int_or_zero("cluster_id").alias("cluster_id"),
-        truncate("case_name", w["case_name"]).alias("case_name"),
-        truncate("court", w["court"]).alias("court"),
+        fit("case_name", w, "case_name").alias("case_name"),
+        "court",
         F.col("year").cast("int").alias("year"),
-        truncate("opinion_type", w["opinion_type"]).alias("opinion_type"),
+        fit("opinion_type", w, "opinion_type").alias("opinion_type"),
         F.col("chunk_index").cast("int").alias("chunk_index"),
-        truncate("text", w["text"]).alias("text"),
-        truncate("citation", w["citation"]).alias("citation"),
+        fit("text", w, "text").alias("text"),
+        fit("citation", w, "citation").alias("citation"),
         *([F.col("vector")] if "vector" in chunks.columns else []),
     )
 

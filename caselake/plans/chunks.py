@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from caselake.functions.chunking import CHUNK_OVERLAP, CHUNK_SIZE, legal_chunks, legal_chunks_native
 from caselake.functions.enrich import enrich_chunk
-from caselake.functions.text import effective_text, truncate
-from caselake.operators.sinks import OPINION_CHUNK_WIDTHS, opinion_chunk_rows
+from caselake.functions.text import effective_text, fit
+from caselake.operators.sinks import opinion_chunk_rows
 from caselake.plans.lake_etl import MIN_TEXT_LEN
 from caselake.sources.courts import court_label
 
@@ -42,21 +42,22 @@ def explode_chunks(df: DataFrame, chunks_col, keep) -> DataFrame:
 
 
 def opinion_chunks(opinions: DataFrame, min_len: int = MIN_TEXT_LEN, size: int = CHUNK_SIZE,
-                   overlap: int = CHUNK_OVERLAP, native: bool = False) -> DataFrame:
+                   overlap: int = CHUNK_OVERLAP, native: bool = False, widths: dict | None = None) -> DataFrame:
     """F7(chunk) -> P5 -> F11 -> W2 -> F12 -> K5 projection."""
     chunker = legal_chunks_native if native else legal_chunks
     src = text_bearing(opinions, min_len)
     exploded = explode_chunks(src, chunker("body", size, overlap), META)
-    w = OPINION_CHUNK_WIDTHS
-    case_name = truncate("case_name", w["case_name"])
-    otype = truncate("opinion_type", w["opinion_type"])
-    citation = truncate("citation", w["citation"])
+    w = widths or {}
+    case_name = fit("case_name", w, "case_name")
+    otype = fit("opinion_type", w, "opinion_type")
+    citation = fit("citation", w, "citation")
     text = enrich_chunk("chunk", case_name, court_label("court"), "year", otype, citation)
     return opinion_chunk_rows(
         exploded.select(
             "opinion_id", "cluster_id", case_name.alias("case_name"), "court", "year",
             otype.alias("opinion_type"), "chunk_index", text.alias("text"), citation.alias("citation"),
-        )
+        ),
+        w,
     )
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from caselake.functions.text import strip_html
 from caselake.operators.dedup import dedup_first, dedup_last, insert_or_ignore
+from caselake.operators.sinks import OPINION_CHUNK_WIDTHS
 from caselake.plans import sqlparts as Q
 from caselake.plans.chunks import document_chunks, opinion_chunks
 from caselake.plans.lake_etl import clusters_stage, dockets_stage, opinions_stage
@@ -158,23 +159,45 @@ def q_doc_chunks_paras(spark, d):
     return document_chunks(docs)
 
 
-SQL_FLAGSHIP = LAKE_PREFIX + f""",
-    tb AS (SELECT opinion_id, cluster_id, left(case_name, 512) AS case_name, court, year,
-                  left(opinion_type, 50) AS opinion_type, left(citation, 512) AS citation,
+def _cut_sql(widths, name, x=None):
+    return f"left({x or name}, {widths[name]})" if name in widths else (x or name)
+
+
+def _left_open(widths):
+    return "left(" if "text" in widths else "("
+
+
+def _left_close(widths):
+    return f", {widths['text']})" if "text" in widths else ")"
+
+
+def _sql_opinion_chunks(widths):
+    return LAKE_PREFIX + f""",
+    tb AS (SELECT opinion_id, cluster_id, {_cut_sql(widths, 'case_name')} AS case_name, court, year,
+                  {_cut_sql(widths, 'opinion_type')} AS opinion_type, {_cut_sql(widths, 'citation')} AS citation,
                   {Q.effective_text('plain_text', 'html_with_citations', 'chunk')} AS body
            FROM lake),
     tb2 AS (SELECT * FROM tb WHERE length(body) >= 150),
     ch AS ({Q.chunks_cte('tb2', 'opinion_id, cluster_id, case_name, court, year, opinion_type, citation', 'body')})
     SELECT {Q.int_or_zero('opinion_id')} AS opinion_id, {Q.int_or_zero('cluster_id')} AS cluster_id,
-           case_name, left(court, 20) AS court, year, opinion_type, CAST(chunk_index AS INTEGER) AS chunk_index,
-           left('[' || concat_ws(' | ', 'Source: ' || case_name, 'Court: ' || {Q.court_label('court')},
+           case_name, court, year, opinion_type, CAST(chunk_index AS INTEGER) AS chunk_index,
+           {_left_open(widths)}'[' || concat_ws(' | ', 'Source: ' || case_name, 'Court: ' || {Q.court_label('court')},
                      'Year: ' || CAST(year AS VARCHAR), 'Opinion Type: ' || opinion_type,
                      CASE WHEN citation <> '' THEN 'Citation: ' || citation END)
-                || ']' || {Q.NL2} || chunk, 65535) AS text,
+                || ']' || {Q.NL2} || chunk{_left_close(widths)} AS text,
            citation
     FROM ch"""
 
 
+SQL_FLAGSHIP = _sql_opinion_chunks({})
+
+
+@register("sized_opinion_chunks", _sql_opinion_chunks(OPINION_CHUNK_WIDTHS))
+def q_sized_opinion_chunks(spark, d):
+    """F16 K5: the enriched chunks for a sink with sized columns; the caller passes the widths."""
+    return opinion_chunks(lake_opinions(spark, d), widths=OPINION_CHUNK_WIDTHS)
+
+
 @register("text_rule_anomalies", LAKE_PREFIX + f"""
     SELECT court, count(*) AS lake_rows,
            count(*) FILTER (WHERE length({Q.effective_text('plain_text', 'html_with_citations', 'chunk')}) < 150)
@@ -313,22 +336,22 @@ def _present_sql(x):
 
 
 SQL_STATUTE_CHUNKS = S.standin_ctes("statute_records") + "," + SQL_STATUTE_KEPT + f"""
-    SELECT left(coalesce(section_id, ''), 64) AS section_id,
+    SELECT coalesce(section_id, '') AS section_id,
            CAST({Q.int_or_zero('title_num')} AS INTEGER) AS title_num,
-           left(coalesce(title_name, ''), 256) AS title_name,
+           coalesce(title_name, '') AS title_name,
            CAST({Q.int_or_zero('chapter_num')} AS INTEGER) AS chapter_num,
-           left(coalesce(short_title, ''), 512) AS short_title,
+           coalesce(short_title, '') AS short_title,
            CAST({Q.int_or_zero('chunk_index')} AS INTEGER) AS chunk_index,
            CAST({Q.int_or_zero('chunk_total', 1)} AS INTEGER) AS chunk_total,
-           left(coalesce(url, ''), 512) AS url,
-           left('[' || concat_ws(' | ',
+           coalesce(url, '') AS url,
+           '[' || concat_ws(' | ',
                   'SC Code § ' || coalesce(section_id, ''),
                   CASE WHEN {_present_sql('title_num')} AND coalesce({Q.strip('title_name')}, '') <> ''
                        THEN 'Title ' || title_num || ': ' || {Q.strip('title_name')}
                        WHEN coalesce({Q.strip('title_name')}, '') <> '' THEN {Q.strip('title_name')} END,
                   CASE WHEN {_present_sql('chapter_num')} THEN 'Chapter ' || chapter_num END,
                   CASE WHEN coalesce({Q.strip('short_title')}, '') <> '' THEN {Q.strip('short_title')} END)
-                || ']' || {Q.NL2} || body, 65535) AS text
+                || ']' || {Q.NL2} || body AS text
     FROM kept2"""
 
 

@@ -216,3 +216,21 @@ def test_cluster_without_shared_folder_is_an_error():
     context = SimpleNamespace(applicationId="none", getCheckpointDir=lambda: None, master="spark://host:7077")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_dir(SimpleNamespace(conf={}, sparkContext=context))
+
+
+def test_long_sentence_survives_whole(spark):
+    from caselake.plans.chunks import opinion_chunks
+    from caselake.plans.statutes import statute_chunk_rows
+
+    words = "word " * 14_000 + "end"
+    row = ("1", "2", "N" * 600, "a_court_with_a_long_identifier", 2000, "Lead", words, "", "C" * 600)
+    lake = spark.createDataFrame([row], "opinion_id string, cluster_id string, case_name string, court string, year int, "
+                                        "opinion_type string, plain_text string, html_with_citations string, citation string")
+    got = opinion_chunks(lake).collect()
+    assert any(words in r["text"] for r in got) and got[0]["court"] == row[3] and got[0]["case_name"] == row[2]
+    assert max(len(r["text"]) for r in opinion_chunks(lake, widths={"text": 100}).collect()) == 100
+    fields = "doc_id section_id title_num title_name chapter_num short_title body_text text status chunk_index chunk_total url".split()
+    value = {"section_id": "s" * 70, "body_text": words, "status": "active"}
+    one = spark.createDataFrame([tuple(value.get(f) for f in fields)], ", ".join(f"{f} string" for f in fields))
+    kept = statute_chunk_rows(one).first()
+    assert kept["section_id"] == "s" * 70 and kept["text"].endswith(words)
