@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -75,21 +76,28 @@ class HashingEncoder:
 _ENCODERS: dict = {}
 
 
+def cached_encoder(key: str, factory: Callable[[], Callable[[list[str]], np.ndarray]]):
+    """The worker's encoder of that key, built on first use. UDFs refer to this function by its
+    module, so the cache belongs to the worker process and not to a pickled copy of it."""
+    if key not in _ENCODERS:
+        _ENCODERS[key] = factory()
+    return _ENCODERS[key]
+
+
 def embed(col, encoder_factory: Callable[[], Callable[[list[str]], np.ndarray]] | None = None,
-          dim: int = 64, batch_size: int = 256):
+          dim: int = 64, batch_size: int = 256, model_key: str | None = None):
     """Text column -> array<float> via a batched encoder.
 
-    ``encoder_factory`` is called once per Python worker (the model is loaded
-    lazily and cached), then fed batches of ``batch_size`` texts.
+    ``encoder_factory`` is called once per Python worker and ``model_key`` (the
+    model is loaded lazily and cached), then fed batches of ``batch_size``
+    texts. Without a key each call of ``embed`` is a model of its own.
     """
     factory = encoder_factory or (lambda: HashingEncoder(dim))
-    key = (id(factory), dim)
+    key = model_key or (f"hashing-{dim}" if encoder_factory is None else f"model-{uuid.uuid4().hex}")
 
     @pandas_udf(ArrayType(FloatType()))
     def _embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        enc = _ENCODERS.get(key)
-        if enc is None:
-            enc = _ENCODERS[key] = factory()
+        enc = cached_encoder(key, factory)
         for texts in batches:
             vals = texts.tolist()
             parts = [enc(vals[i:i + batch_size]) for i in range(0, len(vals), batch_size)]

@@ -121,3 +121,25 @@ def test_bm25_without_queries(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     none = spark.createDataFrame([], "query_id long, text string")
     assert bm25_topk(none, docs, 3).count() == 0
+
+
+def test_encoder_is_loaded_once_per_worker(spark, tmp_path):
+    import os
+    import uuid
+
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from caselake.operators.vectors import embed
+
+    folder = str(tmp_path)
+
+    def factory():
+        with open(os.path.join(folder, f"{os.getpid()}-{uuid.uuid4().hex}"), "w"):
+            pass
+        return lambda texts: np.ones((len(texts), 4))
+
+    df = spark.range(64).repartition(16).select(F.col("id").cast("string").alias("t"))
+    assert df.select(embed("t", factory, 4, model_key="counted").alias("v")).where(F.size("v") == 4).count() == 64
+    loads = os.listdir(folder)
+    assert len(loads) == len({x.split("-")[0] for x in loads}) < 16
