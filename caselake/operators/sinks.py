@@ -27,13 +27,9 @@ STATUTE_CHUNK_COLUMNS = (
 )
 
 
-def write_stage(df: DataFrame, path: str, files: int | None = None) -> None:
-    """K1: overwrite a Parquet stage, optionally in about ``files`` files.
-
-    ``repartition`` (not ``coalesce``) so the upstream work keeps its width.
-    """
-    out = df.repartition(files) if files else df
-    out.write.mode("overwrite").parquet(path)
+def write_stage(df: DataFrame, path: str) -> None:
+    """K1: overwrite a Parquet stage; a rebalance lets adaptive execution size the files."""
+    df.hint("rebalance").write.mode("overwrite").parquet(path)
 
 
 def write_by_court(df: DataFrame, path: str, salt_buckets: int | None = None, mode: str = "overwrite") -> None:
@@ -60,7 +56,8 @@ def write_marker(spark: SparkSession, snapshot: str, path: str) -> None:
 
 
 def opinion_chunk_rows(chunks: DataFrame, widths: dict | None = None) -> DataFrame:
-    """K5 projection: sink types for opinion chunks, and ``widths`` where given."""
+    """K5 projection: sink types for opinion chunks, and ``widths`` where given. The raw
+    ``opinion_key`` and the ``vector`` follow where the chunks have them."""
     w = widths or {}
     return chunks.select(
         int_or_zero("opinion_id").alias("opinion_id"),
@@ -72,7 +69,7 @@ def opinion_chunk_rows(chunks: DataFrame, widths: dict | None = None) -> DataFra
         F.col("chunk_index").cast("int").alias("chunk_index"),
         fit("text", w, "text").alias("text"),
         fit("citation", w, "citation").alias("citation"),
-        *([F.col("vector")] if "vector" in chunks.columns else []),
+        *[F.col(c) for c in ("opinion_key", "vector") if c in chunks.columns],
     )
 
 

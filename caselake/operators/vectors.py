@@ -16,13 +16,14 @@ import math
 import re
 import uuid
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, FloatType
+from pyspark.sql.types import ArrayType, FloatType, LongType
 
 TOKEN_RE = re.compile(r"[a-z0-9]+")
 MAX_BROADCAST_QUERIES = 10_000
@@ -187,6 +188,7 @@ def _scores(metric: str, Q: np.ndarray, qn: np.ndarray, C: np.ndarray) -> np.nda
     raise ValueError(f"unknown metric {metric!r}")
 
 
+@lru_cache(maxsize=8)
 def lsh_planes(tables: int, bits: int, dim: int, seed: int = 17) -> np.ndarray:
     """(tables, bits, dim) sign-random projections with entries +1/-1.
 
@@ -209,10 +211,79 @@ def _lsh_codes(V: np.ndarray, planes: np.ndarray) -> np.ndarray:
     return (bits * weights).sum(axis=2)
 
 
-def _make_kernel(qids, Q, k, metric, c_id, c_vec, planes=None):
+def lsh_codes(col, tables: int, bits: int, seed: int = 17):
+    """V7: vector column -> array<long>, its bucket code in each table; null without a vector."""
+
+    @pandas_udf(ArrayType(LongType()))
+    def _codes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for vecs in batches:
+            out = pd.Series([None] * len(vecs), index=vecs.index, dtype=object)
+            present = vecs[vecs.notna()]
+            if len(present):
+                V = np.stack(present.to_numpy()).astype(np.float64)
+                out[present.index] = list(_lsh_codes(V, lsh_planes(tables, bits, V.shape[1], seed)))
+            yield out
+
+    return _codes(F.col(col) if isinstance(col, str) else col)
+
+
+def coded_vectors(df: DataFrame, id_col: str, vec_col: str, tables: int, bits: int, seed: int = 17) -> DataFrame:
+    """(id, vector, norm, codes) of the rows with a vector, written once under the shared folder: the
+    bucket join reads the codes alone, the re-scoring the vectors."""
+    from caselake.session import scratch_path
+
+    path = scratch_path(df.sparkSession, "lsh-codes")
+    rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).alias("vector"))
+    rows.withColumn("codes", lsh_codes("vector", tables, bits, seed)).write.parquet(path)
+    norm = F.sqrt(_dot("vector", "vector"))
+    return df.sparkSession.read.parquet(path).where("vector IS NOT NULL").select("id", "vector", norm.alias("norm"), "codes")
+
+
+def _dot(a: str, b: str):
+    products = F.zip_with(F.col(a), F.col(b), lambda x, y: x.cast("double") * y.cast("double"))
+    return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
+
+
+def lsh_candidates(queries: DataFrame, corpus: DataFrame) -> DataFrame:
+    """(query_id, item_id), once each: the rows of two ``coded_vectors`` that share a bucket. An
+    equi-join on (table, code) of ids alone; adaptive execution splits an overfull bucket."""
+
+    def buckets(df: DataFrame, name: str) -> DataFrame:
+        return df.select(F.col("id").alias(name), F.posexplode("codes").alias("table", "code"))
+
+    return buckets(queries, "query_id").join(buckets(corpus, "item_id"), ["table", "code"]).select(
+        "query_id", "item_id").distinct()
+
+
+def lsh_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str = "cosine", q_id: str = "query_id",
+             q_vec: str = "vector", c_id: str = "item_id", c_vec: str = "vector", tables: int = 8, bits: int = 8,
+             seed: int = 17) -> DataFrame:
+    """V7: top-k among bucket mates, re-scored exactly; (query_id, item_id, score, rank).
+
+    Only candidates are scored. Nothing is collected and no side is broadcast by hint, so both
+    batches may be of any size. Projections of float32 inputs are exact double sums, so the codes
+    never depend on order.
+    """
+    q = coded_vectors(queries, q_id, q_vec, tables, bits, seed).where("norm > 0")
+    c = coded_vectors(corpus, c_id, c_vec, tables, bits, seed)
+    pairs = lsh_candidates(q, c)
+    rows = pairs.join(c.select(F.col("id").alias("item_id"), F.col("vector").alias("_cv"), F.col("norm").alias("_cn")), "item_id")
+    rows = rows.join(q.select(F.col("id").alias("query_id"), F.col("vector").alias("_qv"), F.col("norm").alias("_qn")), "query_id")
+    dot = _dot("_qv", "_cv")
+    score = {
+        "ip": dot,
+        "cosine": F.when(F.col("_cn") > 0, dot / (F.col("_qn") * F.col("_cn"))).otherwise(0.0),
+        "l2": F.sqrt(F.greatest(F.col("_qn") * F.col("_qn") + F.col("_cn") * F.col("_cn") - 2 * dot, F.lit(0.0))),
+    }
+    if metric not in score:
+        raise ValueError(f"unknown metric {metric!r}")
+    scored = rows.select("query_id", "item_id", F.round(score[metric], 6).alias("score"))
+    return _global_topk(scored, k, metric == "l2")
+
+
+def _make_kernel(qids, Q, k, metric, c_id, c_vec):
     ascending = metric == "l2"
     qn = np.sqrt((Q * Q).sum(axis=1))
-    q_codes = _lsh_codes(Q, planes) if planes is not None else None
     worst = np.inf if ascending else -np.inf
     step = max(1, SCORE_CELLS // max(1, len(qids)))
 
@@ -235,9 +306,6 @@ def _make_kernel(qids, Q, k, metric, c_id, c_vec, planes=None):
                 S = np.round(_scores(metric, Q, qn, C), 6)
                 # an all-zero query vector (no tokens) carries no signal: no results
                 S[qn == 0.0, :] = worst
-                if q_codes is not None:
-                    match = (q_codes[:, None, :] == _lsh_codes(C, planes)[None, :, :]).any(axis=2)
-                    S = np.where(match, S, worst)
                 I = np.broadcast_to(ids, S.shape)
                 best_s, best_i = _topk_merge(best_s, best_i, S, I, k, ascending)
         if best_s is None:
@@ -284,11 +352,10 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str
     Returns (query_id, item_id, score, rank). Ids must be integral; a query
     whose vector is all zeros gets no rows, corpus rows without a vector are
     not candidates.
-    With ``lsh_tables`` > 0 only corpus rows sharing a sign-random-projection
-    bucket (``lsh_bits`` bits) with the query in at least one table are
-    candidates (approximate search); inputs that are float32 make every
-    projection an exact double sum, so bucket codes never depend on order.
+    With ``lsh_tables`` > 0 the search is approximate: see ``lsh_topk``.
     """
+    if lsh_tables:
+        return lsh_topk(queries, corpus, k, metric, q_id, q_vec, c_id, c_vec, lsh_tables, lsh_bits, seed)
     spark = corpus.sparkSession
     ascending = metric == "l2"
     # Rows without a vector are skipped inside the kernel: a filter on the vector
@@ -301,12 +368,11 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str
             continue
         qids = np.array([int(r[0]) for r in block], dtype=np.int64)
         Q = np.array([list(r[1]) for r in block], dtype=np.float64)
-        planes = lsh_planes(lsh_tables, lsh_bits, Q.shape[1], seed) if lsh_tables else None
-        bq = spark.sparkContext.broadcast((qids, Q, planes))
+        bq = spark.sparkContext.broadcast((qids, Q))
 
         def kernel(batches, bq=bq):
-            qi, qm, pl = bq.value
-            return _make_kernel(qi, qm, k, metric, c_id, c_vec, pl)(batches)
+            qi, qm = bq.value
+            return _make_kernel(qi, qm, k, metric, c_id, c_vec)(batches)
 
         parts.append(corpus_cols.mapInPandas(kernel, schema))
     if not parts:

@@ -19,10 +19,14 @@ from caselake.sources.courts import court_label
 META = ("opinion_id", "cluster_id", "case_name", "court", "year", "opinion_type", "citation")
 
 
+def _meta(opinions: DataFrame) -> tuple[str, ...]:
+    return (*META, "opinion_key") if "opinion_key" in opinions.columns else META
+
+
 def text_bearing(opinions: DataFrame, min_len: int = MIN_TEXT_LEN) -> DataFrame:
     """Opinions with their chunk-rule text (D1) of at least ``min_len`` chars, as ``body``."""
     body = effective_text("plain_text", "html_with_citations", rule="chunk")
-    return opinions.select(*META, body.alias("body")).where(F.length("body") >= F.lit(min_len))
+    return opinions.select(*_meta(opinions), body.alias("body")).where(F.length("body") >= F.lit(min_len))
 
 
 def text_rule_anomalies(opinions: DataFrame, min_len: int = MIN_TEXT_LEN) -> DataFrame:
@@ -43,10 +47,10 @@ def explode_chunks(df: DataFrame, chunks_col, keep) -> DataFrame:
 
 def opinion_chunks(opinions: DataFrame, min_len: int = MIN_TEXT_LEN, size: int = CHUNK_SIZE,
                    overlap: int = CHUNK_OVERLAP, native: bool = False, widths: dict | None = None) -> DataFrame:
-    """F7(chunk) -> P5 -> F11 -> W2 -> F12 -> K5 projection."""
+    """F7(chunk) -> P5 -> F11 -> W2 -> F12 -> K5 projection; an ``opinion_key`` is carried along."""
     chunker = legal_chunks_native if native else legal_chunks
     src = text_bearing(opinions, min_len)
-    exploded = explode_chunks(src, chunker("body", size, overlap), META)
+    exploded = explode_chunks(src, chunker("body", size, overlap), _meta(opinions))
     w = widths or {}
     case_name = fit("case_name", w, "case_name")
     otype = fit("opinion_type", w, "opinion_type")
@@ -56,6 +60,7 @@ def opinion_chunks(opinions: DataFrame, min_len: int = MIN_TEXT_LEN, size: int =
         exploded.select(
             "opinion_id", "cluster_id", case_name.alias("case_name"), "court", "year",
             otype.alias("opinion_type"), "chunk_index", text.alias("text"), citation.alias("citation"),
+            *(["opinion_key"] if "opinion_key" in opinions.columns else []),
         ),
         w,
     )

@@ -11,29 +11,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselake.functions.text import int_or_zero
 from caselake.operators.aggregates import with_count_metric
 from caselake.operators.dedup import dedup_first, insert_or_ignore
-from caselake.operators.joins import broadcast_if_bounded
 from caselake.operators.vectors import embed
 from caselake.plans.chunks import opinion_chunks
+from caselake.plans.lake_etl import first_opinions
 from caselake.plans.statutes import statute_chunk_rows
 from caselake.sources.courts import INGEST_COURTS
-from caselake.sources.lake import filter_year_range, scan_courts
+from caselake.sources.lake import filter_year_range, has_data, scan_courts
 from caselake.sources.statutes import scan_statutes_jsonl, title_file_paths
 
 OPINION_KEY = ("opinion_id", "chunk_index")
 STATUTE_KEY = ("section_id", "chunk_index")
-DONE_BROADCAST_ROWS = 5_000_000
 
 
-def _sink_keys(spark: SparkSession, sink_path: str, cols) -> DataFrame | None:
-    """Distinct natural keys already in the sink, or None when it does not exist yet."""
-    from caselake.sources.lake import stage_done
-
-    if not stage_done(spark, sink_path):
+def sink_keys(spark: SparkSession, sink_path: str, cols) -> DataFrame | None:
+    """Distinct natural keys already in the sink, or None when it holds nothing yet. A sink written
+    without ``opinion_key`` is known by its numeric ids, the default id 0 aside."""
+    if not has_data(spark, sink_path):
         return None
-    return spark.read.parquet(sink_path).select(*cols).distinct()
+    rows = spark.read.parquet(sink_path)
+    if "opinion_key" in cols and "opinion_key" not in rows.columns:
+        rows = rows.where("opinion_id <> 0").withColumn("opinion_key", F.col("opinion_id").cast("string"))
+    return rows.select(*cols).distinct()
+
+
+def new_opinions(spark: SparkSession, lake: DataFrame, sink_path: str) -> DataFrame:
+    """Lake rows to chunk, with their raw ``opinion_key``: the first row of each id that the sink does
+    not hold. Both steps shuffle on the key once. All chunks of an opinion come from one row, in
+    one task and file, so the sink has all or none of them."""
+    fresh = first_opinions(lake, keep_key=True)
+    done = sink_keys(spark, sink_path, ["opinion_key"])
+    return fresh if done is None else fresh.join(done, "opinion_key", "left_anti")
 
 
 def _write(rows: DataFrame, sink_path: str, partition_by=None) -> int:
@@ -52,19 +61,21 @@ def run_opinion_ingest(spark: SparkSession, lake_root: str, sink_path: str, cour
     sink already holds, chunks with headers, vectors from the batched encoder,
     append. Returns the number of chunk rows inserted.
 
-    Skipping happens per opinion before chunking and embedding (all chunks of
-    an opinion come from one row and are committed by the same job), so a
-    rerun re-embeds nothing.
+    Skipping happens per raw opinion id before chunking and embedding, so a
+    rerun re-embeds nothing, a repeated id is stored once, and ids that are no
+    numbers are told apart though the sink shows them as 0.
     """
     lake = filter_year_range(scan_courts(spark, lake_root, courts), start_year, end_year, keep_unknown)
-    done = _sink_keys(spark, sink_path, ["opinion_id"])
-    if done is not None:
-        done = broadcast_if_bounded(done.withColumnRenamed("opinion_id", "_done_id"), DONE_BROADCAST_ROWS)
-        lake = lake.join(done, int_or_zero("opinion_id") == F.col("_done_id"), "left_anti")
-    rows = opinion_chunks(lake).withColumn("vector", embed("text", encoder_factory, dim))
+    rows = opinion_chunks(new_opinions(spark, lake, sink_path)).withColumn("vector", embed("text", encoder_factory, dim))
     return _write(rows, sink_path, partition_by="court")
 
 
+def new_statutes(spark: SparkSession, rows: DataFrame, sink_path: str) -> DataFrame:
+    """K4: the first row of each (section, chunk) that the sink does not hold."""
+    done = sink_keys(spark, sink_path, list(STATUTE_KEY))
+    return insert_or_ignore(rows, done, list(STATUTE_KEY)) if done is not None else dedup_first(rows, list(STATUTE_KEY))
+
+
 def run_statute_ingest(spark: SparkSession, title_root: str, sink_path: str,
                        encoder_factory=None, dim: int = 768) -> int:
     """Statute ingest: title files (minus split sets) -> active sections with a
@@ -72,10 +83,7 @@ def run_statute_ingest(spark: SparkSession, title_root: str, sink_path: str,
     Returns rows inserted."""
     records = scan_statutes_jsonl(spark, title_file_paths(spark, title_root))
     rows = statute_chunk_rows(records)
-    done = _sink_keys(spark, sink_path, list(STATUTE_KEY))
-    # first record per key wins, also on the first run
-    rows = insert_or_ignore(rows, done, list(STATUTE_KEY)) if done is not None else dedup_first(rows, list(STATUTE_KEY))
-    return _write(rows.withColumn("vector", embed("text", encoder_factory, dim)), sink_path)
+    return _write(new_statutes(spark, rows, sink_path).withColumn("vector", embed("text", encoder_factory, dim)), sink_path)
 
 
 def sink_progress(spark: SparkSession, sink_path: str) -> DataFrame:

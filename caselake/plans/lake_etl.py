@@ -70,13 +70,27 @@ def clusters_stage(clusters_raw: DataFrame, dockets: DataFrame, citations_raw: D
     return attach_citations(joined, cites).select("cluster_id", "case_name", "court", "year", "citation")
 
 
+def with_opinion_key(opinions: DataFrame) -> DataFrame:
+    """``opinion_key``: the raw id as text; a row without one is known by its content instead."""
+    content = F.sha2(F.to_json(F.struct("cluster_id", "plain_text", "html_with_citations")), 256)
+    return opinions.withColumn(
+        "opinion_key", F.coalesce(F.col("opinion_id").cast("string"), F.concat(F.lit("no-id:"), content)))
+
+
+def first_opinions(opinions: DataFrame, keep_key: bool = False) -> DataFrame:
+    """W1 on opinions: one row per raw id, the smallest by the other columns."""
+    one = dedup_first(with_opinion_key(opinions), "opinion_key")
+    return one if keep_key else one.drop("opinion_key")
+
+
 def opinions_stage(opinions_raw: DataFrame, clusters: DataFrame, min_len: int = MIN_TEXT_LEN,
                    max_broadcast_rows: int = CLUSTERS_BROADCAST_ROWS) -> DataFrame:
-    """Job 3 (J3, F5, F4, F6, F7 lake rule, P5, P10): denormalized text-bearing opinions."""
+    """Job 3 (J3, W1, F5, F4, F6, F7 lake rule, P5, P10): denormalized text-bearing opinions, one per
+    id. The first of a repeated id is chosen among the rows of known clusters, before the text rule."""
     o = opinions_raw.select(
         F.col("id").alias("opinion_id"), "cluster_id", "type", "plain_text", "html_with_citations"
     )
-    j = opinions_with_clusters(o, clusters, max_broadcast_rows)
+    j = first_opinions(opinions_with_clusters(o, clusters, max_broadcast_rows))
     out = j.select(
         "opinion_id", "cluster_id", "case_name", "court", "year", "citation",
         opinion_type("type").alias("opinion_type"),
@@ -100,13 +114,13 @@ def run_lake_etl(spark: SparkSession, dockets_raw: DataFrame, clusters_raw: Data
     opinions_path = os.path.join(out_root, "opinions")
 
     d, obs = with_count_metric(dockets_stage(dockets_raw, courts), "dockets")
-    write_stage(d, dockets_path, files=4)
+    write_stage(d, dockets_path)
     counts["dockets"] = obs.get["dockets"]
 
     c, obs = with_count_metric(
         clusters_stage(clusters_raw, spark.read.parquet(dockets_path), citations_raw), "clusters"
     )
-    write_stage(c, clusters_path, files=8)
+    write_stage(c, clusters_path)
     counts["clusters"] = obs.get["clusters"]
 
     o, obs = with_count_metric(opinions_stage(opinions_raw, spark.read.parquet(clusters_path)), "opinions")

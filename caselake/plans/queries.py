@@ -210,6 +210,14 @@ def q_text_rule_anomalies(spark, d):
     return text_rule_anomalies(lake_opinions(spark, d))
 
 
+@register("opinions_first_wins", LAKE_PREFIX + " SELECT * FROM lake")
+def q_opinions_first_wins(spark, d):
+    """A snapshot that lists every opinion three times, once with a longer text; the first wins."""
+    raw = S.opinions_raw(spark, d)
+    longer = raw.withColumn("plain_text", F.concat("plain_text", F.lit("!")))
+    return opinions_stage(raw.unionByName(longer).unionByName(raw), staged_clusters(spark, d))
+
+
 @register("enriched_opinion_chunks", SQL_FLAGSHIP)
 def q_enriched_opinion_chunks(spark, d):
     """Flagship: dockets ⋈ clusters ⟕ citations ⋈ opinions -> text -> chunks -> headers."""
@@ -247,27 +255,22 @@ def q_court_totals(spark, d):
     return court_totals(S.dockets_raw(spark, d))
 
 
-def _docket_court_dimension(spark, d):
-    courts = S.dockets_raw(spark, d).select("court_id").where(F.col("court_id").isNotNull())
-    return court_dimension(spark, courts)
+def _court_dimension(spark, d):
+    return court_dimension(spark, S.court_ids(spark, d), S.court_names(spark, d))
 
 
-SQL_DIM = f"""
-    dim AS (SELECT id, {Q.court_label('id')} AS name,
-                   CASE WHEN id = 'scotus' THEN 'Federal — Supreme Court'
-                        WHEN regexp_full_match(id, 'ca([0-9]+|dc|fc)') THEN 'Federal — Circuit Courts of Appeals'
-                        WHEN regexp_matches(id, '(app|ct|appdiv)$') THEN 'State — Courts of Appeals'
-                        ELSE 'State — Supreme Courts' END AS "group",
-                   {Q.court_label('id')} AS label,
-                   id IN {LAKE_SQL} AS in_lake, id IN {INGEST_SQL} AS in_ingest
-            FROM (SELECT DISTINCT court_id AS id FROM dockets_raw WHERE court_id IS NOT NULL))"""
+SQL_DIM = S.SQL_COURT_IDS + "," + S.SQL_COURT_NAMES + f""",
+    dim AS (SELECT i.id, coalesce(n.name, {Q.court_label('i.id')}) AS name, n."group",
+                   {Q.court_label('i.id')} AS label,
+                   i.id IN {LAKE_SQL} AS in_lake, i.id IN {INGEST_SQL} AS in_ingest
+            FROM court_ids i LEFT JOIN court_names n ON i.id = n.id)"""
 
 
 @register("court_search", S.standin_ctes("dockets_raw") + "," + SQL_DIM + """
     SELECT * FROM dim WHERE contains(lower(name), 'ing') OR contains(lower(id), 'ing')""")
 def q_court_search(spark, d):
     """Courts whose name or id contains 'ing' (case-insensitive)."""
-    return search_courts(_docket_court_dimension(spark, d), "ING")
+    return search_courts(_court_dimension(spark, d), "ING")
 
 
 @register("court_labels", S.standin_ctes("dockets_raw") + "," + SQL_DIM + "," + SQL_COURT_STATS + """
@@ -277,7 +280,7 @@ def q_court_labels(spark, d):
     """Court dimension with labels and the storage badge."""
     from caselake.operators.joins import attach_estimates
 
-    return attach_estimates(_docket_court_dimension(spark, d), court_stats(S.dockets_raw(spark, d)))
+    return attach_estimates(_court_dimension(spark, d), court_stats(S.dockets_raw(spark, d)))
 
 
 # ── Dedup / insert-or-ignore over lineitem and orders ───────────────────────
@@ -515,19 +518,65 @@ def q_resume_anti(spark, d):
     return skip_done(text_bearing(lake), done, "opinion_id").select("opinion_id", "court", "year")
 
 
+def _stream(spark, d):
+    """A lake written by court and a function that runs T1 over it, with the paths of both and the checkpoint."""
+    from caselake.operators.sinks import write_by_court
+    from caselake.session import scratch_path
+    from caselake.streaming.incremental import run_incremental_chunks
+
+    lake, sink, done = (scratch_path(spark, f"stream-{x}") for x in ("lake", "sink", "ckpt"))
+    write_by_court(lake_opinions(spark, d), lake)
+    schema = spark.read.parquet(lake).schema
+    return lake, sink, done, lambda: run_incremental_chunks(spark, lake, schema, sink, done)
+
+
 @register("incremental_chunks", SQL_FLAGSHIP)
 def q_incremental_chunks(spark, d):
     """Lake written by court, then chunked by an availableNow streaming run with a checkpoint."""
+    return _stream(spark, d)[3]()
+
+
+@register("stream_rewritten_lake", SQL_FLAGSHIP)
+def q_stream_rewritten_lake(spark, d):
+    """The lake is streamed, rewritten with the same rows, and streamed again."""
     from caselake.operators.sinks import write_by_court
+
+    lake, _, _, run = _stream(spark, d)
+    run()
+    write_by_court(lake_opinions(spark, d), lake)
+    return run()
+
+
+@register("stream_scope_reset", SQL_FLAGSHIP)
+def q_stream_scope_reset(spark, d):
+    """After a run one court and year, then one whole year are reset; the next run fills them again."""
+    from caselake.streaming.incremental import reset
+
+    _, sink, done, run = _stream(spark, d)
+    run()
+    reset(spark, sink, done, court="BUILDING", year=1996)
+    reset(spark, sink, done, year=1994)
+    return run()
+
+
+@register("ingest_raw_ids", "WITH x AS (" + SQL_FLAGSHIP + """)
+    SELECT * FROM x UNION ALL SELECT * REPLACE (CAST(0 AS BIGINT) AS opinion_id) FROM x""")
+def q_ingest_raw_ids(spark, d):
+    """A lake that lists every opinion twice, and again under an id that is no number, ingested
+    in two runs of which the second has the rows of the first and more."""
+    from caselake.operators.sinks import OPINION_CHUNK_COLUMNS, write_by_court
+    from caselake.plans.ingest import run_opinion_ingest
     from caselake.session import scratch_path
-    from caselake.streaming.incremental import run_incremental_chunks
 
-    lake = lake_opinions(spark, d)
-    path = scratch_path(spark, "stream-lake")
-    write_by_court(lake, path)
-    schema = spark.read.parquet(path).schema
-    return run_incremental_chunks(spark, path, schema, scratch_path(spark, "stream-sink"),
-                                  scratch_path(spark, "stream-ckpt"))
+    one = lake_opinions(spark, d)
+    named = one.withColumn("opinion_id", F.concat(F.lit("x"), "opinion_id"))
+    lake, sink = scratch_path(spark, "raw-lake"), scratch_path(spark, "raw-sink")
+    write_by_court(one.unionByName(one), lake)
+    run_opinion_ingest(spark, lake, sink, courts=S.STANDIN_COURTS, end_year=1996, keep_unknown=True, dim=8)
+    write_by_court(named.unionByName(one).unionByName(named), lake, mode="append")
+    run_opinion_ingest(spark, lake, sink, courts=S.STANDIN_COURTS, dim=8)
+    return spark.read.parquet(sink).select(*OPINION_CHUNK_COLUMNS)
+
 
 from caselake.plans import retrieval_queries  # noqa: E402,F401  (registers retrieval queries)
 from caselake.plans import design_queries  # noqa: E402,F401  (registers design-note queries)

@@ -114,9 +114,10 @@ def q_bm25_topk(spark, d):
     return bm25_topk(_bench_queries(spark, d), S.text_table(spark, d, "documents", "doc_id"), k=10)
 
 
-SQL_HYBRID = "WITH " + Q.bm25_scores("bm", "benchmark", "item_id", "text", "documents", "doc_id", "text") + "," \
-    + Q.hash_vectors("qh", "benchmark", "item_id", "text", 256) + "," \
-    + Q.hash_vectors("dh", "documents", "doc_id", "text", 256) + """,
+def _hybrid_ctes(depth):
+    return "WITH " + Q.bm25_scores("bm", "benchmark", "item_id", "text", "documents", "doc_id", "text") + "," \
+        + Q.hash_vectors("qh", "benchmark", "item_id", "text", 256) + "," \
+        + Q.hash_vectors("dh", "documents", "doc_id", "text", 256) + """,
     qhn AS (SELECT id, sum(CAST(v AS DOUBLE) * CAST(v AS DOUBLE)) AS sq FROM qh GROUP BY id),
     dhn AS (SELECT id, sum(CAST(v AS DOUBLE) * CAST(v AS DOUBLE)) AS sq FROM dh GROUP BY id),
     hdot AS (SELECT qh.id AS query_id, dh.id AS item_id, sum(CAST(qh.v AS DOUBLE) * CAST(dh.v AS DOUBLE)) AS dot
@@ -127,21 +128,20 @@ SQL_HYBRID = "WITH " + Q.bm25_scores("bm", "benchmark", "item_id", "text", "docu
                                 THEN coalesce(h.dot, 0) / (sqrt(qhn.sq) * sqrt(dhn.sq)) ELSE 0 END, 6) AS score
               FROM allpairs a JOIN qhn ON a.query_id = qhn.id LEFT JOIN dhn ON a.item_id = dhn.id
                    LEFT JOIN hdot h ON a.query_id = h.query_id AND a.item_id = h.item_id),
-    dr AS (""" + Q.topk("dense", 20) + """),
-    sr AS (""" + Q.topk("bm", 20) + """),
+    dr AS (""" + Q.topk("dense", depth) + """),
+    sr AS (""" + Q.topk("bm", depth) + """),
     fused AS (SELECT query_id, item_id, round(sum(1.0 / (60 + rank)), 6) AS score
               FROM (SELECT * FROM dr UNION ALL SELECT * FROM sr) GROUP BY query_id, item_id)
-    """ + Q.topk("fused", 10)
+    """
 
 
-@register("hybrid_topk", SQL_HYBRID)
+@register("hybrid_topk", _hybrid_ctes(20) + Q.topk("fused", 10))
 def q_hybrid_topk(spark, d):
     """V4: BM25 top-20 and cosine top-20 (256-dim hash vectors) fused by reciprocal rank, top-10."""
     return hybrid_topk(_bench_queries(spark, d), S.text_table(spark, d, "documents", "doc_id"), k=10, depth=20, dim=256)
 
 
-@register("rerank", "WITH " + Q.bm25_scores("bm", "benchmark", "item_id", "text", "documents", "doc_id", "text")
-          + ", top AS (" + Q.topk("bm", 50) + """),
+@register("rerank", _hybrid_ctes(50) + ", top AS (" + Q.topk("fused", 50) + """),
     cand AS (SELECT t.query_id, t.item_id, t.score,
                     list_distinct(regexp_extract_all(lower(b.text), '[a-z0-9]+')) AS qa,
                     list_distinct(regexp_extract_all(lower(d.text), '[a-z0-9]+')) AS da
@@ -154,12 +154,11 @@ def q_hybrid_topk(spark, d):
         SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY rerank_score DESC, item_id) AS INTEGER) AS rank
         FROM rs) WHERE rank <= 5""")
 def q_rerank(spark, d):
-    """V5: BM25 top-50 rescored by a batched scorer (token-set F1), top-5 per passage."""
+    """V5: hybrid top-50 rescored by a batched scorer (token-set F1), top-5 per passage."""
     docs = S.text_table(spark, d, "documents", "doc_id")
-    top = bm25_topk(_bench_queries(spark, d), docs, k=50).drop("rank")
-    # At most (checked query batch) x 50 rows: broadcast it, stream the documents.
-    top = top.join(F.broadcast(_bench_queries(spark, d).withColumnRenamed("text", "query_text")), "query_id")
-    cands = docs.select(F.col("doc_id").alias("item_id"), "text").join(F.broadcast(top), "item_id")
+    top = hybrid_topk(_bench_queries(spark, d), docs, k=50, depth=50, dim=256).drop("rank")
+    top = top.join(_bench_queries(spark, d).withColumnRenamed("text", "query_text"), "query_id")
+    cands = docs.select(F.col("doc_id").alias("item_id"), "text").join(top, "item_id")
     return rerank(cands, k=5).select("query_id", "item_id", "score", "rerank_score", "rank")
 
 
@@ -212,6 +211,5 @@ def q_chunk_search(spark, d):
     cond = F.col("court").isin(list(CHUNK_COURTS)) & (F.col("year") >= CHUNK_MIN_YEAR)
     top = filtered_topk(_bench_vectors(spark, d, CHUNK_DIM), chunks.select("item_id", "vector", "court", "year"),
                         cond, k=5)
-    # top holds at most (checked query batch) x 5 rows: broadcast it, stream the chunks.
-    return chunks.select("item_id", "opinion_id", "chunk_index", "text").join(F.broadcast(top), "item_id").select(
+    return chunks.select("item_id", "opinion_id", "chunk_index", "text").join(top, "item_id").select(
         "query_id", "opinion_id", "chunk_index", "score", "rank", "text")

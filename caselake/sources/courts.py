@@ -3,7 +3,7 @@
 The lake and ingest sets and the display labels are fixed values that must
 equal the reference's for the same filtering and headers. The full 201-court
 name list is not hard-coded: callers pass it as a DataFrame (id, name, group);
-without one, names default to the label or the id and the group follows a rule.
+a court that it does not list is named by its label or id and has no group.
 """
 
 from __future__ import annotations
@@ -52,39 +52,26 @@ def court_label(court) -> Column:
     return F.coalesce(F.create_map(*pairs)[c], c)
 
 
-def _group_rule(court_id: Column) -> Column:
-    """Group by id pattern, used when no named dimension is supplied."""
-    return (
-        F.when(court_id == F.lit("scotus"), F.lit("Federal — Supreme Court"))
-        .when(court_id.rlike(r"^ca(\d+|dc|fc)$"), F.lit("Federal — Circuit Courts of Appeals"))
-        .when(court_id.rlike(r"(app|ct|appdiv)$"), F.lit("State — Courts of Appeals"))
-        .otherwise(F.lit("State — Supreme Courts"))
-    )
-
-
 def court_dimension(spark: SparkSession, court_ids: DataFrame | None = None,
                     names: DataFrame | None = None) -> DataFrame:
     """One row per court: id, name, group, label, in_lake, in_ingest.
 
     ``court_ids``: a one-column DataFrame (``court_id``) of the courts to describe,
     e.g. the distinct courts of a dockets table; defaults to the lake set.
-    ``names``: optional (id, name, group) rows overriding the defaults.
+    ``names``: optional (id, name, group) rows; the group of a court not listed is null.
     """
     if court_ids is None:
         court_ids = spark.createDataFrame([(c,) for c in LAKE_COURTS], "court_id string")
     dim = court_ids.select(F.col("court_id").alias("id")).distinct()
     if names is not None:
-        from caselake.operators.joins import DIMENSION_BROADCAST_ROWS, broadcast_if_bounded
-
-        named = names.select("id", F.col("name").alias("_name"), F.col("group").alias("_group"))
-        dim = dim.join(broadcast_if_bounded(named, DIMENSION_BROADCAST_ROWS), "id", "left")
+        dim = dim.join(names.select("id", F.col("name").alias("_name"), F.col("group").alias("_group")), "id", "left")
     else:
         dim = dim.withColumn("_name", F.lit(None).cast("string")).withColumn("_group", F.lit(None).cast("string"))
     label = court_label(F.col("id"))
     return dim.select(
         "id",
         F.coalesce(F.col("_name"), label).alias("name"),
-        F.coalesce(F.col("_group"), _group_rule(F.col("id"))).alias("group"),
+        F.col("_group").alias("group"),
         label.alias("label"),
         F.col("id").isin(list(LAKE_COURTS)).alias("in_lake"),
         F.col("id").isin(list(INGEST_COURTS)).alias("in_ingest"),

@@ -18,6 +18,14 @@ def stage_done(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hadoop_path))
 
 
+def has_data(spark: SparkSession, path: str) -> bool:
+    """A table folder holds data: any entry that is not hidden, whoever wrote it (a streaming or
+    append writer may leave no ``_SUCCESS``)."""
+    glob = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(os.path.join(path, "[^_.]*"))
+    fs = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return len(fs.globStatus(glob) or []) > 0
+
+
 def stage_path(root: str, name: str, snapshot: str, tag: str | None = None) -> str:
     """Stage location keyed by snapshot date (and year tag when filtered)."""
     leaf = f"{name}_{snapshot}" + (f"_{tag}" if tag else "")

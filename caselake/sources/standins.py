@@ -73,6 +73,32 @@ def citations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def court_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """court ids <- the dockets' courts, 'ca' + nation key, and regions as real courts (SQL_COURT_IDS)."""
+    dockets = dockets_raw(spark, sf_dir).select("court_id").where(F.col("court_id").isNotNull())
+    nations = table(spark, sf_dir, "nation").select(F.concat(F.lit("ca"), F.col("n_nationkey").cast("string")).alias("court_id"))
+    key = F.col("r_regionkey")
+    court = F.when(key == 0, "sc").when(key == 1, "scctapp").when(key == 2, "scotus").otherwise(F.lower("r_name"))
+    return dockets.union(nations).union(table(spark, sf_dir, "region").select(court.alias("court_id"))).distinct()
+
+
+def court_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, name, group) <- nations but those of region 4, grouped by region (SQL_COURT_NAMES)."""
+    n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    return n.join(r, n["n_regionkey"] == r["r_regionkey"]).where("r_regionkey <> 4").select(
+        F.concat(F.lit("ca"), F.col("n_nationkey").cast("string")).alias("id"), F.col("n_name").alias("name"), F.col("r_name").alias("group"))
+
+
+SQL_COURT_IDS = """
+    court_ids AS (SELECT court_id AS id FROM dockets_raw WHERE court_id IS NOT NULL
+                  UNION SELECT 'ca' || CAST(n_nationkey AS VARCHAR) FROM nation
+                  UNION SELECT CASE r_regionkey WHEN 0 THEN 'sc' WHEN 1 THEN 'scctapp' WHEN 2 THEN 'scotus'
+                                                ELSE lower(r_name) END FROM region)"""
+SQL_COURT_NAMES = """
+    court_names AS (SELECT 'ca' || CAST(n_nationkey AS VARCHAR) AS id, n_name AS name, r_name AS "group"
+                    FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_regionkey <> 4)"""
+
+
 def opinions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """opinions <- documents ⟕ pages (page_id = doc_id): plain text blank on every third doc."""
     d = text_table(spark, sf_dir, "documents", "doc_id")

@@ -3,17 +3,26 @@
 A run is a streaming query over the lake (or statute files) with
 ``trigger(availableNow=True)``: it processes every file not yet recorded in
 its checkpoint, then stops. Rerunning with the same checkpoint processes only
-new files; a crash mid-run replays the unfinished batch, and the file sink's
-commit log keeps that replay from duplicating rows (idempotent, D10).
+new files; a crash mid-run replays the unfinished batch. Each batch leaves out
+the natural keys that the sink already holds, so neither a replay nor a lake
+that was rewritten in place duplicates rows (idempotent, D10).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from caselake.operators.sinks import OPINION_CHUNK_COLUMNS
 from caselake.plans.chunks import opinion_chunks
+from caselake.sources.lake import has_data
+
+# Types of a chunk sink; court and year are its folders.
+CHUNK_SCHEMA = ("opinion_id bigint, cluster_id bigint, case_name string, court string, year int, opinion_type string, "
+                "chunk_index int, text string, citation string")
+SALT_BUCKETS = 8  # files at most for a court and year in one batch
 
 
 def stream_opinions(spark: SparkSession, lake_path: str, schema: StructType,
@@ -27,45 +36,70 @@ def stream_opinions(spark: SparkSession, lake_path: str, schema: StructType,
 
 def incremental_chunks(spark: SparkSession, lake_path: str, schema: StructType, sink_path: str,
                        checkpoint_path: str, max_files_per_trigger: int | None = None,
-                       native: bool = False) -> StreamingQuery:
-    """Chunk every lake file not processed yet into ``sink_path`` (Parquet by court).
+                       native: bool = False, salt_buckets: int = SALT_BUCKETS) -> StreamingQuery:
+    """Chunk the opinions of every lake file not processed yet into ``sink_path`` (Parquet by
+    court and year), unless the sink holds their raw id (T3): a lake that is rewritten with the
+    same rows adds nothing, and neither does a batch that is replayed.
 
     Returns the started query; ``query.awaitTermination()`` waits for the run,
     ``query.stop()`` stops it (T4) — state is already durable in the checkpoint,
     and ``query.lastProgress`` gives live counters (T5).
     """
-    chunks = opinion_chunks(stream_opinions(spark, lake_path, schema, max_files_per_trigger), native=native)
+    from caselake.plans.ingest import new_opinions
+
+    def append(batch: DataFrame, _: int) -> None:
+        # Spread by court and year before chunking, so that files are few and each opinion's chunks
+        # stay in one; the salt splits a court and year that hold much of the batch.
+        salt = F.pmod(F.xxhash64("opinion_key"), F.lit(salt_buckets))
+        fresh = new_opinions(batch.sparkSession, batch, sink_path).repartition("court", "year", salt)
+        opinion_chunks(fresh, native=native).write.mode("append").partitionBy("court", "year").parquet(sink_path)
+
     return (
-        chunks.writeStream.format("parquet")
-        .option("path", sink_path)
+        stream_opinions(spark, lake_path, schema, max_files_per_trigger)
+        .writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint_path)
-        .partitionBy("court")
         .trigger(availableNow=True)
         .start()
     )
 
 
+def read_chunks(spark: SparkSession, sink_path: str) -> DataFrame:
+    """The chunk rows of a T1 sink; no rows before the first run wrote any."""
+    if not has_data(spark, sink_path):
+        return spark.createDataFrame([], CHUNK_SCHEMA)
+    return spark.read.schema(CHUNK_SCHEMA).parquet(sink_path).select(*OPINION_CHUNK_COLUMNS)
+
+
 def run_incremental_chunks(spark: SparkSession, lake_path: str, schema: StructType, sink_path: str,
                            checkpoint_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Run T1 to completion and return the sink as a batch DataFrame."""
-    q = incremental_chunks(spark, lake_path, schema, sink_path, checkpoint_path, max_files_per_trigger)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(sink_path)
+    _finish(incremental_chunks(spark, lake_path, schema, sink_path, checkpoint_path, max_files_per_trigger))
+    return read_chunks(spark, sink_path)
 
 
-def reset(spark: SparkSession, *paths: str) -> None:
-    """Forget progress by deleting an output partition and/or its checkpoint.
+def _finish(query: StreamingQuery) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
 
-    E.g. ``reset(spark, f"{sink}/court=sc", ckpt)`` then rerun: the next run
-    starts over for that scope.
+
+def reset(spark: SparkSession, sink_path: str, checkpoint_path: str, court: str | None = None,
+          year: int | None = None) -> None:
+    """Forget the progress of one court, one year, both or (neither given) all of a T1 sink.
+
+    The chunks of that scope and the checkpoint are deleted. The next run then reads every lake file
+    again, but chunks only what the sink lacks; all that is outside the scope stays as it is.
     """
+    folder = sink_path
+    if court is not None or year is not None:
+        folder = f"{sink_path}/court={'*' if court is None else court}/year={'*' if year is None else year}"
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        hp.getFileSystem(conf).delete(hp, True)
+    for name in (folder, checkpoint_path):
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        fs = path.getFileSystem(conf)
+        for found in fs.globStatus(path) or []:
+            fs.delete(found.getPath(), True)
 
 
 def incremental_statutes(spark: SparkSession, title_root: str, sink_path: str, checkpoint_path: str,
@@ -74,7 +108,9 @@ def incremental_statutes(spark: SparkSession, title_root: str, sink_path: str, c
 
     ``maxFilesPerTrigger`` gives per-file batches (T2); the checkpoint records
     finished files, so a rerun or a restart after a crash resumes per file.
+    Keys that the sink holds are not written again (T3).
     """
+    from caselake.plans.ingest import new_statutes
     from caselake.plans.statutes import statute_chunk_rows
     from caselake.sources.statutes import parse_statute_lines
 
@@ -84,9 +120,12 @@ def incremental_statutes(spark: SparkSession, title_root: str, sink_path: str, c
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     rows = statute_chunk_rows(parse_statute_lines(reader.load(title_root)))
+
+    def append(batch: DataFrame, _: int) -> None:
+        new_statutes(batch.sparkSession, batch, sink_path).write.mode("append").parquet(sink_path)
+
     return (
-        rows.writeStream.format("parquet")
-        .option("path", sink_path)
+        rows.writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint_path)
         .trigger(availableNow=True)
         .start()

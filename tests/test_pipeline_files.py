@@ -101,7 +101,7 @@ def test_sinks_and_helpers(spark, tmp_path):
     assert prog["chunks_written"] == chunks.count()
     assert prog["opinions_processed"] == chunks.select("opinion_id").distinct().count()
 
-    write_stage(QQ.lake_dockets(spark, SF_SMALL), str(tmp_path / "lake" / "dockets"), files=2)
+    write_stage(QQ.lake_dockets(spark, SF_SMALL), str(tmp_path / "lake" / "dockets"))
     write_marker(spark, "2024-02-29", str(tmp_path / "lake" / "_snapshot"))
     assert os.path.isdir(tmp_path / "lake" / "dockets")  # the marker does not clobber siblings (D14)
     assert spark.read.text(str(tmp_path / "lake" / "_snapshot")).first()[0] == "2024-02-29"

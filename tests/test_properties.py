@@ -31,11 +31,13 @@ def test_chunk_index_dense(spark):
 
 
 def test_reset_reruns_scope(spark, tmp_path):
-    from caselake.streaming.incremental import reset, run_incremental_chunks
+    from caselake.streaming.incremental import read_chunks, reset, run_incremental_chunks
 
     lake, sink, ckpt = (str(tmp_path / x) for x in ("lake", "sink", "ckpt"))
     QQ.lake_opinions(spark, SF_SMALL).write.partitionBy("court").parquet(lake)
     schema = spark.read.parquet(lake).schema
     n = run_incremental_chunks(spark, lake, schema, sink, ckpt).count()
-    reset(spark, sink, ckpt)
-    assert run_incremental_chunks(spark, lake, schema, sink, ckpt).count() == n
+    for scope in ({}, {"court": "BUILDING"}, {"year": 1996}, {"court": "MACHINERY", "year": 1995}):
+        reset(spark, sink, ckpt, **scope)
+        assert not scope or read_chunks(spark, sink).count() < n
+        assert run_incremental_chunks(spark, lake, schema, sink, ckpt).count() == n

@@ -6,7 +6,16 @@ from collections import Counter
 import numpy as np
 
 from caselake.operators.search import bm25_topk, reciprocal_rank_fusion
-from caselake.operators.vectors import HashingEncoder, tokens, vector_topk
+from caselake.operators.vectors import (
+    HashingEncoder,
+    _lsh_codes,
+    coded_vectors,
+    lsh_candidates,
+    lsh_planes,
+    lsh_topk,
+    tokens,
+    vector_topk,
+)
 
 
 def _frames(spark, nq=12, nc=300, dim=16, seed=3):
@@ -60,6 +69,22 @@ def test_approx_recall(spark):
     assert recall >= 0.5, recall
 
 
+def test_approx_scores_bucket_mates_only(spark):
+    Q, C, qdf, cdf = _frames(spark, nq=20, nc=400)
+    q, c = (coded_vectors(df, name, "vector", 3, 6) for df, name in ((qdf, "query_id"), (cdf, "item_id")))
+    pairs = {tuple(r) for r in lsh_candidates(q, c).collect()}
+    planes = lsh_planes(3, 6, 16)
+    mates = (_lsh_codes(Q, planes)[:, None, :] == _lsh_codes(C, planes)[None, :, :]).any(axis=2)
+    assert pairs == set(zip(*(x.tolist() for x in np.nonzero(mates)), strict=True))
+    assert len(pairs) < len(Q) * len(C) / 4  # exact search scores them all
+    for metric in ("cosine", "l2"):
+        got = _got(lsh_topk(qdf, cdf, 5, metric, tables=3, bits=6))
+        want = _brute(Q, C, len(C), metric)
+        assert got == {i: [j for j in order if mates[i, j]][:5] for i, order in want.items() if mates[i].any()}
+    plan = lsh_candidates(q, c)._jdf.queryExecution().toString()
+    assert "Join Inner, ((table" in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
 def test_hashing_encoder():
     enc = HashingEncoder(8)
     v = enc(["Alpha beta alpha", "", "ALPHA"])

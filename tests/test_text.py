@@ -164,7 +164,7 @@ def test_court_dimension_and_search(spark):
     assert dim.count() == 106
     sc = {r["id"]: r for r in dim.collect()}
     assert sc["sc"]["label"] == "SC Supreme Court" and sc["sc"]["in_ingest"] and sc["ala"]["label"] == "ala"
-    assert sc["ca4"]["group"].startswith("Federal")
+    assert {r["group"] for r in sc.values()} == {None}  # groups come with names only, never by a guess
     assert {r["id"] for r in search_courts(dim, " SUPREME ").collect()} == {"sc", "scotus"}
     assert search_courts(dim, "  ").count() == 106
 
