@@ -222,7 +222,10 @@ def link_edges(reps: DataFrame, radius: int = RADIUS, cell_members: int = CELL_M
     (``reps.fp``) at ``radius`` or fewer differing bits. Not every link is a row."""
     if not 0 <= radius <= MAX_RADIUS:
         raise ValueError(f"radius must be 0 to {MAX_RADIUS}")
-    cells = stage(_cells(reps, radius), "simhash-cells")
+    # Fingerprints are few bytes, but each has a hundred cells: dealt anew, they are not left to
+    # the few tasks that a small file is read in.
+    parts = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = stage(_cells(reps.select("fp").repartition(parts, "fp"), radius), "simhash-cells")
     full = stage(
         cells.groupBy("grp", "cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cell_members)
         .select("grp", "cell"), "simhash-full")
