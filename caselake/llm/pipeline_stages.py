@@ -11,7 +11,7 @@ from caselake.llm.decontaminate import benchmark_matches
 from caselake.llm.langid import identify_languages, train_text_model
 from caselake.llm.packing import pack_documents
 from caselake.llm.secret_scan import scan_secrets
-from caselake.llm.simhash_dedup import near_duplicates
+from caselake.llm.shingle_dedup import similar_classes
 
 TOKENIZER = "word_bpe_49k.json"
 PACK_END_ID = 1
@@ -31,15 +31,15 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def keep_one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each near-duplicate class, once. A class whose rows all lack
-    an id keeps them: nothing tells which one to keep."""
+    """One document of each near-duplicate class (five-word shingles, similarity of 0.8 or more; see
+    ``similar_classes``): the one of the smallest id, once. A class whose rows all lack an id keeps
+    them: nothing tells which one to keep."""
     prepare(spark)
-    classes = stage(near_duplicates(docs), "pipe-classes")
-    drop = stage(classes.where("doc_id <> component_id").select("doc_id").distinct(), "pipe-copies")
-    repeated = stage(classes.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id"), "pipe-repeated")
-    kept = _without(docs, drop)
-    once = kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return _without(kept, repeated).unionByName(once)
+    rows = stage(docs.withColumn("row", F.monotonically_increasing_id()), "pipe-rows")
+    named = stage(rows.select("row", "doc_id").join(similar_classes(rows), "row"), "pipe-classes")
+    first = named.where("doc_id IS NOT NULL").groupBy("class").agg(F.min(F.struct("doc_id", "row"))["row"].alias("first"))
+    drop = stage(named.join(first, "class").where("row <> first AND doc_id IS NOT NULL").select("row"), "pipe-copies")
+    return rows.join(drop, "row", "left_anti").select(*docs.columns)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,170 @@
+"""Near-duplicate classes by the Jaccard similarity of five-word shingles, without missing a pair.
+
+Shingles have one global order, the common ones of a sample last. Two sets of similarity s or more
+share a shingle among the first n - ceil(s n) + 1 of each in that order, so documents that
+share such a key are the only candidates. The order decides how many candidates there are, never
+which pairs are found. Candidates are verified on their whole sets.
+
+A large group of copies is not compared pair by pair: in two rounds each key ties its documents
+to one of them, and only documents of one key that are still in different classes are compared
+after that.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from caselake.llm.common import stage
+from caselake.llm.components import connected_components
+
+SEED = 42
+SHINGLE_WORDS = 5
+SIMILARITY = (4, 5)    # numerator and denominator
+SAMPLE_ROWS = 20_000   # documents whose shingles are counted for the order
+COMMON = 200_000       # shingles of the sample that the order tells apart from rare ones
+ROUNDS = 2
+BROADCAST_ROWS = 1_000_000  # numbers of candidate documents that are broadcast
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_WORDS_IN_CACHE = 1_000_000
+
+
+class _WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= _WORDS_IN_CACHE:
+            self.clear()
+        out = self[word] = xxhash.xxh64_intdigest(word, SEED)
+        return out
+
+
+def shingle_set(text: str | None, cache: dict | None = None, shingle_words: int = SHINGLE_WORDS) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the word shingles. A-Z are lower-cased, words are runs without
+    ASCII white space. Fewer words than a shingle: the whole sequence; none: an empty set."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.empty(0, np.int64)
+    cache = _WordHashes() if cache is None else cache
+    ids = np.fromiter(map(cache.__getitem__, words), dtype=np.uint64, count=len(words))
+    k = min(shingle_words, ids.size)
+    out = np.full(ids.size - k + 1, k, dtype=np.uint64)
+    for j in range(k):
+        out = (out ^ out >> np.uint64(29)) * _BASE + ids[j:j + out.size]
+    out = (out ^ out >> np.uint64(32)) * _BASE
+    return np.unique((out ^ out >> np.uint64(29)).view(np.int64))
+
+
+def _set_name(shingles: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(shingles.tobytes(), SEED) - (1 << 63)
+
+
+def _common(docs: DataFrame, rows: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles, counts), sorted by shingle, of the shingles that come in several sampled documents."""
+    share = min(1.0, rows / max(1, docs.count()))
+    picked = docs.where(F.pmod(F.xxhash64("row"), F.lit(1 << 20)) < int(share * (1 << 20))).select("text")
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = _WordHashes()
+        for batch in batches:
+            for text in batch.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(text.as_py(), cache))], names=["s"])
+
+    top = picked.mapInArrow(kernel, "s bigint").groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n > 2").orderBy(F.desc("n"), "s").limit(most)
+    found = sorted((r["s"], r["n"]) for r in top.collect())
+    return np.array([s for s, _ in found], dtype=np.int64), np.array([n for _, n in found], dtype=np.int64)
+
+
+def _keys(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(row, u, n, keys): name and size of each document's shingle set, and its first shingles in the
+    order; a set that the same task has met before comes without them."""
+    up, down = SIMILARITY
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = _WordHashes()
+        known, counts = common
+        seen: set[int] = set()
+        for batch in batches:
+            names, sizes, keys = [], [], []
+            for text in batch.column(1):
+                own = shingle_set(text.as_py(), cache)
+                names.append(_set_name(own))
+                sizes.append(own.size)
+                if names[-1] in seen:
+                    keys.append([])
+                    continue
+                if len(seen) >= _WORDS_IN_CACHE:
+                    seen.clear()
+                seen.add(names[-1])
+                often = np.zeros(own.size, dtype=np.int64)
+                if known.size and own.size:
+                    place = np.minimum(np.searchsorted(known, own), known.size - 1)
+                    often = np.where(known[place] == own, counts[place], 0)
+                prefix = own.size + up * own.size // -down + 1 if own.size else 0  # n - ceil(s n) + 1
+                keys.append(own[np.lexsort((own, often))[:prefix]])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["row", "u", "n", "keys"])
+
+    return docs.select("row", "text").mapInArrow(kernel, "row bigint, u bigint, n bigint, keys array<bigint>")
+
+
+def _sets(docs: DataFrame) -> DataFrame:
+    """(u, own): the shingle sets."""
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = _WordHashes()
+        for batch in batches:
+            own = [shingle_set(t.as_py(), cache) for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([_set_name(x) for x in own], pa.int64()), pa.array(own, pa.list_(pa.int64()))], names=["u", "own"])
+
+    return docs.select("text").mapInArrow(kernel, "u bigint, own array<bigint>")
+
+
+def similar_classes(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(row, class) for every row of ``docs`` (row: unique bigint, text): rows of a class are connected
+    by pairs whose shingle sets have a Jaccard similarity of SIMILARITY or more. Texts without
+    words are one class. Other columns are ignored."""
+    up, down = SIMILARITY
+    src = docs.select("row", F.col("text").cast("string").alias("text"))
+    marked = stage(_keys(src, _common(src, sample_rows, COMMON)), "shingle-keys")
+    names = marked.groupBy("u").agg(F.min("row").alias("row"), F.max("n").alias("n"))
+    exploded = marked.select("u", "n", F.explode("keys").alias("key")).distinct()
+    # If any document of a key has a size that allows the similarity, so has the next one by size.
+    by_size = Window.partitionBy("key").orderBy("n", "u")
+    fits = (F.lag("n", 1, 0).over(by_size) * down >= F.col("n") * up) | (F.col("n") * down >= F.coalesce(F.lead("n").over(by_size) * up, F.lit(1 << 62)))
+    members = stage(exploded.withColumn("fits", fits).where("fits").select("key", "u", "n"), "shingle-members")
+    wanted = stage(names.join(members.select("u").distinct(), "u", "left_semi").select("row"), "shingle-wanted")
+    if wanted.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)  # spares the texts a shuffle
+    sets = stage(_sets(src.join(wanted, "row", "left_semi")), "shingle-sets")
+    sized = F.least("n", "n2") * down >= F.greatest("n", "n2") * up
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        both = stage(pairs.where(sized).select(F.least("u", "u2").alias("a"), F.greatest("u", "u2").alias("b")).distinct(), "shingle-pairs")
+        found = both.join(sets.select(F.col("u").alias("a"), F.col("own").alias("x")), "a").join(
+            sets.select(F.col("u").alias("b"), F.col("own").alias("y")), "b")
+        same = F.size(F.array_intersect("x", "y"))
+        return stage(found.where(same * (up + down) >= (F.size("x") + F.size("y")) * up).select("a", "b"), "shingle-links")
+
+    links, labels = None, None
+    open_keys = members.withColumn("label", F.col("u"))
+    for turn in range(ROUNDS + 1):
+        if turn < ROUNDS:
+            # One document of each key, the same one in most keys of a group of copies.
+            middle = open_keys.groupBy("key").agg(F.min(F.struct(F.xxhash64("u", F.lit(turn)).alias("h"), "u", "n", "label")).alias("c")).select(
+                "key", F.col("c.u").alias("u2"), F.col("c.n").alias("n2"), F.col("c.label").alias("label2"))
+        else:
+            middle = open_keys.select("key", F.col("u").alias("u2"), F.col("n").alias("n2"), F.col("label").alias("label2"))
+        new = verified(open_keys.join(middle, "key").where("label <> label2" + (" AND u < u2" if turn == ROUNDS else "")))
+        links = new if links is None else links.union(new)
+        labels = connected_components(links)
+        if turn < ROUNDS:
+            named = members.join(labels.select(F.col("node").alias("u"), "label"), "u", "left").withColumn("label", F.coalesce("label", "u"))
+            several = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
+            open_keys = stage(named.join(several, "key", "left_semi").select("key", "u", "n", "label"), "shingle-open")
+    return marked.join(labels.select(F.col("node").alias("u"), "label"), "u", "left").select("row", F.coalesce("label", "u").alias("class"))
