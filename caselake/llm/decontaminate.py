@@ -3,8 +3,11 @@
 For each benchmark item of n words, every window of n words in a document is a suspect. The
 fingerprints of suspects are looked up in a multi-index of the items' fingerprints: 64 bits in
 4 blocks, each item filed under all block values within radius // 4 bits, so by the pigeonhole
-principle no item within the radius is missed. Candidates of the window's size are then
-verified by the exact weighted similarity of their word shingles.
+principle no item within the radius is missed. A few long words can carry a similar window beyond
+any radius, so a second index completes the candidates: of each item the rarest shingles
+that weigh more than a window may miss. A window without any of them cannot reach the threshold.
+Candidates of the window's size are then verified by the exact weighted similarity of their
+word shingles.
 
 Two exact shortcuts keep the windows few. A window can only reach the threshold if the
 benchmark shingles in it weigh enough for the lightest item of its size, so others get no
@@ -118,12 +121,26 @@ class BenchmarkIndex:
         # By item size: the weight that benchmark shingles must have in a window of that size.
         self.least: dict[int, float] = {}
         prints = np.zeros(len(self.words), dtype=np.uint64)
+        common = Counter(s for w, k in zip(self.words, self.k, strict=True) for s in set(_shingles(w, k)))
+        rare: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for n, (w, k) in enumerate(zip(self.words, self.k, strict=True)):
             shingles = _shingles(w, k)
-            need = threshold * sum(map(_weight, shingles))
+            need = threshold * sum(map(_weight, shingles)) - 1e-6  # weights are whole numbers
+            left = sum(map(_weight, shingles))
+            for s, times in sorted(Counter(shingles).items(), key=lambda x: (common[x[0]], x[0])):
+                if left < need:
+                    break
+                rare[k].append((int(self._hashes(self._ids(" ".join(s)), k)[0]), n))
+                left -= times * _weight(s)
             self.least[len(w)] = min(need, self.least.get(len(w), need))
             prints[n] = _pack(_signed_bits(shingles).sum(axis=0, keepdims=True))[0]
         self.prints = prints
+        # By shingle length: hashes of the rare shingles, start of each one's list, items.
+        self.rare: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for k, entries in rare.items():
+            entries.sort()
+            hashes, starts = np.unique(np.array([h for h, _ in entries], dtype=np.uint64), return_index=True)
+            self.rare[k] = hashes, np.append(starts, len(entries)), np.array([n for _, n in entries], dtype=np.int64)
         self.buckets = [self._bucket(b) for b in range(BLOCKS)]
 
     def _ids(self, lowered: str) -> np.ndarray:
@@ -164,13 +181,36 @@ class BenchmarkIndex:
         unique = np.unique(np.concatenate(pairs))
         return unique // len(self.words), unique % len(self.words)
 
+    def sharing(self, text: str | None, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(window, item) pairs of equal size of which the window holds a rare shingle of the item;
+        no pair that reaches the threshold is missed."""
+        ids = self._ids(_lower(text))
+        stride = ids.size + 1
+        order = np.argsort(size * stride + start, kind="stable")
+        placed = (size * stride + start)[order]
+        pairs = [np.empty(0, np.int64)]
+        for k, (hashes, starts, items) in self.rare.items():
+            at, found = self._known_at(ids, k, hashes)
+            place = np.searchsorted(hashes, found)
+            count = starts[place + 1] - starts[place]
+            pos = np.repeat(at, count)
+            item = items[np.arange(pos.size) - np.repeat(np.cumsum(count) - count, count) + np.repeat(starts[place], count)]
+            own = self.size[item]
+            lo = np.searchsorted(placed, own * stride + np.maximum(pos - (own - k), 0))
+            hi = np.searchsorted(placed, own * stride + pos, side="right")
+            count = np.maximum(hi - lo, 0)
+            window = order[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(lo, count)]
+            pairs.append(np.unique(window * len(self.words) + np.repeat(item, count)))
+        unique = np.unique(np.concatenate(pairs))
+        return unique // len(self.words), unique % len(self.words)
+
     def suspects(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, size, fingerprint) of the windows that could reach the threshold."""
         ids = self._ids(_lower(text))
         starts, sizes, prints = [], [], []
         words: list[str] = []
         for k, known in self.known.items():
-            hit = self._known_at(ids, k, known)
+            hit, _ = self._known_at(ids, k, known)
             if not hit.size:
                 continue
             words = words or words_of(text)
@@ -202,10 +242,11 @@ class BenchmarkIndex:
             return none, none, none.astype(np.uint64)
         return np.concatenate(starts), np.concatenate(sizes), np.concatenate(prints)
 
-    def _known_at(self, ids: np.ndarray, k: int, known: np.ndarray) -> np.ndarray:
+    def _known_at(self, ids: np.ndarray, k: int, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(position, hash) of the text's shingles that are among the known ones."""
         n = ids.size - k + 1
         if n <= 0:
-            return np.empty(0, np.int64)
+            return np.empty(0, np.int64), np.empty(0, np.uint64)
         full = np.ones(n, bool)
         for j in range(k):
             full &= ids[j:j + n] > 0
@@ -214,7 +255,8 @@ class BenchmarkIndex:
         for j in range(k):
             hashes = hashes * _BASE + ids[at + j]
         place = np.minimum(np.searchsorted(known, hashes), known.size - 1)
-        return at[known[place] == hashes]
+        fit = known[place] == hashes
+        return at[fit], hashes[fit]
 
     def matches(self, text: str | None) -> list[tuple[int, float, int, int, int]]:
         """(item id, similarity, Hamming distance, start, end) for each item found in the text: its
@@ -224,7 +266,8 @@ class BenchmarkIndex:
             return []
         words = words_of(text)
         found: dict[int, tuple] = {}
-        for w, n in zip(*self.lookup(prints, size), strict=True):
+        near, shared = self.lookup(prints, size), self.sharing(text, start, size)
+        for w, n in np.unique(np.concatenate([np.stack(near, axis=1), np.stack(shared, axis=1)]), axis=0).tolist():
             at, item = int(start[w]), self.words[n]
             like = similarity(item, words[at:at + len(item)], self.k[n])
             if like >= self.threshold:

@@ -198,6 +198,29 @@ def test_matches_are_those_of_all_windows(spark):
     assert set(got) <= exact and missed <= 0.05 * len(exact) and len(exact) > 15
 
 
+def test_long_replacement_words_hide_no_item(spark):
+    rng = random.Random(4)
+    pool = [f"w{k}" for k in range(400)]
+    items = [(n, " ".join(rng.choices(pool, k=rng.choice([3, 12, 30, 60])))) for n in range(30)]
+    items += [(100 + n, " ".join(items[0][1].split() + rng.choices(pool, k=25))) for n in range(5)]
+    docs = []
+    for n in range(150):
+        item = items[n % len(items)][1].split()
+        for _ in range(rng.randrange(3)):
+            item[rng.choice([0, -1, rng.randrange(len(item))])] = "x" * rng.choice([1, 40, 64, 300])
+        docs.append((n, " ".join(rng.choices(pool, k=rng.randrange(40)) + item + rng.choices(pool, k=rng.randrange(40)))))
+    exact = set()
+    for i, t in docs:
+        words = decontaminate.words_of(t)
+        for n, item in items:
+            w = item.split()
+            if any(decontaminate.similarity(w, words[a:a + len(w)], min(5, len(w))) >= decontaminate.SIMILARITY for a in range(len(words) - len(w) + 1)):
+                exact.add((i, n))
+    got = decontaminate.benchmark_matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    found = {(r["doc_id"], r["item_id"]): r["hamming"] for r in got.collect()}
+    assert set(found) == exact and max(found.values()) > decontaminate.RADIUS
+
+
 def test_multi_index_misses_nothing_within_the_radius():
     rng = random.Random(2)
     index = decontaminate.BenchmarkIndex([(n, " ".join(f"u{n}x{k}" for k in range(10))) for n in range(50)])
