@@ -25,9 +25,9 @@ BASE = (
 )
 # Weak parts: kind, role, pattern. None is reported alone.
 WEAK = (
-    ("user", "identifier", r"(?i)\b(?:user(?:name)?|login|client_?id|account)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9@._-]{3,64}"),
-    ("pass", "secret", r"(?i)\b(?:pass|pwd|pw|private_?key|auth|credential)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=!@#$%^&*-]{6,128}"),
-    ("endpoint", "endpoint", r"(?i)\b(?:[a-z][a-z0-9+]{1,15}://[^\s\"'<>]{4,256}|(?:host|server|endpoint|url)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9][A-Za-z0-9.:/_-]{3,128})"),
+    ("user", "identifier", r"(?i)\b(?:user(?:name)?|login|client_?id|account)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9@._-]{3,}"),
+    ("pass", "secret", r"(?i)\b(?:pass|pwd|pw|private_?key|auth|credential)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=!@#$%^&*-]{6,}"),
+    ("endpoint", "endpoint", r"(?i)\b(?:[a-z][a-z0-9+]{1,15}://[^\s\"'<>]{4,}|(?:host|server|endpoint|url)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9][A-Za-z0-9.:/_-]{3,})"),
 )
 ROLES = {"assign": "secret", "access": "identifier", "hex": "secret"} | {kind: role for kind, role, _ in WEAK}
 KINDS = [kind for kind, *_ in BASE] + [kind for kind, *_ in WEAK]

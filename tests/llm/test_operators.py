@@ -162,6 +162,15 @@ def test_weak_parts_need_their_complements(spark, empty):
     assert secret_scan.scan_secrets(empty).count() == 0
 
 
+def test_long_values_are_whole_spans_and_find_their_complement(spark):
+    key = "Ab1+/" * 800
+    rows = [(1, f"private_key: {key} login=alice01"), (2, f"login={'a' * 3000} auth={key}"),
+            (3, f"https://h.example.com/{'p/' * 2000} user=bob pwd={key}"), (4, f"host=h{'.x' * 2000} pwd=secret99 user=bob")]
+    got = {r["doc_id"]: r["spans"] for r in secret_scan.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        assert " ".join(text[s["start"]:s["end"]] for s in got[i] if s["rank"] >= len(secret_scan.BASE)) == text
+
+
 # ── Decontamination ──
 
 def test_matches_are_those_of_all_windows(spark):
