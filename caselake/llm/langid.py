@@ -19,7 +19,6 @@ from caselake.llm.common import stage
 
 BUCKETS = 1 << 15
 TRAIN_ROWS = 2000      # labelled rows per language the text model sees, the lowest by hash
-MAX_LANGUAGES = 64
 TEMPER = 0.25          # trigrams overlap, so their log-likelihoods are not independent
 UNKNOWN = "und"        # evenly spread trigrams: what is no known language
 UNKNOWN_PRIOR = 0.01
@@ -62,13 +61,13 @@ class TextModel:
 
 
 def train_text_model(labelled: DataFrame, text_col: str = "text", label_col: str = "lang",
-                     rows: int = TRAIN_ROWS, max_languages: int = MAX_LANGUAGES) -> TextModel:
-    """Trigram model of the ``max_languages`` most frequent labels, from at most ``rows`` labelled
-    texts of each: those of the lowest hash, so that the choice does not depend on partitions.
-    Null labels and null texts are no training rows."""
+                     rows: int = TRAIN_ROWS) -> TextModel:
+    """Trigram model of every label, from at most ``rows`` labelled texts of each: those of the
+    lowest hash, so that the choice does not depend on partitions. Null labels and null texts are
+    no training rows. The model holds 256 KB per label."""
     usable = labelled.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.lower(F.trim(F.col(label_col))).alias("label"), F.col(text_col).cast("string").alias("text"))
-    top = usable.groupBy("label").count().orderBy(F.desc("count"), "label").limit(max_languages).collect()
+    top = usable.groupBy("label").count().collect()
     names = sorted(r["label"] for r in top)
     if not names:
         return TextModel([UNKNOWN], np.full((1, BUCKETS), -np.log(BUCKETS)))
@@ -77,7 +76,7 @@ def train_text_model(labelled: DataFrame, text_col: str = "text", label_col: str
     counts = {r["label"]: r["count"] for r in top}
     share = F.create_map(*[F.lit(x) for n in names for x in (n, min(1.0, 2.0 * rows / counts[n] + 100.0 / counts[n]))])
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    likely = usable.where(F.col("label").isin(names)).where(draw < share[F.col("label")])
+    likely = usable.where(draw < share[F.col("label")])
     rank = F.row_number().over(Window.partitionBy("label").orderBy(F.pmod(F.xxhash64("text"), F.lit(1 << 20)), "text"))
     sample = likely.withColumn("rank", rank).where(F.col("rank") <= rows).select("label", "text").repartition("label", F.length("text"))
 
@@ -95,9 +94,9 @@ def train_text_model(labelled: DataFrame, text_col: str = "text", label_col: str
                 names=["label", "bucket", "n"])
 
     counted = sample.mapInArrow(kernel, "label string, bucket int, n bigint").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
-    table = np.zeros((len(names), BUCKETS))
+    table, place = np.zeros((len(names), BUCKETS)), {n: i for i, n in enumerate(names)}
     for r in counted.collect():  # at most languages x buckets rows
-        table[names.index(r["label"]), r["bucket"]] = r["n"]
+        table[place[r["label"]], r["bucket"]] = r["n"]
     everywhere = table.sum(axis=0) + 1.0
     backing = 200.0 * everywhere / everywhere.sum()
     table = (table + backing) / (table.sum(axis=1, keepdims=True) + 200.0)
@@ -164,40 +163,42 @@ def identify_languages(docs: DataFrame, model: TextModel, id_cols: tuple[str, ..
     prior = [(1 - UNKNOWN_PRIOR) * (t + 1.0) / (known + len(names) - 1) for t in total[:-1]] + [UNKNOWN_PRIOR]
     prior = [p / sum(prior) for p in prior]
 
-    def smoothed(votes: Column, parent: list[Column] | Column, weight: float) -> Column:
-        n = sum((votes[i] for i in range(1, len(names))), votes[0])
-        return F.array(*[(votes[i] + F.lit(weight) * parent[i]) / (n + F.lit(weight)) for i in range(len(names))])
+    # Lists by language stay in higher-order functions, so plans grow with the languages, not their square.
+    def summed(votes: Column) -> Column:
+        return F.aggregate(votes, F.lit(0).cast("bigint"), lambda a, x: a + x)
 
-    flat = [F.lit(p) for p in prior]
-    domains = hosts.groupBy("_domain").agg(add().alias("_votes")).select("_domain", smoothed(F.col("_votes"), flat, HOST_WEIGHT).alias("_parent"))
-    suffixes = hosts.groupBy("_suffix").agg(add().alias("_votes"))
+    def smoothed(rows: DataFrame, parent: Column, weight: float, name: str) -> DataFrame:
+        return rows.withColumn("_all", summed(F.col("_votes"))).withColumn(name, F.zip_with(
+            F.col("_votes"), parent, lambda v, p: (v + F.lit(weight) * p) / (F.col("_all") + F.lit(weight)))).drop("_all")
+
+    flat = F.array(*[F.lit(p) for p in prior])
+    domains = smoothed(hosts.groupBy("_domain").agg(add().alias("_votes")), flat, HOST_WEIGHT, "_parent").select("_domain", "_parent")
     whole = float(max(1, sum(total)))
-    share = sum((F.col("_votes")[i] for i in range(1, len(names))), F.col("_votes")[0]) / F.lit(whole)
-    by_suffix = suffixes.select("_suffix", F.when(F.col("_suffix") == "", F.array(*[F.lit(0.0)] * len(names))).otherwise(F.array(*[
-        F.log((F.col("_votes")[i] + F.lit(TABLE_WEIGHT) * share) / F.lit(total[i] + TABLE_WEIGHT)) for i in range(len(names))])).alias("_by_suffix"))
+    zeros = F.array(*[F.lit(0.0)] * len(names))
+    suffixes = hosts.groupBy("_suffix").agg(add().alias("_votes")).withColumn("_share", summed(F.col("_votes")) / F.lit(whole))
+    by_suffix = suffixes.select("_suffix", F.when(F.col("_suffix") == "", zeros).otherwise(F.zip_with(
+        F.col("_votes"), F.array(*[F.lit(t) for t in total]),
+        lambda v, t: F.log((v + F.lit(TABLE_WEIGHT) * F.col("_share")) / (t + F.lit(TABLE_WEIGHT))))).alias("_by_suffix"))
     priors = stage(
-        hosts.join(domains, "_domain").join(by_suffix, "_suffix")
-        .select("_host", smoothed(F.col("_votes"), F.col("_parent"), HOST_WEIGHT).alias("_prior"), "_by_suffix"), "langid-priors")
+        smoothed(hosts.join(domains, "_domain").join(by_suffix, "_suffix"), F.col("_parent"), HOST_WEIGHT, "_prior")
+        .select("_host", "_prior", "_by_suffix"), "langid-priors")
 
     # How a declaration goes with the text language: known languages and "other" only.
     code = F.when(F.col("_declared").isin(names[:-1]), F.col("_declared")).when(F.col("_declared") != "", F.lit("*"))
     table = {r["d"]: r["_votes"] for r in scored.where("_declared <> ''").groupBy(code.alias("d")).agg(count).collect()}
-    by_code = {}
+    by_code = []
     seen = max(1, sum(map(sum, table.values())))
+    said = np.sum(list(table.values()), axis=0) if table else None
     for d, v in table.items():
         part = sum(v) / seen
-        said = [sum(x[i] for x in table.values()) for i in range(len(names))]
-        by_code[d] = [float(np.log((v[i] + TABLE_WEIGHT * part) / (said[i] + TABLE_WEIGHT))) for i in range(len(names))]
-    zeros = F.array(*[F.lit(0.0)] * len(names))
-    spoken = zeros
-    for d, logs in by_code.items():
-        spoken = F.when(code == d, F.array(*[F.lit(x) for x in logs])).otherwise(spoken)
-
-    joined = scored.join(priors, "_host")
-    sums = F.array(*[
-        F.lit(TEMPER) * F.col("_scores")[i] + F.log(F.col("_prior")[i]) + F.col("_by_suffix")[i] + F.col("_spoken")[i]
-        for i in range(len(names))])
-    logs = joined.withColumn("_spoken", spoken).withColumn("_sum", sums).withColumn("_top", F.array_max("_sum"))
+        by_code.append((d, [float(np.log((v[i] + TABLE_WEIGHT * part) / (said[i] + TABLE_WEIGHT))) for i in range(len(names))]))
+    spoken = F.broadcast(docs.sparkSession.createDataFrame(by_code, "_code string, _spoken array<double>"))  # a row per language
+
+    joined = scored.join(priors, "_host").join(spoken, code == F.col("_code"), "left").withColumn("_spoken", F.coalesce("_spoken", zeros))
+    sums = F.zip_with("_scores", "_prior", lambda s, p: F.lit(TEMPER) * s + F.log(p))
+    for more in ("_by_suffix", "_spoken"):
+        sums = F.zip_with(sums, F.col(more), lambda a, x: a + x)
+    logs = joined.withColumn("_sum", sums).withColumn("_top", F.array_max("_sum"))
     weight = F.aggregate("_sum", F.lit(0.0), lambda acc, x: acc + F.exp(x - F.col("_top")))
     place = F.array_position(F.col("_sum"), F.col("_top")).cast("int")
     label = F.array(*[F.lit(n) for n in names])

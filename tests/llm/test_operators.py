@@ -446,6 +446,17 @@ def test_languages(spark, small, edges, empty):
     assert langid.identify_languages(small, langid.train_text_model(empty)).where("accepted").count() == 0
 
 
+def test_every_label_is_a_language(spark):
+    rows = []
+    for n in range(90):
+        letters = [chr(0x4E00 + 40 * n + k) for k in range(40)]
+        rng = random.Random(n)
+        rows += [(1000 * n + k, "".join(rng.choices(letters, k=200)), f"l{n:02d}") for k in range(3 + (n < 64))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in langid.identify_languages(df, langid.train_text_model(df)).collect()}
+    assert all(got[i]["lang"] == lang and got[i]["accepted"] for i, _, lang in rows) and len(got) == len(rows)
+
+
 def test_host_and_declaration_decide_a_doubtful_text(spark):
     rows = [(n, "the and of with that this from", "en", "http://news.example.com/a") for n in range(60)]
     rows += [(100 + n, "le la des les une dans pour que", "fr", "http://journal.example.fr/b") for n in range(60)]
