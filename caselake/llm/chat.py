@@ -65,8 +65,14 @@ def chosen_paths(nodes: DataFrame, best: int = 1) -> DataFrame:
 
     ``nodes``: tree, node, parent (bigint), score (double); a parent that is null or not in the tree
     makes a root. A branch is named by its leaf. Branches rank by the sum of their scores, then
-    by length, then by the smaller leaf. Nodes on a cycle or below one are on no path.
+    by length, then by the smaller leaf. Nodes on a cycle or below one are on no path. Nodes whose
+    tree is null are one tree.
     """
+    return _paths(nodes.withColumn("tree", F.struct("tree")), best).withColumn("tree", F.col("tree.tree"))
+
+
+def _paths(nodes: DataFrame, best: int) -> DataFrame:
+    """``chosen_paths`` with trees as structs: those are equal, and meet in joins, if both hold a null."""
     levels, whole = _ancestors(nodes)
     parents = levels[0].select("tree", F.col("up").alias("node")).distinct()
     leaves = whole.join(parents, ["tree", "node"], "left_anti")
@@ -84,9 +90,11 @@ def format_conversations(nodes: DataFrame, best: int = 1) -> DataFrame:
     intervals (start, end) of the texts to train on, those of assistant turns.
 
     ``nodes``: tree, node, parent, score, role, text. Null roles and texts are empty; (tree, node)
-    is unique; a tree whose nodes all hang on a cycle gives no row; an empty table gives none.
+    is unique; a tree whose nodes all hang on a cycle gives no row; nodes whose tree is null are one
+    tree; an empty table gives none.
     """
-    paths = chosen_paths(nodes.select("tree", "node", "parent", F.col("score").cast("double").alias("score")), best)
+    nodes = nodes.withColumn("tree", F.struct("tree"))
+    paths = _paths(nodes.select("tree", "node", "parent", F.col("score").cast("double").alias("score")), best)
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     rows = paths.join(nodes.select("tree", "node", "role", "text"), ["tree", "node"]).select(
         "tree", "branch", "depth", (F.lower(role) == TRAINED_ROLE).alias("trained"),
@@ -98,7 +106,7 @@ def format_conversations(nodes: DataFrame, best: int = 1) -> DataFrame:
     turns = F.array_sort(F.collect_list(F.struct("depth", "piece")))
     spans = F.array_sort(F.collect_list(F.when(F.col("trained"), span)))
     return rows.groupBy("tree", "branch").agg(turns.alias("turns"), spans.alias("mask")).select(
-        "tree", "branch", F.array_join(F.col("turns")["piece"], "").alias("formatted"), "mask")
+        F.col("tree.tree").alias("tree"), "branch", F.array_join(F.col("turns")["piece"], "").alias("formatted"), "mask")
 
 
 def read_turns(formatted: Column) -> Column:

@@ -17,43 +17,49 @@ TOKENIZER = "word_bpe_49k.json"
 PACK_END_ID = 1
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without the ids listed; rows without an id stay."""
-    return docs.join(ids.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``row``, written once: ids may be null or shared, so stages decide by row."""
+    return stage(docs.withColumn("row", F.monotonically_increasing_id()), "pipe-rows")
+
+
+def _without(rows: DataFrame, listed: DataFrame) -> DataFrame:
+    """The numbered rows that are not listed, as documents."""
+    return rows.join(listed, "row", "left_anti").drop("row")
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; see ``identify_languages`` for what is rejected.
     The text model learns from the labelled rows of the stage's own input."""
     prepare(spark)
-    found = identify_languages(docs, train_text_model(docs), declared=F.col("lang"), address=F.col("source"))
-    return _without(docs, stage(found.where("NOT accepted").select("doc_id").distinct(), "pipe-rejected"))
+    rows = _numbered(docs)
+    found = identify_languages(rows, train_text_model(rows), ("row",), declared=F.col("lang"), address=F.col("source"))
+    return _without(rows, stage(found.where("NOT accepted").select("row"), "pipe-rejected"))
 
 
 def keep_one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class (five-word shingles, similarity of 0.8 or more; see
-    ``similar_classes``): the one of the smallest id, once. A class whose rows all lack an id keeps
-    them: nothing tells which one to keep."""
+    ``similar_classes``): that of the smallest id; any one where all ids are null."""
     prepare(spark)
-    rows = stage(docs.withColumn("row", F.monotonically_increasing_id()), "pipe-rows")
+    rows = _numbered(docs)
     named = stage(rows.select("row", "doc_id").join(similar_classes(rows), "row"), "pipe-classes")
-    first = named.where("doc_id IS NOT NULL").groupBy("class").agg(F.min(F.struct("doc_id", "row"))["row"].alias("first"))
-    drop = stage(named.join(first, "class").where("row <> first AND doc_id IS NOT NULL").select("row"), "pipe-copies")
-    return rows.join(drop, "row", "left_anti").select(*docs.columns)
+    first = named.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias("first"))
+    return _without(rows, stage(named.join(first, "class").where("row <> first").select("row"), "pipe-copies"))
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     prepare(spark)
-    found = benchmark_matches(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, stage(found.select("doc_id").distinct(), "pipe-contaminated"))
+    rows = _numbered(docs)
+    found = benchmark_matches(rows, table(spark, sf_dir, "benchmark"), id_col="row")
+    return _without(rows, stage(found.select(F.col("doc_id").alias("row")).distinct(), "pipe-contaminated"))
 
 
 def keep_secret_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no secret is found, strong or linked."""
     prepare(spark)
-    found = scan_secrets(docs).where(F.size("spans") > 0)
-    return _without(docs, stage(found.select("doc_id").distinct(), "pipe-secrets"))
+    rows = _numbered(docs)
+    found = scan_secrets(rows, id_col="row").where(F.size("spans") > 0)
+    return _without(rows, stage(found.select(F.col("doc_id").alias("row")), "pipe-secrets"))
 
 
 def pack_kept(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

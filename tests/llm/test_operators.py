@@ -431,6 +431,14 @@ def test_conversations_come_back(spark):
     assert {c: loss for c, _, loss in got} == {c: "".join(t for r, t in turns if r == "assistant") for c, turns in want.items()}
 
 
+def test_rows_without_a_conversation_are_one_conversation(spark):
+    rows = [(None, 0, "user", "hi"), (None, 1, "assistant", "ho"), (None, 2, "user", "hm"), (1, 0, "user", "x"), (0, 0, "user", "y")]
+    nodes = chat.conversation_nodes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    got = {r["tree"]: [tuple(t) for t in r["turns"]] for r in chat.format_conversations(nodes).select(
+        "tree", chat.read_turns(F.col("formatted")).alias("turns")).collect()}
+    assert got == {None: [("user", "hi"), ("assistant", "ho"), ("user", "hm")], 1: [("user", "x")], 0: [("user", "y")]}
+
+
 # ── Language and licences ──
 
 def test_languages(spark, small, edges, empty):
@@ -521,3 +529,24 @@ def test_near_dedup_stage_finds_every_pair_of_similarity_08(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = [r["doc_id"] for r in pipeline_stages.keep_one_per_group(spark, docs, "").collect()]
     assert sorted(kept) == sorted(rows[n][0] for n in want)
+
+
+def test_stages_decide_by_row(spark):
+    rng = random.Random(9)
+    prose = lambda: " ".join(rng.choices([f"w{k}" for k in range(500)], k=40))
+    copied, clean, item = prose(), prose(), " ".join(f"item{k}" for k in range(20))
+    docs = spark.createDataFrame([(2, copied), (None, copied), (3, copied), (3, clean), (None, prose()), (None, item), (4, item), (4, prose()),
+                                  (None, "token=abcdefgh"), (5, "token=abcdefgh"), (5, prose())], "doc_id long, text string")
+
+    def kept(stage_of, rows, sf_dir=""):
+        return Counter((r["doc_id"], r["text"]) for r in stage_of(spark, rows, sf_dir).collect())
+
+    of = Counter((r["doc_id"], r["text"]) for r in docs.collect())
+    once = kept(pipeline_stages.keep_one_per_group, docs)
+    assert once == Counter({k: n for k, n in of.items() if k not in ((None, copied), (3, copied), (None, item), (None, "token=abcdefgh"))})
+    assert kept(pipeline_stages.keep_secret_free, docs) == Counter({k: n for k, n in of.items() if "token=" not in k[1]})
+    sf_dir = scratch_path(spark, "test-stage")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{sf_dir}/benchmark.parquet")
+    assert kept(pipeline_stages.keep_uncontaminated, docs, sf_dir) == Counter({k: n for k, n in of.items() if k[1] != item})
+    spoken = docs.selectExpr("doc_id", "CASE WHEN text LIKE 'token%' THEN '123' ELSE text END AS text", "'en' AS lang", "'' AS source")
+    assert sum(kept(pipeline_stages.keep_identified, spoken).values()) == 9
