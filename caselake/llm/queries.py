@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from caselake.llm.chat import conversation_nodes, format_conversations, masked_text, read_turns
 from caselake.llm.common import prepare, stage, table
 from caselake.llm.decontaminate import benchmark_matches
+from caselake.llm.jaccard_join import jaccard_components
 from caselake.llm.langid import html_language, html_words, identify_languages, train_text_model
 from caselake.llm.licenses import scan_licences, train_licence_model
 from caselake.llm.packing import pack_documents
@@ -128,6 +129,12 @@ def op10_chat_formatting(spark, d):
         F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
+@register("op13_jaccard_join")
+def op13_jaccard_join(spark, d):
+    """Class of every document under links of five-word shingle sets of similarity 0.8 or more."""
+    return jaccard_components(table(spark, d, "documents"))
+
+
 @register("pipeline")
 def pipeline(spark, d):
     """All stages of the corpus pipeline over ``documents``."""
