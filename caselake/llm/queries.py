@@ -15,6 +15,7 @@ from caselake.llm.jaccard_join import jaccard_components
 from caselake.llm.langid import html_language, html_words, identify_languages, train_text_model
 from caselake.llm.licenses import scan_licences, train_licence_model
 from caselake.llm.packing import pack_documents
+from caselake.llm.periodic_runs import collapse_runs, run_text, strongest_run
 from caselake.llm.secret_scan import scan_report
 from caselake.llm.sharding import assign_shards
 from caselake.llm.simhash_dedup import near_duplicates
@@ -129,6 +130,38 @@ def op10_chat_formatting(spark, d):
         F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
+def repeated_text(text, doc_id):
+    """The words of a text, from the word a on those of its first p words after a again and again, for
+    a tenth of the ids: h = crc32(doc_id), g = h div 10, a = g mod n, p = 1 + (n - a) div (3 + g mod 8)
+    where h mod 10 = 0. Other texts, and those of rows without an id, as they are."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10).cast("bigint")
+    words = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"([^\x20\x09-\x0D]+)"), 1)
+
+    def again(w):
+        n = F.size(w)
+        a = (g % n).cast("int")
+        p = 1 + F.floor((n - a) / (3 + g % 8)).cast("int")
+        tail = F.transform(F.sequence(F.lit(0), n - a - 1), lambda i: F.element_at(w, (a + i % p + 1).cast("int")))
+        return F.when(n > 0, F.concat_ws(" ", F.slice(w, 1, a), tail)).otherwise("")
+
+    # The words are found once: a list of one is transformed, not an expression repeated.
+    made = F.element_at(F.transform(F.array(words), again), 1)
+    return F.when(h % 10 == 0, made).otherwise(text)
+
+
+@register("op12_periodic_runs")
+def op12_periodic_runs(spark, d):
+    """Every periodic run of the words of every document, a tenth of which are made to repeat."""
+    docs = table(spark, d, "documents").select("doc_id", F.col("text").cast("string").alias("text"))
+    found = collapse_runs(docs.withColumn("text", repeated_text(F.col("text"), F.col("doc_id"))), with_text=False)
+    found = found.withColumn("best", strongest_run(F.col("runs")))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.expr("1000 * best.length / best.period")).cast("bigint").alias("exponent_milli"),
+        F.sha2(run_text(F.col("runs")), 256).alias("runs_sha256"), "collapsed_sha256")
+
+
 @register("op13_jaccard_join")
 def op13_jaccard_join(spark, d):
     """Class of every document under links of five-word shingle sets of similarity 0.8 or more."""
