@@ -16,6 +16,7 @@ from caselake.llm.langid import html_language, html_words, identify_languages, t
 from caselake.llm.licenses import scan_licences, train_licence_model
 from caselake.llm.packing import pack_documents
 from caselake.llm.periodic_runs import collapse_runs, run_text, strongest_run
+from caselake.llm.ranked_search import ranked_search
 from caselake.llm.secret_scan import scan_report
 from caselake.llm.sharding import assign_shards
 from caselake.llm.simhash_dedup import near_duplicates
@@ -130,6 +131,32 @@ def op10_chat_formatting(spark, d):
         F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
+LOWERED = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+SEARCH_SQL = rf"""
+WITH doc_terms AS (
+    SELECT doc_id, unnest(regexp_extract_all({LOWERED.format("text")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM documents),
+item_terms AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all({LOWERED.format("text")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+lengths AS (SELECT doc_id, count(*)::BIGINT AS n FROM doc_terms GROUP BY doc_id),
+totals AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS len FROM lengths),
+tfs AS (SELECT doc_id, t, count(*)::BIGINT AS tf FROM doc_terms WHERE t IN (SELECT t FROM item_terms) GROUP BY doc_id, t),
+dfs AS (SELECT t, count(*)::BIGINT AS df FROM tfs GROUP BY t),
+impacts AS (
+    SELECT doc_id, t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT
+        * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // len))) AS impact
+    FROM tfs JOIN dfs USING (t) JOIN lengths USING (doc_id) CROSS JOIN totals),
+scores AS (SELECT item_id, doc_id, sum(impact)::BIGINT AS score FROM item_terms JOIN impacts USING (t) GROUP BY item_id, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS "rank", doc_id, score
+FROM scores WHERE score > 0 QUALIFY "rank" <= 50
+"""
+
+
+@register("op11_ranked_search", SEARCH_SQL)
+def op11_ranked_search(spark, d):
+    """The 50 best documents for each benchmark item."""
+    return ranked_search(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 def repeated_text(text, doc_id):
     """The words of a text, from the word a on those of its first p words after a again and again, for
     a tenth of the ids: h = crc32(doc_id), g = h div 10, a = g mod n, p = 1 + (n - a) div (3 + g mod 8)
