@@ -10,8 +10,8 @@ from caselake.session import SEMANTIC_CONF, scratch_path, ship_package
 # Arrow batches to Python workers are bounded by rows and by bytes, so a run of very
 # long texts never makes one huge batch.
 ARROW_CONF = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 * 1024 * 1024),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 * 1024 * 1024),
 }
 
 

@@ -34,7 +34,7 @@ BLOCKS, BLOCK_BITS = 4, 16
 # Characters of benchmark text that one pass over the documents holds in each worker; a larger
 # benchmark is worked off in several passes, item by item in full.
 PASS_CHARS = 2_000_000
-PIECES_IN_CACHE = 1_000_000
+PIECES_IN_CACHE = 200_000
 _WORD = re.compile(r"\w+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 

@@ -8,7 +8,7 @@ import re
 import numpy as np
 from tokenizers import Tokenizer, pre_tokenizers
 
-PIECES_IN_CACHE = 1_000_000
+PIECES_IN_CACHE = 200_000
 _ENCODERS: dict[str, TokenEncoder] = {}
 
 # The normalizer and pre-tokenizer under which white space separates tokens and
