@@ -174,11 +174,18 @@ def q_snapshot_by_header(spark, d):
         F.lit("2020-01-01").alias("date_created"), "html_with_citations", "type", "id",
         F.concat(F.lit("line one\nof \""), "id", F.lit('"')).alias("notes"), "plain_text", "cluster_id")
     wide.write.option("header", True).option("escape", '"').option("compression", "bzip2").csv(path)
-    # A row of two fields next to each record: the header asks for seven.
-    broken = rows.select(F.concat(F.lit("broken"), "id", F.lit(",row")).alias("value"))
-    header = spark.range(1).select(F.lit(",".join(wide.columns)).alias("value"))
-    lines = header.union(broken).repartition(1).sortWithinPartitions(F.col("value").startswith("broken"))
-    lines.write.mode("append").option("compression", "bzip2").text(path)
+    # A row of two fields next to each record: the header asks for seven. Each task writes its own file.
+    heading = ",".join(wide.columns)
+
+    def with_header(batches):
+        import pyarrow as pa
+
+        for n, batch in enumerate(batches):
+            first = [heading] if n == 0 else []
+            yield pa.RecordBatch.from_arrays([pa.array(first + batch.column(0).to_pylist())], names=["value"])
+
+    broken = rows.select(F.concat(F.lit("broken"), "id", F.lit(",row")).alias("value")).mapInArrow(with_header, "value string")
+    broken.write.mode("append").option("compression", "bzip2").text(path)
     return scan_snapshot_csv(spark, path, SNAPSHOT_COLUMNS["opinions"])
 
 

@@ -1,9 +1,10 @@
 """Bulk CSV snapshots.
 
 Snapshots are headered CSV (often bz2) with quotes escaped by doubling and
-newlines inside quoted fields. ``multiLine`` makes a file one task, so the
-first job converts each snapshot to Parquet once (``stage_snapshot``) and
-every later stage reads that.
+newlines inside quoted fields. Spark's ``multiLine`` makes a file one task, so
+records are cut in parallel (``csv_splits``) and only then parsed. The first
+job converts each snapshot to Parquet once (``stage_snapshot``) and every later
+stage reads that.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from caselake.functions.text import snapshot_date
+from caselake.sources.csv_splits import read_records
 
 CORRUPT = "_corrupt_record"
 
@@ -43,26 +45,25 @@ def scan_snapshot_csv(spark: SparkSession, path: str, columns) -> DataFrame:
     so is a file of the folder whose header differs from the first one's.
     No per-field length cap: an over-long field would fail the job, so long
     texts are filtered by length downstream instead.
+
+    A file is read by as many tasks as it has splits, bz2 included. The
+    result is that of Spark's reader with ``multiLine`` and ``escape='"'``; lines
+    end in a line feed or in carriage return and line feed.
     """
     header = snapshot_header(spark, path)
     missing = [c for c in columns if c not in header]
     if missing:
         raise ValueError(f"snapshot {path} has no column {', '.join(missing)}; its header is {', '.join(header)}")
-    df = (
-        spark.read.schema(snapshot_schema(header))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(path)
-    )
-    # A scan that references only the corrupt-record column is rejected by
-    # Spark (e.g. a bare count()), so the key column is referenced alongside.
-    key = F.col(columns[0])
-    well_formed = F.col(CORRUPT).isNull() & (key.isNull() | key.isNotNull())
-    return df.where(well_formed).select(*columns)
+    options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    records = read_records(spark, path).withColumn("record", F.regexp_replace("record", "\r$", "")).where("record <> ''")
+    ddl = ", ".join(f"`{c}` string" for c in [*header, CORRUPT])
+    parsed = records.select("header", "record", F.from_csv("record", ddl, options).alias("r"))
+    # An all-empty record parses to nulls and stays, as in the reader.
+    names = F.array(*[F.col(f"r.`{c}`") for c in header])
+    other = F.raise_error(F.concat(F.lit("a file of the snapshot has another header: "), F.col("record")))
+    same = names == F.array(*[F.lit(c) for c in header])
+    rows = parsed.where(F.when(F.col("header"), F.when(same, F.lit(False)).otherwise(other.cast("boolean"))).otherwise(F.lit(True)))
+    return rows.where(F.col(f"r.{CORRUPT}").isNull()).select(*[F.col(f"r.`{c}`").alias(c) for c in columns])
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
@@ -107,12 +108,11 @@ def latest_snapshot_path(spark: SparkSession, root: str, prefix: str, suffix: st
 def stage_snapshot(spark: SparkSession, csv_path: str, columns, out_path: str, partitions: int | None = None) -> DataFrame:
     """Convert one CSV snapshot to Parquet once; later stages read the Parquet.
 
-    The multi-line CSV scan is a single task per file, so its rows are spread
-    before the Parquet write (and every later read): over ``partitions`` if
-    given, else by size as the cluster's adaptive settings ask.
+    The scan has a task for each split, so rows are written where they were
+    read, or spread over ``partitions`` if given.
     """
     df = scan_snapshot_csv(spark, csv_path, columns)
-    df = df.repartition(partitions) if partitions else df.hint("rebalance")
+    df = df.repartition(partitions) if partitions else df
     df.write.mode("overwrite").parquet(out_path)
     return spark.read.parquet(out_path)
 
