@@ -26,7 +26,7 @@ from pyspark.sql.window import Window
 
 from caselake.operators.vectors import (
     MAX_BROADCAST_QUERIES,
-    _global_topk,
+    global_topk,
     _topk_merge,
     query_blocks,
     tokens,
@@ -141,7 +141,7 @@ def bm25_topk(queries: DataFrame, docs: DataFrame, k: int = 10, q_id: str = "que
     """
     spark = docs.sparkSession
     schema = "query_id long, item_id long, score double"
-    blocks = [b for b in query_blocks(queries.select(q_id, q_text), q_id, max_queries) if b]
+    blocks = list(query_blocks(queries.select(q_id, q_text), q_id, max_queries))
     if not blocks:  # no queries: nothing to rank, no pass over the corpus
         return spark.createDataFrame([], schema + ", rank int")
     vocab = {t for block in blocks for r in block for t in tokens(r[1])}
@@ -162,7 +162,7 @@ def bm25_topk(queries: DataFrame, docs: DataFrame, k: int = 10, q_id: str = "que
     cands = parts[0]
     for p in parts[1:]:
         cands = cands.unionByName(p)
-    return _global_topk(cands, k, ascending=False)
+    return global_topk(cands, k, ascending=False)
 
 
 def reciprocal_rank_fusion(*ranked: DataFrame, k: int = 10, rrf_k: int = RRF_K) -> DataFrame:
@@ -178,7 +178,7 @@ def reciprocal_rank_fusion(*ranked: DataFrame, k: int = 10, rrf_k: int = RRF_K)
         u = u.unionByName(p)
     fused = u.groupBy("query_id", "item_id").agg(F.round(F.sum("w"), 6).alias("score"))
     # at most n x lists rows per query: one level of top-k suffices
-    return _global_topk(fused, k, ascending=False, partitions=1)
+    return global_topk(fused, k, ascending=False, partitions=1)
 
 
 def hybrid_topk(queries: DataFrame, docs: DataFrame, k: int = 10, depth: int = 20, dim: int = 256,

@@ -16,14 +16,13 @@ import math
 import re
 import uuid
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, FloatType, LongType
+from pyspark.sql.types import ArrayType, FloatType
 
 TOKEN_RE = re.compile(r"[a-z0-9]+")
 MAX_BROADCAST_QUERIES = 10_000
@@ -122,26 +121,26 @@ def collect_bounded(df: DataFrame, max_rows: int) -> list | None:
     return rows if len(rows) <= max_rows else None
 
 
-def query_blocks(queries: DataFrame, q_id: str, max_rows: int) -> list[list]:
-    """The query batch as lists of at most ``max_rows`` rows.
+def query_blocks(queries: DataFrame, q_id: str, max_rows: int, depth: int = 0) -> Iterator[list]:
+    """The query batch as lists of at most ``max_rows`` rows, one after another.
 
-    One block when small enough; otherwise the batch is split by a hash of the
-    query id into blocks that each pass the bound (each block then scans the
-    corpus once — exact results, no pair explosion).
+    One list when small enough; otherwise the batch is split by a hash of the query id, and a
+    part that is still too large is split again by another one. Rows that share an id cannot be
+    told apart by it and are split by all they hold. Each list then scans the corpus once:
+    exact results, no pair explosion.
     """
     rows = collect_bounded(queries, max_rows)
     if rows is not None:
-        return [rows]
-    n = queries.count()
-    blocks = max(2, math.ceil(2 * n / max_rows))
-    keyed = queries.withColumn("_blk", F.pmod(F.xxhash64(F.col(q_id)), F.lit(blocks)))
-    out = []
-    for b in range(blocks):
-        part = collect_bounded(keyed.where(F.col("_blk") == b).drop("_blk"), max_rows)
-        if part is None:
-            raise ValueError("query block over the broadcast bound; lower max_rows skew")
-        out.append(part)
-    return out
+        if rows:
+            yield rows
+        return
+    parts = max(2, math.ceil(2 * queries.count() / max_rows))
+    key = [F.col(q_id)] if depth < 2 else [F.to_json(F.struct(*[F.col(c) for c in queries.columns]))]
+    if depth > 4:
+        raise ValueError(f"over {max_rows} equal queries")
+    for n in range(parts):
+        part = queries.where(F.pmod(F.xxhash64(F.lit(depth), *key), F.lit(parts)) == n)
+        yield from query_blocks(part, q_id, max_rows, depth + 1)
 
 
 # ── Per-task top-k kernel ───────────────────────────────────────────────────
@@ -188,99 +187,6 @@ def _scores(metric: str, Q: np.ndarray, qn: np.ndarray, C: np.ndarray) -> np.nda
     raise ValueError(f"unknown metric {metric!r}")
 
 
-@lru_cache(maxsize=8)
-def lsh_planes(tables: int, bits: int, dim: int, seed: int = 17) -> np.ndarray:
-    """(tables, bits, dim) sign-random projections with entries +1/-1.
-
-    Entry (t, j, i) is +1 when int(md5(f"lsh:{seed}:{t}:{j}:{i}")[:2], 16) is
-    even: reproducible anywhere (including SQL) without sharing a random state.
-    """
-    out = np.empty((tables, bits, dim), dtype=np.float64)
-    for t in range(tables):
-        for j in range(bits):
-            for i in range(dim):
-                h = hashlib.md5(f"lsh:{seed}:{t}:{j}:{i}".encode("ascii")).hexdigest()
-                out[t, j, i] = 1.0 if int(h[:2], 16) % 2 == 0 else -1.0
-    return out
-
-
-def _lsh_codes(V: np.ndarray, planes: np.ndarray) -> np.ndarray:
-    """(n, tables) int codes: sign bits of projections on each table's hyperplanes."""
-    bits = (np.einsum("nd,tbd->ntb", V, planes) >= 0).astype(np.int64)
-    weights = (1 << np.arange(planes.shape[1], dtype=np.int64))
-    return (bits * weights).sum(axis=2)
-
-
-def lsh_codes(col, tables: int, bits: int, seed: int = 17):
-    """V7: vector column -> array<long>, its bucket code in each table; null without a vector."""
-
-    @pandas_udf(ArrayType(LongType()))
-    def _codes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for vecs in batches:
-            out = pd.Series([None] * len(vecs), index=vecs.index, dtype=object)
-            present = vecs[vecs.notna()]
-            if len(present):
-                V = np.stack(present.to_numpy()).astype(np.float64)
-                out[present.index] = list(_lsh_codes(V, lsh_planes(tables, bits, V.shape[1], seed)))
-            yield out
-
-    return _codes(F.col(col) if isinstance(col, str) else col)
-
-
-def coded_vectors(df: DataFrame, id_col: str, vec_col: str, tables: int, bits: int, seed: int = 17) -> DataFrame:
-    """(id, vector, norm, codes) of the rows with a vector, written once under the shared folder: the
-    bucket join reads the codes alone, the re-scoring the vectors."""
-    from caselake.session import scratch_path
-
-    path = scratch_path(df.sparkSession, "lsh-codes")
-    rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).alias("vector"))
-    rows.withColumn("codes", lsh_codes("vector", tables, bits, seed)).write.parquet(path)
-    norm = F.sqrt(_dot("vector", "vector"))
-    return df.sparkSession.read.parquet(path).where("vector IS NOT NULL").select("id", "vector", norm.alias("norm"), "codes")
-
-
-def _dot(a: str, b: str):
-    products = F.zip_with(F.col(a), F.col(b), lambda x, y: x.cast("double") * y.cast("double"))
-    return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
-
-
-def lsh_candidates(queries: DataFrame, corpus: DataFrame) -> DataFrame:
-    """(query_id, item_id), once each: the rows of two ``coded_vectors`` that share a bucket. An
-    equi-join on (table, code) of ids alone; adaptive execution splits an overfull bucket."""
-
-    def buckets(df: DataFrame, name: str) -> DataFrame:
-        return df.select(F.col("id").alias(name), F.posexplode("codes").alias("table", "code"))
-
-    return buckets(queries, "query_id").join(buckets(corpus, "item_id"), ["table", "code"]).select(
-        "query_id", "item_id").distinct()
-
-
-def lsh_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str = "cosine", q_id: str = "query_id",
-             q_vec: str = "vector", c_id: str = "item_id", c_vec: str = "vector", tables: int = 8, bits: int = 8,
-             seed: int = 17) -> DataFrame:
-    """V7: top-k among bucket mates, re-scored exactly; (query_id, item_id, score, rank).
-
-    Only candidates are scored. Nothing is collected and no side is broadcast by hint, so both
-    batches may be of any size. Projections of float32 inputs are exact double sums, so the codes
-    never depend on order.
-    """
-    q = coded_vectors(queries, q_id, q_vec, tables, bits, seed).where("norm > 0")
-    c = coded_vectors(corpus, c_id, c_vec, tables, bits, seed)
-    pairs = lsh_candidates(q, c)
-    rows = pairs.join(c.select(F.col("id").alias("item_id"), F.col("vector").alias("_cv"), F.col("norm").alias("_cn")), "item_id")
-    rows = rows.join(q.select(F.col("id").alias("query_id"), F.col("vector").alias("_qv"), F.col("norm").alias("_qn")), "query_id")
-    dot = _dot("_qv", "_cv")
-    score = {
-        "ip": dot,
-        "cosine": F.when(F.col("_cn") > 0, dot / (F.col("_qn") * F.col("_cn"))).otherwise(0.0),
-        "l2": F.sqrt(F.greatest(F.col("_qn") * F.col("_qn") + F.col("_cn") * F.col("_cn") - 2 * dot, F.lit(0.0))),
-    }
-    if metric not in score:
-        raise ValueError(f"unknown metric {metric!r}")
-    scored = rows.select("query_id", "item_id", F.round(score[metric], 6).alias("score"))
-    return _global_topk(scored, k, metric == "l2")
-
-
 def _make_kernel(qids, Q, k, metric, c_id, c_vec):
     ascending = metric == "l2"
     qn = np.sqrt((Q * Q).sum(axis=1))
@@ -322,7 +228,7 @@ def _make_kernel(qids, Q, k, metric, c_id, c_vec):
 TOPK_FAN_IN = 256
 
 
-def _global_topk(cands: DataFrame, k: int, ascending: bool, partitions: int | None = None) -> DataFrame:
+def global_topk(cands: DataFrame, k: int, ascending: bool, partitions: int | None = None) -> DataFrame:
     """Top-k per query from per-task candidates (k per query per task).
 
     Candidates are first reduced per (query, group of tasks) and then per
@@ -344,18 +250,16 @@ def _global_topk(cands: DataFrame, k: int, ascending: bool, partitions: int | No
 
 def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str = "cosine",
                 q_id: str = "query_id", q_vec: str = "vector", c_id: str = "item_id",
-                c_vec: str = "vector", max_queries: int = MAX_BROADCAST_QUERIES,
-                lsh_tables: int = 0, lsh_bits: int = 8, seed: int = 17) -> DataFrame:
-    """V1/V2 (and V7 with ``lsh_tables``): top-k corpus rows per query.
+                c_vec: str = "vector", max_queries: int = MAX_BROADCAST_QUERIES) -> DataFrame:
+    """V1/V2: top-k corpus rows per query.
 
     metric: "cosine" / "ip" (higher first) or "l2" (smaller first).
     Returns (query_id, item_id, score, rank). Ids must be integral; a query
     whose vector is all zeros gets no rows, corpus rows without a vector are
     not candidates.
-    With ``lsh_tables`` > 0 the search is approximate: see ``lsh_topk``.
+    A batch above the bound is searched block by block: each is collected, broadcast and
+    let go before the next one, so the driver holds one block.
     """
-    if lsh_tables:
-        return lsh_topk(queries, corpus, k, metric, q_id, q_vec, c_id, c_vec, lsh_tables, lsh_bits, seed)
     spark = corpus.sparkSession
     ascending = metric == "l2"
     # Rows without a vector are skipped inside the kernel: a filter on the vector
@@ -364,8 +268,6 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str
     schema = "query_id long, item_id long, score double"
     parts = []
     for block in query_blocks(queries.select(q_id, q_vec), q_id, max_queries):
-        if not block:
-            continue
         qids = np.array([int(r[0]) for r in block], dtype=np.int64)
         Q = np.array([list(r[1]) for r in block], dtype=np.float64)
         bq = spark.sparkContext.broadcast((qids, Q))
@@ -380,4 +282,4 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str
     cands = parts[0]
     for p in parts[1:]:
         cands = cands.unionByName(p)
-    return _global_topk(cands, k, ascending)
+    return global_topk(cands, k, ascending)

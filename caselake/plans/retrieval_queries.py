@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from caselake.operators.approx import CELL_ROWS, CODE_BITS, KEEP_FACTOR, MAX_CELL_BITS, PROBE, build_sign_index, search_sign_index
 from caselake.operators.search import bm25_topk, filtered_topk, hybrid_topk, rerank
 from caselake.operators.vectors import hash_embed, vector_topk
 from caselake.plans import sqlparts as Q
@@ -75,32 +76,40 @@ def q_filtered_topk(spark, d):
     return filtered_topk(_bench_vectors(spark, d), _emb_corpus(spark, d), F.col("label") == 1, k=5)
 
 
-LSH_TABLES, LSH_BITS, LSH_SEED = 8, 6, 17
+APPROX_K = 5
 SQL_APPROX = SQL_QV + f""",
-    planes AS (SELECT t.t, j.j, i.i,
-                      CASE WHEN ('0x' || substr(md5('lsh:{LSH_SEED}:' || CAST(t.t AS VARCHAR) || ':' || CAST(j.j AS VARCHAR)
-                                                    || ':' || CAST(i.i AS VARCHAR)), 1, 2))::INTEGER % 2 = 0
-                           THEN 1.0 ELSE -1.0 END AS s
-               FROM range({LSH_TABLES}) t(t), range({LSH_BITS}) j(j), range({EMB_DIM}) i(i)),
-    eproj AS (SELECT e.vec_id, p.t, p.j, sum(CAST(e.embedding[p.i + 1] AS DOUBLE) * p.s) AS proj
-              FROM embeddings e CROSS JOIN planes p GROUP BY e.vec_id, p.t, p.j),
-    ecode AS (SELECT vec_id, t, sum(CASE WHEN proj >= 0 THEN CAST(pow(2, j) AS BIGINT) ELSE 0 END) AS code
-              FROM eproj GROUP BY vec_id, t),
-    qproj AS (SELECT q.id, p.t, p.j, sum(CAST(q.v AS DOUBLE) * p.s) AS proj
-              FROM qv q JOIN planes p ON q.b = p.i GROUP BY q.id, p.t, p.j),
-    qcode AS (SELECT id, t, sum(CASE WHEN proj >= 0 THEN CAST(pow(2, j) AS BIGINT) ELSE 0 END) AS code
-              FROM qproj GROUP BY id, t),
-    cand AS (SELECT DISTINCT q.id AS query_id, e.vec_id AS item_id
-             FROM qcode q JOIN ecode e ON q.t = e.t AND q.code = e.code),
+    planes AS (SELECT j.j, i.i,
+                      CASE WHEN ('0x' || substr(md5('plane:17:' || CAST(j.j AS VARCHAR) || ':' || CAST(i.i AS VARCHAR)), 1, 2))::INTEGER % 2 = 0
+                           THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS s
+               FROM range({CODE_BITS}) j(j), range({EMB_DIM}) i(i)),
+    size AS (SELECT count(*) AS n, greatest(0, least({MAX_CELL_BITS}, floor(log2(greatest(1, count(*) // {CELL_ROWS})))))::BIGINT AS bits FROM embeddings),
+    eproj AS (SELECT e.vec_id, p.j, CASE WHEN sum(CAST(e.embedding[p.i + 1] AS DOUBLE) * p.s) >= 0 THEN 1 ELSE -1 END AS sgn
+              FROM embeddings e CROSS JOIN planes p GROUP BY e.vec_id, p.j),
+    qproj AS (SELECT q.id, p.j, sum(CAST(q.v AS DOUBLE) * p.s) AS m FROM qv q JOIN planes p ON q.b = p.i GROUP BY q.id, p.j),
+    ecell AS (SELECT vec_id, coalesce(sum(CASE WHEN sgn > 0 AND j < bits THEN 1::BIGINT << j ELSE 0 END), 0)::BIGINT AS cell
+              FROM eproj CROSS JOIN size GROUP BY vec_id),
+    cells AS (SELECT c.cell, count(e.vec_id) AS rows
+              FROM (SELECT unnest(range(1::BIGINT << bits)) AS cell FROM size) c LEFT JOIN ecell e ON c.cell = e.cell GROUP BY c.cell),
+    rated_cells AS (SELECT q.id, c.cell, any_value(c.rows) AS rows,
+                           coalesce(sum(CASE WHEN j < bits THEN q.m * (CASE WHEN (c.cell >> j::BIGINT) & 1 = 1 THEN 1 ELSE -1 END) END), 0) AS r
+                    FROM qproj q CROSS JOIN cells c CROSS JOIN size GROUP BY q.id, c.cell),
+    probed AS (SELECT id, cell FROM (
+                   SELECT id, cell, sum(rows) OVER (PARTITION BY id ORDER BY r DESC, cell ROWS UNBOUNDED PRECEDING) - rows AS before FROM rated_cells)
+               CROSS JOIN size WHERE before < {PROBE} * n),
+    rated AS (SELECT q.id, e.vec_id, sum(q.m * e.sgn) AS r FROM qproj q JOIN eproj e USING (j) GROUP BY q.id, e.vec_id),
+    cand AS (SELECT id AS query_id, vec_id AS item_id FROM (
+                 SELECT r.id, r.vec_id, row_number() OVER (PARTITION BY r.id ORDER BY r.r DESC, r.vec_id) AS nth
+                 FROM rated r JOIN ecell USING (vec_id) JOIN probed p ON p.id = r.id AND p.cell = ecell.cell)
+             CROSS JOIN size WHERE nth <= ceil({KEEP_FACTOR * APPROX_K} * pow(n, 0.25))),
     approx AS (SELECT c.* FROM cos c JOIN cand USING (query_id, item_id))
 """
 
 
-@register("approx_topk", SQL_APPROX + Q.topk("approx", 5))
+@register("approx_topk", SQL_APPROX + Q.topk("approx", APPROX_K))
 def q_approx_topk(spark, d):
-    """V7: cosine top-5 among sign-random-projection bucket mates (8 tables x 6 bits)."""
-    return vector_topk(_bench_vectors(spark, d), _emb_corpus(spark, d), k=5, metric="cosine",
-                       lsh_tables=LSH_TABLES, lsh_bits=LSH_BITS, seed=LSH_SEED)
+    """V7: cosine top-5 through the inverted file of sign codes."""
+    index = build_sign_index(_emb_corpus(spark, d))
+    return search_sign_index(index, _bench_vectors(spark, d), APPROX_K)
 
 
 def _bench_queries(spark, d):

@@ -4,18 +4,12 @@ import math
 from collections import Counter
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from caselake.operators.search import bm25_topk, reciprocal_rank_fusion
-from caselake.operators.vectors import (
-    HashingEncoder,
-    _lsh_codes,
-    coded_vectors,
-    lsh_candidates,
-    lsh_planes,
-    lsh_topk,
-    tokens,
-    vector_topk,
-)
+from caselake.operators.approx import build_sign_index, kept_rows, probed_cells, search_sign_index
+from caselake.operators.vectors import HashingEncoder, query_blocks, tokens, vector_topk
 
 
 def _frames(spark, nq=12, nc=300, dim=16, seed=3):
@@ -60,29 +54,60 @@ def test_query_blocks_equal_single_block(spark):
     assert one == many
 
 
-def test_approx_recall(spark):
-    Q, C, qdf, cdf = _frames(spark, nq=20, nc=400)
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_approx_recall_of_the_registered_query(spark, sf):
+    from caselake.plans import retrieval_queries as RQ
+
+    d = f"/root/testdata/{sf}"
+    exact = _got(RQ.q_cosine_topk(spark, d))
+    approx = _got(RQ.q_approx_topk(spark, d))
+    assert all(len(v) == 5 for v in approx.values())
+    recall = sum(len(set(exact[q]) & set(approx.get(q, []))) for q in exact) / (5 * len(exact))
+    assert recall >= 0.9, recall
+    rows = spark.read.parquet(f"{d}/embeddings.parquet").count()
+    assert kept_rows(rows, 5) < 0.15 * rows and kept_rows(4 * rows, 5) * rows < kept_rows(rows, 5) * 4 * rows
+
+
+def test_few_probes_find_neighbours_in_clustered_vectors(spark):
+    rng = np.random.default_rng(0)
+    centers = rng.standard_normal((50, 64))
+    C = centers[rng.integers(0, 50, 4000)] + 0.4 * rng.standard_normal((4000, 64))
+    Q = centers[rng.integers(0, 50, 30)] + 0.4 * rng.standard_normal((30, 64))
+    cdf = spark.createDataFrame([(j, v.tolist()) for j, v in enumerate(C)] + [(9000, None)], "item_id long, vector array<float>").repartition(4)
+    qdf = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(Q)] + [(90, [0.0] * 64)], "query_id long, vector array<float>")
+    index = build_sign_index(cdf)
+    assert index.rows == 4000 == int(index.cell_sizes().sum()) and index.bits == 5
     exact = _got(vector_topk(qdf, cdf, 10, "cosine"))
-    approx = _got(vector_topk(qdf, cdf, 10, "cosine", lsh_tables=10, lsh_bits=4))
-    hits = sum(len(set(exact[q]) & set(approx.get(q, []))) for q in exact)
-    recall = hits / (10 * len(exact))
-    assert recall >= 0.5, recall
-
-
-def test_approx_scores_bucket_mates_only(spark):
-    Q, C, qdf, cdf = _frames(spark, nq=20, nc=400)
-    q, c = (coded_vectors(df, name, "vector", 3, 6) for df, name in ((qdf, "query_id"), (cdf, "item_id")))
-    pairs = {tuple(r) for r in lsh_candidates(q, c).collect()}
-    planes = lsh_planes(3, 6, 16)
-    mates = (_lsh_codes(Q, planes)[:, None, :] == _lsh_codes(C, planes)[None, :, :]).any(axis=2)
-    assert pairs == set(zip(*(x.tolist() for x in np.nonzero(mates)), strict=True))
-    assert len(pairs) < len(Q) * len(C) / 4  # exact search scores them all
-    for metric in ("cosine", "l2"):
-        got = _got(lsh_topk(qdf, cdf, 5, metric, tables=3, bits=6))
-        want = _brute(Q, C, len(C), metric)
-        assert got == {i: [j for j in order if mates[i, j]][:5] for i, order in want.items() if mates[i].any()}
-    plan = lsh_candidates(q, c)._jdf.queryExecution().toString()
-    assert "Join Inner, ((table" in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+    got = _got(search_sign_index(index, qdf, 10, probe=0.25))
+    assert set(got) == set(exact) and 90 not in got
+    assert sum(len(set(exact[q]) & set(got[q])) for q in exact) >= 0.9 * 10 * len(exact)
+    # All cells and all rows: the exact search. Blocks of queries give the same.
+    for metric in ("cosine", "l2", "ip"):
+        assert _got(search_sign_index(index, qdf, 10, metric, probe=1.0, keep=4000)) == _got(vector_topk(qdf, cdf, 10, metric))
+    assert _got(search_sign_index(index, qdf, 10, probe=0.25, max_queries=7)) == got
+
+
+def test_cells_are_probed_by_margin():
+    margins = np.array([[3.0, -1.0, 0.5]])
+    sizes = np.array([1, 1, 1, 1, 1, 1, 1, 1])
+    order = [np.flatnonzero(probed_cells(margins, sizes, n / 8)[0]).tolist() for n in range(1, 4)]
+    assert order == [[0b101], [0b001, 0b101], [0b001, 0b101, 0b111]]
+
+
+def test_approx_of_an_empty_table(spark):
+    none = spark.createDataFrame([], "item_id long, vector array<float>")
+    some = spark.createDataFrame([(1, [1.0, 0.0])], "query_id long, vector array<float>")
+    assert search_sign_index(build_sign_index(none), some).count() == 0
+    assert search_sign_index(build_sign_index(some.withColumnRenamed("query_id", "item_id")), some.where("query_id = 2")).count() == 0
+
+
+def test_a_batch_above_the_bound_goes_block_by_block(spark):
+    """The driver holds one block: blocks come from a generator, and equal ids do not stop it."""
+    queries = spark.range(500).select((F.col("id") % 3).alias("query_id"), F.array(F.col("id").cast("float")).alias("vector"))
+    blocks = query_blocks(queries, "query_id", 60)
+    sizes = [len(b) for b in blocks]
+    assert sum(sizes) == 500 and max(sizes) <= 60
+    assert next(query_blocks(queries, "query_id", 500)) and not list(query_blocks(queries.where("query_id = 9"), "query_id", 5))
 
 
 def test_hashing_encoder():
