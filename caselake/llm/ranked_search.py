@@ -273,7 +273,9 @@ def best_documents(postings: DataFrame, queries: Queries, weights: Weights, k: i
         yield pa.RecordBatch.from_arrays(
             [pa.array(best.query, pa.int32()), pa.array(best.score), pa.array(best.doc, mask=best.unknown)], names=["query", "score", "doc_id"])
 
-    found = postings.mapInArrow(kernel, "query int, score bigint, doc_id bigint")
+    # A search takes long for few bytes of postings, so they are dealt to more tasks than their size asks for.
+    tasks = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = postings.repartition(tasks).mapInArrow(kernel, "query int, score bigint, doc_id bigint")
     order = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
