@@ -1,168 +1,33 @@
-"""Keyword, hybrid and reranked retrieval (V3-V6).
-
-BM25 (our parameters; the design notes give none): k1 = 1.2, b = 0.75,
-idf = ln(1 + (N - df + 0.5) / (df + 0.5)), distinct query terms, tokens are
-lower-cased ASCII alphanumeric runs.
-
-The corpus text is tokenized once: a ``mapInPandas`` pass emits, per document,
-its length and the term frequencies of the (bounded, broadcast) query
-vocabulary only; that postings table is checkpointed to the shared folder.
-N, average length and document frequencies are Spark aggregates over it, and
-scoring runs per task against the broadcast query batch, keeping k candidates
-per query per task — documents containing a very common term never fan out
-into (query, document) pairs.
-"""
+"""Keyword, hybrid and reranked retrieval (V3-V6). Keyword search is BM25 over the inverted
+index of ``term_index``."""
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from caselake.operators.vectors import (
-    MAX_BROADCAST_QUERIES,
-    global_topk,
-    _topk_merge,
-    query_blocks,
-    tokens,
-    vector_topk,
-)
-
-BM25_K1 = 1.2
-BM25_B = 0.75
-RRF_K = 60
-
-
-def _postings_kernel(vocab: frozenset, d_id: str, d_text: str):
-    """Per document: id, length in tokens, and tf of the query-vocabulary terms it holds."""
-
-    def kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            ids, lens, terms, tfs = [], [], [], []
-            for doc_id, text in zip(pdf[d_id].tolist(), pdf[d_text].tolist()):
-                toks = tokens(text)
-                hits = Counter(t for t in toks if t in vocab)
-                ids.append(doc_id)
-                lens.append(len(toks))
-                terms.append(list(hits.keys()))
-                tfs.append(list(hits.values()))
-            yield pd.DataFrame({"doc_id": ids, "dl": lens, "terms": terms, "tfs": tfs})
-
-    return kernel
-
-
-def vocabulary_postings(docs: DataFrame, vocab: set, d_id: str = "doc_id", d_text: str = "text") -> DataFrame:
-    """One pass over the text: (doc_id, dl, terms, tfs) for the query vocabulary,
-    checkpointed to the shared folder so statistics and scoring both read it
-    instead of tokenizing the corpus twice."""
-    bv = docs.sparkSession.sparkContext.broadcast(frozenset(vocab))
-
-    def kernel(batches, bv=bv):
-        return _postings_kernel(bv.value, d_id, d_text)(batches)
+from caselake.operators.term_index import build_term_index, search_term_index, token_list
+from caselake.operators.vectors import global_topk, tokens, vector_topk
 
-    corpus = docs.select(F.col(d_id).cast("bigint").alias(d_id), F.col(d_text).alias(d_text))
-    postings = corpus.mapInPandas(kernel, "doc_id long, dl long, terms array<string>, tfs array<long>")
-    from caselake.session import checkpoint_dir
-
-    checkpoint_dir(docs.sparkSession)  # make sure the shared folder is registered
-    return postings.checkpoint(eager=True)
-
-
-_ALL_DOCS = "\u0000"  # not a token (tokens are [a-z0-9]+): every document carries it
-
-
-def corpus_stats(postings: DataFrame) -> tuple[int, float, dict]:
-    """(N, avgdl, {term: df}) in one aggregation; the df map is bounded by the vocabulary.
-
-    Each document also contributes one entry for a sentinel term, whose count
-    is N and whose summed length gives the average document length.
-    """
-    entries = postings.select(
-        F.explode(F.array_union(F.col("terms"), F.array(F.lit(_ALL_DOCS)))).alias("term"), "dl")
-    rows = entries.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("dl").alias("len")).collect()
-    dfs = {r["term"]: int(r["df"]) for r in rows if r["term"] != _ALL_DOCS}
-    total = next((r for r in rows if r["term"] == _ALL_DOCS), None)
-    n = int(total["df"]) if total else 0
-    avgdl = float(total["len"]) / n if n else 0.0
-    return n, avgdl, dfs
-
-
-def _bm25_kernel(qids, qterms, idf, avgdl, k, k1=BM25_K1, b=BM25_B):
-    postings: dict[str, list[int]] = {}
-    for qi, terms in enumerate(qterms):
-        for t in terms:
-            postings.setdefault(t, []).append(qi)
-    nq = len(qids)
-
-    def kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best_s = best_i = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            ids = pdf["doc_id"].to_numpy(dtype=np.int64)
-            S = np.zeros((nq, len(pdf)), dtype=np.float64)
-            hit = np.zeros((nq, len(pdf)), dtype=bool)
-            for j, (dl, terms, tfs) in enumerate(zip(pdf["dl"].tolist(), pdf["terms"].tolist(),
-                                                      pdf["tfs"].tolist())):
-                if len(terms) == 0:
-                    continue
-                norm = k1 * (1.0 - b + b * dl / avgdl) if avgdl > 0 else k1
-                for term, tf in zip(terms, tfs):
-                    qs = postings.get(term)
-                    if not qs:
-                        continue
-                    w = idf[term] * tf * (k1 + 1.0) / (tf + norm)
-                    for qi in qs:
-                        S[qi, j] += w
-                        hit[qi, j] = True
-            S = np.where(hit, np.round(S, 6), -np.inf)
-            best_s, best_i = _topk_merge(best_s, best_i, S, np.broadcast_to(ids, S.shape), k, False)
-        if best_s is None:
-            return
-        rows_q = np.repeat(qids, best_s.shape[1])
-        s, i = best_s.ravel(), best_i.ravel()
-        keep = np.isfinite(s)
-        yield pd.DataFrame({"query_id": rows_q[keep], "item_id": i[keep], "score": s[keep]})
-
-    return kernel
+RRF_K = 60
 
 
 def bm25_topk(queries: DataFrame, docs: DataFrame, k: int = 10, q_id: str = "query_id",
-              q_text: str = "text", d_id: str = "doc_id", d_text: str = "text",
-              max_queries: int = MAX_BROADCAST_QUERIES) -> DataFrame:
+              q_text: str = "text", d_id: str = "doc_id", d_text: str = "text") -> DataFrame:
     """V3: BM25 top-k documents per query -> (query_id, item_id, score, rank).
 
-    Only documents sharing at least one term with the query are ranked.
+    Only documents sharing at least one term with the query are ranked. The documents are
+    indexed under the batch's terms; a standing index (``build_term_index`` without terms) serves
+    any number of batches.
     """
-    spark = docs.sparkSession
-    schema = "query_id long, item_id long, score double"
-    blocks = list(query_blocks(queries.select(q_id, q_text), q_id, max_queries))
-    if not blocks:  # no queries: nothing to rank, no pass over the corpus
-        return spark.createDataFrame([], schema + ", rank int")
-    vocab = {t for block in blocks for r in block for t in tokens(r[1])}
-    postings = vocabulary_postings(docs, vocab, d_id, d_text)
-    n, avgdl, dfs = corpus_stats(postings)
-    idf = {t: float(np.log(1.0 + (n - d + 0.5) / (d + 0.5))) for t, d in dfs.items()}
-    parts = []
-    for block in blocks:
-        qids = np.array([int(r[0]) for r in block], dtype=np.int64)
-        qterms = [sorted({t for t in tokens(r[1]) if t in idf}) for r in block]
-        bq = spark.sparkContext.broadcast((qids, qterms, idf, avgdl))
-
-        def kernel(batches, bq=bq):
-            qi, qt, idf_, avg = bq.value
-            return _bm25_kernel(qi, qt, idf_, avg, k)(batches)
-
-        parts.append(postings.mapInPandas(kernel, schema))
-    cands = parts[0]
-    for p in parts[1:]:
-        cands = cands.unionByName(p)
-    return global_topk(cands, k, ascending=False)
+    if queries.isEmpty():  # no queries: nothing to rank, no pass over the corpus
+        return docs.sparkSession.createDataFrame([], "query_id long, item_id long, score double, rank int")
+    asked = queries.select(F.explode(token_list(F.col(q_text))).alias("term"))
+    return search_term_index(build_term_index(docs, d_id, d_text, asked), queries, k, q_id, q_text)
 
 
 def reciprocal_rank_fusion(*ranked: DataFrame, k: int = 10, rrf_k: int = RRF_K) -> DataFrame:

@@ -13,18 +13,20 @@ from __future__ import annotations
 
 import hashlib
 import math
-import re
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, FloatType
 
-TOKEN_RE = re.compile(r"[a-z0-9]+")
+from caselake.operators.term_index import TOKEN_PATTERN
+
+_TOKEN = regex.compile(TOKEN_PATTERN)
 MAX_BROADCAST_QUERIES = 10_000
 # Upper bound on query x row scores held in memory at once inside a task.
 SCORE_CELLS = 4_000_000
@@ -34,8 +36,8 @@ SCORE_CELLS = 4_000_000
 
 
 def tokens(text: str | None) -> list[str]:
-    """Lower-cased ASCII alphanumeric runs (shared by hashing encoder and BM25)."""
-    return TOKEN_RE.findall((text or "").lower())
+    """The tokens of ``term_index.token_list``, in Python (hashing encoder, default reranker)."""
+    return _TOKEN.findall((text or "").lower())
 
 
 class HashingEncoder:

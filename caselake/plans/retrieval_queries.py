@@ -152,8 +152,8 @@ def q_hybrid_topk(spark, d):
 
 @register("rerank", _hybrid_ctes(50) + ", top AS (" + Q.topk("fused", 50) + """),
     cand AS (SELECT t.query_id, t.item_id, t.score,
-                    list_distinct(regexp_extract_all(lower(b.text), '[a-z0-9]+')) AS qa,
-                    list_distinct(regexp_extract_all(lower(d.text), '[a-z0-9]+')) AS da
+                    list_distinct(regexp_extract_all(lower(b.text), '""" + Q.TOKEN_SQL + """')) AS qa,
+                    list_distinct(regexp_extract_all(lower(d.text), '""" + Q.TOKEN_SQL + """')) AS da
              FROM top t JOIN benchmark b ON t.query_id = b.item_id JOIN documents d ON t.item_id = d.doc_id),
     rs AS (SELECT query_id, item_id, score,
                   CASE WHEN len(list_intersect(qa, da)) = 0 THEN 0.0

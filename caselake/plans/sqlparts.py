@@ -6,6 +6,8 @@ written as chr(10); regex patterns keep RE2 escapes such as ``\\s``.
 
 from __future__ import annotations
 
+from caselake.operators.term_index import TOKEN_PATTERN
+
 NL = "chr(10)"
 NL2 = "(chr(10) || chr(10))"
 
@@ -95,10 +97,13 @@ def chunks_cte(source: str, id_cols: str, text: str, size: int = 3000, overlap:
                   FROM (SELECT {id_cols}, {chunk_state(units(text, size), size, overlap)} AS st FROM {source})))"""
 
 
+TOKEN_SQL = TOKEN_PATTERN.replace("'", "''")
+
+
 def hash_vectors(name: str, source: str, id_col: str, text_col: str, dim: int) -> str:
     """CTEs ending in `<name>(id, b, v)`: nonzero hashing-encoder components as FLOAT."""
     return f"""
-    {name}_tok AS (SELECT {id_col} AS id, unnest(regexp_extract_all(lower(coalesce({text_col}, '')), '[a-z0-9]+')) AS tok
+    {name}_tok AS (SELECT {id_col} AS id, unnest(regexp_extract_all(lower(coalesce({text_col}, '')), '{TOKEN_SQL}')) AS tok
                    FROM {source}),
     {name}_b AS (SELECT id, ('0x' || substr(md5(tok), 1, 8))::BIGINT % {dim} AS b,
                         CASE WHEN ('0x' || substr(md5(tok), 9, 2))::INTEGER % 2 = 0 THEN 1 ELSE -1 END AS s
@@ -111,10 +116,12 @@ def hash_vectors(name: str, source: str, id_col: str, text_col: str, dim: int) -
 
 def bm25_scores(name: str, queries: str, q_id: str, q_text: str, docs: str, d_id: str, d_text: str) -> str:
     """CTEs ending in `<name>(query_id, item_id, score)`: BM25 (k1 1.2, b 0.75), rounded to 6."""
-    toks = "regexp_extract_all(lower(coalesce({t}, '')), '[a-z0-9]+')"
+    def toks(text):
+        return f"regexp_extract_all(lower(coalesce({text}, '')), '{TOKEN_SQL}')"
+
     return f"""
-    {name}_qt AS (SELECT DISTINCT {q_id} AS query_id, unnest({toks.format(t=q_text)}) AS term FROM {queries}),
-    {name}_dl AS (SELECT {d_id} AS item_id, {toks.format(t=d_text)} AS toks FROM {docs}),
+    {name}_qt AS (SELECT DISTINCT {q_id} AS query_id, unnest({toks(q_text)}) AS term FROM {queries}),
+    {name}_dl AS (SELECT {d_id} AS item_id, {toks(d_text)} AS toks FROM {docs}),
     {name}_st AS (SELECT count(*) AS n, avg(len(toks)) AS avgdl FROM {name}_dl),
     {name}_tf AS (SELECT item_id, term, count(*) AS tf FROM (SELECT item_id, unnest(toks) AS term FROM {name}_dl)
                   WHERE term IN (SELECT term FROM {name}_qt) GROUP BY ALL),
