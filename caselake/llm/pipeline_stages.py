@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,12 +19,24 @@ PACK_END_ID = 1
 
 
 def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` with a row number, written once, and the number's name: ids may be null or shared, so
-    stages decide by row. The name is one that no column of ``docs`` has (case ignored)."""
+    """``docs`` with a row number and the number's name: ids may be null or shared, so stages decide by
+    row. The name is one that no column of ``docs`` has (case ignored).
+
+    Rows read straight from Parquet are numbered by file and place in it, so no text is copied;
+    other rows are numbered as they come and written once."""
     row, taken = "row", {c.lower() for c in docs.columns}
     while row in taken:
         row += "_"
-    return stage(docs.withColumn(row, F.monotonically_increasing_id()), "pipe-rows"), row
+    try:
+        if "_metadata" in taken:
+            raise AnalysisException("a column hides the file's own")
+        placed = docs.select("*", F.col("_metadata.file_path").alias(f"{row}_file"), F.col("_metadata.row_index").alias(f"{row}_index"))
+    except AnalysisException:
+        return stage(docs.withColumn(row, F.monotonically_increasing_id()), "pipe-rows"), row
+    paths = sorted(r[0] for r in placed.select(f"{row}_file").distinct().collect())  # a row per file, as in Spark's own listing
+    files = docs.sparkSession.createDataFrame(list(enumerate(paths)), f"{row}_number bigint, {row}_file string")
+    number = F.shiftleft(F.col(f"{row}_number"), 40) + F.col(f"{row}_index")
+    return placed.join(F.broadcast(files), f"{row}_file").select(*[docs[c] for c in docs.columns], number.alias(row)), row
 
 
 def _without(rows: DataFrame, row: str, listed: DataFrame) -> DataFrame:
@@ -51,8 +64,10 @@ def keep_one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     rows, row = _numbered(docs)
     classes = near_duplicates(rows, id_col=row).select(F.col("doc_id").alias(row), F.col("component_id").alias("class"))
     named = stage(rows.select(F.col(row), "doc_id").join(classes, row).select(F.col(row).alias("row"), "doc_id", "class"), "pipe-classes")
-    first = named.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias("first"))
-    return _without(rows, row, stage(named.join(first, "class").where("row <> first").select("row"), "pipe-copies"))
+    # The smallest id of a class, and of its rows the first; a class without ids has its first row.
+    least = named.groupBy("class").agg(F.min("doc_id").alias("low"))
+    of_least = named.join(least, "class").where("doc_id <=> low").groupBy("class").agg(F.min("row").alias("first"))
+    return _without(rows, row, stage(named.join(of_least, "class").where("row <> first").select("row"), "pipe-copies"))
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

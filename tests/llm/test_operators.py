@@ -531,6 +531,19 @@ def test_stages_return_every_column_and_take_empty_tables(spark, edges, empty, n
     assert stage_of(spark, empty, SF_SMALL).count() == 0
 
 
+def test_rows_of_files_are_numbered_where_they_lie(spark, edges, tmp_path):
+    for n, part in enumerate((edges, edges.where("doc_id > 3"), edges.where("doc_id = -1"))):
+        part.coalesce(1).write.parquet(str(tmp_path / f"t/part={n}"))
+    rows = spark.read.schema(edges.schema).parquet(*[str(tmp_path / f"t/part={n}") for n in range(3)])
+    numbered, name = pipeline_stages._numbered(rows)
+    assert name == "row_" and numbered.columns == [*rows.columns, "row_"]
+    first, again = (sorted((r["row_"], r["doc_id"] or -1, r["text"] or "") for r in x.collect()) for x in (numbered, numbered.repartition(5)))
+    assert first == again and len({r[0] for r in first}) == len(first) == rows.count()
+    assert "FileScan" in numbered._jdf.queryExecution().executedPlan().toString()
+    hidden, _ = pipeline_stages._numbered(rows.withColumnRenamed("source", "_metadata"))
+    assert hidden.count() == rows.count()
+
+
 def test_pack_stage_takes_edge_rows_and_empty_tables(spark, edges, empty):
     rows = pipeline_stages.pack_kept(spark, edges, SF_SMALL).collect()
     assert Counter(r["doc_id"] for r in rows if r["piece"] == 0) == Counter(i for i, _ in EDGES)
