@@ -29,6 +29,11 @@ def text_bearing(opinions: DataFrame, min_len: int = MIN_TEXT_LEN) -> DataFrame:
     return opinions.select(*_meta(opinions), body.alias("body")).where(F.length("body") >= F.lit(min_len))
 
 
+def with_text(opinions: DataFrame, min_len: int = MIN_TEXT_LEN) -> DataFrame:
+    """The rows that ``text_bearing`` keeps, with all their columns."""
+    return opinions.where(F.length(effective_text("plain_text", "html_with_citations", rule="chunk")) >= F.lit(min_len))
+
+
 def text_rule_anomalies(opinions: DataFrame, min_len: int = MIN_TEXT_LEN) -> DataFrame:
     """Per court, lake rows (kept by the lake text rule) that the chunk text
     rule drops — short non-blank plain text beside long HTML — with the total."""

@@ -2,19 +2,21 @@
 
 Both jobs are idempotent on the natural key: rows whose key is already in the
 sink are skipped (insert-or-ignore), so a rerun after a crash or with the same
-input adds nothing (D9, D10). Row counts come from ``observe`` during the
-write, not from a second pass.
+input adds nothing (D9, D10). Keys are looked up in the sink's key index, never
+in its rows. Row counts come from ``observe`` during the write, not from a
+second pass.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselake.operators.aggregates import with_count_metric
-from caselake.operators.dedup import dedup_first, insert_or_ignore
+from caselake.operators.dedup import dedup_first
+from caselake.operators.key_index import KeyIndex, append_new
 from caselake.operators.vectors import embed
-from caselake.plans.chunks import opinion_chunks
+from caselake.plans.chunks import opinion_chunks, with_text
 from caselake.plans.lake_etl import first_opinions
 from caselake.plans.statutes import statute_chunk_rows
 from caselake.sources.courts import INGEST_COURTS
@@ -36,13 +38,33 @@ def sink_keys(spark: SparkSession, sink_path: str, cols) -> DataFrame | None:
     return rows.select(*cols).distinct()
 
 
-def new_opinions(spark: SparkSession, lake: DataFrame, sink_path: str) -> DataFrame:
-    """Lake rows to chunk, with their raw ``opinion_key``: the first row of each id that the sink does
-    not hold. Both steps shuffle on the key once. All chunks of an opinion come from one row, in
-    one task and file, so the sink has all or none of them."""
-    fresh = first_opinions(lake, keep_key=True)
-    done = sink_keys(spark, sink_path, ["opinion_key"])
-    return fresh if done is None else fresh.join(done, "opinion_key", "left_anti")
+def opinion_index(spark: SparkSession, sink_path: str) -> KeyIndex:
+    """The key index of an opinion sink: raw ids."""
+    def held():
+        keys = sink_keys(spark, sink_path, ["opinion_key"])
+        return None if keys is None else keys.select(F.col("opinion_key").alias("key"))
+    return KeyIndex(spark, sink_path, held)
+
+
+def append_opinions(spark: SparkSession, lake: DataFrame, sink_path: str, write) -> None:
+    """Give ``write`` the lake rows to chunk, with their raw ``opinion_key``: the first row of each id that
+    the sink does not hold, if it bears text. All chunks of an opinion come from one row, in one
+    task and file, so the sink has all or none of them. A row without text is not remembered:
+    it is taken up when its text comes."""
+    rows = with_text(first_opinions(lake, keep_key=True))
+    append_new(rows, F.col("opinion_key"), opinion_index(spark, sink_path), write)
+
+
+def statute_key() -> Column:
+    return F.to_json(F.struct(*STATUTE_KEY))
+
+
+def append_statutes(spark: SparkSession, rows: DataFrame, sink_path: str, write) -> None:
+    """K4: give ``write`` the first row of each (section, chunk) that the sink does not hold."""
+    def held():
+        keys = sink_keys(spark, sink_path, list(STATUTE_KEY))
+        return None if keys is None else keys.select(statute_key().alias("key"))
+    append_new(dedup_first(rows, list(STATUTE_KEY)), statute_key(), KeyIndex(spark, sink_path, held), write)
 
 
 def _write(rows: DataFrame, sink_path: str, partition_by=None) -> int:
@@ -66,14 +88,14 @@ def run_opinion_ingest(spark: SparkSession, lake_root: str, sink_path: str, cour
     numbers are told apart though the sink shows them as 0.
     """
     lake = filter_year_range(scan_courts(spark, lake_root, courts), start_year, end_year, keep_unknown)
-    rows = opinion_chunks(new_opinions(spark, lake, sink_path)).withColumn("vector", embed("text", encoder_factory, dim))
-    return _write(rows, sink_path, partition_by="court")
+    inserted = []
 
+    def write(rows: DataFrame) -> None:
+        chunks = opinion_chunks(rows).withColumn("vector", embed("text", encoder_factory, dim))
+        inserted.append(_write(chunks, sink_path, partition_by="court"))
 
-def new_statutes(spark: SparkSession, rows: DataFrame, sink_path: str) -> DataFrame:
-    """K4: the first row of each (section, chunk) that the sink does not hold."""
-    done = sink_keys(spark, sink_path, list(STATUTE_KEY))
-    return insert_or_ignore(rows, done, list(STATUTE_KEY)) if done is not None else dedup_first(rows, list(STATUTE_KEY))
+    append_opinions(spark, lake, sink_path, write)
+    return sum(inserted)
 
 
 def run_statute_ingest(spark: SparkSession, title_root: str, sink_path: str,
@@ -82,8 +104,13 @@ def run_statute_ingest(spark: SparkSession, title_root: str, sink_path: str,
     body -> headed rows -> skip keys already in the sink -> vectors -> append.
     Returns rows inserted."""
     records = scan_statutes_jsonl(spark, title_file_paths(spark, title_root))
-    rows = statute_chunk_rows(records)
-    return _write(new_statutes(spark, rows, sink_path).withColumn("vector", embed("text", encoder_factory, dim)), sink_path)
+    inserted = []
+
+    def write(rows: DataFrame) -> None:
+        inserted.append(_write(rows.withColumn("vector", embed("text", encoder_factory, dim)), sink_path))
+
+    append_statutes(spark, statute_chunk_rows(records), sink_path, write)
+    return sum(inserted)
 
 
 def sink_progress(spark: SparkSession, sink_path: str) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from caselake.operators.key_index import drop_key_index
 from caselake.operators.sinks import OPINION_CHUNK_COLUMNS
 from caselake.plans.chunks import opinion_chunks
 from caselake.sources.lake import has_data
@@ -45,14 +46,17 @@ def incremental_chunks(spark: SparkSession, lake_path: str, schema: StructType,
     ``query.stop()`` stops it (T4) — state is already durable in the checkpoint,
     and ``query.lastProgress`` gives live counters (T5).
     """
-    from caselake.plans.ingest import new_opinions
+    from caselake.plans.ingest import append_opinions
 
-    def append(batch: DataFrame, _: int) -> None:
+    def write(fresh: DataFrame) -> None:
         # Spread by court and year before chunking, so that files are few and each opinion's chunks
         # stay in one; the salt splits a court and year that hold much of the batch.
         salt = F.pmod(F.xxhash64("opinion_key"), F.lit(salt_buckets))
-        fresh = new_opinions(batch.sparkSession, batch, sink_path).repartition("court", "year", salt)
-        opinion_chunks(fresh, native=native).write.mode("append").partitionBy("court", "year").parquet(sink_path)
+        rows = fresh.repartition("court", "year", salt)
+        opinion_chunks(rows, native=native).write.mode("append").partitionBy("court", "year").parquet(sink_path)
+
+    def append(batch: DataFrame, _: int) -> None:
+        append_opinions(batch.sparkSession, batch, sink_path, write)
 
     return (
         stream_opinions(spark, lake_path, schema, max_files_per_trigger)
@@ -87,9 +91,11 @@ def reset(spark: SparkSession, sink_path: str, checkpoint_path: str, court: str
           year: int | None = None) -> None:
     """Forget the progress of one court, one year, both or (neither given) all of a T1 sink.
 
-    The chunks of that scope and the checkpoint are deleted. The next run then reads every lake file
-    again, but chunks only what the sink lacks; all that is outside the scope stays as it is.
+    The chunks of that scope, the checkpoint and the key index are deleted. The next run then reads
+    every lake file again, but chunks only what the sink lacks; all that is outside the scope stays
+    as it is. It makes the index anew from the sink's keys.
     """
+    drop_key_index(spark, sink_path)
     folder = sink_path
     if court is not None or year is not None:
         folder = f"{sink_path}/court={'*' if court is None else court}/year={'*' if year is None else year}"
@@ -110,7 +116,7 @@ def incremental_statutes(spark: SparkSession, title_root: str, sink_path: str, c
     finished files, so a rerun or a restart after a crash resumes per file.
     Keys that the sink holds are not written again (T3).
     """
-    from caselake.plans.ingest import new_statutes
+    from caselake.plans.ingest import append_statutes
     from caselake.plans.statutes import statute_chunk_rows
     from caselake.sources.statutes import parse_statute_lines
 
@@ -122,7 +128,7 @@ def incremental_statutes(spark: SparkSession, title_root: str, sink_path: str, c
     rows = statute_chunk_rows(parse_statute_lines(reader.load(title_root)))
 
     def append(batch: DataFrame, _: int) -> None:
-        new_statutes(batch.sparkSession, batch, sink_path).write.mode("append").parquet(sink_path)
+        append_statutes(batch.sparkSession, batch, sink_path, lambda rows: rows.write.mode("append").parquet(sink_path))
 
     return (
         rows.writeStream.foreachBatch(append)
