@@ -26,9 +26,10 @@ def _lake_etl(spark, args) -> dict:
     from caselake.operators.sinks import write_marker
     from caselake.plans.lake_etl import run_lake_etl
     from caselake.sources.courts import LAKE_COURTS
-    from caselake.sources.snapshots import SNAPSHOT_COLUMNS, latest_snapshot_path, stage_snapshot
+    from caselake.sources.snapshots import SNAPSHOT_COLUMNS, latest_snapshot_path, scan_snapshot_csv, spread_rows
     from caselake.functions.text import DATE_RE, UNKNOWN_SNAPSHOT
-    from caselake.sources.lake import stage_done, stage_path
+    from caselake.sources.lake import stage_path
+    from caselake.sources.stages import reuse_or_build
 
     import re
 
@@ -39,12 +40,11 @@ def _lake_etl(spark, args) -> dict:
         snap = m.group(1) if m else UNKNOWN_SNAPSHOT
         if prefix == "dockets":
             date = snap
-        # A snapshot already staged for the same date is reused, not re-read
+        # A snapshot staged from the same file with the same columns is reused, not re-read
         target = stage_path(os.path.join(args.out, "_staged"), prefix, snap)
-        if snap != UNKNOWN_SNAPSHOT and stage_done(spark, target):
-            staged[prefix] = spark.read.parquet(target)
-        else:
-            staged[prefix] = stage_snapshot(spark, path, columns, target, args.partitions)
+        staged[prefix] = reuse_or_build(
+            spark, target, [path], {"columns": columns, "partitions": args.partitions},
+            lambda path=path, columns=columns: spread_rows(scan_snapshot_csv(spark, path, columns), args.partitions))
     courts = args.courts.split(",") if args.courts else LAKE_COURTS
     counts = run_lake_etl(spark, staged["dockets"], staged["opinion-clusters"], staged["citations"],
                           staged["opinions"], args.out, courts=courts, salt_buckets=args.salt_buckets)

@@ -8,9 +8,11 @@ one window partition.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+REPEATED_BROADCAST = 1_000_000  # repeated keys that are broadcast
+
 
 def _dedup(df: DataFrame, keys, order, pick) -> DataFrame:
     keys = [keys] if isinstance(keys, str) else list(keys)
@@ -43,3 +45,28 @@ def insert_or_ignore(new_rows: DataFrame, target: DataFrame, keys, order=None) -
     keys = [keys] if isinstance(keys, str) else list(keys)
     fresh = dedup_first(new_rows, keys, order)
     return fresh.join(target.select(*keys).distinct(), keys, "left_anti")
+
+
+def first_of_wide(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
+    """W1 for rows with long texts: one row per key, the first by ``order``.
+
+    Keys that come several times are found from the key column alone (one narrow job, its result
+    written once). All other rows pass where they are read: their texts are neither shuffled nor
+    sorted. Rows of repeated keys are sorted by key and ``order``, which should be narrow; each task
+    keeps its first row of a key before the shuffle. Rows that ``order`` cannot tell apart count as
+    the same row. ``key`` must not be null.
+    """
+    from caselake.session import scratch_path
+
+    spark = df.sparkSession
+    path = scratch_path(spark, "repeated-keys")
+    df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key).write.parquet(path)
+    repeated = spark.read.schema(df.select(key).schema).parquet(path)
+    many = repeated.count()
+    if not many:
+        return df
+    if many <= REPEATED_BROADCAST:
+        repeated = F.broadcast(repeated)
+    first = Window.partitionBy(key).orderBy(*order)
+    chosen = df.join(repeated, key, "left_semi").withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
+    return df.join(repeated, key, "left_anti").select(*df.columns).unionByName(chosen.select(*df.columns))

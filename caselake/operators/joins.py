@@ -1,6 +1,6 @@
 """Joins of the pipeline.
 
-Broadcast is used only behind a row-count check (``broadcast_if_bounded``);
+Broadcast is used only behind a check of rows and bytes (``broadcast_if_bounded``);
 above the bound the join is left to the planner (sort-merge, or AQE's runtime
 conversion when the shuffled side turns out small).
 """
@@ -9,42 +9,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+
+from caselake.sources.stages import row_bytes, stage_size
 
 # Default row bounds for broadcast build sides (narrow rows: ids + a few strings).
 DOCKETS_BROADCAST_ROWS = 2_000_000
 CLUSTERS_BROADCAST_ROWS = 1_000_000
 DIMENSION_BROADCAST_ROWS = 100_000
+LOOKUP_BROADCAST_ROWS = 1_000_000
 # Byte bound for any broadcast build side (well under Spark's 8 GB hard limit).
 BROADCAST_MAX_BYTES = 512 * 1024 * 1024
-ROW_OVERHEAD_BYTES = 16
-_FIXED_WIDTHS = {
-    "BooleanType": 1, "ByteType": 1, "ShortType": 2, "IntegerType": 4, "DateType": 4, "FloatType": 4,
-    "LongType": 8, "DoubleType": 8, "TimestampType": 8, "TimestampNTZType": 8, "DecimalType": 16,
-}
+# A key with so large a share of the rows is not left to one task of a shuffle join.
+HOT_SHARE = 0.01
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Broadcast ``df`` only when it has at most ``max_rows`` rows and its data
-    (string bytes plus fixed-width columns) stays under ``max_bytes``.
+def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows and ``max_bytes`` of data (string bytes plus
+    fixed-width columns).
 
-    Both are measured over at most ``max_rows + 1`` rows, so the check is
-    bounded work; it is meant for materialized stages. Above either bound the
-    side is returned unhinted and the planner (sort-merge, AQE) decides.
+    A written stage knows both from its write (``stages.write_measured``): nothing is read.
+    Otherwise they are summed over the rows, task by task.
     """
-    var, fixed = [], 0
-    for f in df.schema.fields:
-        width = _FIXED_WIDTHS.get(type(f.dataType).__name__)
-        if width is not None:
-            fixed += width
-        elif isinstance(f.dataType, (StringType, BinaryType)):
-            var.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
-        else:  # nested: its JSON text over-estimates the in-memory size
-            var.append(F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f.name)))), F.lit(0)))
-    var_bytes = F.sum(sum(var[1:], var[0])) if var else F.lit(0)
-    n, nbytes = df.limit(max_rows + 1).agg(F.count(F.lit(1)), var_bytes).first()
-    total = (nbytes or 0) + n * (fixed + ROW_OVERHEAD_BYTES)
-    return F.broadcast(df) if n <= max_rows and total <= max_bytes else df
+    size = stage_size(df)
+    if size is None:
+        size = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df.schema)).alias("bytes")).first().asDict()
+    return (size["rows"] or 0) <= max_rows and (size["bytes"] or 0) <= max_bytes
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast ``df`` only if it fits the bounds; else it is returned unhinted and the planner
+    (sort-merge, AQE) decides."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
 def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
@@ -99,13 +94,35 @@ def skip_done(df: DataFrame, done: DataFrame, keys) -> DataFrame:
     return df.join(done.select(*keys).distinct(), keys, "left_anti")
 
 
-def lookup_or_default(df: DataFrame, lookup: DataFrame, key: str, defaults: dict) -> DataFrame:
-    """Left lookup; missing values take the given defaults."""
+def lookup_or_default(df: DataFrame, lookup: DataFrame, key: str, defaults: dict, max_broadcast_rows: int = LOOKUP_BROADCAST_ROWS,
+                      hot_share: float = HOT_SHARE) -> DataFrame:
+    """Left lookup; missing values take the given defaults.
+
+    A lookup that fits the bounds is broadcast. Otherwise the rows are split: those without a key need
+    no join; those of a key with ``hot_share`` of all rows or more (ids that failed to parse share
+    one) stay where they are and meet the lookup's few rows of such keys by broadcast; only the
+    rest is shuffled. At most 1 / hot_share keys are hot.
+    """
     cols = [c for c in lookup.columns if c != key]
-    out = df.join(lookup, key, "left")
-    for c in cols:
-        if c in defaults:
-            out = out.withColumn(c, F.coalesce(F.col(c), F.lit(defaults[c])))
+    if fits_broadcast(lookup, max_broadcast_rows):
+        parts = [df.join(F.broadcast(lookup), key, "left")]
+    else:
+        counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        total = df.count()
+        hot = [r[key] for r in counts.where(F.col("_n") >= max(2.0, hot_share * total)).select(key).collect()]
+        is_hot = F.col(key).isin(hot) if hot else F.lit(False)
+        none = df.where(F.col(key).isNull()).select("*", *[F.lit(None).cast(t).alias(c) for c, t in lookup.dtypes if c != key])
+        parts = [df.where(F.col(key).isNotNull() & ~is_hot).join(lookup, key, "left"), none]
+        if hot:
+            few = broadcast_if_bounded(lookup.where(is_hot), max_broadcast_rows or LOOKUP_BROADCAST_ROWS)
+            parts.append(df.where(is_hot).join(few, key, "left"))
+    out = None
+    for part in parts:
+        for c in cols:
+            if c in defaults:
+                part = part.withColumn(c, F.coalesce(F.col(c), F.lit(defaults[c])))
+        part = part.select(*df.columns, *cols)
+        out = part if out is None else out.unionByName(part)
     return out
 
 

@@ -28,8 +28,11 @@ STATUTE_CHUNK_COLUMNS = (
 
 
 def write_stage(df: DataFrame, path: str) -> None:
-    """K1: overwrite a Parquet stage; a rebalance lets adaptive execution size the files."""
-    df.hint("rebalance").write.mode("overwrite").parquet(path)
+    """K1: overwrite a Parquet stage; a rebalance lets adaptive execution size the files. Its rows and
+    bytes are counted by the write and kept with it."""
+    from caselake.sources.stages import write_measured
+
+    write_measured(df.hint("rebalance"), path)
 
 
 def write_by_court(df: DataFrame, path: str, salt_buckets: int | None = None, mode: str = "overwrite") -> None:

@@ -20,7 +20,7 @@ from caselake.functions.text import (
     year_of,
 )
 from caselake.operators.aggregates import aggregate_citations, with_count_metric
-from caselake.operators.dedup import dedup_first
+from caselake.operators.dedup import dedup_first, first_of_wide
 from caselake.operators.joins import (
     CLUSTERS_BROADCAST_ROWS,
     DOCKETS_BROADCAST_ROWS,
@@ -70,16 +70,19 @@ def clusters_stage(clusters_raw: DataFrame, dockets: DataFrame, citations_raw: D
     return attach_citations(joined, cites).select("cluster_id", "case_name", "court", "year", "citation")
 
 
-def with_opinion_key(opinions: DataFrame) -> DataFrame:
-    """``opinion_key``: the raw id as text; a row without one is known by its content instead."""
-    content = F.sha2(F.to_json(F.struct("cluster_id", "plain_text", "html_with_citations")), 256)
-    return opinions.withColumn(
-        "opinion_key", F.coalesce(F.col("opinion_id").cast("string"), F.concat(F.lit("no-id:"), content)))
-
-
 def first_opinions(opinions: DataFrame, keep_key: bool = False) -> DataFrame:
-    """W1 on opinions: one row per raw id, the smallest by the other columns."""
-    one = dedup_first(with_opinion_key(opinions), "opinion_key")
+    """W1 on opinions: one row per raw id (``opinion_key``, as text), the first by its narrow columns,
+    then by the lengths of its texts, then by a digest of them. A row without an id is known by its
+    content instead."""
+    texts = ("plain_text", "html_with_citations")
+    narrow = [F.col(c) for c in sorted(opinions.columns) if c not in (*texts, "opinion_id")]
+    order = [*narrow, *[F.length(c) for c in texts], F.xxhash64(*texts)]
+    named = opinions.where("opinion_id IS NOT NULL").withColumn("opinion_key", F.col("opinion_id").cast("string"))
+    one = first_of_wide(named, "opinion_key", order)
+    nameless = opinions.where("opinion_id IS NULL")
+    if not nameless.select("opinion_id").isEmpty():
+        content = F.sha2(F.to_json(F.struct("cluster_id", *texts)), 256)
+        one = one.unionByName(first_of_wide(nameless.withColumn("opinion_key", F.concat(F.lit("no-id:"), content)), "opinion_key", order))
     return one if keep_key else one.drop("opinion_key")
 
 

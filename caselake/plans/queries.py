@@ -53,18 +53,24 @@ def lake_dockets(spark, d):
     return dockets_stage(S.dockets_raw(spark, d), S.STANDIN_COURTS)
 
 
-def staged_dockets(spark, d):
-    """Job 1 output, written once per input folder (stage cache)."""
-    return materialize_stage(spark, "dockets", d, lambda: lake_dockets(spark, d))
+def _files(d, *tables):
+    return [f"{d}/{t}.parquet" for t in tables]
 
 
-def lake_clusters(spark, d):
-    return clusters_stage(S.clusters_raw(spark, d), staged_dockets(spark, d), S.citations_raw(spark, d))
+def staged_dockets(spark, d, courts=S.STANDIN_COURTS):
+    """Job 1 output, written once per state of its inputs and court set (stage cache)."""
+    return materialize_stage(spark, "dockets", _files(d, "customer"), lambda: dockets_stage(S.dockets_raw(spark, d), courts),
+                             {"courts": sorted(courts)})
 
 
-def staged_clusters(spark, d):
-    """Job 2 output, written once per input folder (stage cache)."""
-    return materialize_stage(spark, "clusters", d, lambda: lake_clusters(spark, d))
+def lake_clusters(spark, d, courts=S.STANDIN_COURTS):
+    return clusters_stage(S.clusters_raw(spark, d), staged_dockets(spark, d, courts), S.citations_raw(spark, d))
+
+
+def staged_clusters(spark, d, courts=S.STANDIN_COURTS):
+    """Job 2 output, written once per state of its inputs and court set (stage cache)."""
+    return materialize_stage(spark, "clusters", _files(d, "customer", "orders", "lineitem"), lambda: lake_clusters(spark, d, courts),
+                             {"courts": sorted(courts)})
 
 
 def lake_opinions(spark, d):
@@ -119,6 +125,18 @@ def q_clusters_enriched(spark, d):
     return lake_clusters(spark, d)
 
 
+@register("stage_cache", S.standin_ctes("dockets_raw", "clusters_raw", "citations_raw") + "," + SQL_CLUSTERS + """
+    SELECT *, 'four' AS court_set FROM clusters
+    UNION ALL SELECT *, 'two' AS court_set FROM clusters WHERE court IN ('BUILDING', 'MACHINERY')""")
+def q_stage_cache(spark, d):
+    """The clusters stage under two court sets, each asked for twice; neither gets the other's."""
+    two = ("MACHINERY", "BUILDING")
+    for courts in (S.STANDIN_COURTS, two):
+        staged_clusters(spark, d, courts)
+    return staged_clusters(spark, d).withColumn("court_set", F.lit("four")).unionByName(
+        staged_clusters(spark, d, two).withColumn("court_set", F.lit("two")))
+
+
 @register("opinions_denorm", LAKE_PREFIX + " SELECT * FROM lake")
 def q_opinions_denorm(spark, d):
     """J3 F5 F6 F7(lake) P5 P10: the denormalized opinions lake."""

@@ -49,26 +49,28 @@ def read_immutable_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 
-def materialize_stage(spark: SparkSession, name: str, key: str, build) -> DataFrame:
-    """Write stage ``name`` for input ``key`` once (Parquet in the shared
-    checkpoint folder) and read it back; a finished stage (``_SUCCESS``) is reused.
-
-    Later stages then read a table with known size instead of recomputing
-    this one's lineage, and a lost executor only recomputes from here. The
-    cache is scoped to the running application, so a stage is never reused
-    across code or input changes; reuse across runs goes through
-    ``stage_path`` keyed by snapshot date.
+def materialize_stage(spark: SparkSession, name: str, inputs, build, params: dict | None = None) -> DataFrame:
+    """Write stage ``name`` of the given input paths and parameters once (Parquet in the shared
+    checkpoint folder) and read it back; a finished stage is reused.
+
+    The folder is named by a digest of the inputs' listing and of the parameters, so another
+    parameter or a changed file never gets an old stage. Later stages read a table whose size was
+    counted as it was written, and a lost executor only recomputes from here. The cache is scoped
+    to the running application, whose code does not change; reuse across runs is
+    ``stages.reuse_or_build``.
     """
     import hashlib
+    import json
 
     from caselake.session import checkpoint_dir
+    from caselake.sources.stages import input_digest, read_manifest, write_measured
 
-    app = spark.sparkContext.applicationId
-    tag = hashlib.md5(f"{app}|{key}".encode("utf-8")).hexdigest()[:12]
-    path = os.path.join(checkpoint_dir(spark), "stages", tag, name)
+    inputs = [inputs] if isinstance(inputs, str) else list(inputs)
+    key = json.dumps([spark.sparkContext.applicationId, input_digest(spark, inputs), params or {}], sort_keys=True, default=str)
+    path = os.path.join(checkpoint_dir(spark), "stages", hashlib.md5(key.encode("utf-8")).hexdigest()[:16], name)
     with _STAGE_LOCKS.setdefault(path, threading.Lock()):
-        if not stage_done(spark, path):
-            build().write.mode("overwrite").parquet(path)
+        if read_manifest(spark, path) is None:
+            write_measured(build(), path)
     return read_immutable_parquet(spark, path)
 
 

@@ -105,15 +105,17 @@ def latest_snapshot_path(spark: SparkSession, root: str, prefix: str, suffix: st
     return rows[0]["path"]
 
 
+def spread_rows(df: DataFrame, partitions: int | None) -> DataFrame:
+    return df.repartition(partitions) if partitions else df
+
+
 def stage_snapshot(spark: SparkSession, csv_path: str, columns, out_path: str, partitions: int | None = None) -> DataFrame:
     """Convert one CSV snapshot to Parquet once; later stages read the Parquet.
 
     The scan has a task for each split, so rows are written where they were
     read, or spread over ``partitions`` if given.
     """
-    df = scan_snapshot_csv(spark, csv_path, columns)
-    df = df.repartition(partitions) if partitions else df
-    df.write.mode("overwrite").parquet(out_path)
+    spread_rows(scan_snapshot_csv(spark, csv_path, columns), partitions).write.mode("overwrite").parquet(out_path)
     return spark.read.parquet(out_path)
 
 
