@@ -83,6 +83,76 @@ def chunk_text(text: str | None, size: int = CHUNK_SIZE, overlap: int = CHUNK_OV
     return chunks
 
 
+def chunk_spans(text: str | None, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> tuple[str, list[tuple[int, int]]]:
+    """(packed, spans): all units with their separators as one string, and the part of it that each chunk
+    of F11 holds, as (start, end), blanks at its ends aside. A chunk that carries the last
+    characters of the one before starts that much earlier."""
+    units = _units(text, size) if text else []
+    packed = "".join(u + s for u, s in units)
+    spans, start, end = [], 0, 0
+
+    def emit() -> None:
+        held = packed[start:end]
+        if held.strip():
+            spans.append((end - len(held.lstrip()), start + len(held.rstrip())))
+
+    for unit, sep in units:
+        n = len(unit) + len(sep)
+        if end - start + n > size:
+            emit()
+            start = end - min(overlap, end - start)
+        end += n
+    emit()
+    return packed, spans
+
+
+def legal_chunk_spans(col, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> Column:
+    """Where the chunks of F11 lie in the packed text: array<struct<start,end>>, one a chunk."""
+
+    @pandas_udf("array<struct<start:int,end:int>>")
+    def _spans(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: [{"start": a, "end": b} for a, b in chunk_spans(t, size, overlap)[1]])
+
+    return _spans(F.col(col) if isinstance(col, str) else col)
+
+
+def cut_matches(col, pattern: str, settings: list[tuple[int, int]]) -> Column:
+    """struct(matches, cuts): how many matches of the pattern the packed text holds, and for each
+    (size, overlap) how many of them lie whole in no chunk.
+
+    A match is compared with the chunks' spans, so where a cut is does not depend on what else the
+    text says. Row by row: nothing is shuffled or joined. The packed text is that of the first
+    setting's size, which decides what is split at sentences; all settings need that size."""
+    if len({size for size, _ in settings}) != 1:
+        raise ValueError("settings with one chunk size are compared")
+    found = re.compile(pattern)
+
+    @pandas_udf("matches int, cuts array<int>")
+    def _cuts(texts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for text in texts:
+            cuts = []
+            for size, overlap in settings:
+                packed, spans = chunk_spans(text, size, overlap)
+                at = [m.span() for m in found.finditer(packed)]
+                cuts.append(_outside(at, spans))
+            rows.append((len(at), cuts))
+        return pd.DataFrame(rows, columns=["matches", "cuts"])
+
+    return _cuts(F.col(col) if isinstance(col, str) else col)
+
+
+def _outside(at: list[tuple[int, int]], spans: list[tuple[int, int]]) -> int:
+    """How many of the ordered ranges ``at`` no span contains; starts and ends of spans both rise."""
+    out, n = 0, 0
+    for start, end in at:
+        while n < len(spans) and spans[n][1] < end:
+            n += 1
+        # The first span that reaches the end starts earliest of all that do.
+        out += n == len(spans) or spans[n][0] > start
+    return out
+
+
 def legal_chunks(col, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> Column:
     """F11 as an Arrow pandas UDF: one Arrow batch of texts per call."""
 

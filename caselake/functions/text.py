@@ -205,6 +205,21 @@ def year_label(start: int | None, end: int | None) -> str:
     return "all years"
 
 
+def year_label_of(start, end) -> Column:
+    """F18 over columns: the label of each row's optional year range."""
+    a, b = _c(start), _c(end)
+    has_a, has_b = F.coalesce(a != 0, F.lit(False)), F.coalesce(b != 0, F.lit(False))
+    a, b = a.cast("string"), b.cast("string")
+    return (F.when(has_a & has_b, F.concat(a, F.lit("–"), b)).when(has_a, F.concat(F.lit("from "), a))
+            .when(has_b, F.concat(F.lit("up to "), b)).otherwise(F.lit("all years")))
+
+
+def year_tag_of(start, end) -> Column:
+    """F18 over columns: the path-safe tag of each row's optional year range."""
+    part = lambda c: F.coalesce(F.when(c != 0, c.cast("string")), F.lit("all"))
+    return F.concat(part(_c(start)), F.lit("_"), part(_c(end)))
+
+
 def year_tag(start: int | None, end: int | None) -> str:
     """path-safe tag for stage caching, e.g. '2000_all'."""
     return f"{start or 'all'}_{end or 'all'}"
@@ -222,8 +237,9 @@ def remove_boilerplate(col, phrases) -> Column:
     return strip(F.regexp_replace(out, r"[ \t]{2,}", " "))
 
 
-# Citation shape used by the boundary audit: '123 S.C. 456', '123 S.E.2d 456', '18 U.S.C. § 1030'.
-CITATION_RE = r"[0-9]+ [A-Z][A-Za-z.0-9]*(?: §)? [0-9]+"
+# Citation shape used by the boundary audit: '123 S.C. 456', '123 S.E.2d 456', '18 U.S.C. § 1030',
+# '12 F. Supp. 345', '410 U. S. 113'.
+CITATION_RE = r"[0-9]+ [A-Z][A-Za-z.0-9]*(?: [A-Z][A-Za-z.0-9]*){0,3}(?: §)? [0-9]+"
 
 
 def citations_in(col, pattern: str = CITATION_RE) -> Column:

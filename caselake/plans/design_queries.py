@@ -7,9 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from caselake.functions.chunking import fixed_chunks, paragraph_chunks, recursive_chunks
+from caselake.functions.chunking import cut_matches, fixed_chunks, paragraph_chunks, recursive_chunks
 from caselake.functions.enrich import enrich_variant
-from caselake.functions.text import CITATION_RE, citations_in, normalize_newlines, remove_boilerplate
+from caselake.functions.text import CITATION_RE, remove_boilerplate
 from caselake.plans import sqlparts as Q
 from caselake.plans.chunks import explode_chunks, text_bearing
 from caselake.plans.queries import LAKE_PREFIX, lake_opinions, register, staged_clusters
@@ -88,36 +88,71 @@ def q_recursive_chunks(spark, d):
     return out.withColumn("chunk_len", F.length("chunk"))
 
 
-@register("boilerplate", f"""
+# Stand-in orders: a phrase in the middle, at the end, twice in a row, in another case, or not at all.
+SQL_ORDERED = """
+    ordered AS (SELECT doc_id, CASE doc_id % 5
+        WHEN 0 THEN left(text, 40) || ' IT IS SO ORDERED ' || substr(text, 41)
+        WHEN 1 THEN text || ' \t IT IS SO ORDERED'
+        WHEN 2 THEN 'IT IS SO ORDERED' || 'IT IS SO ORDERED' || text
+        WHEN 3 THEN text || ' it is so ordered' ELSE text END AS text FROM documents)"""
+
+
+def _ordered_docs(spark, d):
+    phrase, t, n = F.lit(BOILERPLATE[0]), F.col("text"), F.col("doc_id") % 5
+    text = (F.when(n == 0, F.concat(F.substring(t, 1, 40), F.lit(" "), phrase, F.lit(" "), F.expr("substring(text, 41)")))
+            .when(n == 1, F.concat(t, F.lit(" \t "), phrase)).when(n == 2, F.concat(phrase, phrase, t))
+            .when(n == 3, F.concat(t, F.lit(" it is so ordered"))).otherwise(t))
+    return _docs(spark, d).select("doc_id", text.alias("text"))
+
+
+@register("boilerplate", "WITH " + SQL_ORDERED.replace("\t", "' || chr(9) || '") + f"""
     SELECT doc_id,
            {Q.strip("regexp_replace(regexp_replace(text, 'IT IS SO ORDERED', ' ', 'g'), '[ \\t]{2,}', ' ', 'g')")} AS text
-    FROM documents""")
+    FROM ordered""")
 def q_boilerplate(spark, d):
-    """boilerplate phrases removed from every document."""
-    return _docs(spark, d).select("doc_id", remove_boilerplate("text", BOILERPLATE).alias("text"))
-
-
-@register("citation_audit", f"""
-    WITH ch AS ({Q.chunks_cte('documents', 'doc_id', 'text')}),
-    chc AS (SELECT doc_id, list_distinct(flatten(list(regexp_extract_all(chunk, '{CITATION_RE}')))) AS found
-            FROM ch GROUP BY doc_id),
-    tc AS (SELECT doc_id, regexp_extract_all({Q.normalize_newlines('text')}, '{CITATION_RE}') AS cites FROM documents)
-    SELECT tc.doc_id, CAST(len(tc.cites) AS INTEGER) AS citations,
-           CAST(len(list_filter(tc.cites, lambda c: NOT list_contains(coalesce(chc.found, []::VARCHAR[]), c))) AS INTEGER) AS cut_citations
-    FROM tc LEFT JOIN chc ON tc.doc_id = chc.doc_id""")
+    """a boilerplate phrase removed from documents, three in five of which hold it."""
+    return _ordered_docs(spark, d).select("doc_id", remove_boilerplate("text", BOILERPLATE).alias("text"))
+
+
+# Stand-in citations: reporters whose points look like sentence ends, so that chunks may end inside one.
+CITED = ". See 12 F. Supp. 345 and 410 U. S. 113; "
+AUDIT_SIZE, AUDIT_OVERLAPS = 1200, (500, 10, 0)
+
+
+def _cut_sql(overlap):
+    fold = (f"list_reduce({Q.units('text', AUDIT_SIZE)}, lambda acc, x: CASE WHEN acc.e - acc.s + length(x.u) + length(x.sep) <= {AUDIT_SIZE} "
+            "THEN {'spans': acc.spans, 's': acc.s, 'e': acc.e + length(x.u) + length(x.sep)} "
+            "ELSE {'spans': list_append(acc.spans, {'s': acc.s, 'e': acc.e}), "
+            f"'s': acc.e - least({overlap}, acc.e - acc.s), 'e': acc.e + length(x.u) + length(x.sep)}} END, "
+            "{'spans': []::STRUCT(s BIGINT, e BIGINT)[], 's': 0::BIGINT, 'e': 0::BIGINT})")
+    return fold
+
+
+SQL_CITED = f"""
+    cited AS (SELECT doc_id, replace(text, '. ', '{CITED}') AS text FROM documents),
+    packed AS (SELECT doc_id, array_to_string(list_transform({Q.units('text', AUDIT_SIZE)}, lambda x: x.u || x.sep), '') AS p,
+                      {", ".join(f"{_cut_sql(o)} AS st{o}" for o in AUDIT_OVERLAPS)} FROM cited),
+    parts AS (SELECT *, string_split(regexp_replace(p, '{CITATION_RE}', chr(1) || '\\0' || chr(2), 'g'), chr(1)) AS part FROM packed),
+    placed AS (SELECT *, list_transform(range(2, len(part) + 1), lambda i: {{
+                      's': list_sum(list_transform(part[1:i - 1], lambda x: length(x))) - (i - 2),
+                      'e': list_sum(list_transform(part[1:i - 1], lambda x: length(x))) - (i - 2) + position(chr(2) IN part[i]) - 1}}) AS hits
+               FROM parts)"""
+
+
+def _count_cut_sql(overlap):
+    spans = f"list_append(st{overlap}.spans, {{'s': st{overlap}.s, 'e': st{overlap}.e}})"
+    return (f"CAST(len(list_filter(hits, lambda c: len(list_filter({spans}, lambda x: x.s <= c.s AND x.e >= c.e)) = 0)) AS INTEGER) "
+            f"AS cut_overlap_{overlap}")
+
+
+@register("citation_audit", "WITH " + SQL_CITED + f"""
+    SELECT doc_id, CAST(len(hits) AS INTEGER) AS citations, {", ".join(map(_count_cut_sql, AUDIT_OVERLAPS))} FROM placed""")
 def q_citation_audit(spark, d):
-    """per document, citations in the text and how many no chunk holds whole."""
-    docs = _docs(spark, d)
-    chunks = explode_chunks(docs, legal_chunks("text"), ["doc_id"])
-    found = chunks.groupBy("doc_id").agg(
-        F.array_distinct(F.flatten(F.collect_list(citations_in("chunk")))).alias("found"))
-    tc = docs.select("doc_id", citations_in(normalize_newlines("text")).alias("cites"))
-    j = tc.join(found, "doc_id", "left")
-    held = F.coalesce(F.col("found"), F.array().cast("array<string>"))
-    return j.select(
-        "doc_id", F.size("cites").alias("citations"),
-        F.size(F.filter("cites", lambda c: ~F.array_contains(held, c))).alias("cut_citations"),
-    )
+    """citations of each document and how many lie whole in no chunk, for three overlaps."""
+    cited = _docs(spark, d).select("doc_id", F.replace("text", F.lit(". "), F.lit(CITED)).alias("text"))
+    audit = cited.select("doc_id", cut_matches("text", CITATION_RE, [(AUDIT_SIZE, o) for o in AUDIT_OVERLAPS]).alias("a"))
+    return audit.select(
+        "doc_id", F.col("a.matches").alias("citations"), *[F.col("a.cuts")[n].alias(f"cut_overlap_{o}") for n, o in enumerate(AUDIT_OVERLAPS)])
 
 
 @register("header_variants", LAKE_PREFIX + f""",

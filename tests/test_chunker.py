@@ -133,3 +133,36 @@ def test_design_chunkers(spark):
     rc2 = [r[0] for r in spark.createDataFrame([("a b\n\nc d\n\ne f",)], "t string")
            .select(recursive_chunks("t", 4, 1)).collect()]
     assert rc2[0] == ["a b c d", "d e f"]
+
+
+def test_spans_are_where_the_chunks_lie():
+    import random
+
+    from caselake.functions.chunking import chunk_spans, chunk_text
+
+    rng = random.Random(4)
+    for _ in range(300):
+        text = "".join(rng.choices(["word ", "Long. Sentence here. ", "\n\n", "\r\n", "A", "é", "  ", "x" * 40], k=rng.choice([0, 3, 40, 200])))
+        for size, overlap in ((60, 20), (60, 0), (300, 50)):
+            packed, spans = chunk_spans(text, size, overlap)
+            assert [packed[a:b] for a, b in spans] == chunk_text(text, size, overlap)
+    assert chunk_spans(None) == ("", [])
+
+
+def test_cuts_are_the_matches_that_no_chunk_holds(spark):
+    import re
+
+    from caselake.functions.chunking import _outside, chunk_spans, cut_matches
+    from caselake.functions.text import CITATION_RE
+
+    for cite in ("123 S.C. 456", "123 S.E.2d 456", "18 U.S.C. § 1030", "12 F. Supp. 345", "410 U. S. 113"):
+        assert re.fullmatch(CITATION_RE, cite)
+    text = " ".join(f"Sentence {10 ** (n % 7)} see 12 F. Supp. {n}." for n in range(60))
+    rows = spark.createDataFrame([(1, text), (2, None), (3, "none")], "id long, text string")
+    got = {r["id"]: (r["c"]["matches"], r["c"]["cuts"]) for r in rows.select("id", cut_matches("text", CITATION_RE, [(100, 50), (100, 0)]).alias("c")).collect()}
+    assert got[2] == (0, [0, 0]) == got[3] and got[1][0] == 60 and got[1][1][0] == 0 < got[1][1][1]
+    packed, spans = chunk_spans(text, 100, 0)
+    at = [m.span() for m in re.finditer(CITATION_RE, packed)]
+    assert got[1][1][1] == _outside(at, spans) == sum(not any(a <= s and e <= b for a, b in spans) for s, e in at)
+    plan = rows.select(cut_matches("text", CITATION_RE, [(100, 50)]))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
