@@ -26,7 +26,7 @@ def _lake_etl(spark, args) -> dict:
     from caselake.operators.sinks import write_marker
     from caselake.plans.lake_etl import run_lake_etl
     from caselake.sources.courts import LAKE_COURTS
-    from caselake.sources.snapshots import SNAPSHOT_COLUMNS, latest_snapshot_path, scan_snapshot_csv, spread_rows
+    from caselake.sources.snapshots import SNAPSHOT_COLUMNS, latest_snapshot_path, scan_snapshot_csv, snapshot_columns, spread_rows
     from caselake.functions.text import DATE_RE, UNKNOWN_SNAPSHOT
     from caselake.sources.lake import stage_path
     from caselake.sources.stages import reuse_or_build
@@ -34,8 +34,9 @@ def _lake_etl(spark, args) -> dict:
     import re
 
     staged, date = {}, UNKNOWN_SNAPSHOT
-    for prefix, columns in SNAPSHOT_COLUMNS.items():
+    for prefix in SNAPSHOT_COLUMNS:
         path = latest_snapshot_path(spark, args.snapshots, f"{prefix}-")
+        columns = snapshot_columns(spark, path, prefix)
         m = re.search(DATE_RE, path)
         snap = m.group(1) if m else UNKNOWN_SNAPSHOT
         if prefix == "dockets":
@@ -47,7 +48,7 @@ def _lake_etl(spark, args) -> dict:
             lambda path=path, columns=columns: spread_rows(scan_snapshot_csv(spark, path, columns), args.partitions))
     courts = args.courts.split(",") if args.courts else LAKE_COURTS
     counts = run_lake_etl(spark, staged["dockets"], staged["opinion-clusters"], staged["citations"],
-                          staged["opinions"], args.out, courts=courts, salt_buckets=args.salt_buckets)
+                          staged["opinions"], args.out, courts=courts, salt_buckets=args.salt_buckets, publish=True)
     write_marker(spark, date, os.path.join(args.out, "_snapshot_date"))
     return {"snapshot_date": date, **counts}
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -95,3 +95,16 @@ def filtered_topk(queries: DataFrame, corpus: DataFrame, condition, k: int = 10,
                   **kw) -> DataFrame:
     """V6 (+P13): metadata filter on the corpus first (pushed to the scan), then top-k."""
     return vector_topk(queries, corpus.where(condition), k, metric, **kw)
+
+
+def metadata_filter(courts=None, start_year: int | None = None, end_year: int | None = None, statuses=None, opinion_types=None) -> Column:
+    """The condition on an opinion's or chunk's metadata; what is not given is not asked for."""
+    cond = F.lit(True)
+    for name, values in (("court", courts), ("precedential_status", statuses), ("opinion_type", opinion_types)):
+        if values is not None:
+            cond = cond & F.col(name).isin(list(values))
+    if start_year is not None:
+        cond = cond & (F.col("year") >= start_year)
+    if end_year is not None:
+        cond = cond & (F.col("year") <= end_year)
+    return cond

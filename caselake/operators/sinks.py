@@ -1,8 +1,8 @@
 """Sinks (K1-K9).
 
 Every write goes through Spark's file committer, so a job's output appears
-whole at commit (``_SUCCESS``) or not at all — the atomic-publish behaviour
-(K6) needs no staging-and-rename by hand.
+whole at commit (``_SUCCESS``) or not at all. A table that is rewritten while
+others read it is published in versions (K6, ``publish_version``).
 """
 
 from __future__ import annotations
@@ -53,6 +53,54 @@ def write_by_court(df: DataFrame, path: str, salt_buckets: int | None = None, mo
     out.sortWithinPartitions("court", "year").write.mode(mode).partitionBy("court").parquet(path)
 
 
+POINTER = "_CURRENT"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return jvm, p, p.getFileSystem(conf), conf
+
+
+def publish_version(spark: SparkSession, root: str, write, keep: int = 2) -> str:
+    """K6: ``write(folder)`` a whole new version of the table at ``root``, then make it the current one.
+
+    The pointer beside the versions is replaced by one rename, last. Whoever resolved it before
+    (``published_path``) goes on reading the old version whole, whoever resolves it after reads the
+    new one; a job that dies before leaves the old one current. The ``keep`` newest versions stay,
+    so readers have that many publications' time to finish. Returns the new folder."""
+    import time
+    import uuid
+
+    name = f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    write(f"{root}/{name}")
+    jvm, new, fs, conf = _hadoop(spark, f"{root}/{POINTER}.{name}")
+    out = fs.create(new, True)
+    out.write(bytearray(name.encode("ascii")))
+    out.close()
+    option = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(option, 1)
+    options[0] = option.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(new.toUri(), conf).rename(new, jvm.org.apache.hadoop.fs.Path(f"{root}/{POINTER}"), options)
+    versions = sorted(s.getPath().getName() for s in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/v-*")))
+    # Versions that came after this one are another writer's; only older ones go.
+    for old in [v for v in versions if v <= name][: -keep or None]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root}/{old}"), True)
+    return f"{root}/{name}"
+
+
+def published_path(spark: SparkSession, root: str) -> str:
+    """The folder of the current version of ``root``; ``root`` itself if it was never published."""
+    jvm, pointer, fs, _ = _hadoop(spark, f"{root}/{POINTER}")
+    if not fs.exists(pointer):
+        return root
+    stream = fs.open(pointer)
+    name = bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode("ascii")
+    stream.close()
+    return f"{root}/{name}"
+
+
 def write_marker(spark: SparkSession, snapshot: str, path: str) -> None:
     """K3: snapshot date as a one-line text file in its **own** directory."""
     spark.createDataFrame([(snapshot,)], "snapshot_date string").coalesce(1).write.mode("overwrite").text(path)
@@ -60,7 +108,7 @@ def write_marker(spark: SparkSession, snapshot: str, path: str) -> None:
 
 def opinion_chunk_rows(chunks: DataFrame, widths: dict | None = None) -> DataFrame:
     """K5 projection: sink types for opinion chunks, and ``widths`` where given. The raw
-    ``opinion_key`` and the ``vector`` follow where the chunks have them."""
+    ``opinion_key``, the status and the ``vector`` follow where the chunks have them."""
     w = widths or {}
     return chunks.select(
         int_or_zero("opinion_id").alias("opinion_id"),
@@ -72,7 +120,7 @@ def opinion_chunk_rows(chunks: DataFrame, widths: dict | None = None) -> DataFra
         F.col("chunk_index").cast("int").alias("chunk_index"),
         fit("text", w, "text").alias("text"),
         fit("citation", w, "citation").alias("citation"),
-        *[F.col(c) for c in ("opinion_key", "vector") if c in chunks.columns],
+        *[F.col(c) for c in ("opinion_key", "precedential_status", "vector") if c in chunks.columns],
     )
 
 

@@ -87,12 +87,13 @@ def cached_encoder(key: str, factory: Callable[[], Callable[[list[str]], np.ndar
 
 
 def embed(col, encoder_factory: Callable[[], Callable[[list[str]], np.ndarray]] | None = None,
-          dim: int = 64, batch_size: int = 256, model_key: str | None = None):
+          dim: int = 64, batch_size: int = 256, model_key: str | None = None, skip_null: bool = False):
     """Text column -> array<float> via a batched encoder.
 
     ``encoder_factory`` is called once per Python worker and ``model_key`` (the
     model is loaded lazily and cached), then fed batches of ``batch_size``
-    texts. Without a key each call of ``embed`` is a model of its own.
+    texts. Without a key each call of ``embed`` is a model of its own. With
+    ``skip_null`` a null text is not encoded and has no vector.
     """
     factory = encoder_factory or (lambda: HashingEncoder(dim))
     key = model_key or (f"hashing-{dim}" if encoder_factory is None else f"model-{uuid.uuid4().hex}")
@@ -101,10 +102,13 @@ def embed(col, encoder_factory: Callable[[], Callable[[list[str]], np.ndarray]]
     def _embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         enc = cached_encoder(key, factory)
         for texts in batches:
-            vals = texts.tolist()
-            parts = [enc(vals[i:i + batch_size]) for i in range(0, len(vals), batch_size)]
-            mat = np.vstack(parts) if parts else np.zeros((0, dim))
-            yield pd.Series(list(mat.astype(np.float32)))
+            at = np.flatnonzero(texts.notna()) if skip_null else np.arange(len(texts))
+            vals = texts.iloc[at].tolist()
+            out = np.full(len(texts), None, dtype=object)
+            for i in range(0, len(vals), batch_size):
+                for place, row in zip(at[i:i + batch_size], enc(vals[i:i + batch_size]).astype(np.float32), strict=True):
+                    out[place] = row
+            yield pd.Series(out)
 
     return _embed(F.col(col) if isinstance(col, str) else col)
 

@@ -13,14 +13,19 @@ from caselake.functions.chunking import CHUNK_OVERLAP, CHUNK_SIZE, legal_chunks,
 from caselake.functions.enrich import enrich_chunk
 from caselake.functions.text import effective_text, fit
 from caselake.operators.sinks import opinion_chunk_rows
-from caselake.plans.lake_etl import MIN_TEXT_LEN
+from caselake.plans.lake_etl import MIN_TEXT_LEN, STATUS
 from caselake.sources.courts import court_label
 
 META = ("opinion_id", "cluster_id", "case_name", "court", "year", "opinion_type", "citation")
 
 
+def _more(opinions: DataFrame) -> tuple[str, ...]:
+    """Columns that are carried along where the opinions have them."""
+    return tuple(c for c in ("opinion_key", STATUS) if c in opinions.columns)
+
+
 def _meta(opinions: DataFrame) -> tuple[str, ...]:
-    return (*META, "opinion_key") if "opinion_key" in opinions.columns else META
+    return (*META, *_more(opinions))
 
 
 def text_bearing(opinions: DataFrame, min_len: int = MIN_TEXT_LEN) -> DataFrame:
@@ -52,7 +57,7 @@ def explode_chunks(df: DataFrame, chunks_col, keep) -> DataFrame:
 
 def opinion_chunks(opinions: DataFrame, min_len: int = MIN_TEXT_LEN, size: int = CHUNK_SIZE,
                    overlap: int = CHUNK_OVERLAP, native: bool = False, widths: dict | None = None) -> DataFrame:
-    """F7(chunk) -> P5 -> F11 -> W2 -> F12 -> K5 projection; an ``opinion_key`` is carried along."""
+    """F7(chunk) -> P5 -> F11 -> W2 -> F12 -> K5 projection; an ``opinion_key`` and a status are carried along."""
     chunker = legal_chunks_native if native else legal_chunks
     src = text_bearing(opinions, min_len)
     exploded = explode_chunks(src, chunker("body", size, overlap), _meta(opinions))
@@ -65,7 +70,7 @@ def opinion_chunks(opinions: DataFrame, min_len: int = MIN_TEXT_LEN, size: int =
         exploded.select(
             "opinion_id", "cluster_id", case_name.alias("case_name"), "court", "year",
             otype.alias("opinion_type"), "chunk_index", text.alias("text"), citation.alias("citation"),
-            *(["opinion_key"] if "opinion_key" in opinions.columns else []),
+            *_more(opinions),
         ),
         w,
     )
@@ -77,3 +82,18 @@ def document_chunks(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     chunker = legal_chunks_native if native else legal_chunks
     out = explode_chunks(docs, chunker(text_col, size, overlap), [id_col])
     return out.withColumn("chunk_len", F.length("chunk"))
+
+
+def searchable_chunks(chunks: DataFrame, dim: int = 768, encoder_factory=None, path: str | None = None) -> DataFrame:
+    """V6: the chunk rows (with their ``opinion_key``) written once with vectors and an ``item_id`` that
+    is theirs alone, ascending by raw opinion id and chunk. Filters belong before it: only what is
+    searched is encoded."""
+    from caselake.operators.vectors import embed
+    from caselake.session import scratch_path
+
+    path = path or scratch_path(chunks.sparkSession, "searchable")
+    key = ["opinion_key", "chunk_index"]
+    # Partitions follow each other in key order, and so do the numbers.
+    numbered = chunks.repartitionByRange(*key).sortWithinPartitions(*key).withColumn("item_id", F.monotonically_increasing_id())
+    numbered.withColumn("vector", embed("text", encoder_factory, dim)).write.parquet(path)
+    return chunks.sparkSession.read.parquet(path)

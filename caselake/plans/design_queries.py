@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from caselake.functions.chunking import cut_matches, fixed_chunks, paragraph_chunks, recursive_chunks
 from caselake.functions.enrich import enrich_variant
-from caselake.functions.text import CITATION_RE, remove_boilerplate
+from caselake.functions.text import CITATION_RE, remove_boilerplate, snapshot_date, year_label_of, year_tag_of
 from caselake.plans import sqlparts as Q
 from caselake.plans.chunks import explode_chunks, text_bearing
 from caselake.plans.queries import LAKE_PREFIX, lake_opinions, register, staged_clusters
@@ -236,14 +236,143 @@ def q_export_jsonl(spark, d):
     return spark.read.schema(clusters.schema).json(path)
 
 
-@register("scan_vectors", """
-    SELECT d.doc_id, d.lang, e.label, CAST(len(e.embedding) AS INTEGER) AS dims, e.embedding AS vector
-    FROM documents d JOIN embeddings e ON d.doc_id = e.vec_id""")
+@register("scan_vectors", "WITH " + Q.hash_vectors("dv", "documents", "doc_id", "text", 64) + """,
+    made AS (SELECT d.doc_id, list(coalesce(dv.v, CAST(0 AS FLOAT)) ORDER BY g.b) AS vector
+             FROM documents d CROSS JOIN range(64) g(b) LEFT JOIN dv ON dv.id = d.doc_id AND dv.b = g.b GROUP BY d.doc_id)
+    SELECT d.doc_id, d.lang, e.label, CAST(len(coalesce(e.embedding, made.vector)) AS INTEGER) AS dims, e.vec_id IS NULL AS missing,
+           coalesce(CAST(e.embedding AS FLOAT[]), made.vector) AS vector
+    FROM documents d LEFT JOIN embeddings e ON d.doc_id = e.vec_id JOIN made ON made.doc_id = d.doc_id""")
 def q_scan_vectors(spark, d):
-    """Ready-made vectors attached to their documents by id instead of computing them."""
-    from caselake.sources.lake import scan_vectors
-
+    """Every document with its ready-made vector, or with a computed one where there is none."""
     import os
-    e = scan_vectors(spark, os.path.join(d, "embeddings.parquet"))
-    return _docs(spark, d).join(e, F.col("doc_id") == F.col("vec_id")).select(
-        "doc_id", "lang", "label", F.size("embedding").alias("dims"), F.col("embedding").alias("vector"))
+
+    from caselake.sources.lake import attach_vectors, scan_vectors
+
+    e = scan_vectors(spark, os.path.join(d, "embeddings.parquet")).select(
+        F.col("vec_id").alias("doc_id"), "label", F.col("embedding").cast("array<float>").alias("vector"))
+    return attach_vectors(_docs(spark, d).select("doc_id", "lang", "text"), e, "doc_id").select(
+        "doc_id", "lang", "label", F.size("vector").alias("dims"), "missing", "vector")
+
+
+@register("lake_publish", LAKE_PREFIX + """
+    SELECT opinion_id, court, year, 'before' AS reader FROM lake WHERE year < 1997
+    UNION ALL SELECT opinion_id, court, year, 'after' AS reader FROM lake
+    UNION ALL SELECT CAST(max(year) AS VARCHAR) || '-12-31' AS opinion_id, 'marker' AS court, max(year) AS year, 'after' AS reader FROM lake""")
+def q_lake_publish(spark, d):
+    """K6 K3: a lake is published, a reader resolves it, the lake is rewritten, another reader resolves
+    it; the marker of the newest year is read from its own folder."""
+    from caselake.operators.sinks import publish_version, published_path, write_by_court, write_marker
+    from caselake.session import scratch_path
+
+    root, opinions = scratch_path(spark, "published-lake"), lake_opinions(spark, d)
+    publish_version(spark, root, lambda folder: write_by_court(opinions.where("year < 1997"), folder))
+    before = spark.read.parquet(published_path(spark, root))
+    publish_version(spark, root, lambda folder: write_by_court(opinions, folder))
+    after = spark.read.parquet(published_path(spark, root))
+    newest = after.agg(F.max("year")).first()[0]
+    write_marker(spark, f"{newest}-12-31", f"{root}-marker")
+    marker = spark.read.text(f"{root}-marker").select(
+        F.col("value").alias("opinion_id"), F.lit("marker").alias("court"), F.left("value", F.lit(4)).cast("int").alias("year"), F.lit("after").alias("reader"))
+    rows = [x.select("opinion_id", "court", "year", F.lit(name).alias("reader")) for x, name in ((before, "before"), (after, "after"))]
+    return rows[0].union(rows[1]).union(marker)
+
+
+@register("court_folders", LAKE_PREFIX + """,
+    asked AS (SELECT unnest(['BUILDING', 'MACHINERY', 'nowhere']) AS court)
+    SELECT a.court, count(l.opinion_id) AS opinions, a.court NOT IN (SELECT court FROM lake) AS missing
+    FROM asked a LEFT JOIN lake l ON l.court = a.court GROUP BY a.court""")
+def q_court_folders(spark, d):
+    """Three courts are asked for, one of which has no folder: it is named, the others are read."""
+    import warnings
+
+    from caselake.operators.sinks import write_by_court
+    from caselake.session import scratch_path
+    from caselake.sources.lake import missing_courts, scan_courts
+
+    path, asked = scratch_path(spark, "court-lake"), ["BUILDING", "MACHINERY", "nowhere"]
+    write_by_court(lake_opinions(spark, d), path)
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        read = scan_courts(spark, path, asked)
+    counts = read.groupBy("court").agg(F.count(F.lit(1)).alias("opinions"))
+    missing = missing_courts(spark, path, asked)
+    courts = spark.createDataFrame([(c, c in missing) for c in asked], "court string, missing boolean")
+    return courts.join(counts, "court", "left").select("court", F.coalesce("opinions", F.lit(0)).alias("opinions"), "missing")
+
+
+@register("snapshot_dates", """
+    SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'unknown' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS snapshot_date FROM orders""")
+def q_snapshot_dates(spark, d):
+    """S3: the date in a snapshot's path, which every third path does not have."""
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    name = F.when(F.col("o_orderkey") % 3 == 0, F.lit("opinions-2024-2-9")).otherwise(F.concat(F.lit("opinions-"), day, F.lit("-to-2031-01-01")))
+    path = F.concat(F.lit("s3a://bulk/v1/"), name, F.lit(".csv.bz2"))
+    return S.table(spark, d, "orders").select("o_orderkey", snapshot_date(path).alias("snapshot_date"))
+
+
+@register("title_files", """
+    SELECT DISTINCT 'sc_title_' || role || '.jsonl' AS file_name FROM conversations""")
+def q_title_files(spark, d):
+    """Title files on disk, beside training splits and other files, listed without those."""
+    from caselake.session import scratch_path
+    from caselake.sources.statutes import discover_title_files
+
+    root, parts = scratch_path(spark, "title-files"), scratch_path(spark, "title-parts")
+    lines = S.statute_lines(spark, d)
+    roles = [r["file"].removeprefix("sc_title_").removesuffix(".jsonl") for r in lines.select("file").distinct().collect()]
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(conf)
+    fs.mkdirs(path(root))
+    names = [n for r in roles for n in (f"sc_title_{r}.jsonl", f"sc_title_{r}_train.jsonl", f"sc_title_{r}_val.jsonl", f"other_{r}.jsonl")]
+    kinds = F.transform(F.array(*[F.lit(x) for x in ("", "_train", "_val", "other")]), lambda k: F.when(
+        k == "other", F.replace("file", F.lit("sc_title"), F.lit("other"))).otherwise(F.concat(F.substring_index("file", ".", 1), k, F.lit(".jsonl"))))
+    # A file is a group of its own name's lines, so each name has one.
+    lines.select(F.explode(kinds).alias("name"), "value").repartition("name").write.partitionBy("name").text(parts)
+    for name in names:
+        for n, found in enumerate(fs.globStatus(path(f"{parts}/name={name}/part-*"))):
+            assert n == 0
+            fs.rename(found.getPath(), path(f"{root}/{name}"))
+    return discover_title_files(spark, root).select("file_name")
+
+
+@register("stage_counts", LAKE_PREFIX + """
+    SELECT 'dockets' AS stage, (SELECT count(*) FROM d) AS rows
+    UNION ALL SELECT 'clusters', (SELECT count(*) FROM clusters) UNION ALL SELECT 'opinions', (SELECT count(*) FROM lake)""")
+def q_stage_counts(spark, d):
+    """A5 K1 K2: the three stages of the lake written one after another; their rows as the writes counted them."""
+    from caselake.plans.lake_etl import run_lake_etl
+    from caselake.session import scratch_path
+
+    counts = run_lake_etl(spark, S.dockets_raw(spark, d), S.clusters_raw(spark, d), S.citations_raw(spark, d), S.opinions_raw(spark, d),
+                          scratch_path(spark, "counted-lake"), courts=S.STANDIN_COURTS, publish=True)
+    return spark.createDataFrame(list(counts.items()), "stage string, rows bigint")
+
+
+@register("year_labels", """
+    WITH r AS (SELECT c_custkey, CASE WHEN c_custkey % 3 > 0 THEN 1990 + c_custkey % 7 END AS a, CASE WHEN c_custkey % 4 > 0 THEN 2000 + c_custkey % 9 ELSE 0 END AS b FROM customer)
+    SELECT c_custkey, CASE WHEN a IS NOT NULL AND b > 0 THEN a || '–' || b WHEN a IS NOT NULL THEN 'from ' || a
+                           WHEN b > 0 THEN 'up to ' || b ELSE 'all years' END AS label,
+           coalesce(CAST(a AS VARCHAR), 'all') || '_' || CASE WHEN b > 0 THEN CAST(b AS VARCHAR) ELSE 'all' END AS tag FROM r""")
+def q_year_labels(spark, d):
+    """label and tag of year ranges that are open at either end, both or none."""
+    key = F.col("c_custkey")
+    a = F.when(key % 3 > 0, F.lit(1990) + key % 7)
+    b = F.when(key % 4 > 0, F.lit(2000) + key % 9).otherwise(0)
+    return S.table(spark, d, "customer").select("c_custkey", year_label_of(a, b).alias("label"), year_tag_of(a, b).alias("tag"))
+
+
+@register("stream_batches", LAKE_PREFIX + """
+    SELECT count(*) AS input_rows, true AS one_file_each, count(DISTINCT court) AS files FROM lake""")
+def q_stream_batches(spark, d):
+    """A lake of one file for each court, streamed file by file; rows by the query's own progress."""
+    from caselake.session import scratch_path
+    from caselake.streaming.incremental import incremental_chunks
+
+    lake, sink, done = (scratch_path(spark, f"batches-{x}") for x in ("lake", "sink", "ckpt"))
+    lake_opinions(spark, d).repartition("court").write.partitionBy("court").parquet(lake)
+    query = incremental_chunks(spark, lake, spark.read.parquet(lake).schema, sink, done, max_files_per_trigger=1)
+    query.awaitTermination()
+    batches = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+    files = len(spark.read.parquet(lake).inputFiles())
+    return spark.createDataFrame([(sum(batches), len(batches) == files, files)], "input_rows bigint, one_file_each boolean, files bigint")

@@ -29,10 +29,11 @@ from caselake.operators.joins import (
     opinions_with_clusters,
     restrict_to_known,
 )
-from caselake.operators.sinks import write_by_court, write_stage
+from caselake.operators.sinks import publish_version, write_by_court, write_stage
 from caselake.sources.courts import LAKE_COURTS
 
 MIN_TEXT_LEN = 150
+STATUS = "precedential_status"
 
 OPINION_COLUMNS = (
     "opinion_id", "cluster_id", "case_name", "court", "year", "citation",
@@ -55,19 +56,22 @@ def dockets_stage(dockets_raw: DataFrame, courts=LAKE_COURTS, dedup: bool = True
 
 def clusters_stage(clusters_raw: DataFrame, dockets: DataFrame, citations_raw: DataFrame,
                    max_broadcast_rows: int = DOCKETS_BROADCAST_ROWS) -> DataFrame:
-    """Job 2 (F1, F2, J1, J4, A1, J2): clusters of known dockets with court, year, citation."""
+    """Job 2 (F1, F2, J1, J4, A1, J2): clusters of known dockets with court, year, citation, and their
+    precedential status where the snapshot has it (P13)."""
+    status = [c for c in (STATUS,) if c in clusters_raw.columns]
     c = clusters_raw.select(
         F.col("id").alias("cluster_id"),
         F.col("docket_id"),
         year_of("date_filed").alias("year"),
         best_case_name("case_name", "case_name_short", "case_name_full").alias("case_name"),
+        *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in status],
     )
     # One row per cluster id before any join (first by docket, year, name)
     c = dedup_first(c, "cluster_id")
-    joined = clusters_with_court(c, dockets, max_broadcast_rows).select("cluster_id", "case_name", "court", "year")
+    joined = clusters_with_court(c, dockets, max_broadcast_rows).select("cluster_id", "case_name", "court", "year", *status)
     # Semi-join first: only citations of selected clusters are aggregated.
     cites = aggregate_citations(restrict_to_known(citations_raw, joined, "cluster_id"))
-    return attach_citations(joined, cites).select("cluster_id", "case_name", "court", "year", "citation")
+    return attach_citations(joined, cites).select("cluster_id", "case_name", "court", "year", "citation", *status)
 
 
 def first_opinions(opinions: DataFrame, keep_key: bool = False) -> DataFrame:
@@ -93,21 +97,24 @@ def opinions_stage(opinions_raw: DataFrame, clusters: DataFrame, min_len: int =
     o = opinions_raw.select(
         F.col("id").alias("opinion_id"), "cluster_id", "type", "plain_text", "html_with_citations"
     )
+    status = [c for c in (STATUS,) if c in clusters.columns]
     j = first_opinions(opinions_with_clusters(o, clusters, max_broadcast_rows))
     out = j.select(
         "opinion_id", "cluster_id", "case_name", "court", "year", "citation",
         opinion_type("type").alias("opinion_type"),
         default_blank("plain_text").alias("plain_text"),
         default_blank("html_with_citations").alias("html_with_citations"),
+        *status,
     )
     lake_text = effective_text("plain_text", "html_with_citations", rule="lake", min_len=min_len)
-    return out.where(F.length(lake_text) >= F.lit(min_len)).select(*OPINION_COLUMNS)
+    return out.where(F.length(lake_text) >= F.lit(min_len)).select(*OPINION_COLUMNS, *status)
 
 
 def run_lake_etl(spark: SparkSession, dockets_raw: DataFrame, clusters_raw: DataFrame,
                  citations_raw: DataFrame, opinions_raw: DataFrame, out_root: str,
-                 courts=LAKE_COURTS, salt_buckets: int | None = None) -> dict:
-    """Run the three stages, writing each before the next reads it.
+                 courts=LAKE_COURTS, salt_buckets: int | None = None, publish: bool = False) -> dict:
+    """Run the three stages, writing each before the next reads it. With ``publish`` the opinions are
+    a new version of the table (K6), so that nobody reads half of a rewrite.
 
     Returns the row counts observed during the writes (no second pass).
     """
@@ -127,6 +134,9 @@ def run_lake_etl(spark: SparkSession, dockets_raw: DataFrame, clusters_raw: Data
     counts["clusters"] = obs.get["clusters"]
 
     o, obs = with_count_metric(opinions_stage(opinions_raw, spark.read.parquet(clusters_path)), "opinions")
-    write_by_court(o, opinions_path, salt_buckets=salt_buckets)
+    if publish:
+        publish_version(spark, opinions_path, lambda folder: write_by_court(o, folder, salt_buckets=salt_buckets))
+    else:
+        write_by_court(o, opinions_path, salt_buckets=salt_buckets)
     counts["opinions"] = obs.get["opinions"]
     return counts

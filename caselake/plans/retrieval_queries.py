@@ -6,11 +6,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from caselake.operators.approx import CELL_ROWS, CODE_BITS, KEEP_FACTOR, MAX_CELL_BITS, PROBE, build_sign_index, search_sign_index
-from caselake.operators.search import bm25_topk, filtered_topk, hybrid_topk, rerank
+from caselake.operators.search import bm25_topk, filtered_topk, hybrid_topk, metadata_filter, rerank
 from caselake.operators.vectors import hash_embed, vector_topk
 from caselake.plans import sqlparts as Q
-from caselake.plans.queries import SQL_FLAGSHIP, lake_opinions, register
+from caselake.plans.chunks import opinion_chunks, searchable_chunks
+from caselake.plans.lake_etl import clusters_stage, opinions_stage
+from caselake.plans.queries import SQL_FLAGSHIP, register, staged_dockets
 from caselake.sources import standins as S
+from caselake.sources.lake import materialize_stage
 
 EMB_DIM = 64
 
@@ -172,20 +175,20 @@ def q_rerank(spark, d):
 
 
 # V6 as designed: metadata-filtered semantic search over the opinion chunks,
-# returning the chunk text with its opinion id.
+# returning the chunk text with its opinion's raw id.
 CHUNK_DIM = 128
 CHUNK_COURTS = ("BUILDING", "MACHINERY")
 CHUNK_MIN_YEAR = 1998
+CHUNK_STATUSES = ("Published", "Errata")
+CHUNK_TYPES = ("en", "fr", "Lead")
 
 
-def _chunk_key(opinion_id, chunk_index):
-    # one integral id per chunk (chunk indexes stay far below 2**20)
-    return opinion_id * F.lit(1 << 20) + chunk_index
-
-
-@register("chunk_search", "WITH fl AS (" + SQL_FLAGSHIP + f"""),
-    ch AS (SELECT opinion_id * {1 << 20} + chunk_index AS key, opinion_id, chunk_index, text FROM fl
-           WHERE court IN {tuple(CHUNK_COURTS)} AND year >= {CHUNK_MIN_YEAR}),
+@register("chunk_search", "WITH fl AS (" + SQL_FLAGSHIP + ")," + S.SQL_STATUS + f""",
+    ch AS (SELECT *, row_number() OVER (ORDER BY opinion_key, chunk_index) AS key FROM (
+               SELECT CASE WHEN opinion_id % 2 = 1 THEN 'x' ELSE '' END || opinion_id AS opinion_key, chunk_index, text
+               FROM fl JOIN st ON fl.cluster_id = st.cluster_id
+               WHERE court IN {CHUNK_COURTS} AND year >= {CHUNK_MIN_YEAR} AND precedential_status IN {CHUNK_STATUSES}
+                     AND opinion_type IN {CHUNK_TYPES})),
     """ + Q.hash_vectors("qh", "benchmark", "item_id", "text", CHUNK_DIM) + "," \
     + Q.hash_vectors("chh", "ch", "key", "text", CHUNK_DIM) + """,
     qn AS (SELECT id, sum(CAST(v AS DOUBLE) * CAST(v AS DOUBLE)) AS sq FROM qh GROUP BY id),
@@ -198,27 +201,20 @@ def _chunk_key(opinion_id, chunk_index):
            FROM pairs p JOIN qn ON p.query_id = qn.id LEFT JOIN cn ON p.item_id = cn.id
                 LEFT JOIN dots d ON p.query_id = d.query_id AND p.item_id = d.item_id),
     top AS (""" + Q.topk("sc", 5) + """)
-    SELECT top.query_id, ch.opinion_id, ch.chunk_index, top.score, top.rank, ch.text
+    SELECT top.query_id, ch.opinion_key, ch.chunk_index, top.score, top.rank, ch.text
     FROM top JOIN ch ON top.item_id = ch.key""")
 def q_chunk_search(spark, d):
-    """Top-5 opinion chunks per benchmark passage among two courts from 1998 on,
-    with the chunk text and opinion id (chunks hash-embedded, 128 dims).
-
-    Chunk rows with vectors are written once to a chunk table (the K5 sink);
-    the search and the text lookup both read that table, so chunking and
-    encoding run once.
-    """
-    from caselake.operators.sinks import write_chunk_vectors
-    from caselake.plans.chunks import opinion_chunks
-    from caselake.session import scratch_path
-
-    sink = scratch_path(spark, "chunk-vectors")
-    rows = opinion_chunks(lake_opinions(spark, d)).withColumn("vector", hash_embed("text", CHUNK_DIM))
-    write_chunk_vectors(rows, sink, mode="overwrite")
-    chunks = spark.read.parquet(sink).withColumn(
-        "item_id", _chunk_key(F.col("opinion_id"), F.col("chunk_index")))
-    cond = F.col("court").isin(list(CHUNK_COURTS)) & (F.col("year") >= CHUNK_MIN_YEAR)
-    top = filtered_topk(_bench_vectors(spark, d, CHUNK_DIM), chunks.select("item_id", "vector", "court", "year"),
-                        cond, k=5)
-    return chunks.select("item_id", "opinion_id", "chunk_index", "text").join(top, "item_id").select(
-        "query_id", "opinion_id", "chunk_index", "score", "rank", "text")
+    """Top-5 opinion chunks per benchmark passage among two courts from 1998 on, of some
+    statuses and opinion types, with the chunk text and the raw opinion id, half of which are no
+    numbers (chunks hash-embedded, 128 dims)."""
+    clusters = materialize_stage(
+        spark, "clusters-status", [f"{d}/{t}.parquet" for t in ("customer", "orders", "lineitem")],
+        lambda: clusters_stage(S.clusters_raw_with_status(spark, d), staged_dockets(spark, d), S.citations_raw(spark, d)))
+    raw = S.opinions_raw(spark, d)
+    named = raw.withColumn("id", F.when(F.col("id").cast("bigint") % 2 == 1, F.concat(F.lit("x"), "id")).otherwise(F.col("id")))
+    opinions = opinions_stage(named, clusters).withColumn("opinion_key", F.col("opinion_id"))
+    cond = metadata_filter(CHUNK_COURTS, CHUNK_MIN_YEAR, None, CHUNK_STATUSES, CHUNK_TYPES)
+    chunks = searchable_chunks(opinion_chunks(opinions.where(cond)), CHUNK_DIM)
+    top = vector_topk(_bench_vectors(spark, d, CHUNK_DIM), chunks.select("item_id", "vector"), k=5)
+    return chunks.select("item_id", "opinion_key", "chunk_index", "text").join(top, "item_id").select(
+        "query_id", "opinion_key", "chunk_index", "score", "rank", "text")

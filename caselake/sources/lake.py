@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import os
 import threading
+import warnings
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,20 +76,43 @@ def materialize_stage(spark: SparkSession, name: str, inputs, build, params: dic
     return read_immutable_parquet(spark, path)
 
 
+def court_folders(spark: SparkSession, root: str) -> set[str]:
+    """The courts that have a folder in the lake at ``root``."""
+    glob = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(os.path.join(root, "court=*"))
+    fs = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {unquote(s.getPath().getName().removeprefix("court=")) for s in fs.globStatus(glob) or []}
+
+
+def missing_courts(spark: SparkSession, root: str, courts) -> list[str]:
+    """Those of ``courts`` that the lake has no folder for."""
+    from caselake.operators.sinks import published_path
+
+    found = court_folders(spark, published_path(spark, root))
+    return sorted(c for c in courts if c not in found)
+
+
 def scan_courts(spark: SparkSession, root: str, courts=None) -> DataFrame:
     """Opinions of the given courts from ``root/court=<id>/``.
 
     A filter on the partition column is pruned to those directories
-    (``PartitionFilters`` in the plan); courts without a directory simply
-    contribute no rows. Court ids stay strings (type inference is off).
+    (``PartitionFilters`` in the plan). A court without a directory is warned of and
+    skipped; if none has one, that is an error. Court ids stay strings (type
+    inference is off). Of a published lake (K6) the current version is read.
     """
-    df = spark.read.option("basePath", root).parquet(root)
+    from caselake.operators.sinks import published_path
+
+    root = published_path(spark, root)
     if courts is not None:
         courts = list(courts)
         if not courts:
             raise ValueError("no courts selected")
-        df = df.where(F.col("court").isin(courts))
-    return df
+        missing = missing_courts(spark, root, courts)
+        if len(missing) == len(set(courts)):
+            raise FileNotFoundError(f"the lake at {root} has none of the courts {', '.join(missing)}")
+        if missing:
+            warnings.warn(f"the lake at {root} has no court {', '.join(missing)}", stacklevel=2)
+    df = spark.read.option("basePath", root).parquet(root)
+    return df if courts is None else df.where(F.col("court").isin(courts))
 
 
 def query_opinions(df: DataFrame, courts=None, start_year: int | None = None,
@@ -119,3 +144,16 @@ def filter_year_range(df: DataFrame, start_year: int | None = None, end_year: in
 def scan_vectors(spark: SparkSession, path: str) -> DataFrame:
     """Ready-made embeddings (Parquet with an array<float> column)."""
     return spark.read.parquet(path)
+
+
+def attach_vectors(rows: DataFrame, vectors: DataFrame, key: str, text_col: str = "text", vector_col: str = "vector",
+                   encoder_factory=None, dim: int = 64) -> DataFrame:
+    """Every row with its ready-made vector (``vectors``: key, vector and more columns), or one
+    computed from its text; ``missing`` tells which. The encoder is given only the texts without a
+    vector."""
+    from caselake.operators.vectors import embed
+
+    joined = rows.join(vectors, key, "left").withColumn("missing", F.col(vector_col).isNull())
+    text = F.when(F.col("missing"), F.coalesce(F.col(text_col), F.lit("")))
+    made = embed(text, encoder_factory, dim, skip_null=True)
+    return joined.withColumn(vector_col, F.coalesce(vector_col, made))

@@ -27,6 +27,16 @@ SNAPSHOT_COLUMNS = {
 }
 
 
+# Columns that are read where a snapshot's header lists them.
+SNAPSHOT_OPTIONAL = {"opinion-clusters": ("precedential_status",)}
+
+
+def snapshot_columns(spark: SparkSession, path: str, kind: str) -> tuple[str, ...]:
+    """The columns to read of a snapshot of that kind."""
+    header = snapshot_header(spark, path)
+    return (*SNAPSHOT_COLUMNS[kind], *[c for c in SNAPSHOT_OPTIONAL.get(kind, ()) if c in header])
+
+
 def snapshot_schema(columns) -> StructType:
     return StructType([StructField(c, StringType()) for c in columns] + [StructField(CORRUPT, StringType())])
 

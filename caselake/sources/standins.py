@@ -60,6 +60,19 @@ def clusters_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def clusters_raw_with_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """clusters_raw with a precedential status, blank on every fourth (SQL_STATUS)."""
+    key = F.col("id").cast("bigint") % 4
+    status = F.when(key == 0, "Published").when(key == 1, "Unpublished").when(key == 2, "Errata")
+    return clusters_raw(spark, sf_dir).withColumn("precedential_status", status)
+
+
+SQL_STATUS = """
+    st AS (SELECT o_orderkey AS cluster_id,
+                  CASE o_orderkey % 4 WHEN 0 THEN 'Published' WHEN 1 THEN 'Unpublished' WHEN 2 THEN 'Errata' ELSE '' END AS precedential_status
+           FROM orders)"""
+
+
 def citations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """citations(cluster_id, volume, reporter, page) <- lineitem; flag 'N' gives a blank reporter."""
     li = table(spark, sf_dir, "lineitem")

@@ -10,6 +10,9 @@ that was rewritten in place duplicates rows (idempotent, D10).
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -56,7 +59,8 @@ def incremental_chunks(spark: SparkSession, lake_path: str, schema: StructType,
         opinion_chunks(rows, native=native).write.mode("append").partitionBy("court", "year").parquet(sink_path)
 
     def append(batch: DataFrame, _: int) -> None:
-        append_opinions(batch.sparkSession, batch, sink_path, write)
+        with _read_once(batch):
+            append_opinions(batch.sparkSession, batch, sink_path, write)
 
     return (
         stream_opinions(spark, lake_path, schema, max_files_per_trigger)
@@ -81,6 +85,16 @@ def run_incremental_chunks(spark: SparkSession, lake_path: str, schema: StructTy
     return read_chunks(spark, sink_path)
 
 
+@contextmanager
+def _read_once(batch: DataFrame):
+    """A batch's files are read once, however many steps its append takes."""
+    batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield
+    finally:
+        batch.unpersist()
+
+
 def _finish(query: StreamingQuery) -> None:
     query.awaitTermination()
     if query.exception() is not None:
@@ -128,7 +142,8 @@ def incremental_statutes(spark: SparkSession, title_root: str, sink_path: str, c
     rows = statute_chunk_rows(parse_statute_lines(reader.load(title_root)))
 
     def append(batch: DataFrame, _: int) -> None:
-        append_statutes(batch.sparkSession, batch, sink_path, lambda rows: rows.write.mode("append").parquet(sink_path))
+        with _read_once(batch):
+            append_statutes(batch.sparkSession, batch, sink_path, lambda rows: rows.write.mode("append").parquet(sink_path))
 
     return (
         rows.writeStream.foreachBatch(append)

@@ -234,3 +234,81 @@ def test_long_sentence_survives_whole(spark):
     one = spark.createDataFrame([tuple(value.get(f) for f in fields)], ", ".join(f"{f} string" for f in fields))
     kept = statute_chunk_rows(one).first()
     assert kept["section_id"] == "s" * 70 and kept["text"].endswith(words)
+
+
+def test_a_missing_court_is_named_and_none_at_all_is_an_error(spark, tmp_path):
+    import pytest
+
+    from caselake.sources.lake import missing_courts
+
+    root = str(tmp_path / "lake")
+    rows = spark.createDataFrame([("1", "sc", 2000), ("2", "ca 9/x", 2001)], "opinion_id string, court string, year int")
+    rows.write.partitionBy("court").parquet(root)
+    with pytest.warns(UserWarning, match="no court scotus, zz"):
+        got = scan_courts(spark, root, ["zz", "sc", "scotus", "ca 9/x"])
+    assert sorted(r["court"] for r in got.collect()) == ["ca 9/x", "sc"]
+    assert missing_courts(spark, root, ["sc", "zz"]) == ["zz"]
+    with pytest.raises(FileNotFoundError, match="none of the courts scotus, zz"):
+        scan_courts(spark, root, ["zz", "scotus"])
+
+
+def test_readers_of_a_published_lake_see_one_version_whole(spark, tmp_path):
+    import pytest
+
+    from caselake.operators.sinks import publish_version, published_path
+
+    root = str(tmp_path / "lake")
+    rows = lambda n, court: spark.createDataFrame([(str(k), court, 2000) for k in range(n)], "opinion_id string, court string, year int")
+    write = lambda df: lambda folder: df.write.partitionBy("court").parquet(folder)
+    assert published_path(spark, root) == root
+    first = publish_version(spark, root, write(rows(3, "sc")))
+    before = scan_courts(spark, root)
+    second = publish_version(spark, root, write(rows(5, "ca9")))
+    assert published_path(spark, root) == second != first
+    assert before.count() == 3 and scan_courts(spark, root, ["ca9"]).count() == 5
+
+    def dies(folder):
+        rows(9, "x").write.parquet(folder)
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        publish_version(spark, root, dies)
+    assert scan_courts(spark, root).count() == 5  # the old version is the current one
+    publish_version(spark, root, write(rows(1, "sc")), keep=1)
+    assert scan_courts(spark, root).count() == 1 and not os.path.exists(first) and not os.path.exists(second)
+
+
+def test_status_is_carried_from_the_snapshot_to_the_chunks(spark):
+    from caselake.operators.search import metadata_filter
+    from caselake.plans.chunks import opinion_chunks
+    from caselake.plans.lake_etl import clusters_stage, opinions_stage
+
+    clusters = clusters_stage(S.clusters_raw_with_status(spark, SF_SMALL), QQ.staged_dockets(spark, SF_SMALL), S.citations_raw(spark, SF_SMALL))
+    chunks = opinion_chunks(opinions_stage(S.opinions_raw(spark, SF_SMALL), clusters))
+    status = {int(r["id"]): r["precedential_status"] or "" for r in S.clusters_raw_with_status(spark, SF_SMALL).collect()}
+    rows = chunks.select("cluster_id", "precedential_status", "opinion_type").collect()
+    assert rows and all(status[r["cluster_id"]] == r["precedential_status"] for r in rows)
+    kept = chunks.where(metadata_filter(statuses=["Published"], opinion_types=["en"])).collect()
+    assert len(kept) == sum(r["precedential_status"] == "Published" and r["opinion_type"] == "en" for r in rows) > 0
+    assert "precedential_status" not in QQ.lake_clusters(spark, SF_SMALL).columns
+
+
+def test_only_texts_without_a_vector_are_encoded(spark, tmp_path):
+    import numpy as np
+
+    from caselake.sources.lake import attach_vectors
+
+    folder = str(tmp_path)
+
+    def factory():
+        def encode(texts):
+            for t in texts:
+                open(os.path.join(folder, t), "w").close()
+            return np.ones((len(texts), 2))
+        return encode
+
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id long, text string")
+    vectors = spark.createDataFrame([(1, [0.5, 0.5]), (9, [0.1, 0.1])], "id long, vector array<float>")
+    got = {r["id"]: (r["vector"], r["missing"]) for r in attach_vectors(rows, vectors, "id", encoder_factory=factory, dim=2).collect()}
+    assert got == {1: ([0.5, 0.5], False), 2: ([1.0, 1.0], True), 3: ([1.0, 1.0], True)}
+    assert sorted(os.listdir(folder)) == ["b", "c"]
