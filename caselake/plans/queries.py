@@ -511,12 +511,30 @@ def q_partition_pruned_read(spark, d):
     return scan_courts(spark, path, ["BUILDING", "MACHINERY"])
 
 
-@register("latest_snapshot")
+@register("latest_snapshot", """
+    SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS docket_id, year(o_orderdate) || '-12-31' AS snapshot_date
+    FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)""")
 def q_latest_snapshot(spark, d):
-    """Newest file of a prefix in the table folder, with its snapshot date."""
-    from caselake.sources.snapshots import latest_snapshot
-
-    return latest_snapshot(spark, d, prefix="p", suffix=".parquet").select("file_name", "snapshot_date")
+    """A cluster snapshot for each year of the orders, beside other files; the newest is found and read."""
+    from caselake.functions.text import snapshot_date
+    from caselake.session import scratch_path
+    from caselake.sources.snapshots import latest_snapshot_path, scan_snapshot_csv
+
+    root, parts = scratch_path(spark, "snapshots"), scratch_path(spark, "snapshot-parts")
+    rows = S.table(spark, d, "orders").select(
+        F.year("o_orderdate").alias("y"), F.col("o_orderkey").cast("string").alias("id"), F.col("o_custkey").cast("string").alias("docket_id"))
+    rows.repartition("y").write.partitionBy("y").option("header", True).option("escape", '"').option("compression", "bzip2").csv(parts)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path(root))
+    for folder in fs.globStatus(path(f"{parts}/y=*")):  # a file for each year, as published
+        year = folder.getPath().getName().removeprefix("y=")
+        found = fs.globStatus(path(f"{parts}/y={year}/part-*"))
+        fs.rename(found[0].getPath(), path(f"{root}/opinion-clusters-{year}-12-31.csv.bz2"))
+        fs.create(path(f"{root}/opinions-{int(year) + 9}-12-31.csv.bz2")).close()
+        fs.create(path(f"{root}/opinion-clusters-{int(year) + 9}-12-31.txt")).close()
+    newest = latest_snapshot_path(spark, root, "opinion-clusters-")
+    return scan_snapshot_csv(spark, newest, ("id", "docket_id")).withColumn("snapshot_date", snapshot_date(F.lit(newest)))
 
 
 @register("resume_anti", LAKE_PREFIX + f""",
