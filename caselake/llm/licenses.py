@@ -6,6 +6,10 @@ licence notices set among a bounded sample of corpus paragraphs, with words left
 unknown rows are corpus paragraphs and notices that name no licence. A held-out share sets the
 temperature of the probabilities. A prediction counts only if the paragraph also holds enough of a
 template of that family.
+
+Lines are scored, and sentences of long ones; lines that were wrapped, which end without a stop, are
+also taken together and scored by sentence. What cannot hold TEMPLATE_SHARE of any template's
+n-grams needs no score: see ``telling_words``.
 """
 
 from __future__ import annotations
@@ -46,13 +50,13 @@ TEMPLATES = {
 NO_FAMILY = ("copyright all rights reserved", "licensed under the terms below", "a license is required to drive", "released under license",
              "this license may not be transferred", "the public library is open", "commercial license available on request",
              "licensed to the customer named above", "permission denied", "creative work of the license holder")
-# Every template holds one of these, so a paragraph without any can match none of them.
-ANCHOR = r"(?i)licen[cs]e|copyright|redistribut|permission|public domain|cc0|unencumbered"
-BACKGROUND_ROWS = 400      # corpus paragraphs the training rows are set among, the lowest by hash
+BACKGROUND_ROWS = 400      # corpus paragraphs the training rows are set among, the lowest by hash ...
+BACKGROUND_DOCS = 1600     # ... of about so many documents, drawn by hash, each taken whole
 COPIES = 24                # training rows per template
 LONG_WORDS = 80            # a longer paragraph is cut at sentence ends
 ACCEPT = 0.5               # least calibrated probability of a family
 TEMPLATE_SHARE = 0.6       # least share of a template's n-grams that the paragraph holds
+COMMON_WORDS = frozenset("a an and any are as at by for from in into is it of on or out not the this to under use with without you".split())
 TEMPERATURES = (0.5, 0.7, 1.0, 1.4, 2.0, 3.0)
 
 
@@ -76,20 +80,77 @@ def grams(tokens: Column) -> Column:
     return F.array_distinct(F.concat(tokens, F.coalesce(pairs, F.array().cast("array<string>"))))
 
 
-def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", only_anchored: bool = True) -> DataFrame:
-    """(doc_id, paragraph, part, body): the lines of every whole text, numbered from 0; a line of over
-    LONG_WORDS words comes in sentences, numbered by ``part``. ``only_anchored`` leaves out what
-    matches no ANCHOR and so no template."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+def _template_grams(template: str) -> list[str]:
+    own = template.split(" ")
+    return list(dict.fromkeys([*own, *map(" ".join, zip(own, own[1:], strict=False))]))
+
+
+def telling_words(templates: dict[str, tuple[str, ...]], share: float = TEMPLATE_SHARE) -> list[str]:
+    """Words of which a paragraph must hold one to hold ``share`` of any template's words and pairs.
+
+    For each template so many of its words are named that the n-grams without any of them are
+    fewer than ``share``: a paragraph that lacks all the named words misses the template. Words that
+    many templates hold come first, common ones of the language last."""
+    used: dict[str, int] = {}
+    for ts in templates.values():
+        for t in ts:
+            for w in dict.fromkeys(t.split(" ")):
+                used[w] = used.get(w, 0) + 1
+    named: set[str] = set()
+    for ts in templates.values():
+        for t in ts:
+            all_grams = _template_grams(t)
+            own: set[str] = set()
+            for w in sorted(dict.fromkeys(t.split(" ")), key=lambda w: (w in COMMON_WORDS or w.replace(".", "").isdigit(), w not in named, -used[w], w)):
+                if sum(not own & set(g.split(" ")) for g in all_grams) < share * len(all_grams):
+                    break
+                own.add(w)
+            named |= own
+    return sorted(w for w in named if not any(o != w and o in w for o in named))  # a part of a word stands for it
+
+
+TELLING = telling_words(TEMPLATES)
+
+
+def _may_match(text: Column) -> Column:
+    """False only for texts that hold too little of every template."""
+    lower = F.lower(text)
+    found = F.lit(False)
+    for w in TELLING:
+        found = found | F.contains(lower, F.lit(w))
+    return found
+
+
+# A line end inside a paragraph: the line does not end in a stop, and neither it nor the next one is
+# blank. Marks of a comment at the next line's start go with it.
+WRAP = r"(?<=[^\s.!?:;|])[ \t]*\r?\n[ \t]*(?:(?:[#*;%]+|//+|--+)[ \t]*)?(?=[^\s])"
+_MARK = "\u0001"
+
+
+def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", only_possible: bool = True) -> DataFrame:
+    """(doc_id, paragraph, line, part, body) of every whole text. A paragraph is a line, or several that
+    were wrapped (WRAP); paragraphs and the lines in one are numbered from 0. Each line is a row, in
+    sentences (``part``) if it has over LONG_WORDS words, and a paragraph of several lines comes
+    once more as a whole, in sentences, with a null line. ``only_possible`` leaves out what cannot
+    match any template."""
+    text = F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), _MARK, " ")
     src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("_t"))
-    if only_anchored:
-        src = src.where(F.regexp_like("_t", F.lit(ANCHOR)))
-    lines = src.select("doc_id", F.posexplode(F.split("_t", r"\r?\n")).alias("paragraph", "line"))
-    if only_anchored:
-        lines = lines.where(F.regexp_like("line", F.lit(ANCHOR)))
-    cut = F.when(F.size(F.split("line", r"\s+")) > LONG_WORDS, F.split("line", r"(?<=[.!?;])\s+")).otherwise(F.array("line"))
-    parts = lines.select("doc_id", "paragraph", F.posexplode(cut).alias("part", "body")).where(F.trim("body") != "")
-    return parts.where(F.regexp_like("body", F.lit(ANCHOR))) if only_anchored else parts
+    if only_possible:
+        src = src.where(_may_match(F.col("_t")))
+    marked = F.regexp_replace("_t", WRAP, _MARK)
+    blocks = src.select("doc_id", F.posexplode(F.split(marked, r"\r?\n")).alias("paragraph", "block"))
+    if only_possible:
+        blocks = blocks.where(_may_match(F.col("block")))
+    single = blocks.select("doc_id", "paragraph", F.posexplode(F.split("block", _MARK)).alias("line", "body"))
+    whole = blocks.where(F.contains("block", F.lit(_MARK))).select(
+        "doc_id", "paragraph", F.lit(None).cast("int").alias("line"), F.translate("block", _MARK, " ").alias("body"))
+    rows = single.union(whole)
+    if only_possible:
+        rows = rows.where(_may_match(F.col("body")))
+    long = F.col("line").isNull() | (F.size(F.split("body", r"\s+")) > LONG_WORDS)
+    cut = F.when(long, F.split("body", r"(?<=[.!?;])\s+")).otherwise(F.array("body"))
+    parts = rows.select("doc_id", "paragraph", "line", F.posexplode(cut).alias("part", "body")).where(F.trim("body") != "")
+    return parts.where(_may_match(F.col("body"))) if only_possible else parts
 
 
 def _templates(spark: SparkSession) -> DataFrame:
@@ -99,12 +160,14 @@ def _templates(spark: SparkSession) -> DataFrame:
 
 def train_licence_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         background_rows: int = BACKGROUND_ROWS, copies: int = COPIES) -> LicenceModel:
-    """Fit on templates set among at most ``background_rows`` corpus paragraphs, those of the lowest
-    hash; without any the templates stand alone."""
+    """Fit on templates set among at most ``background_rows`` paragraphs that cannot match one, those of
+    the lowest hash among about BACKGROUND_DOCS documents drawn by a hash of their text; without
+    any the templates stand alone."""
     spark = docs.sparkSession
-    unanchored = paragraphs(docs.where(F.length(text_col) < 20_000), id_col, text_col, only_anchored=False).where(
-        ~F.regexp_like("body", F.lit(ANCHOR)))
-    background = unanchored.select("body").distinct().orderBy(F.xxhash64("body"), "body").limit(background_rows)
+    every = max(1, docs.count() // BACKGROUND_DOCS)
+    drawn = docs.where(F.pmod(F.xxhash64(F.col(text_col)), F.lit(every)) == 0)
+    plain = paragraphs(drawn, id_col, text_col, only_possible=False).where(F.col("line").isNotNull() & ~_may_match(F.col("body")))
+    background = plain.select("body").distinct().orderBy(F.xxhash64("body"), "body").limit(background_rows)
     numbered = background.select(words(F.col("body")).alias("around"), F.pmod(F.xxhash64("body"), F.lit(copies)).cast("int").alias("copy"))
     near = numbered.groupBy("copy").agg(F.max("around").alias("around"))  # a paragraph for each copy
     copy = _templates(spark).withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))).join(F.broadcast(near), "copy", "left")
@@ -138,29 +201,33 @@ def _softmax(logits: Column, temperature: float) -> Column:
     return F.transform(weight, lambda x: x / F.aggregate(weight, F.lit(0.0), lambda a, b: a + b))
 
 
-def scan_licences(docs: DataFrame, model: LicenceModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, paragraph, part, family, probability, template, share): a row for each paragraph that
-    speaks of licences. family is "unknown", and template and share are null, unless a family
-    reaches ACCEPT and TEMPLATE_SHARE of one of its templates.
+def scan_licences(docs: DataFrame, model: LicenceModel, id_col: str = "doc_id", text_col: str = "text",
+                  only_possible: bool = True) -> DataFrame:
+    """(doc_id, paragraph, line, part, family, probability, template, share): a row for each line and each
+    paragraph of several lines (see ``paragraphs``) that may match a template, or with
+    ``only_possible=False`` for every one. family is "unknown", and template and share are null,
+    unless a family reaches ACCEPT and TEMPLATE_SHARE of one of its templates.
 
     Null, empty and blank texts give no row; repeated rows give a row each; of equally probable
     families the first listed wins, of equal templates the first; null ids are carried; other columns
     are ignored, whatever their names; an empty table gives none.
     """
-    parts = paragraphs(docs, id_col, text_col).withColumn("grams", grams(words(F.col("body"))))
-    scored = _logits(parts, model).withColumn("p", _softmax(F.col("logits"), model.temperature))
-    best = scored.withColumn("probability", F.array_max("p")).withColumn(
-        "guess", F.get(F.array(*[F.lit(f) for f in model.families]), (F.array_position("p", F.array_max("p")) - 1).cast("int")))
+    parts = paragraphs(docs, id_col, text_col, only_possible).withColumn("grams", grams(words(F.col("body"))))
+    # A list of one is transformed, so that the logits are worked out once.
+    judged = F.get(F.transform(F.array("logits"), lambda z: F.struct(
+        (F.exp(F.array_max(z) / F.lit(model.temperature)) / F.aggregate(z, F.lit(0.0), lambda a, x: a + F.exp(x / F.lit(model.temperature)))).alias("probability"),
+        (F.array_position(z, F.array_max(z)) - 1).cast("int").alias("place"))), 0)
+    best = _logits(parts, model).withColumn("judged", judged).withColumn("probability", F.col("judged.probability")).withColumn(
+        "guess", F.get(F.array(*[F.lit(f) for f in model.families]), F.col("judged.place")))
     compared = F.lit(None).cast("struct<share:double,order:int,template:string>")
     for family, templates in TEMPLATES.items():
         rows = []
         for n, t in enumerate(templates):
-            own = t.split(" ")
-            wanted = F.array(*[F.lit(g) for g in dict.fromkeys([*own, *map(" ".join, zip(own, own[1:], strict=False))])])
+            wanted = F.array(*[F.lit(g) for g in _template_grams(t)])
             share = F.size(F.array_intersect(wanted, F.col("grams"))) / F.size(wanted)
             rows.append(F.struct(share.alias("share"), F.lit(-n).alias("order"), F.lit(t).alias("template")))
         compared = F.when(F.col("guess") == family, F.array_max(F.array(*rows))).otherwise(compared)
     confirmed = (F.col("guess") != UNKNOWN) & (F.col("probability") >= ACCEPT) & (F.col("found.share") >= TEMPLATE_SHARE)
     return best.withColumn("found", compared).withColumn("sure", F.coalesce(confirmed, F.lit(False))).select(
-        "doc_id", "paragraph", "part", F.when(F.col("sure"), F.col("guess")).otherwise(F.lit(UNKNOWN)).alias("family"), "probability",
+        "doc_id", "paragraph", "line", "part", F.when(F.col("sure"), F.col("guess")).otherwise(F.lit(UNKNOWN)).alias("family"), "probability",
         F.when(F.col("sure"), F.col("found.template")).alias("template"), F.when(F.col("sure"), F.col("found.share")).alias("share"))

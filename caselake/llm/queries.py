@@ -78,7 +78,7 @@ def op4_token_files(spark, d):
 
 @register("op5_license_scan")
 def op5_license_scan(spark, d):
-    """Licence family of every paragraph of ``documents`` that speaks of licences."""
+    """Licence family of every paragraph of ``documents`` that may match a licence template."""
     docs = table(spark, d, "documents")
     return scan_licences(docs, train_licence_model(docs))
 
