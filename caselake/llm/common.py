@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +26,20 @@ def prepare(spark: SparkSession) -> None:
     ship_package(spark)
 
 
+def lean(kernel):
+    """A kernel after which its worker gives freed memory back: workers stay for later tasks."""
+    def run(batches):
+        yield from kernel(batches)
+        release_memory()
+    return run
+
+
+def release_memory() -> None:
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without it keeps the memory
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -34,7 +34,7 @@ BLOCKS, BLOCK_BITS = 4, 16
 # Characters of benchmark text that one pass over the documents holds in each worker; a larger
 # benchmark is worked off in several passes, item by item in full.
 PASS_CHARS = 2_000_000
-PIECES_IN_CACHE = 200_000
+PIECES_IN_CACHE = 100_000
 _WORD = re.compile(r"\w+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -314,7 +314,7 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     out = None
     for n in range(passes):
         rows = items.where(F.pmod(F.xxhash64("t", "item"), F.lit(passes)) == n).collect()  # about pass_chars characters
-        found = src.mapInArrow(_kernel(sorted(((r["item"], r["t"]) for r in rows), key=repr), threshold, radius), schema)
+        found = src.mapInArrow(lean(_kernel(sorted(((r["item"], r["t"]) for r in rows), key=repr), threshold, radius)), schema)
         out = found if out is None else out.union(found)
     return out
 

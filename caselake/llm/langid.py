@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caselake.llm.common import stage
+from caselake.llm.common import lean, stage
 
 BUCKETS = 1 << 15
 TRAIN_ROWS = 2000      # labelled rows per language the text model sees, the lowest by hash
@@ -93,7 +93,7 @@ def train_text_model(labelled: DataFrame, text_col: str = "text", label_col: str
                 [pa.array([label] * at.size, pa.string()), pa.array(at, pa.int32()), pa.array(own[at])],
                 names=["label", "bucket", "n"])
 
-    counted = sample.mapInArrow(kernel, "label string, bucket int, n bigint").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
+    counted = sample.mapInArrow(lean(kernel), "label string, bucket int, n bigint").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
     table, place = np.zeros((len(names), BUCKETS)), {n: i for i, n in enumerate(names)}
     for r in counted.collect():  # at most languages x buckets rows
         table[place[r["label"]], r["bucket"]] = r["n"]
@@ -149,7 +149,7 @@ def identify_languages(docs: DataFrame, model: TextModel, id_cols: tuple[str, ..
         *[F.col(c).cast("bigint").alias(i) for c, i in zip(id_cols, ids, strict=True)])
     others = src.columns[1:]
     schema = ", ".join(f"{c} {t}" for c, t in src.dtypes[1:]) + ", _scores array<double>, _n bigint"
-    scored = stage(src.mapInArrow(_scorer(model, others), schema), "langid-scores")
+    scored = stage(src.mapInArrow(lean(_scorer(model, others)), schema), "langid-scores")
 
     best = F.array_position(F.col("_scores"), F.array_max("_scores")).cast("int")  # the first of equals
     scored = scored.withColumn("_best", F.when(F.col("_n") > 0, best).otherwise(F.lit(len(names))))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caselake.llm.common import range_parts, stage
+from caselake.llm.common import lean, range_parts, stage
 from caselake.llm.tokens import encoder
 
 CAPACITY = 4096
@@ -181,7 +181,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: in
                 arrays, names=["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids])
 
     src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(kernel, schema)
+    return src.mapInArrow(lean(kernel), schema)
 
 
 def ranked(pieces: DataFrame) -> DataFrame:
@@ -229,7 +229,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> t
 
     rows = ranked(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", F.col("rank").cast("bigint"))
     schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
-    return rows.mapInArrow(kernel, schema), plan
+    return rows.mapInArrow(lean(kernel), schema), plan
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int = CAPACITY,

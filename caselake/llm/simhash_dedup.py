@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caselake.llm.common import stage
+from caselake.llm.common import lean, stage
 from caselake.llm.components import connected_components
 
 SEED = 42
@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 [batch.column(0), pa.array(fps.view(np.int64), pa.int64())], names=["doc_id", "fp"])
 
     src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(kernel, "doc_id bigint, fp bigint")
+    return src.mapInArrow(lean(kernel), "doc_id bigint, fp bigint")
 
 
 def _cells(reps: DataFrame, radius: int) -> DataFrame:
@@ -178,7 +178,7 @@ def _cell_edges(cells: DataFrame, radius: int) -> DataFrame:
                 [pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
     spread = cells.repartition("grp", "cell").sortWithinPartitions("grp", "cell", F.col("exact").desc())
-    return spread.mapInArrow(kernel, "a bigint, b bigint")
+    return spread.mapInArrow(lean(kernel), "a bigint, b bigint")
 
 
 def _then_none(batches):
@@ -210,7 +210,7 @@ def _star_edges(members: DataFrame, radius: int) -> DataFrame:
                     [pa.array((mask ^ fp).view(np.int64)), pa.array(np.full(mask.size, fp).view(np.int64)),
                      pa.array(flips <= near)], names=["at", "fp", "near"])
 
-    visits = stage(members.select("fp").distinct().mapInArrow(kernel, "at bigint, fp bigint, near boolean"), "simhash-visits")
+    visits = stage(members.select("fp").distinct().mapInArrow(lean(kernel), "at bigint, fp bigint, near boolean"), "simhash-visits")
     centers = stage(
         visits.groupBy("at").agg(F.min(F.when(F.col("near"), F.col("fp"))).alias("b"), F.count(F.lit(1)).alias("n"))
         .where("b IS NOT NULL AND n > 1").select("at", "b"), "simhash-centers")
