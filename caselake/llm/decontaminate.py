@@ -27,6 +27,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caselake.llm.common import lean
+
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 RADIUS = 19
