@@ -189,7 +189,20 @@ def op12_periodic_runs(spark, d):
         F.sha2(run_text(F.col("runs")), 256).alias("runs_sha256"), "collapsed_sha256")
 
 
-@register("op13_jaccard_join")
+JOIN_SQL = rf"""
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all({LOWERED.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS t FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(t) = 0 THEN []::VARCHAR[] WHEN len(t) < 5 THEN [array_to_string(t, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(t) - 3), lambda i: array_to_string(t[i:i + 4], ' '))) END AS s FROM words),
+each AS (SELECT doc_id, unnest(s) AS g FROM sets),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS same FROM each a JOIN each b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT a, b FROM met JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b WHERE 100 * same >= 80 * (len(x.s) + len(y.s) - same)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b AS a, a AS b FROM links),
+reach AS (SELECT doc_id AS node, doc_id AS low FROM sets UNION SELECT ways.b AS node, reach.low FROM reach JOIN ways ON ways.a = reach.node WHERE reach.low < ways.b)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.low) AS component_id FROM sets s JOIN reach r ON r.node = s.doc_id GROUP BY s.doc_id, s.s
+"""
+
+
+@register("op13_jaccard_join", JOIN_SQL)
 def op13_jaccard_join(spark, d):
     """Class of every document under links of five-word shingle sets of similarity 0.8 or more."""
     return jaccard_components(table(spark, d, "documents"))
