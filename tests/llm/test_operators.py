@@ -314,6 +314,15 @@ def test_plan_covers_every_piece_and_meets_the_bound():
         assert plan.bins <= 1.01 * best + 1
 
 
+def test_plan_beats_best_fit_where_that_fails():
+    """Three lengths that fill a sequence together: taken longest first, two of the longest block it."""
+    histogram = np.zeros(4097, dtype=np.int64)
+    histogram[[1709, 1367, 1020]] = 2000
+    plan = packing.make_plan(histogram)
+    assert sum(n for _, n in packing.best_fit(histogram)) >= 2200
+    assert plan.bins <= 2020 and plan.bound >= 1999.9
+
+
 def test_knapsack_is_optimal():
     rng = random.Random(3)
     weight = np.array([0.0] + [rng.choice([0, rng.random()]) for _ in range(20)])
