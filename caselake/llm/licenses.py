@@ -114,11 +114,14 @@ TELLING = telling_words(TEMPLATES)
 
 def _may_match(text: Column) -> Column:
     """False only for texts that hold too little of every template."""
-    lower = F.lower(text)
-    found = F.lit(False)
-    for w in TELLING:
-        found = found | F.contains(lower, F.lit(w))
-    return found
+    def any_of(lower: Column) -> Column:
+        found = F.contains(lower, F.lit(TELLING[0]))
+        for w in TELLING[1:]:
+            found = found | F.contains(lower, F.lit(w))
+        return found
+
+    # A list of one is transformed, so that a text is lower-cased once and not for each word.
+    return F.get(F.transform(F.array(F.lower(text)), any_of), 0)
 
 
 # A line end inside a paragraph: the line does not end in a stop, and neither it nor the next one is
