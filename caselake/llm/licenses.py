@@ -134,9 +134,10 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(doc_id, paragraph, line, part, body) of every whole text. A paragraph is a line, or several that
     were wrapped (WRAP); paragraphs and the lines in one are numbered from 0. Each line is a row, in
     sentences (``part``) if it has over LONG_WORDS words, and a paragraph of several lines comes
-    once more as a whole, in sentences, with a null line. ``only_possible`` leaves out what cannot
+    once more as a whole, in sentences, with a null line. The control character U+0001 in a text counts
+    as a line end inside a paragraph. ``only_possible`` leaves out what cannot
     match any template."""
-    text = F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), _MARK, " ")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("_t"))
     if only_possible:
         src = src.where(_may_match(F.col("_t")))
@@ -146,7 +147,7 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         blocks = blocks.where(_may_match(F.col("block")))
     single = blocks.select("doc_id", "paragraph", F.posexplode(F.split("block", _MARK)).alias("line", "body"))
     whole = blocks.where(F.contains("block", F.lit(_MARK))).select(
-        "doc_id", "paragraph", F.lit(None).cast("int").alias("line"), F.translate("block", _MARK, " ").alias("body"))
+        "doc_id", "paragraph", F.lit(None).cast("int").alias("line"), F.replace("block", F.lit(_MARK), F.lit(" ")).alias("body"))
     rows = single.union(whole)
     if only_possible:
         rows = rows.where(_may_match(F.col("body")))
