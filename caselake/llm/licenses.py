@@ -75,9 +75,13 @@ def words(text: Column) -> Column:
 
 def grams(tokens: Column) -> Column:
     """Distinct words and word pairs."""
-    pairs = F.when(F.size(tokens) > 1, F.transform(
-        F.sequence(F.lit(0), F.size(tokens) - 2), lambda i: F.concat_ws(" ", F.get(tokens, i), F.get(tokens, i + 1))))
-    return F.array_distinct(F.concat(tokens, F.coalesce(pairs, F.array().cast("array<string>"))))
+    def of(t: Column) -> Column:
+        pairs = F.when(F.size(t) > 1, F.transform(
+            F.sequence(F.lit(0), F.size(t) - 2), lambda i: F.concat_ws(" ", F.get(t, i), F.get(t, i + 1))))
+        return F.array_distinct(F.concat(t, F.coalesce(pairs, F.array().cast("array<string>"))))
+
+    # A list of one is transformed, so that the words of a long text are found once and not for each pair.
+    return F.get(F.transform(F.array(tokens), of), 0)
 
 
 def _template_grams(template: str) -> list[str]:
