@@ -2,21 +2,10 @@
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from caselake.session import SEMANTIC_CONF, scratch_path, ship_package
-
-# Arrow batches to Python workers are bounded by rows and by bytes, so a run of very
-# long texts never makes one huge batch.
-ARROW_CONF = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 * 1024 * 1024),
-}
+from caselake.session import ARROW_CONF, SEMANTIC_CONF, release_memory, scratch_path, ship_package
 
 
 def prepare(spark: SparkSession) -> None:
@@ -34,12 +23,6 @@ def lean(kernel):
     return run
 
 
-def release_memory() -> None:
-    pa.default_memory_pool().release_unused()
-    with contextlib.suppress(OSError, AttributeError):  # a C library without it keeps the memory
-        ctypes.CDLL(None).malloc_trim(0)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

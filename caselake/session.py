@@ -8,11 +8,14 @@ size) are left to the caller's cluster config unless explicitly passed.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import re
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 # Settings every caselake job relies on for correct results.
@@ -36,6 +39,20 @@ ADAPTIVE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# Arrow batches to Python workers are bounded by rows and by bytes, so a worker's memory does
+# not grow with a task's rows, and a run of very long texts never makes one huge batch.
+ARROW_CONF = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 * 1024 * 1024),
+}
+
+
+def release_memory() -> None:
+    """Give freed memory back; a Python worker does so after a task, as it stays for later ones."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without it keeps the memory
+        ctypes.CDLL(None).malloc_trim(0)
+
 
 _SHIPPED: set[str] = set()
 _PACKAGE_ZIP: list[str] = []
@@ -78,7 +95,7 @@ def get_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SEMANTIC_CONF, **ADAPTIVE_CONF}.items():
+    for key, value in {**SEMANTIC_CONF, **ADAPTIVE_CONF, **ARROW_CONF}.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -107,10 +124,7 @@ def recommended_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-        # Arrow batches to the Python UDFs: bounded by rows and by bytes, so a
-        # batch of very long opinions stays small in the worker.
-        "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-        "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
+        **ARROW_CONF,
     }
 
 
