@@ -66,8 +66,11 @@ def clusters_stage(clusters_raw: DataFrame, dockets: DataFrame, citations_raw: D
         best_case_name("case_name", "case_name_short", "case_name_full").alias("case_name"),
         *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in status],
     )
-    # One row per cluster id before any join (first by docket, year, name)
-    c = dedup_first(c, "cluster_id")
+    # One row per cluster id before any join (first by docket, year, name). Ids that come once are
+    # not sorted; all rows without an id are one cluster.
+    order = [F.col(x) for x in c.columns if x != "cluster_id"]
+    c = first_of_wide(c.where("cluster_id IS NOT NULL"), "cluster_id", order).unionByName(
+        dedup_first(c.where("cluster_id IS NULL"), "cluster_id"))
     joined = clusters_with_court(c, dockets, max_broadcast_rows).select("cluster_id", "case_name", "court", "year", *status)
     # Semi-join first: only citations of selected clusters are aggregated.
     cites = aggregate_citations(restrict_to_known(citations_raw, joined, "cluster_id"))

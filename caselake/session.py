@@ -108,6 +108,17 @@ def get_session(
     return spark
 
 
+def size_shuffles(spark: SparkSession, input_path: str, bytes_each: int = 8 * 1024 * 1024) -> None:
+    """Let a shuffle begin with a partition for each ``bytes_each`` of the files under ``input_path``, and
+    with ``spark.sql.shuffle.partitions`` at least. Adaptive execution joins small ones, so a task's
+    share, and the memory of its sorts, does not grow with the input."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(input_path)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    size = fs.getContentSummary(path).getLength() if fs.exists(path) else 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // bytes_each))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(parts))
+
+
 def recommended_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> dict:
     """Sizing for a run over ``input_bytes`` of input (e.g. 100 TB on a large cluster).
 
