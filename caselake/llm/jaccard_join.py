@@ -1,7 +1,8 @@
 """Classes of documents linked by the Jaccard similarity of word shingles: a size-aware join.
 
-Equal shingle sets are one set. Shingles have one global order, the common ones of a sample last;
-the order decides how many candidates there are, never which links are found. Of a set of n
+Equal shingle sets are one set. Shingles have one global order, the common ones last: all documents'
+shingles are counted by range of their hash. The order decides how many candidates there are, never
+which links are found. Of a set of n
 shingles, o = ceil(s n) are in any linked set too, so two linked sets share k shingles among the
 first n - o + k of each.
 
@@ -9,7 +10,8 @@ Light sets (at most ``boundary`` shingles) are filed under every subset of SUBSE
 that part; two light sets meet under a subset. Heavy sets are found by inverted lists of
 single shingles of the shorter part (k = 1), in which light sets stand as far as their size can
 be linked to a heavy one. The boundary is the size at which the rows and expected meetings of
-subsets and lists together cost least, measured on a sample; any boundary gives the same links.
+subsets and lists together cost least, by the sizes and keys of all documents; any boundary gives the
+same links.
 
 Of every meeting, sizes and positions bound the overlap, then parities by hash range do; what is
 left is verified on the whole sets. A long list of near copies is not compared pair by pair: in
@@ -19,7 +21,7 @@ still in different classes are compared after that, those of a long list inside
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -28,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caselake.llm.common import stage
+from caselake.llm.common import lean, stage
 from caselake.llm.components import connected_components
 from caselake.llm.words import find_words, hash_words, mix, text_bytes
 
@@ -36,12 +38,11 @@ SEED = 42
 SHINGLE_WORDS = 5
 SIMILARITY = (4, 5)      # numerator and denominator
 SUBSET = 2               # shingles in an enumerated subset
-SAMPLE_SHARE = 32        # one document of so many is in the sample, and SAMPLE_ROWS at least
-SAMPLE_ROWS = 20_000
-COMMON = 300_000         # shingles that the order tells apart from rare ones
+RANGES = 1 << 20         # of hashes; shingles are counted in them, for the order
+TALLIES = 1 << 16        # signed sums, of whose squares the meetings of all keys are worked out
 LARGEST_LIGHT = 64       # sizes that the cost is worked out for; beyond it subsets outnumber list rows by far
 MEETING_COST = 2.0       # a candidate pair against a row of a list
-HOT = 64                 # a shingle met so often in the sample has a list that is not windowed in one task
+HOT = 2048               # a shingle met so often has a list that is not windowed in one task
 LONG_LIST = 16           # lists up to this length are joined pair by pair
 ROUNDS = 3
 CENTERS = 4
@@ -49,6 +50,7 @@ BROADCAST_ROWS = 1_000_000
 BLOCK_ROWS = 4096        # members of a list that a task compares with each other, or with as many
 BRIEF_BYTES = 128        # of a sketch, for comparing long lists
 _STRIP = 1 << 21
+_BLOCK = 4096            # numbers of a sum that are a row
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -86,12 +88,12 @@ def part_length(n: int, k: int) -> int:
 
 
 def _ordered(own: np.ndarray, common: tuple[np.ndarray, np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(shingles, sampled counts) of the first ``length`` in the global order."""
-    known, counts = common
+    """(shingles, counts) of the first ``length`` in the global order. ``common``: what a range holds anyway,
+    and what each holds."""
+    usual, counts = common
     often = np.zeros(own.size, dtype=np.int64)
-    if known.size and own.size:
-        place = np.minimum(np.searchsorted(known, own), known.size - 1)
-        often = np.where(known[place] == own, counts[place], 0)
+    if counts.size:
+        often = np.maximum(counts[own & (counts.size - 1)] - usual, 0)
     at = np.lexsort((own, often))[:length]
     return own[at], often[at]
 
@@ -127,28 +129,55 @@ def _least_difference(a: bytes, b: bytes) -> int:
     return (int.from_bytes(_folded(a, size)) ^ int.from_bytes(_folded(b, size))).bit_count()
 
 
-def _sampled(docs: DataFrame) -> tuple[DataFrame, float]:
-    """A sample of the documents by a hash of the text, and its share."""
-    share = min(1.0, max(1 / SAMPLE_SHARE, SAMPLE_ROWS / max(1, docs.count())))
-    picked = F.pmod(F.xxhash64(F.lit(SEED), "text"), F.lit(1 << 20)) < int(share * (1 << 20))
-    return docs.select("text").where("text IS NOT NULL").distinct().where(picked) if share == 1.0 else docs.select("text").where(picked), share
+def _new_sets(column: pa.Array, shingle_words: int, seen: set[int]) -> Iterator[np.ndarray]:
+    """The sets that the task has not met before: copies say nothing of how common a shingle is."""
+    for own in shingle_sets(column, shingle_words):
+        name = _set_name(own)
+        if name not in seen:
+            if len(seen) >= BROADCAST_ROWS:
+                seen.clear()
+            seen.add(name)
+            yield own
 
 
-def _common(sample: DataFrame, shingle_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(shingles, counts), sorted by shingle: those of several sampled sets, at most COMMON."""
+def _summed(docs: DataFrame, width: int, add: Callable[[np.ndarray, pa.Array, set[int]], None]) -> np.ndarray:
+    """``width`` numbers that ``add`` adds up over the texts of a task, summed over all tasks. A task sends
+    its numbers in blocks, so what is shuffled does not depend on how many texts it had."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        own, seen = np.zeros(width, dtype=np.int64), set()
         for batch in batches:
-            for own in shingle_sets(batch.column(0), shingle_words):
-                name = _set_name(own)
-                if name not in seen:  # copies say nothing of how common a shingle is
-                    seen.add(name)
-                    yield pa.RecordBatch.from_arrays([pa.array(own)], names=["s"])
+            add(own, batch.column(0), seen)
+        if own.any():
+            parts = [own[i:i + _BLOCK] for i in range(0, width, _BLOCK)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())], names=["block", "part"])
+
+    def total(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        parts = sum(np.frombuffer(x.as_buffer(), dtype=np.int64) for x in rows["part"])
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "part": pa.array([parts.tobytes()], pa.binary())})
+
+    out = np.zeros(width, dtype=np.int64)
+    sums = docs.select("text").mapInArrow(lean(kernel), "block int, part binary").groupBy("block").applyInArrow(total, "block int, part binary")
+    for row in sums.collect():  # ``width`` numbers
+        part = np.frombuffer(row["part"], dtype=np.int64)
+        out[row["block"] * _BLOCK:row["block"] * _BLOCK + part.size] = part
+    return out
+
+
+def _common(docs: DataFrame, shingle_words: int) -> tuple[tuple[np.ndarray, np.ndarray], dict[int, int]]:
+    """((usual, counts), sizes): how many sets hold a shingle of each range of hashes, what half of the ranges
+    hold at most, and how many sets have each size up to LARGEST_LIGHT. Counted over all documents;
+    copies in a task count once."""
+
+    def add(own: np.ndarray, column: pa.Array, seen: set[int]) -> None:
+        for one in _new_sets(column, shingle_words, seen):
+            np.add.at(own, one & (RANGES - 1), 1)
+            if one.size <= LARGEST_LIGHT:
+                own[RANGES + one.size] += 1
 
-    top = sample.mapInArrow(kernel, "s bigint").groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n > 1").orderBy(F.desc("n"), "s").limit(COMMON)
-    found = top.toPandas().sort_values("s")
-    return found["s"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
+    found = _summed(docs, RANGES + LARGEST_LIGHT + 1, add)
+    counts = found[:RANGES]
+    return (np.median(counts, keepdims=True).astype(np.int64), counts), {n: int(m) for n, m in enumerate(found[RANGES:]) if m and n >= 4}
 
 
 def choose_boundary(sizes: dict[int, int], list_mates: float, subset_mates: float) -> int:
@@ -170,27 +199,27 @@ def choose_boundary(sizes: dict[int, int], list_mates: float, subset_mates: floa
     return min([0, *range(4, LARGEST_LIGHT + 1)], key=lambda x: (cost(x), x))
 
 
-def _boundary(sample: DataFrame, common, share: float, shingle_words: int) -> int:
-    """``choose_boundary`` on the sample's sizes and on how often its small sets meet."""
-    sent = sample.sparkSession.sparkContext.broadcast(common)
+def _boundary(docs: DataFrame, common, sizes: dict[int, int], shingle_words: int) -> int:
+    """``choose_boundary`` by the sizes of all sets and by how often the small ones among them meet.
 
-    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kinds, keys = [], []
-            for own in shingle_sets(batch.column(0), shingle_words):
-                if 4 <= own.size <= LARGEST_LIGHT:
-                    first, _ = _ordered(own, sent.value, part_length(own.size, SUBSET))
-                    for kind, found in ((0, own[:1] * 0 + own.size), (1, first[:part_length(own.size, 1)]), (2, _subsets(first))):
-                        kinds.append(np.full(found.size, kind))
-                        keys.append(found)
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(kinds), pa.int32()), pa.array(np.concatenate(keys), pa.int64())], names=["kind", "key"])
+    Under keys of n rows each, n (n - 1) rows meet. The sum of n n is that of the squared tallies, to
+    which each key adds with a sign of its own, with an error of sqrt(2 / TALLIES)."""
+    if not sizes:
+        return choose_boundary(sizes, 0.0, 0.0)
+    sent = docs.sparkSession.sparkContext.broadcast(common)
+
+    def add(own: np.ndarray, column: pa.Array, seen: set[int]) -> None:
+        for one in _new_sets(column, shingle_words, seen):
+            if 4 <= one.size <= LARGEST_LIGHT:
+                first, _ = _ordered(one, sent.value, part_length(one.size, SUBSET))
+                for kind, found in enumerate((first[:part_length(one.size, 1)], _subsets(first))):
+                    spread = mix(found.view(np.uint64) * _BASE)
+                    np.add.at(own, kind * TALLIES + (spread % np.uint64(TALLIES)).astype(np.int64), 1 - 2 * (spread >> np.uint64(63)).astype(np.int64))
+                    own[2 * TALLIES + kind] += found.size
 
-    counted = stage(sample.mapInArrow(kernel, "kind int, key bigint").groupBy("kind", "key").agg(F.count(F.lit(1)).alias("n")), "join-sample")
-    sizes = {r["key"]: r["n"] for r in counted.where("kind = 0").collect()}  # at most LARGEST_LIGHT
-    met = {r["kind"]: float(r["pairs"] / r["n"]) / share for r in counted.where("kind > 0").groupBy("kind").agg(
-        F.sum(F.col("n") * (F.col("n") - 1)).alias("pairs"), F.sum("n").alias("n")).collect()}
-    return choose_boundary(sizes, met.get(1, 0.0), met.get(2, 0.0))
+    found = _summed(docs, 2 * TALLIES + 2, add)
+    mates = [max(0.0, float((found[k * TALLIES:(k + 1) * TALLIES].astype(float) ** 2).sum()) / max(1, int(found[2 * TALLIES + k])) - 1) for k in (0, 1)]
+    return choose_boundary(sizes, *mates)
 
 
 def _files(docs: DataFrame, common, boundary: int, shingle_words: int) -> DataFrame:
@@ -359,9 +388,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     up, down = SIMILARITY
     src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("h", F.xxhash64("text"))
-    sample, share = _sampled(src)
-    common = _common(sample, shingle_words)
-    light = _boundary(sample, common, share, shingle_words) if boundary is None else boundary
+    common, sizes = _common(src, shingle_words)
+    light = _boundary(src, common, sizes, shingle_words) if boundary is None else boundary
     filed = stage(_files(src, common, light, shingle_words), "join-files")
     names = stage(filed.groupBy("u").agg(F.min(F.struct("h", "doc_id")).alias("of"), F.max("n").alias("n"), F.first("sketch").alias("sketch"), F.first("brief").alias("brief")), "join-names")
     exploded = filed.select("u", "n", F.explode("keys").alias("k")).select(F.col("k.key").alias("key"), F.col("k.at").alias("at"), "k.hot", "u", "n")
