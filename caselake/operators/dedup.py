@@ -54,7 +54,8 @@ def first_of_wide(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     written once). All other rows pass where they are read: their texts are neither shuffled nor
     sorted. Rows of repeated keys are sorted by key and ``order``, which should be narrow; each task
     keeps its first row of a key before the shuffle. Rows that ``order`` cannot tell apart count as
-    the same row. ``key`` must not be null.
+    the same row. ``key`` must not be null. Repeated keys that are too many to broadcast would have both
+    joins shuffle all rows: then all rows are sorted, in one shuffle.
     """
     from caselake.session import scratch_path
 
@@ -65,8 +66,9 @@ def first_of_wide(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     many = repeated.count()
     if not many:
         return df
-    if many <= REPEATED_BROADCAST:
-        repeated = F.broadcast(repeated)
-    first = Window.partitionBy(key).orderBy(*order)
-    chosen = df.join(repeated, key, "left_semi").withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
+    nth = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    if many > REPEATED_BROADCAST:
+        return df.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
+    repeated = F.broadcast(repeated)
+    chosen = df.join(repeated, key, "left_semi").withColumn("_nth", nth).where("_nth = 1").drop("_nth")
     return df.join(repeated, key, "left_anti").select(*df.columns).unionByName(chosen.select(*df.columns))

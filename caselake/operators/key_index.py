@@ -116,14 +116,13 @@ def drop_key_index(spark: SparkSession, sink_path: str) -> None:
 
 def append_new(rows: DataFrame, key: Column, index: KeyIndex, write: Callable[[DataFrame], None]) -> None:
     """Give ``write`` the rows whose key the sink does not hold, and index their keys. A row without a
-    key is always new. The rows are kept on disk meanwhile, so that both steps see the same."""
-    keyed = rows.withColumn("_key", key)
-    known = index.known(keyed.select(F.col("_key").alias("key")))
-    fresh = keyed if known is None else keyed.join(known, keyed["_key"] == known["key"], "left_anti")
-    fresh = fresh.persist(StorageLevel.DISK_ONLY)
+    key is always new. The rows are made once and kept on disk meanwhile, so that all steps see the same."""
+    keyed = rows.withColumn("_key", key).persist(StorageLevel.DISK_ONLY)
     try:
+        known = index.known(keyed.select(F.col("_key").alias("key")))
+        fresh = keyed if known is None else keyed.join(known, keyed["_key"] == known["key"], "left_anti")
         name = index.begin(fresh.select(F.col("_key").alias("key")))
         write(fresh.drop("_key"))
         index.finish(name)
     finally:
-        fresh.unpersist()
+        keyed.unpersist()

@@ -604,9 +604,11 @@ def q_ingest_raw_ids(spark, d):
     from caselake.plans.ingest import run_opinion_ingest
     from caselake.session import scratch_path
 
+    lake, sink, listed = (scratch_path(spark, f"raw-{x}") for x in ("lake", "sink", "listed"))
     one = lake_opinions(spark, d)
+    one.write.parquet(listed)  # read five times
+    one = spark.read.schema(one.schema).parquet(listed)
     named = one.withColumn("opinion_id", F.concat(F.lit("x"), "opinion_id"))
-    lake, sink = scratch_path(spark, "raw-lake"), scratch_path(spark, "raw-sink")
     write_by_court(one.unionByName(one), lake)
     run_opinion_ingest(spark, lake, sink, courts=S.STANDIN_COURTS, end_year=1996, keep_unknown=True, dim=8)
     write_by_court(named.unionByName(one).unionByName(named), lake, mode="append")
