@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 
 import numpy as np
 from tokenizers import Tokenizer, pre_tokenizers
 
-PIECES_IN_CACHE = 200_000
+PIECES_IN_CACHE = 400_000  # in two halves
 _ENCODERS: dict[str, TokenEncoder] = {}
 
 # The normalizer and pre-tokenizer under which white space separates tokens and
@@ -22,26 +23,30 @@ WORD_PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
 # Characters on which the classes of the pattern above are plain to see: ASCII, Spanish and
 # French marks, Latin-1 letters and the oe ligature. A text with any other goes to the library whole.
 _OTHER = re.compile("[^\t\n\r -~¡¿«»À-ÖØ-öø-ÿŒœ]")
+_BEYOND_ASCII = [c for c in map(chr, (*range(0x80, 0x100), 0x152, 0x153)) if not _OTHER.match(c)]
 _WORDS = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿœ]+|[0-9]|[^a-zß-öø-ÿœ0-9]+")
 
 
 class _Pieces(dict):
-    """White-space-free piece -> its ids as little-endian bytes; emptied when full."""
+    """White-space-free piece -> its ids as little-endian bytes. When half of the cache is full it becomes
+    the older half, from which pieces that come again are taken over; the rest is forgotten."""
 
     def __init__(self, tokenizer: Tokenizer):
         super().__init__()
-        self.model = tokenizer.model
-        self.bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.tokenize, self.older = tokenizer.model.tokenize, {}
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bytes = {c: level.pre_tokenize_str(chr(c))[0][0] for c in map(ord, _BEYOND_ASCII)}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = []
-        for word in _WORDS.findall(piece):
-            if not word.isascii():
-                word = self.bytes.pre_tokenize_str(word)[0][0]
-            ids += [t.id for t in self.model.tokenize(word)]
-        if len(self) >= PIECES_IN_CACHE:
+        out = self.older.get(piece)
+        if out is None:
+            words = [piece] if piece.isalpha() else _WORDS.findall(piece)
+            ids = [t.id for w in words for t in self.tokenize(w if w.isascii() else w.translate(self.bytes))]
+            out = struct.pack(f"<{len(ids)}I", *ids)
+        if len(self) >= PIECES_IN_CACHE // 2:
+            self.older = dict(self)
             self.clear()
-        out = self[piece] = np.array(ids, dtype="<u4").tobytes()
+        self[piece] = out
         return out
 
 
