@@ -370,7 +370,8 @@ def q_stream_batches(spark, d):
     from caselake.streaming.incremental import incremental_chunks
 
     lake, sink, done = (scratch_path(spark, f"batches-{x}") for x in ("lake", "sink", "ckpt"))
-    lake_opinions(spark, d).repartition("court").write.partitionBy("court").parquet(lake)
+    # Small row groups, so that one file's batch is read by many tasks.
+    lake_opinions(spark, d).repartition("court").write.partitionBy("court").option("parquet.block.size", str(16 << 20)).parquet(lake)
     query = incremental_chunks(spark, lake, spark.read.parquet(lake).schema, sink, done, max_files_per_trigger=1)
     query.awaitTermination()
     batches = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
