@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import codecs
+import functools
 import json
 import re
 import struct
@@ -9,7 +11,9 @@ import struct
 import numpy as np
 from tokenizers import Tokenizer, pre_tokenizers
 
-PIECES_IN_CACHE = 400_000  # in two halves
+PIECES_IN_CACHE = 600_000  # in two halves
+LONGEST_IN_CACHE = 100     # characters of a piece
+SHORT_WORD = 3             # characters of a word that many pieces hold
 _ENCODERS: dict[str, TokenEncoder] = {}
 
 # The normalizer and pre-tokenizer under which white space separates tokens and
@@ -27,22 +31,47 @@ _BEYOND_ASCII = [c for c in map(chr, (*range(0x80, 0x100), 0x152, 0x153)) if not
 _WORDS = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿœ]+|[0-9]|[^a-zß-öø-ÿœ0-9]+")
 
 
+@functools.lru_cache(LONGEST_IN_CACHE)
+def _packer(n: int):
+    return struct.Struct(f"<{n}I").pack
+
+
+def _byte_level() -> str:
+    """The character that stands for each byte in the tokenizer's model; U+FFFE for bytes of no text."""
+    level, table = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False), ["\ufffe"] * 256
+    for c in [*map(chr, range(0x80)), *_BEYOND_ASCII]:
+        for byte, sign in zip(c.encode(), level.pre_tokenize_str(c)[0][0], strict=True):
+            table[byte] = sign
+    return "".join(table)
+
+
 class _Pieces(dict):
     """White-space-free piece -> its ids as little-endian bytes. When half of the cache is full it becomes
-    the older half, from which pieces that come again are taken over; the rest is forgotten."""
+    the older half, from which pieces that come again are taken over; the rest is forgotten. Very long
+    pieces are not kept."""
 
     def __init__(self, tokenizer: Tokenizer):
         super().__init__()
-        self.tokenize, self.older = tokenizer.model.tokenize, {}
-        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.bytes = {c: level.pre_tokenize_str(chr(c))[0][0] for c in map(ord, _BEYOND_ASCII)}
+        self.tokenize, self.older, self.bytes = tokenizer.model.tokenize, {}, _byte_level()
+
+    def word(self, word: str) -> bytes:
+        ids = [t.id for t in self.tokenize(word if word.isascii() else codecs.charmap_decode(word.encode(), "strict", self.bytes)[0])]
+        return _packer(len(ids))(*ids)
+
+    def known(self, word: str) -> bytes:
+        if len(word) <= SHORT_WORD:
+            return self[word]
+        return self.get(word) or self.older.get(word) or self.word(word)
 
     def __missing__(self, piece: str) -> bytes:
         out = self.older.get(piece)
         if out is None:
-            words = [piece] if piece.isalpha() else _WORDS.findall(piece)
-            ids = [t.id for w in words for t in self.tokenize(w if w.isascii() else w.translate(self.bytes))]
-            out = struct.pack(f"<{len(ids)}I", *ids)
+            if piece.isalpha() or len(words := _WORDS.findall(piece)) == 1:
+                out = self.word(piece)
+            else:
+                out = b"".join(map(self.known, words))
+            if len(piece) > LONGEST_IN_CACHE:
+                return out
         if len(self) >= PIECES_IN_CACHE // 2:
             self.older = dict(self)
             self.clear()

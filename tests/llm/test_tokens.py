@@ -28,3 +28,15 @@ def test_ids_equal_the_librarys():
     for _ in range(3000):
         text = "".join(rng.choice(chars) for _ in range(rng.randint(0, 12)))
         assert enc.ids(text) == np.array(enc.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+
+def test_a_known_word_is_not_encoded_again():
+    """op4: a word with signs around it takes its ids from the cache; a very long piece is not kept."""
+    enc, asked = T.TokenEncoder(PATH), []
+    real = enc.pieces.tokenize
+    enc.pieces.tokenize = lambda word: asked.append(word) or real(word)
+    texts = ["house café", "(house), house. café, café.", "z" * 5000 + " house", "10.10.10.10 it's 1's"]
+    got = [enc.ids(t) for t in texts]
+    assert asked.count("house") == 1 and asked.count(",") == asked.count("1") == 1
+    assert all(len(p) <= T.LONGEST_IN_CACHE for p in enc.pieces)
+    assert got == [np.array(enc.tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
