@@ -49,12 +49,13 @@ def reciprocal_rank_fusion(*ranked: DataFrame, k: int = 10, rrf_k: int = RRF_K)
 def hybrid_topk(queries: DataFrame, docs: DataFrame, k: int = 10, depth: int = 20, dim: int = 256,
                 q_id: str = "query_id", q_text: str = "text", d_id: str = "doc_id",
                 d_text: str = "text", encoder=None) -> DataFrame:
-    """V4: BM25 top-``depth`` and cosine top-``depth`` fused by reciprocal rank."""
-    from caselake.operators.vectors import embed
+    """V4: BM25 top-``depth`` and cosine top-``depth`` fused by reciprocal rank. Documents are encoded
+    where they are ranked, by one Python worker a task."""
+    from caselake.operators.vectors import batch_encoder, embed
 
     qv = queries.select(F.col(q_id).alias("query_id"), embed(q_text, encoder, dim).alias("vector"))
-    dv = docs.select(F.col(d_id).alias("item_id"), embed(d_text, encoder, dim).alias("vector"))
-    dense = vector_topk(qv, dv, depth, "cosine")
+    texts = docs.select(F.col(d_id).alias("item_id"), F.col(d_text).alias("text"))
+    dense = vector_topk(qv, texts, depth, "cosine", c_vec="text", encode=batch_encoder(encoder, dim))
     sparse = bm25_topk(queries, docs, depth, q_id, q_text, d_id, d_text)
     return reciprocal_rank_fusion(dense, sparse, k=k)
 

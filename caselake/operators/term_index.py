@@ -66,7 +66,7 @@ def build_term_index(docs: DataFrame, d_id: str = "doc_id", d_text: str = "text"
     # The empty term stands for the document itself, so that those without any term are counted too.
     each = rows.select("row", "doc_id", F.size("tokens").cast("bigint").alias("dl"), F.explode(F.concat("tokens", F.array(F.lit("")))).alias("term"))
     if terms is not None:
-        wanted = terms.select("term").union(spark.createDataFrame([("",)], "term string")).distinct()
+        wanted = terms.select("term").union(spark.range(1).select(F.lit("").alias("term"))).distinct()
         if wanted.count() <= VOCABULARY_BROADCAST:
             wanted = F.broadcast(wanted)
         each = each.join(wanted, "term", "left_semi")

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import math
 import re
 import uuid
@@ -109,6 +110,21 @@ def cached_encoder(key: str, factory: Callable[[], Callable[[list[str]], np.ndar
     return _ENCODERS[key]
 
 
+def batch_encoder(encoder_factory: Callable[[], Callable[[list[str]], np.ndarray]] | None = None, dim: int = 64,
+                  batch_size: int = 256, model_key: str | None = None) -> Callable[[list], Iterator[np.ndarray]]:
+    """The encoder of ``embed`` for use inside a kernel: a list of texts -> their float32 vectors, in order, as
+    matrices of at most ``batch_size`` rows."""
+    factory = encoder_factory or (lambda: HashingEncoder(dim))
+    key = model_key or (f"hashing-{dim}" if encoder_factory is None else f"model-{uuid.uuid4().hex}")
+
+    def encode(texts: list) -> Iterator[np.ndarray]:
+        enc = cached_encoder(key, factory)
+        for i in range(0, len(texts), batch_size):
+            yield enc(texts[i:i + batch_size]).astype(np.float32)
+
+    return encode
+
+
 def embed(col, encoder_factory: Callable[[], Callable[[list[str]], np.ndarray]] | None = None,
           dim: int = 64, batch_size: int = 256, model_key: str | None = None, skip_null: bool = False):
     """Text column -> array<float> via a batched encoder.
@@ -118,19 +134,15 @@ def embed(col, encoder_factory: Callable[[], Callable[[list[str]], np.ndarray]]
     texts. Without a key each call of ``embed`` is a model of its own. With
     ``skip_null`` a null text is not encoded and has no vector.
     """
-    factory = encoder_factory or (lambda: HashingEncoder(dim))
-    key = model_key or (f"hashing-{dim}" if encoder_factory is None else f"model-{uuid.uuid4().hex}")
+    encode = batch_encoder(encoder_factory, dim, batch_size, model_key)
 
     @pandas_udf(ArrayType(FloatType()))
     def _embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        enc = cached_encoder(key, factory)
         for texts in batches:
             at = np.flatnonzero(texts.notna()) if skip_null else np.arange(len(texts))
-            vals = texts.iloc[at].tolist()
             out = np.full(len(texts), None, dtype=object)
-            for i in range(0, len(vals), batch_size):
-                for place, row in zip(at[i:i + batch_size], enc(vals[i:i + batch_size]).astype(np.float32), strict=True):
-                    out[place] = row
+            for place, row in zip(at, itertools.chain.from_iterable(encode(texts.iloc[at].tolist())), strict=True):
+                out[place] = row
             yield pd.Series(out)
         release_memory()
 
@@ -217,7 +229,7 @@ def _scores(metric: str, Q: np.ndarray, qn: np.ndarray, C: np.ndarray) -> np.nda
     raise ValueError(f"unknown metric {metric!r}")
 
 
-def _make_kernel(qids, Q, k, metric, c_id, c_vec):
+def _make_kernel(qids, Q, k, metric, c_id, c_vec, encode=None):
     ascending = metric == "l2"
     qn = np.sqrt((Q * Q).sum(axis=1))
     worst = np.inf if ascending else -np.inf
@@ -228,16 +240,17 @@ def _make_kernel(qids, Q, k, metric, c_id, c_vec):
         for pdf in batches:
             if pdf.empty:
                 continue
-            vecs = pdf[c_vec].to_numpy()  # one numpy array per row (from Arrow)
+            vecs = pdf[c_vec].to_numpy()  # one numpy array per row (from Arrow), or its text
             present = np.fromiter((v is not None for v in vecs), dtype=bool, count=len(vecs))
-            if not present.all():
+            if encode is None and not present.all():
                 vecs = vecs[present]
                 pdf = pdf[present]
                 if pdf.empty:
                     continue
             ids_all = pdf[c_id].to_numpy(dtype=np.int64)
             for lo in range(0, len(pdf), step):
-                C = np.stack(vecs[lo:lo + step]).astype(np.float64, copy=False)
+                rows = vecs[lo:lo + step]
+                C = (np.stack(rows) if encode is None else np.concatenate(list(encode(rows.tolist())))).astype(np.float64, copy=False)
                 ids = ids_all[lo:lo + step]
                 S = np.round(_scores(metric, Q, qn, C), 6)
                 # an all-zero query vector (no tokens) carries no signal: no results
@@ -250,6 +263,7 @@ def _make_kernel(qids, Q, k, metric, c_id, c_vec):
         s, i = best_s.ravel(), best_i.ravel()
         keep = np.isfinite(s)
         yield pd.DataFrame({"query_id": rows_q[keep], "item_id": i[keep], "score": s[keep]})
+        release_memory()
 
     return kernel
 
@@ -280,7 +294,8 @@ def global_topk(cands: DataFrame, k: int, ascending: bool, partitions: int | Non
 
 def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str = "cosine",
                 q_id: str = "query_id", q_vec: str = "vector", c_id: str = "item_id",
-                c_vec: str = "vector", max_queries: int = MAX_BROADCAST_QUERIES) -> DataFrame:
+                c_vec: str = "vector", max_queries: int = MAX_BROADCAST_QUERIES,
+                encode: Callable[[list], Iterator[np.ndarray]] | None = None) -> DataFrame:
     """V1/V2: top-k corpus rows per query.
 
     metric: "cosine" / "ip" (higher first) or "l2" (smaller first).
@@ -289,6 +304,8 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str
     not candidates.
     A batch above the bound is searched block by block: each is collected, broadcast and
     let go before the next one, so the driver holds one block.
+    With ``encode`` (``batch_encoder``) ``c_vec`` holds texts, null ones too, that are encoded where they
+    are ranked: a task then needs one Python worker, not a second one for the vectors.
     """
     spark = corpus.sparkSession
     ascending = metric == "l2"
@@ -304,7 +321,7 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, metric: str
 
         def kernel(batches, bq=bq):
             qi, qm = bq.value
-            return _make_kernel(qi, qm, k, metric, c_id, c_vec)(batches)
+            return _make_kernel(qi, qm, k, metric, c_id, c_vec, encode)(batches)
 
         parts.append(corpus_cols.mapInPandas(kernel, schema))
     if not parts:
