@@ -29,7 +29,7 @@ from caselake.session import scratch_path
 TOKEN_PATTERN = r"[\p{L}\p{M}\p{N}]+(?:[.'’-][\p{L}\p{M}\p{N}]+)*|§+"
 BM25_K1 = 1.2
 BM25_B = 0.75
-BLOCK_ROWS = 128          # a multiple of 64
+BLOCK_ROWS = 128
 SEED_BLOCKS = 16          # blocks of a query that are scored for its threshold
 VOCABULARY_BROADCAST = 1_000_000
 _ROUNDING = 2e-6          # scores are rounded, and sums of doubles depend on their order
@@ -95,7 +95,7 @@ def _scores(index: TermIndex, rows: DataFrame, terms: DataFrame) -> DataFrame:
     """(query_id, row, item_id, score) of the documents ``rows`` (query_id, block, row), by the given terms
     (query_id, term, idf). A block's postings are read once for all its documents, which are a bit each."""
     bit, half = F.expr("shiftleft(1L, CAST(row % 64 AS INT))"), F.expr(f"CAST(row % {BLOCK_ROWS} / 64 AS INT)")
-    halves = [f"half{i}" for i in range(BLOCK_ROWS // 64)]
+    halves = [f"half{i}" for i in range(-(-BLOCK_ROWS // 64))]
     wanted = rows.groupBy("query_id", "block").agg(*[F.bit_or(F.when(half == i, bit).otherwise(0)).alias(name) for i, name in enumerate(halves)])
     met = wanted.join(terms.select("query_id", "term", "idf"), "query_id").join(index.blocks.select("term", "block", "entries"), ["term", "block"])
     own = F.array(*halves)[F.expr(f"CAST(e.row % {BLOCK_ROWS} / 64 AS INT)")]
